@@ -1,10 +1,14 @@
-"""Purchase time on child rows."""
+"""Purchase time on child rows, and reductions of large tables to a batch."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.skew import join_one_per_key
+
 
 def with_purchase_year(df: DataFrame) -> DataFrame:
     """Year column, and its copy that becomes the partition path."""
@@ -12,10 +16,16 @@ def with_purchase_year(df: DataFrame) -> DataFrame:
     return df.withColumns({"order_purchase_year": year, "partition_year": year})
 
 
-def with_order_time(children: DataFrame, orders: DataFrame) -> DataFrame:
+def with_order_time(
+    children: DataFrame,
+    orders: DataFrame,
+    then: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """Left join on order_id; a child without an order keeps a NULL year."""
     times = orders.select("order_id", "order_purchase_timestamp")
-    return with_purchase_year(children.join(times, "order_id", "left"))
+    return join_one_per_key(
+        children, times, ["order_id"], "left", then=lambda df: then(with_purchase_year(df))
+    )
 
 
 def reduced_to(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,11 +33,14 @@ def reduced_to(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     return big.join(small.select(*keys).distinct(), keys, "left_semi")
 
 
-def without_existing(batch: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+def without_existing(
+    batch: DataFrame, table: DataFrame, keys: list[str], batch_keys: DataFrame | None = None
+) -> DataFrame:
     """Batch rows whose key the table does not hold yet.
 
     The table is first reduced to the batch's keys: Catalyst broadcasts those when they are
     small and filters the large scan in place, which an anti join alone cannot do.
+    `batch_keys` may be any frame that covers the batch's keys and is cheaper to compute.
     """
-    known = reduced_to(table.select(*keys), batch, keys)
+    known = reduced_to(table.select(*keys), batch if batch_keys is None else batch_keys, keys)
     return batch.join(known, keys, "left_anti")

@@ -14,7 +14,6 @@ from orderloom.functions.scalars import lenient_timestamp
 from orderloom.operators import marks
 from orderloom.operators.align import align_union, conform
 from orderloom.operators.dedup import keep_first, newest_first
-from orderloom.operators.enrich import reduced_to
 from orderloom.operators.groups import with_group_measures
 from orderloom.plans import analytics, bronze, gold, silver
 from orderloom.session import new_folder, prepare
@@ -141,12 +140,11 @@ def bronze_load_date_partition(spark, roles):
 def dataset_routing(spark, roles):
     """Land every source file by its spec; one line per dataset."""
     lake = new_folder(spark, "routing")
-    no_date = ["ingestion_date", "paid_from"]
     sources = {
         "customers.csv": roles.history_customers(),
-        "orders.csv": roles.orders().drop(*no_date),
-        "order_items.csv": roles.order_items().drop(*no_date),
-        "payments.csv": roles.payments().drop(*no_date),
+        "orders.csv": roles.orders().drop("ingestion_date"),
+        "order_items.csv": roles.order_items().drop("ingestion_date"),
+        "payments.csv": roles.payments(),
         "products.csv": roles.history_products(),
         "reviews.csv": roles.reviews(),
         "geolocation.csv": roles.table("nation"),
@@ -429,9 +427,8 @@ def order_items_payments_join(spark, roles):
 
 @query
 def payment_windows(spark, roles):
-    payments = roles.payments().drop("ingestion_date", "paid_from")
     return with_group_measures(
-        payments,
+        roles.payments(),
         ["order_id"],
         {
             "order_payment_value": F.sum("payment_value").cast(schemas.MONEY_SUM),
@@ -463,8 +460,7 @@ def fact_orders(spark, roles):
 def fact_self_dedup(spark, roles):
     """A stored fact with a repeated grain is replaced by its repaired version."""
     root = f"{new_folder(spark, 'gold')}/fact_orders"
-    lines = gold.order_lines(roles.warehouse_orders(), roles.order_items())
-    repeated = lines.join(gold.payment_totals(roles.payments()), "order_id")
+    repeated = gold.paid_lines(roles.warehouse_orders(), roles.order_items(), roles.payments())
     publish(repeated.select(*schemas.FACT_ORDERS.names), root)
     publish(gold.repaired(current(spark, root)), root)
     return current(spark, root)
@@ -487,7 +483,7 @@ def fact_merge(spark, roles):
     ]
     changed = reduce(DataFrame.union, [rows.select("order_id") for rows in new_rows])
     tables = [roles.warehouse_orders(), roles.order_items(), roles.payments()]
-    affected = [reduced_to(table, changed, ["order_id"]) for table in tables]
+    affected = gold.of_changed_orders(tables, changed, f"{root}/changed/batch_id=1")
     gold.merge_fact(spark, root, gold.fact_orders(*affected), 1)
     return gold.read_fact(spark, root).select(*schemas.FACT_ORDERS.names)
 

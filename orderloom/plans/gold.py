@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from orderloom.functions.scalars import year_month
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.enrich import reduced_to
+from orderloom.operators.skew import join_one_per_key
 from orderloom.operators.upsert import upsert
 from orderloom.schemas import (
     DIM_CUSTOMERS,
@@ -23,6 +26,16 @@ from orderloom.sinks.folders import drop, exists
 from orderloom.sinks.parquet import write_partitioned
 
 FACT_STORED = extend(FACT_ORDERS, ("purchase_month", "int"))
+ORDER_COLUMNS = ["order_id", "customer_id", "order_purchase_timestamp", "order_purchase_year"]
+ITEM_COLUMNS = [
+    "order_id",
+    "order_item_id",
+    "product_id",
+    "seller_id",
+    "shipping_limit_date",
+    "price",
+    "freight_value",
+]
 FACT_SOURCE = T.StructType(FACT_STORED.fields + [T.StructField("keyed", T.BooleanType())])
 
 
@@ -39,19 +52,7 @@ def _item_choice() -> list[Column]:
 
 def order_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders with their items, one row per item."""
-    heads = orders.select(
-        "order_id", "customer_id", "order_purchase_timestamp", "order_purchase_year"
-    )
-    lines = items.select(
-        "order_id",
-        "order_item_id",
-        "product_id",
-        "seller_id",
-        "shipping_limit_date",
-        "price",
-        "freight_value",
-    )
-    return lines.join(heads, "order_id", "inner")
+    return join_one_per_key(items.select(*ITEM_COLUMNS), orders.select(*ORDER_COLUMNS), ["order_id"])
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
@@ -92,14 +93,28 @@ def join_fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Da
 # --- the fact ----------------------------------------------------------------------------
 
 
+def paid_lines(
+    orders: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    then: Callable[[DataFrame], DataFrame] = lambda lines: lines,
+) -> DataFrame:
+    """One row per item, with its order and the order's payments summed before the join."""
+    paid_orders = orders.select(*ORDER_COLUMNS).join(payment_totals(payments), "order_id")
+    return join_one_per_key(items.select(*ITEM_COLUMNS), paid_orders, ["order_id"], then=then)
+
+
+def _one_per_product(lines: DataFrame) -> DataFrame:
+    return keep_first(lines, FACT_KEYS, _item_choice()).select(*FACT_ORDERS.names)
+
+
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per order and product; an order's payments are summed before the join.
+    """One row per order and product.
 
-    All three inputs are exchanged once, on order_id. The choice of one item per product
-    needs no further exchange unless AQE has split a hot order.
+    All three inputs are exchanged once, on order_id; the choice of one item per product
+    then needs no exchange of its own.
     """
-    paid = order_lines(orders, items).join(payment_totals(payments), "order_id", "inner")
-    return keep_first(paid, FACT_KEYS, _item_choice()).select(*FACT_ORDERS.names)
+    return paid_lines(orders, items, payments, then=_one_per_product)
 
 
 def fact_orders_ref(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
@@ -126,8 +141,9 @@ def fact_orders_ref(orders: DataFrame, items: DataFrame, payments: DataFrame) ->
             "payment_installments",
         )
     )
-    lines = items.drop("ingestion_date").join(measures, "order_id", "inner")
-    return keep_first(lines, FACT_KEYS, _item_choice()).select(*FACT_ORDERS.names)
+    return join_one_per_key(
+        items.select(*ITEM_COLUMNS), measures, ["order_id"], then=_one_per_product
+    )
 
 
 def repaired(fact: DataFrame) -> DataFrame:
@@ -217,6 +233,21 @@ def merge_fact(
     _copy_staged(spark, root)
 
 
+def of_changed_orders(
+    tables: Sequence[DataFrame], changed: DataFrame, ids_path: str
+) -> list[DataFrame]:
+    """The tables' rows of the changed orders.
+
+    Every measure depends on one order only, so recomputing these orders from the full
+    tables gives what recomputing everything would. The ids are written out once: they serve
+    each table, their size is then known to the planner, and the rows of a hot order can be
+    split in the join.
+    """
+    changed.select("order_id").distinct().write.mode("overwrite").parquet(ids_path)
+    ids = changed.sparkSession.read.parquet(ids_path)
+    return [table.join(ids, "order_id", "left_semi") for table in tables]
+
+
 # --- dimensions ----------------------------------------------------------------------------
 
 

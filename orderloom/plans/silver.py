@@ -132,17 +132,21 @@ def load(
         elif new_mark is None:
             return None
 
-    rows = incoming
+    def one_per_key(rows: DataFrame) -> DataFrame:
+        return keep_first(rows, table.keys, newest_first(table.daily.names))
+
     if table.child_of_orders:
         orders = read_silver(spark, lake, ORDERS)
         if done:
             orders = reduced_to(orders, incoming, ["order_id"])
-        rows = with_order_time(rows, orders)
+        rows = with_order_time(incoming, orders, then=one_per_key)
     elif table.dated:
-        rows = with_purchase_year(rows)
-    rows = keep_first(rows, table.keys, newest_first(table.daily.names))
+        rows = one_per_key(with_purchase_year(incoming))
+    else:
+        rows = one_per_key(incoming)
     if done:
-        rows = without_existing(rows, read_silver(spark, lake, table), table.keys)
+        stored = read_silver(spark, lake, table)
+        rows = without_existing(rows, stored, table.keys, batch_keys=incoming)
 
     columns = table.silver.names + (["partition_year"] if table.dated else [])
     rows = rows.select(*columns)

@@ -92,8 +92,8 @@ class Roles:
 
     # --- payments -------------------------------------------------------------------
 
-    def payments(self) -> DataFrame:
-        """One payment per order and return flag, dated by its first shipment.
+    def payments(self, dated: bool = False) -> DataFrame:
+        """One payment per order and return flag; when dated, by its first shipment.
 
         The three flags are summed side by side under one group key, so the rows are
         shuffled once and stay partitioned by order.
@@ -110,8 +110,9 @@ class Roles:
             sums += [
                 F.count_if(is_kind).cast("int").alias(f"{name}_count"),
                 F.sum(F.when(is_kind, value)).cast(MONEY).alias(f"{name}_value"),
-                F.min(F.when(is_kind, F.col("l_shipdate"))).alias(f"{name}_from"),
             ]
+            if dated:
+                sums.append(F.min(F.when(is_kind, F.col("l_shipdate"))).alias(f"{name}_from"))
         by_order = self.table("lineitem").groupBy(_text("l_orderkey").alias("order_id")).agg(*sums)
 
         present = F.lit(0)
@@ -119,23 +120,26 @@ class Roles:
         for name, (_, payment_type) in kinds.items():
             count = F.col(f"{name}_count")
             present = present + F.when(count > 0, 1).otherwise(0)
-            rows.append(
-                F.struct(
-                    present.alias("payment_sequential"),
-                    F.lit(payment_type).alias("payment_type"),
-                    count.alias("payment_installments"),
-                    F.col(f"{name}_value").alias("payment_value"),
-                    F.col(f"{name}_from").alias("paid_from"),
-                )
-            )
-        return (
-            by_order.select("order_id", F.inline(F.array(*rows)))
-            .where(F.col("payment_installments") > 0)
-            .withColumn("ingestion_date", _daily_date(F.col("paid_from")))
+            fields = [
+                present.alias("payment_sequential"),
+                F.lit(payment_type).alias("payment_type"),
+                count.alias("payment_installments"),
+                F.col(f"{name}_value").alias("payment_value"),
+            ]
+            if dated:
+                fields.append(F.col(f"{name}_from").alias("paid_from"))
+            rows.append(F.struct(*fields))
+        return by_order.select("order_id", F.inline(F.array(*rows))).where(
+            F.col("payment_installments") > 0
         )
 
     def payments_between(self, start: str | None, end: str | None) -> DataFrame:
-        return _between(self.payments(), "paid_from", start, end).drop("paid_from")
+        """Payments with their load date, within a range of it."""
+        return (
+            _between(self.payments(dated=True), "paid_from", start, end)
+            .withColumn("ingestion_date", _daily_date(F.col("paid_from")))
+            .drop("paid_from")
+        )
 
     # --- customers ------------------------------------------------------------------
 
