@@ -20,3 +20,13 @@ def newer_than(
 ) -> DataFrame:
     """Rows strictly after the mark, as a typed literal so that partitions are pruned."""
     return df if mark is None else df.where(F.col(column) > F.lit(mark))
+
+
+def not_before(
+    df: DataFrame, mark: datetime.date | None, column: str = "ingestion_date"
+) -> DataFrame:
+    """Rows from the mark's own day on, for a reader that drops keys it already holds.
+
+    A second delivery on the day of the mark is then not lost.
+    """
+    return df if mark is None else df.where(F.col(column) >= F.lit(mark))

@@ -19,6 +19,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_limit(df: DataFrame) -> int:
+    """The size up to which Catalyst broadcasts a join side by itself."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(conf.autoBroadcastJoinThreshold())
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with at least `hot_rows` rows, so at most (rows / hot_rows) keys.
 
@@ -44,7 +50,7 @@ def join_one_per_key(
     parts share no key, and the shuffled part is still partitioned by key at that point.
     """
     keys = list(keys)
-    if estimated_bytes(many) < small_bytes:
+    if estimated_bytes(many) < small_bytes or estimated_bytes(one) <= broadcast_limit(one):
         return then(many.join(one, keys, how))
 
     # Bounded by rows / HOT_ROWS entries, see hot_keys.

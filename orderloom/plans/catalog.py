@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import reduce, wraps
+from functools import partial, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from orderloom.operators.align import align_union, conform
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.groups import with_group_measures
 from orderloom.plans import analytics, bronze, gold, silver
-from orderloom.session import new_folder, prepare
+from orderloom.session import new_folder, prepare, run_together
 from orderloom.sinks.folders import current, publish
 from orderloom.sinks.parquet import (
     write_flat,
@@ -151,11 +151,16 @@ def dataset_routing(spark, roles):
         "sellers.csv": roles.table("supplier"),
         "category_translation.csv": roles.table("region"),
     }
+
+    def deliver_and_land(file: str) -> str | None:
+        sources[file].write.csv(f"{lake}/source/{file}", header=True)
+        spec = route(file, bronze.DATASETS)
+        return land(spark, spec, f"{lake}/source", f"{lake}/bronze")
+
+    paths = run_together(*[partial(deliver_and_land, file) for file in sources])
     lines = []
-    for file, rows in sources.items():
-        rows.write.csv(f"{lake}/source/{file}", header=True)
+    for file, path in zip(sources, paths):
         spec = route(file, bronze.DATASETS)
-        path = land(spark, spec, f"{lake}/source", f"{lake}/bronze")
         if path is None:
             counts = spark.range(1).select(
                 F.lit(0).cast("bigint").alias("rows_landed"), F.lit(0).cast("bigint").alias("months")
@@ -238,8 +243,8 @@ def products_transform(spark, roles):
 def high_water_mark(spark, roles):
     """Latest load date of two stored tables and of one that does not exist."""
     lake = new_folder(spark, "marks")
-    write_flat(roles.orders(), f"{lake}/orders")
-    write_flat(roles.order_items(), f"{lake}/order_items")
+    write_flat(roles.orders().select("order_id", "ingestion_date"), f"{lake}/orders")
+    write_flat(roles.order_items().select("order_id", "ingestion_date"), f"{lake}/order_items")
     names = ["orders", "order_items", "reviews"]
     found = [
         (name, marks.high_water_mark(read_parquet_or_none(spark, f"{lake}/{name}")))
@@ -574,8 +579,11 @@ def _land_batch(roles: Roles, lake: str, start: str | None, end: str | None) ->
         "order_items": roles.order_items_between(start, end),
         "payments": roles.payments_between(start, end),
     }
-    for name, rows in batch.items():
-        conform(rows, FACT_SIDE[name]).write.mode("append").parquet(f"{lake}/{name}")
+
+    def append(name: str) -> None:
+        conform(batch[name], FACT_SIDE[name]).write.mode("append").parquet(f"{lake}/{name}")
+
+    run_together(*[partial(append, name) for name in batch])
     return {name: (f"{lake}/{name}", schema) for name, schema in FACT_SIDE.items()}
 
 

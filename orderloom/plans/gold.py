@@ -209,13 +209,22 @@ def merge_fact(
 
     keyed = F.col("order_id").isNotNull() & F.col("product_id").isNotNull()
     staged_source = _with_month(rows).withColumn("keyed", keyed)
-    staged_source.write.mode("overwrite").partitionBy("keyed").parquet(f"{root}/source")
+    (
+        staged_source.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("keyed")
+        .parquet(f"{root}/source")
+    )
     source = spark.read.schema(FACT_SOURCE).parquet(f"{root}/source")
     rejects = source.where(~F.col("keyed")).drop("keyed")
     if not rejects.isEmpty():
         rejects.write.mode("overwrite").parquet(f"{root}/rejects/batch_id={batch_id}")
     source = source.where("keyed").drop("keyed")
 
+    if not exists(spark, f"{root}/data"):
+        write_partitioned(source, f"{root}/data", "purchase_month")
+        return
+
     target = read_fact(spark, root)
     touched = source.select("purchase_month")
     if not month_is_stable:
@@ -223,8 +232,7 @@ def merge_fact(
         touched = touched.unionByName(matches.select("purchase_month"))
     # At most one value per month in the table.
     months = [row[0] for row in touched.distinct().collect()]
-    known = [m for m in months if m is not None]
-    affected = F.col("purchase_month").isin(known)
+    affected = F.col("purchase_month").isin([m for m in months if m is not None])
     if None in months:
         affected = affected | F.col("purchase_month").isNull()
 

@@ -23,9 +23,9 @@ from orderloom.operators.enrich import (
     with_purchase_year,
     without_existing,
 )
-from orderloom.operators.marks import high_water_mark, newer_than
+from orderloom.operators.marks import high_water_mark, not_before
 from orderloom.sinks.folders import complete, current, publish
-from orderloom.sinks.parquet import spread
+from orderloom.sinks.parquet import write_flat, write_partitioned
 
 MARK = schemas.struct(("batch_id", "int"), ("mark", "date"))
 
@@ -118,19 +118,24 @@ def load(
     saved = current(spark, marks)
     mark = saved.first()["mark"] if saved is not None else None
 
-    new_rows = newer_than(daily, mark)
-    new_mark = high_water_mark(new_rows)
+    new_rows = not_before(daily, mark)
     if not done:
         incoming = align_union(history, new_rows, table.daily, table.renames)
+        new_mark = None
     else:
+        stored = read_silver(spark, lake, table)
         incoming = conform(new_rows, table.daily)
         if table.child_of_orders:
             waiting = pending(spark, lake, table)
-            if new_mark is None and waiting.isEmpty():
-                return None
             incoming = incoming.unionByName(waiting.select(*table.daily.names))
-        elif new_mark is None:
-            return None
+        new_mark = high_water_mark(new_rows)
+        if new_mark == mark:
+            # Nothing later than the mark; its own day may still hold keys not stored yet.
+            usable = incoming
+            if table.dated and not table.child_of_orders:
+                usable = incoming.where(F.year("order_purchase_timestamp").isNotNull())
+            if without_existing(usable, stored, table.keys).isEmpty():
+                return None
 
     def one_per_key(rows: DataFrame) -> DataFrame:
         return keep_first(rows, table.keys, newest_first(table.daily.names))
@@ -145,18 +150,18 @@ def load(
     else:
         rows = one_per_key(incoming)
     if done:
-        stored = read_silver(spark, lake, table)
         rows = without_existing(rows, stored, table.keys, batch_keys=incoming)
 
     columns = table.silver.names + (["partition_year"] if table.dated else [])
     rows = rows.select(*columns)
     path = f"{root}/batch_id={batch_id}"
     if table.dated:
-        # One exchange more, for few and evenly sized files in each year.
-        spread(rows, "partition_year").write.mode("overwrite").partitionBy("partition_year").parquet(path)
+        write_partitioned(rows, path, "partition_year")
     else:
-        rows.write.mode("overwrite").parquet(path)
-
+        write_flat(rows, path)
+    if not done:
+        # The latest date of a key survives, so the stored rows tell the mark.
+        new_mark = high_water_mark(spark.read.parquet(path))
     latest = new_mark if new_mark is not None else mark
     publish(spark.createDataFrame([(batch_id, latest)], MARK).coalesce(1), marks)
     return batch_id

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -15,13 +17,15 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 # Parquet decodes to roughly four times its size on disk.
 EXPANSION = 4
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MB = 1024 * 1024
+LARGEST_PARTITION = 128 * MB
+SMALLEST_PARTITION = MB // 4
 MOST_PARTITIONS = 40_000
 
 _fallback_roots: dict[str, str] = {}
@@ -33,16 +37,22 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_path: str) -> int:
-    """Start AQE from enough reduce partitions for the input; it merges small ones later."""
+def size_shuffles(spark: SparkSession, input_path: str) -> tuple[int, int]:
+    """Set AQE's partition size and starting count from the input's size.
+
+    Partitions grow with the input up to 128 MB; small inputs still occupy every core. AQE
+    merges what turns out smaller than the set size and splits what turns out skewed.
+    """
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(input_path)
     files = path.getFileSystem(context._jsc.hadoopConfiguration())
-    size = files.getContentSummary(path).getLength()
-    wanted = -(-size * EXPANSION // TARGET_PARTITION_BYTES)
-    count = min(MOST_PARTITIONS, max(context.defaultParallelism, wanted))
+    decoded = files.getContentSummary(path).getLength() * EXPANSION
+    cores = context.defaultParallelism
+    size = min(LARGEST_PARTITION, max(SMALLEST_PARTITION, decoded // (16 * cores)))
+    count = min(MOST_PARTITIONS, max(cores, -(-decoded // LARGEST_PARTITION)))
+    spark.conf.set(ADVISORY_SIZE, str(size))
     spark.conf.set(INITIAL_PARTITIONS, str(count))
-    return count
+    return size, count
 
 
 def prepare(spark: SparkSession, input_path: str) -> SparkSession:
@@ -69,6 +79,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/orderloom/{purpose}-{uuid.uuid4().hex}"
 
 
+def run_together(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs side by side, so that small ones do not queue."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A local-mode session for tests and the benchmark.
 

@@ -19,10 +19,15 @@ def write_flat(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
+    """Replace the whole folder, whatever the session's partition overwrite mode.
+
+    The rebalancing exchange buys few and evenly sized files in each partition.
+    """
     (
         spread(df, *columns)
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("compression", "snappy")
         .partitionBy(*columns)
         .parquet(path)

@@ -1,0 +1,22 @@
+import pytest
+
+from orderloom.session import local_session, new_folder
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(4, memory="4g")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def lake(spark):
+    return new_folder(spark, "test")
+
+
+def rows(df, *columns):
+    """Values as a sorted list of tuples, NULLs and all."""
+    names = columns or df.columns
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)

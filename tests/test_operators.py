@@ -1,0 +1,224 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orderloom.functions.keys import CUSTOMER_NAMESPACE, surrogate_key, text_key
+from orderloom.functions.scalars import after_days, lenient_timestamp, list_length, money
+from orderloom.operators.align import align_union, conform
+from orderloom.operators.dedup import keep_first, newest_first
+from orderloom.operators.enrich import with_order_time, without_existing
+from orderloom.operators.groups import with_group_measures
+from orderloom.operators.marks import high_water_mark, newer_than, not_before
+from orderloom.operators.skew import hot_keys, join_one_per_key
+from orderloom.operators.upsert import upsert
+from orderloom.schemas import WAREHOUSE, struct
+from tests.conftest import rows
+
+DAY = dt.date(2024, 1, 5)
+
+
+# --- functions ---------------------------------------------------------------------------
+
+
+def test_keys_are_hex_md5_of_the_namespaced_id(spark):
+    df = spark.createDataFrame([(7, "ann"), (None, None)], "id BIGINT, username STRING")
+    keyed = df.select(surrogate_key(CUSTOMER_NAMESPACE, F.col("id")), text_key(F.col("username")))
+    import hashlib
+
+    first = hashlib.md5(b"dummyjson_customer_7").hexdigest()
+    assert rows(keyed) == sorted(
+        [(first, hashlib.md5(b"ann").hexdigest()), (None, None)], key=repr
+    )
+
+
+def test_unreadable_timestamps_become_null(spark):
+    texts = ["2018-01-02 03:04:05", "2018-01-02", "", "soon", "2018-13-01", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    parsed = [r[0] for r in df.select(lenient_timestamp(F.col("t"))).collect()]
+    assert parsed == [dt.datetime(2018, 1, 2, 3, 4, 5), dt.datetime(2018, 1, 2)] + [None] * 4
+
+
+def test_scalars(spark):
+    df = spark.createDataFrame(
+        [(Decimal("1.005"), ["a", "b"], dt.datetime(2024, 1, 30)), (None, None, None)],
+        "m DECIMAL(10,3), l ARRAY<STRING>, t TIMESTAMP",
+    )
+    out = df.select(money(F.col("m")), list_length(F.col("l")), after_days(F.col("t"), 2))
+    assert rows(out) == sorted(
+        [(Decimal("1.01"), 2, dt.datetime(2024, 2, 1)), (None, None, None)], key=repr
+    )
+
+
+# --- conform and union ---------------------------------------------------------------------
+
+
+def test_conform_matches_names_without_case_and_casts(spark):
+    df = spark.createDataFrame(
+        [("c1", "01046", 1.0), ("c2", "29112-1234", 2.0), ("c3", None, 3.0)],
+        "CUSTOMER_ID STRING, Customer_Zip_Code_Prefix STRING, extra DOUBLE",
+    )
+    out = conform(df, WAREHOUSE["customers"])
+    assert out.schema.names == WAREHOUSE["customers"].names
+    assert [f.dataType for f in out.schema] == [f.dataType for f in WAREHOUSE["customers"]]
+    assert rows(out, "customer_id", "customer_zip_code_prefix", "email") == [
+        ("c1", 1046, None),
+        ("c2", None, None),
+        ("c3", None, None),
+    ]
+
+
+def test_conform_rejects_names_that_differ_in_case_only(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        df = spark.createDataFrame([(1, 2)], "a INT, A INT")
+        with pytest.raises(ValueError, match="ambiguous"):
+            conform(df, struct(("a", "int")))
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+
+
+def test_conform_reads_columns_with_dots(spark):
+    df = spark.createDataFrame([(1,)], T.StructType([T.StructField("a.b", T.IntegerType())]))
+    target = T.StructType([T.StructField("a.b", T.LongType())])
+    assert rows(conform(df, target).toDF("ab")) == [(1,)]
+
+
+def test_union_casts_both_sides_before_meeting(spark):
+    history = spark.createDataFrame([(12, "x", 2017)], "zip INT, old_name STRING, year INT")
+    daily = spark.createDataFrame([("a-1", "y", DAY)], "zip STRING, name STRING, ingestion_date DATE")
+    contract = struct(("zip", "string"), ("name", "string"), ("ingestion_date", "date"))
+    out = align_union(history, daily, contract, {"old_name": "name"})
+    assert rows(out) == sorted([("12", "x", None), ("a-1", "y", DAY)], key=repr)
+    assert out.schema == contract
+
+
+# --- dedup -----------------------------------------------------------------------------------
+
+
+def test_newest_row_survives_and_undated_comes_last(spark):
+    df = spark.createDataFrame(
+        [("k", None, 1), ("k", DAY, 3), ("k", DAY, 2), (None, None, 9), (None, None, 8)],
+        "k STRING, ingestion_date DATE, v INT",
+    )
+    out = keep_first(df, ["k"], newest_first(df.columns))
+    assert rows(out) == sorted([("k", DAY, 2), (None, None, 8)], key=repr)
+
+
+def test_dedup_limits_each_group_before_the_exchange(spark, capsys):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    keep_first(df, ["k"], [F.col("v").desc()]).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_dedup_does_not_depend_on_partitioning(spark, parts):
+    df = spark.range(200).select(
+        (F.col("id") % 10).alias("k"), (F.col("id") % 4).alias("d"), F.col("id").alias("v")
+    )
+    kept = keep_first(df.repartition(parts, "v"), ["k"], newest_first(df.columns, "d"))
+    assert rows(kept) == rows(keep_first(df, ["k"], newest_first(df.columns, "d")))
+
+
+# --- marks -----------------------------------------------------------------------------------
+
+
+def test_marks(spark):
+    days = [dt.date(2024, 1, d) for d in (3, 4, 5)]
+    df = spark.createDataFrame([(d,) for d in days] + [(None,)], "ingestion_date DATE")
+    assert high_water_mark(df) == days[2]
+    assert high_water_mark(None) is None
+    assert high_water_mark(df.where("ingestion_date IS NULL")) is None
+    assert rows(newer_than(df, days[1])) == [(days[2],)]
+    assert newer_than(df, None).count() == 4
+    assert rows(not_before(df, days[1])) == [(days[1],), (days[2],)]
+
+
+# --- joins -----------------------------------------------------------------------------------
+
+
+def skewed(spark):
+    """One key holds a third of the rows, NULL another large part."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None)
+    many = spark.range(600).select(
+        F.coalesce(key, F.when(F.col("id") % 10 != 1, F.concat(F.lit("k"), F.col("id") % 50))).alias(
+            "k"
+        ),
+        F.col("id").alias("v"),
+    )
+    keys = [("hot", 1), (None, 2)] + [(f"k{i}", i) for i in range(0, 50, 2)]
+    return many, spark.createDataFrame(keys, "k STRING, w INT")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_join_like_the_others(spark, how):
+    many, one = skewed(spark)
+    assert rows(hot_keys(many, ["k"], 100)) == [("hot",)]
+    expected = many.join(one, ["k"], how)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for hot_rows in (100, 10_000):
+            split = join_one_per_key(many, one, ["k"], how, hot_rows=hot_rows, small_bytes=0)
+            assert split.columns == expected.columns
+            assert rows(split) == rows(expected)
+        calls = []
+        join_one_per_key(many, one, ["k"], how, then=lambda d: calls.append(1) or d, small_bytes=0)
+        assert len(calls) == (3 if how == "left" else 2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_small_inputs_take_the_plain_join(spark):
+    many, one = skewed(spark)
+    calls = []
+    join_one_per_key(many, one, ["k"], then=lambda d: calls.append(1) or d)
+    assert calls == [1]
+
+
+def test_children_without_an_order_keep_a_null_year(spark):
+    children = spark.createDataFrame([("o1", 1), ("o9", 1), (None, 2)], "order_id STRING, n INT")
+    orders = spark.createDataFrame(
+        [("o1", dt.datetime(2018, 5, 1))], "order_id STRING, order_purchase_timestamp TIMESTAMP"
+    )
+    out = with_order_time(children, orders)
+    assert rows(out, "order_id", "order_purchase_year", "partition_year") == sorted(
+        [("o1", 2018, 2018), ("o9", None, None), (None, None, None)], key=repr
+    )
+
+
+def test_only_unknown_keys_pass(spark):
+    batch = spark.createDataFrame([("a", 1), ("b", 2)], "k STRING, v INT")
+    table = spark.createDataFrame([("b", 9), ("c", 9)], "k STRING, v INT")
+    assert rows(without_existing(batch, table, ["k"])) == [("a", 1)]
+
+
+def test_group_measures_equal_a_window(spark):
+    df = spark.createDataFrame(
+        [("a", 4, "x"), ("a", 11, "y"), (None, 1, "z"), (None, 2, None)], "k STRING, v INT, t STRING"
+    )
+    out = with_group_measures(df, ["k"], {"s": F.sum("v"), "m": F.max("t")})
+    df.createOrReplaceTempView("measured")
+    window = spark.sql(
+        "SELECT *, SUM(v) OVER (PARTITION BY k) s, MAX(t) OVER (PARTITION BY k) m FROM measured"
+    )
+    assert rows(out) == rows(window)
+
+
+# --- upsert ------------------------------------------------------------------------------------
+
+
+def test_upsert_updates_named_columns_and_inserts_whole_rows(spark):
+    target = spark.createDataFrame([("a", 1, "old"), ("b", 2, "old")], "k STRING, v INT, fixed STRING")
+    source = spark.createDataFrame(
+        [("a", None, "new"), ("c", 3, "new"), (None, 4, "new")], "k STRING, v INT, fixed STRING"
+    )
+    out = upsert(target, source, ["k"], ["v"])
+    assert rows(out) == sorted(
+        [("a", None, "old"), ("b", 2, "old"), ("c", 3, "new"), (None, 4, "new")], key=repr
+    )
+    again = upsert(out.where("k IS NOT NULL"), source, ["k"], ["v"])
+    assert rows(again) == rows(out)
