@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from orderloom.functions.keys import (
 )
 from orderloom.functions.scalars import list_length
 from orderloom.schemas import DAILY_CUSTOMERS, DAILY_PRODUCTS, struct
+from orderloom.session import run_together
 from orderloom.sinks.parquet import write_flat, write_load_date
 from orderloom.sinks.state import load_state, save_state
 from orderloom.sources.paging import Cursor, PagedSource, advance, cursors_from, page, state_from
@@ -162,16 +164,18 @@ def pull_pages(
     state_root = f"{lake}/control/cursors"
     start = state_from(spark, {s.name: Cursor(s.name) for s in sources})
     cursors = cursors_from(load_state(spark, state_root, start))
-    landed = []
-    for source in sources:
+
+    def pull(source: PagedSource) -> Cursor | None:
         cursor = cursors.get(source.name, Cursor(source.name))
         if cursor.offset >= source.table.count():
-            continue
+            return None
         records = f"{lake}/bronze/pages/{source.name}"
         write_flat(page(source, cursor), records)
-        pulled = spark.read.parquet(records)
+        pulled = spark.read.schema(source.table.schema).parquet(records)
         write_load_date(source.transform(pulled), f"{lake}/bronze/daily/{source.dataset}", day)
-        cursors[source.name] = advance(source, cursor, pulled)
-        landed.append(source.dataset)
+        return advance(source, cursor, pulled)
+
+    moved = run_together(*[partial(pull, source) for source in sources])
+    cursors |= {cursor.source: cursor for cursor in moved if cursor is not None}
     save_state(state_from(spark, cursors), state_root)
-    return landed
+    return [source.dataset for source, cursor in zip(sources, moved) if cursor is not None]

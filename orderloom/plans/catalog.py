@@ -15,6 +15,7 @@ from orderloom.operators import marks
 from orderloom.operators.align import align_union, conform
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.groups import with_group_measures
+from orderloom.operators.skew import join_one_per_key
 from orderloom.plans import analytics, bronze, gold, silver
 from orderloom.session import new_folder, prepare, run_together
 from orderloom.sinks.folders import current, publish
@@ -383,9 +384,8 @@ def late_items_pending(spark, roles):
     orders = silver.read_silver(spark, lake, silver.ORDERS)
     second = F.col("ingestion_date") >= F.lit(SECOND_BATCH).cast("date")
     arrival = F.when(second, 1).otherwise(0)
-    return items.join(
-        orders.select("order_id", F.col("batch_id").alias("order_batch")), "order_id"
-    ).select(
+    order_batch = orders.select("order_id", F.col("batch_id").alias("order_batch"))
+    return join_one_per_key(items, order_batch, ["order_id"]).select(
         "order_id",
         "order_item_id",
         "product_id",

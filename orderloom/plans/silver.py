@@ -115,7 +115,7 @@ def load(
     root, marks = _root(lake, table), f"{lake}/control/marks/{table.name}"
     done = complete(spark, root, "batch_id")
     batch_id = done[-1] + 1 if done else 0
-    saved = current(spark, marks)
+    saved = current(spark, marks, MARK)
     mark = saved.first()["mark"] if saved is not None else None
 
     new_rows = not_before(daily, mark)
@@ -161,7 +161,7 @@ def load(
         write_flat(rows, path)
     if not done:
         # The latest date of a key survives, so the stored rows tell the mark.
-        new_mark = high_water_mark(spark.read.parquet(path))
+        new_mark = high_water_mark(spark.read.schema(table.silver).parquet(path))
     latest = new_mark if new_mark is not None else mark
     publish(spark.createDataFrame([(batch_id, latest)], MARK).coalesce(1), marks)
     return batch_id

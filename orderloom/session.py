@@ -27,6 +27,9 @@ MB = 1024 * 1024
 LARGEST_PARTITION = 128 * MB
 SMALLEST_PARTITION = MB // 4
 MOST_PARTITIONS = 40_000
+SCAN_SIZE = "spark.sql.files.maxPartitionBytes"
+LARGEST_SCAN = 512 * MB
+MOST_SCAN_TASKS = 200_000
 
 _fallback_roots: dict[str, str] = {}
 
@@ -38,20 +41,24 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def size_shuffles(spark: SparkSession, input_path: str) -> tuple[int, int]:
-    """Set AQE's partition size and starting count from the input's size.
+    """Set scan and shuffle partitioning from the input's size.
 
-    Partitions grow with the input up to 128 MB; small inputs still occupy every core. AQE
-    merges what turns out smaller than the set size and splits what turns out skewed.
+    Shuffle partitions grow with the input up to 128 MB; small inputs still occupy every
+    core. AQE merges what turns out smaller than the set size and splits what turns out
+    skewed. Scan splits grow beyond 128 MB only where there would be too many tasks.
     """
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(input_path)
     files = path.getFileSystem(context._jsc.hadoopConfiguration())
-    decoded = files.getContentSummary(path).getLength() * EXPANSION
+    stored = files.getContentSummary(path).getLength()
+    decoded = stored * EXPANSION
     cores = context.defaultParallelism
     size = min(LARGEST_PARTITION, max(SMALLEST_PARTITION, decoded // (16 * cores)))
     count = min(MOST_PARTITIONS, max(cores, -(-decoded // LARGEST_PARTITION)))
     spark.conf.set(ADVISORY_SIZE, str(size))
     spark.conf.set(INITIAL_PARTITIONS, str(count))
+    scan = min(LARGEST_SCAN, max(LARGEST_PARTITION, stored // MOST_SCAN_TASKS))
+    spark.conf.set(SCAN_SIZE, str(scan))
     return size, count
 
 

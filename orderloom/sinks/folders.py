@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def complete(spark: SparkSession, root: str, key: str) -> list[int]:
@@ -18,18 +19,26 @@ def publish(df: DataFrame, root: str) -> str:
     """Replace a table's content: write the next version beside the current one.
 
     The query may read the table it replaces, and readers see the new version only once
-    it is complete.
+    it is complete. The version before stays for readers that have just opened it.
     """
-    versions = complete(df.sparkSession, root, "v")
+    spark = df.sparkSession
+    versions = complete(spark, root, "v")
     path = f"{root}/v={versions[-1] + 1 if versions else 0}"
     df.write.mode("overwrite").parquet(path)
+    for old in versions[:-1]:
+        drop(spark, f"{root}/v={old}")
     return path
 
 
-def current(spark: SparkSession, root: str) -> DataFrame | None:
+def current(
+    spark: SparkSession, root: str, schema: T.StructType | None = None
+) -> DataFrame | None:
     """The latest complete version, or None before the first one."""
     versions = complete(spark, root, "v")
-    return spark.read.parquet(f"{root}/v={versions[-1]}") if versions else None
+    if not versions:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{root}/v={versions[-1]}")
 
 
 def exists(spark: SparkSession, path: str) -> bool:

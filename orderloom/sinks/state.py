@@ -9,10 +9,10 @@ from orderloom.sinks.folders import current, publish
 
 def load_state(spark: SparkSession, root: str, initial: DataFrame) -> DataFrame:
     """The saved state; the initial one is saved and returned when there is none."""
-    saved = current(spark, root)
+    saved = current(spark, root, initial.schema)
     if saved is None:
         publish(initial.coalesce(1), root)
-        saved = current(spark, root)
+        saved = current(spark, root, initial.schema)
     return saved
 
 

@@ -140,6 +140,9 @@ def test_a_table_can_be_replaced_by_a_query_on_itself(spark, lake):
     publish(current(spark, lake).where(F.col("id") > 1), lake)
     assert rows(current(spark, lake)) == [(2,), (3,)]
     assert complete(spark, lake, "v") == [0, 1]
+    publish(current(spark, lake).where("id = 3"), lake)
+    assert rows(current(spark, lake)) == [(3,)]
+    assert complete(spark, lake, "v") == [1, 2]
 
 
 def test_work_folder_and_shuffle_size(spark):
