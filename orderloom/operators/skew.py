@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # A key with fewer rows than this fits one task, sorted and spilled if need be.
 HOT_ROWS = 5_000_000
 # Below this estimate a whole input fits one task, so no key of it can be hot.
-SMALL_BYTES = 1024**3
+SMALL_BYTES = 256 * 1024**2
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -16,7 +16,7 @@ from orderloom.operators.align import align_union, conform
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.groups import with_group_measures
 from orderloom.operators.skew import join_one_per_key
-from orderloom.plans import analytics, bronze, gold, silver
+from orderloom.plans import analytics, bronze, gold, runs, silver
 from orderloom.session import new_folder, prepare, run_together
 from orderloom.sinks.folders import current, publish
 from orderloom.sinks.parquet import (
@@ -40,7 +40,6 @@ from orderloom.sources.roles import (
     with_year_text,
 )
 from orderloom.sources.routing import land, route
-from orderloom.streaming.autoload import autoload
 from orderloom.streaming.changes import on_change
 from orderloom.streaming.fact import refresh_fact
 
@@ -309,12 +308,12 @@ def _payment_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, D
     return history, roles.payments_between(DAILY_START, until)
 
 
-def _customer_feeds(roles: Roles) -> tuple[DataFrame, DataFrame]:
-    return roles.history_customers(), bronze.customers_from_users(roles.user_deliveries())
+def _customer_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, DataFrame]:
+    return roles.history_customers(), bronze.customers_from_users(roles.user_deliveries(until))
 
 
-def _product_feeds(roles: Roles) -> tuple[DataFrame, DataFrame]:
-    return roles.history_products(), bronze.products_from_records(roles.product_deliveries())
+def _product_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, DataFrame]:
+    return roles.history_products(), bronze.products_from_records(roles.product_deliveries(until))
 
 
 @query
@@ -550,19 +549,10 @@ def top_products_k(spark, roles):
 def stream_autoload(spark, roles):
     """Silver orders loaded as they arrive: two batches, then a run without new files."""
     lake = new_folder(spark, "autoload")
-    table, checkpoint = f"{lake}/warehouse/orders", f"{lake}/checkpoints/orders"
     for until in (SECOND_BATCH, None, None):
         silver.load(spark, lake, silver.ORDERS, *_order_feeds(roles, until))
-        autoload(
-            spark,
-            f"{lake}/silver/orders",
-            silver.ORDERS.stored,
-            schemas.WAREHOUSE["orders"],
-            table,
-            checkpoint,
-            where="partition_year IS NOT NULL",
-        )
-    return spark.read.schema(schemas.WAREHOUSE["orders"]).parquet(table)
+        runs.load_warehouse_table(spark, lake, silver.ORDERS)
+    return runs.read_warehouse(spark, lake, "orders")
 
 
 FACT_SIDE = {
@@ -625,3 +615,19 @@ def stream_fact_merge(spark, roles):
     refresh_fact(spark, tables, root, work)
     refresh_fact(spark, tables, root, work)
     return gold.read_fact(spark, root).select(*schemas.FACT_ORDERS.names)
+
+
+@query
+def daily_runs_fact(spark, roles):
+    """Two full runs from the feeds to gold; items may arrive before or after their order."""
+    lake = new_folder(spark, "runs")
+    for until in (SECOND_BATCH, None):
+        feeds = {
+            "products": _product_feeds(roles, until),
+            "customers": _customer_feeds(roles, until),
+            "orders": _order_feeds(roles, until),
+            "order_items": _item_feeds(roles, until),
+            "payments": _payment_feeds(roles, until),
+        }
+        runs.run(spark, lake, feeds)
+    return gold.read_fact(spark, f"{lake}/gold/fact_orders").select(*schemas.FACT_ORDERS.names)

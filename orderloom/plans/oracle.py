@@ -340,9 +340,8 @@ SQL["silver_orders_incremental"] = _with(
     SELECT *, CAST(0 AS INT) AS batch_id FROM run0
     UNION ALL SELECT *, CAST(1 AS INT) FROM run1""",
 )
-SQL["late_items_pending"] = _with(
-    ["r_items", "r_orders"],
-    f"""
+# Items stored by two runs; each run dedups what it takes up and skips stored keys.
+STORED_ITEMS = f"""
     , arrived AS (
         SELECT i.*, CASE WHEN i.shipping_limit_date < {SECOND} THEN 0 ELSE 1 END AS arrival_batch,
                CASE WHEN o.order_purchase_timestamp < {SECOND} THEN 0 ELSE 1 END AS order_batch
@@ -358,7 +357,12 @@ SQL["late_items_pending"] = _with(
         SELECT 1 FROM stored0 s
         WHERE s.order_id = r.order_id AND s.order_item_id = r.order_item_id)),
     stored AS (SELECT *, 0 AS landed_batch FROM stored0
-               UNION ALL SELECT *, 1 FROM stored1)
+               UNION ALL SELECT *, 1 FROM stored1)"""
+
+SQL["late_items_pending"] = _with(
+    ["r_items", "r_orders"],
+    STORED_ITEMS
+    + """
     SELECT order_id, order_item_id, product_id, shipping_limit_date,
            CAST(arrival_batch AS INT) AS arrival_batch, CAST(order_batch AS INT) AS order_batch,
            CAST(landed_batch AS INT) AS landed_batch,
@@ -490,3 +494,10 @@ SQL["stream_change_gate"] = _with(
     ["r_orders", "r_items", "r_payments"], _changes(1, 0, "<") + "\nUNION ALL\n" + _changes(3, 1, ">=")
 )
 SQL["stream_fact_merge"] = SQL["fact_orders"]
+SQL["daily_runs_fact"] = _with(
+    ["r_items", "r_orders", "r_paid"],
+    STORED_ITEMS
+    + f""",
+    stored_fact AS ({ROLES["r_fact"].replace("r_items", "stored")})
+    SELECT {FACT_COLUMNS} FROM stored_fact""",
+)

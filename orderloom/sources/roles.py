@@ -39,9 +39,12 @@ class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # --- orders ---------------------------------------------------------------------
 
@@ -168,11 +171,14 @@ class Roles:
             ).alias("address"),
         )
 
-    def user_deliveries(self) -> DataFrame:
+    def user_deliveries(self, until: str | None = None) -> DataFrame:
         """A user record is delivered again on every date the customer ordered."""
         dates = (
-            _between(self.table("orders"), "o_orderdate", DAILY_START, None)
-            .select(F.col("o_custkey").alias("id"), F.col("o_orderdate").cast("date").alias("ingestion_date"))
+            _between(self.table("orders"), "o_orderdate", DAILY_START, until)
+            .select(
+                F.col("o_custkey").alias("id"),
+                F.col("o_orderdate").cast("date").alias("ingestion_date"),
+            )
             .distinct()
         )
         return self.users().join(dates, "id")
@@ -206,10 +212,10 @@ class Roles:
             F.col("p_retailprice").cast(MONEY).alias("price"),
         )
 
-    def product_deliveries(self) -> DataFrame:
+    def product_deliveries(self, until: str | None = None) -> DataFrame:
         """A product record is delivered again for each year it shipped in."""
         per_year = (
-            _between(self.table("lineitem"), "l_shipdate", DAILY_START, None)
+            _between(self.table("lineitem"), "l_shipdate", DAILY_START, until)
             .groupBy(F.col("l_partkey").alias("id"), F.year("l_shipdate").alias("shipped_year"))
             .agg(
                 F.sum("l_quantity").cast("int").alias("stock"),
