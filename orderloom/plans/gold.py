@@ -22,7 +22,7 @@ from orderloom.schemas import (
     MONEY_SUM,
     extend,
 )
-from orderloom.sinks.folders import drop, exists
+from orderloom.sinks.folders import drop, exists, replace_partitions
 from orderloom.sinks.parquet import write_partitioned
 
 FACT_STORED = extend(FACT_ORDERS, ("purchase_month", "int"))
@@ -171,24 +171,16 @@ def _with_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn("purchase_month", year_month(F.col("order_purchase_timestamp")))
 
 
-def _copy_staged(spark: SparkSession, root: str) -> None:
+def _install_staged(spark: SparkSession, root: str) -> None:
     """Put staged months in place of the stored ones, then drop the staging folder.
 
     A complete staging folder means that this step is due or was interrupted, so it can be
-    run again until it succeeds.
+    run again until it succeeds. No data is written a second time.
     """
     staged = f"{root}/staged"
-    if not exists(spark, f"{staged}/_SUCCESS"):
-        return
-    (
-        spark.read.schema(FACT_STORED)
-        .parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("purchase_month")
-        .parquet(f"{root}/data")
-    )
-    drop(spark, staged)
+    if exists(spark, f"{staged}/_SUCCESS"):
+        replace_partitions(spark, staged, f"{root}/data")
+        drop(spark, staged)
 
 
 def merge_fact(
@@ -205,7 +197,7 @@ def merge_fact(
     order never changes its purchase time, and only the source's months are read at all.
     Rows with a NULL key can never match again; they go to a reject folder instead.
     """
-    _copy_staged(spark, root)
+    _install_staged(spark, root)
 
     keyed = F.col("order_id").isNotNull() & F.col("product_id").isNotNull()
     staged_source = _with_month(rows).withColumn("keyed", keyed)
@@ -238,7 +230,7 @@ def merge_fact(
 
     merged = upsert(target.where(affected), source, FACT_KEYS, FACT_MEASURES)
     write_partitioned(merged, f"{root}/staged", "purchase_month")
-    _copy_staged(spark, root)
+    _install_staged(spark, root)
 
 
 def of_changed_orders(

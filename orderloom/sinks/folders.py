@@ -52,3 +52,19 @@ def drop(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_partitions(spark: SparkSession, staged: str, table: str) -> None:
+    """Move each staged partition folder into the place of the table's one.
+
+    Can be repeated after an interruption: a partition leaves the staging folder only in the
+    move that completes it.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in files.globStatus(path(f"{staged}/*=*")):
+        target = path(table, entry.getPath().getName())
+        files.delete(target, True)
+        if not files.rename(entry.getPath(), target):
+            raise OSError(f"could not move {entry.getPath()} to {target}")
+    spark.catalog.refreshByPath(table)

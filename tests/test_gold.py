@@ -212,9 +212,9 @@ def test_merge_rewrites_touched_months_only(spark, lake):
     ]
 
 
-def test_an_interrupted_copy_is_finished_first(spark, lake):
+def test_an_interrupted_install_is_finished_first(spark, lake):
     gold.merge_fact(spark, lake, facts(spark, fact_row("a", "p", JAN, "1.00")), 0)
-    # A complete staging folder that was not copied yet.
+    # A complete staging folder whose months were not moved yet.
     staged = gold._with_month(facts(spark, fact_row("a", "p", JAN, "8.00")))
     write_partitioned(staged, f"{lake}/staged", "purchase_month")
     gold.merge_fact(spark, lake, facts(spark, fact_row("b", "p", FEB, "2.00")), 1)
