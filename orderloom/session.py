@@ -53,7 +53,7 @@ def size_shuffles(spark: SparkSession, input_path: str) -> tuple[int, int]:
     stored = files.getContentSummary(path).getLength()
     decoded = stored * EXPANSION
     cores = context.defaultParallelism
-    size = min(LARGEST_PARTITION, max(SMALLEST_PARTITION, decoded // (16 * cores)))
+    size = min(LARGEST_PARTITION, max(SMALLEST_PARTITION, decoded // (4 * cores)))
     count = min(MOST_PARTITIONS, max(cores, -(-decoded // LARGEST_PARTITION)))
     spark.conf.set(ADVISORY_SIZE, str(size))
     spark.conf.set(INITIAL_PARTITIONS, str(count))
