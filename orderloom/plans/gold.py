@@ -20,6 +20,7 @@ from orderloom.schemas import (
     FACT_MEASURES,
     FACT_ORDERS,
     MONEY_SUM,
+    ORDER_YEAR,
     extend,
 )
 from orderloom.sinks.folders import drop, exists, replace_partitions
@@ -241,11 +242,17 @@ def of_changed_orders(
     Every measure depends on one order only, so recomputing these orders from the full
     tables gives what recomputing everything would. The ids are written out once: they serve
     each table, their size is then known to the planner, and the rows of a hot order can be
-    split in the join.
+    split in the join. Changes that carry their order's year confine the scans to those years.
     """
-    changed.select("order_id").distinct().write.mode("overwrite").parquet(ids_path)
+    columns = [c for c in ("order_id", ORDER_YEAR) if c in changed.columns]
+    changed.select(*columns).distinct().write.mode("overwrite").parquet(ids_path)
     ids = changed.sparkSession.read.parquet(ids_path)
-    return [table.join(ids, "order_id", "left_semi") for table in tables]
+    if ORDER_YEAR in columns:
+        # One value per year in the tables; as literals they prune partitions.
+        years = [row[0] for row in ids.select(ORDER_YEAR).distinct().collect()]
+        if None not in years:
+            tables = [table.where(F.col(ORDER_YEAR).isin(years)) for table in tables]
+    return [table.join(ids.select("order_id"), "order_id", "left_semi") for table in tables]
 
 
 # --- dimensions ----------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.plans import gold, silver
-from orderloom.schemas import WAREHOUSE
+from orderloom.schemas import ORDER_YEAR, WAREHOUSE
 from orderloom.session import run_together
 from orderloom.sinks.folders import publish
 from orderloom.streaming.autoload import autoload
@@ -39,6 +39,7 @@ def load_warehouse_table(
         warehouse_path(lake, table.name),
         f"{lake}/checkpoints/{table.name}",
         where="partition_year IS NOT NULL" if table.dated else None,
+        partition_by=ORDER_YEAR if table.dated else None,
     )
 
 

@@ -3,11 +3,13 @@
 A run writes one folder `batch_id=<n>`. A repeated run overwrites its own folder, so a
 crash never leaves rows twice. Dated tables are partitioned by purchase year inside it;
 rows without a year lie in the NULL partition, out of the readers' sight. For items and
-payments those are children whose order is not known yet: the next run takes them up again.
+payments those are children whose order is not known yet. They stay where they were written;
+the run that finds their order among the new ones stores them.
 """
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,8 @@ from orderloom.operators.marks import high_water_mark, not_before
 from orderloom.sinks.folders import complete, current, publish
 from orderloom.sinks.parquet import write_flat, write_partitioned
 
-MARK = schemas.struct(("batch_id", "int"), ("mark", "date"))
+# Per batch: the latest load date, and for children the last batch of orders they met.
+MARK = schemas.struct(("batch_id", "int"), ("mark", "date"), ("orders_batch", "int"))
 
 
 @dataclass(frozen=True)
@@ -100,12 +103,25 @@ def read_silver(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame
     return rows.where(F.col("partition_year").isNotNull()) if table.dated else rows
 
 
+def _hidden(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
+    return _stored(spark, lake, table).where(F.col("partition_year").isNull())
+
+
 def pending(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
-    """Children still without an order: the hidden rows of the latest batch."""
-    done = complete(spark, _root(lake, table), "batch_id")
-    latest = done[-1] if done else -1
-    rows = _stored(spark, lake, table)
-    return rows.where((F.col("batch_id") == latest) & F.col("partition_year").isNull())
+    """Children still without an order."""
+    stored = read_silver(spark, lake, table)
+    return without_existing(_hidden(spark, lake, table), stored, table.keys)
+
+
+def _new_rows(
+    spark: SparkSession, lake: str, table: SilverTable, daily: DataFrame, mark: datetime.date | None
+) -> DataFrame:
+    """Daily rows from the mark's day on, less the children of that day already waiting."""
+    rows = conform(not_before(daily, mark), table.daily)
+    if not table.child_of_orders or mark is None:
+        return rows
+    waiting = _hidden(spark, lake, table).where(F.col("ingestion_date") == F.lit(mark))
+    return without_existing(rows, waiting, table.keys)
 
 
 def load(
@@ -116,19 +132,23 @@ def load(
     done = complete(spark, root, "batch_id")
     batch_id = done[-1] + 1 if done else 0
     saved = current(spark, marks, MARK)
-    mark = saved.first()["mark"] if saved is not None else None
+    state = saved.first() if saved is not None else None
+    mark = state["mark"] if state else None
+    order_batches = complete(spark, _root(lake, ORDERS), "batch_id") if table.child_of_orders else []
 
-    new_rows = not_before(daily, mark)
     if not done:
-        incoming = align_union(history, new_rows, table.daily, table.renames)
+        incoming = align_union(history, daily, table.daily, table.renames)
         new_mark = None
     else:
         stored = read_silver(spark, lake, table)
-        incoming = conform(new_rows, table.daily)
+        incoming = _new_rows(spark, lake, table, daily, mark)
         if table.child_of_orders:
-            waiting = pending(spark, lake, table)
-            incoming = incoming.unionByName(waiting.select(*table.daily.names))
-        new_mark = high_water_mark(new_rows)
+            orders = read_silver(spark, lake, ORDERS)
+            seen = state["orders_batch"] if state else None
+            new_orders = orders if seen is None else orders.where(F.col("batch_id") > seen)
+            found = reduced_to(_hidden(spark, lake, table), new_orders, ["order_id"])
+            incoming = incoming.unionByName(found.select(*table.daily.names))
+        new_mark = high_water_mark(not_before(daily, mark))
         if new_mark == mark:
             # Nothing later than the mark; its own day may still hold keys not stored yet.
             usable = incoming
@@ -141,9 +161,10 @@ def load(
         return keep_first(rows, table.keys, newest_first(table.daily.names))
 
     if table.child_of_orders:
-        orders = read_silver(spark, lake, ORDERS)
         if done:
             orders = reduced_to(orders, incoming, ["order_id"])
+        else:
+            orders = read_silver(spark, lake, ORDERS)
         rows = with_order_time(incoming, orders, then=one_per_key)
     elif table.dated:
         rows = one_per_key(with_purchase_year(incoming))
@@ -163,5 +184,6 @@ def load(
         # The latest date of a key survives, so the stored rows tell the mark.
         new_mark = high_water_mark(spark.read.schema(table.silver).parquet(path))
     latest = new_mark if new_mark is not None else mark
-    publish(spark.createDataFrame([(batch_id, latest)], MARK).coalesce(1), marks)
+    orders_batch = order_batches[-1] if order_batches else None
+    publish(spark.createDataFrame([(batch_id, latest, orders_batch)], MARK).coalesce(1), marks)
     return batch_id

@@ -91,6 +91,9 @@ DAILY_PAYMENTS = struct(
     ("ingestion_date", "date"),
 )
 
+# The year an order was placed; its items and payments carry the same.
+ORDER_YEAR = "order_purchase_year"
+
 # --- silver tables: daily columns plus what the load derives ---------------------------
 
 SILVER_CUSTOMERS = DAILY_CUSTOMERS

@@ -148,6 +148,20 @@ def test_reports(spark, fan_out):
     assert rows(totals) == [("o1", D("15.00"))]
 
 
+def test_changed_orders_prune_by_year_only_when_known(spark, lake):
+    table = spark.createDataFrame(
+        [("a", "2017"), ("b", "2018"), ("c", None)], "order_id STRING, order_purchase_year STRING"
+    )
+    changed = spark.createDataFrame([("b", "2018"), ("b", "2018")], table.schema)
+    (found,) = gold.of_changed_orders([table], changed, f"{lake}/ids")
+    assert rows(found) == [("b", "2018")]
+    changed = spark.createDataFrame([("b", "2018"), ("c", None)], table.schema)
+    (found,) = gold.of_changed_orders([table], changed, f"{lake}/ids2")
+    assert rows(found) == [("b", "2018"), ("c", None)]
+    (found,) = gold.of_changed_orders([table], changed.select("order_id"), f"{lake}/ids3")
+    assert rows(found) == [("b", "2018"), ("c", None)]
+
+
 # --- merge ---------------------------------------------------------------------------------
 
 

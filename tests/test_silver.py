@@ -127,6 +127,17 @@ def test_children_wait_for_their_order(spark, lake):
     assert rows(silver.pending(spark, lake, silver.ORDER_ITEMS), "order_id") == [("never",)]
 
 
+def test_waiting_children_are_not_written_again(spark, lake):
+    load_orders(spark, lake, [order("a", at(2017))], [])
+    daily = [item("late", 1, D1), item("a", 1, D1)]
+    load_items(spark, lake, [], daily)
+    assert load_items(spark, lake, [], daily) is None
+    assert load_items(spark, lake, [], daily + [item("a", 2, D2)]) == 1
+    root = f"{lake}/silver/order_items"
+    assert spark.read.parquet(root).where("partition_year IS NULL").count() == 1
+    assert rows(silver.pending(spark, lake, silver.ORDER_ITEMS), "order_id") == [("late",)]
+
+
 def test_children_load_when_no_order_was_ever_loaded(spark, lake):
     load_items(spark, lake, [item("a", 1)], [])
     assert silver.read_silver(spark, lake, silver.ORDER_ITEMS).isEmpty()
