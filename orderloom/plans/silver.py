@@ -1,7 +1,7 @@
 """Bronze to silver: one incremental load for all five tables.
 
-A run writes one folder `batch_id=<n>`. A repeated run overwrites its own folder, so a
-crash never leaves rows twice. Dated tables are partitioned by purchase year inside it;
+A run writes one folder `batch_id=<n>`, which appears when it is complete, so a crash
+never leaves rows twice. Dated tables are partitioned by purchase year inside it;
 rows without a year lie in the NULL partition, out of the readers' sight. For items and
 payments those are children whose order is not known yet. They stay where they were written;
 the run that finds their order among the new ones stores them.
@@ -26,7 +26,7 @@ from orderloom.operators.enrich import (
     without_existing,
 )
 from orderloom.operators.marks import high_water_mark, not_before
-from orderloom.sinks.folders import complete, current, publish
+from orderloom.sinks.folders import complete, current, move, publish
 from orderloom.sinks.parquet import write_flat, write_partitioned
 
 # Per batch: the latest load date, and for children the last batch of orders they met.
@@ -94,7 +94,6 @@ def _stored(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
     done = complete(spark, root, "batch_id")
     if not done:
         return spark.createDataFrame([], table.stored)
-    # Only the batch after the last complete one can be half written.
     return spark.read.schema(table.stored).parquet(root).where(F.col("batch_id") <= done[-1])
 
 
@@ -113,6 +112,31 @@ def pending(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
     return without_existing(_hidden(spark, lake, table), stored, table.keys)
 
 
+@dataclass(frozen=True)
+class Progress:
+    """Where the last run of a table ended. `orders_batch` is the last one children met."""
+
+    batch_id: int
+    mark: datetime.date | None
+    orders_batch: int | None
+
+
+def _marks(lake: str, table: SilverTable) -> str:
+    return f"{lake}/control/marks/{table.name}"
+
+
+def _progress(spark: SparkSession, lake: str, table: SilverTable) -> Progress | None:
+    """None before the first load. The marks may lag a batch behind the stored rows."""
+    done = complete(spark, _root(lake, table), "batch_id")
+    if not done:
+        return None
+    saved = current(spark, _marks(lake, table), MARK)
+    state = saved.first() if saved is not None else None
+    if state is None:
+        return Progress(done[-1], None, None)
+    return Progress(done[-1], state["mark"], state["orders_batch"])
+
+
 def _new_rows(
     spark: SparkSession, lake: str, table: SilverTable, daily: DataFrame, mark: datetime.date | None
 ) -> DataFrame:
@@ -124,66 +148,86 @@ def _new_rows(
     return without_existing(rows, waiting, table.keys)
 
 
-def load(
-    spark: SparkSession, lake: str, table: SilverTable, history: DataFrame, daily: DataFrame
-) -> int | None:
-    """Load what is new; the batch number, or None when there was nothing to do."""
-    root, marks = _root(lake, table), f"{lake}/control/marks/{table.name}"
-    done = complete(spark, root, "batch_id")
-    batch_id = done[-1] + 1 if done else 0
-    saved = current(spark, marks, MARK)
-    state = saved.first() if saved is not None else None
-    mark = state["mark"] if state else None
-    order_batches = complete(spark, _root(lake, ORDERS), "batch_id") if table.child_of_orders else []
+def _found_children(
+    spark: SparkSession, lake: str, table: SilverTable, orders_batch: int | None
+) -> DataFrame:
+    """Waiting children whose order is among the batches of orders not met yet."""
+    orders = read_silver(spark, lake, ORDERS)
+    if orders_batch is not None:
+        orders = orders.where(F.col("batch_id") > orders_batch)
+    found = reduced_to(_hidden(spark, lake, table), orders, ["order_id"])
+    return found.select(*table.daily.names)
 
-    if not done:
-        incoming = align_union(history, daily, table.daily, table.renames)
-        new_mark = None
-    else:
-        stored = read_silver(spark, lake, table)
-        incoming = _new_rows(spark, lake, table, daily, mark)
-        if table.child_of_orders:
-            orders = read_silver(spark, lake, ORDERS)
-            seen = state["orders_batch"] if state else None
-            new_orders = orders if seen is None else orders.where(F.col("batch_id") > seen)
-            found = reduced_to(_hidden(spark, lake, table), new_orders, ["order_id"])
-            incoming = incoming.unionByName(found.select(*table.daily.names))
-        new_mark = high_water_mark(not_before(daily, mark))
-        if new_mark == mark:
-            # Nothing later than the mark; its own day may still hold keys not stored yet.
-            usable = incoming
-            if table.dated and not table.child_of_orders:
-                usable = incoming.where(F.year("order_purchase_timestamp").isNotNull())
-            if without_existing(usable, stored, table.keys).isEmpty():
-                return None
+
+def _holds_new_keys(incoming: DataFrame, stored: DataFrame, table: SilverTable) -> bool:
+    usable = incoming
+    if table.dated and not table.child_of_orders:
+        usable = incoming.where(F.year("order_purchase_timestamp").isNotNull())
+    return not without_existing(usable, stored, table.keys).isEmpty()
+
+
+def _clean(
+    spark: SparkSession, lake: str, table: SilverTable, incoming: DataFrame, first_load: bool
+) -> DataFrame:
+    """Purchase time and year where the table has them, and the latest row of each key."""
 
     def one_per_key(rows: DataFrame) -> DataFrame:
         return keep_first(rows, table.keys, newest_first(table.daily.names))
 
     if table.child_of_orders:
-        if done:
+        orders = read_silver(spark, lake, ORDERS)
+        if not first_load:
             orders = reduced_to(orders, incoming, ["order_id"])
-        else:
-            orders = read_silver(spark, lake, ORDERS)
-        rows = with_order_time(incoming, orders, then=one_per_key)
-    elif table.dated:
-        rows = one_per_key(with_purchase_year(incoming))
-    else:
-        rows = one_per_key(incoming)
-    if done:
-        rows = without_existing(rows, stored, table.keys, batch_keys=incoming)
+        return with_order_time(incoming, orders, then=one_per_key)
+    return one_per_key(with_purchase_year(incoming) if table.dated else incoming)
 
-    columns = table.silver.names + (["partition_year"] if table.dated else [])
-    rows = rows.select(*columns)
-    path = f"{root}/batch_id={batch_id}"
+
+def _write_batch(
+    spark: SparkSession, root: str, table: SilverTable, rows: DataFrame, batch_id: int
+) -> str:
+    """Write beside the batches, then move into place: readers and streams see whole batches."""
+    unfinished, path = f"{root}/_unfinished", f"{root}/batch_id={batch_id}"
     if table.dated:
-        write_partitioned(rows, path, "partition_year")
+        rows = rows.select(*table.silver.names, "partition_year")
+        write_partitioned(rows, unfinished, "partition_year")
     else:
-        write_flat(rows, path)
-    if not done:
+        write_flat(rows.select(*table.silver.names), unfinished)
+    move(spark, unfinished, path)
+    return path
+
+
+def load(
+    spark: SparkSession, lake: str, table: SilverTable, history: DataFrame, daily: DataFrame
+) -> int | None:
+    """Load what is new; the batch number, or None when there was nothing to do."""
+    root = _root(lake, table)
+    last = _progress(spark, lake, table)
+    # Orders stored later than this moment count as not met yet.
+    order_batches = complete(spark, _root(lake, ORDERS), "batch_id")
+
+    if last is None:
+        batch_id = 0
+        incoming = align_union(history, daily, table.daily, table.renames)
+        rows = _clean(spark, lake, table, incoming, first_load=True)
+        path = _write_batch(spark, root, table, rows, batch_id)
         # The latest date of a key survives, so the stored rows tell the mark.
-        new_mark = high_water_mark(spark.read.schema(table.silver).parquet(path))
-    latest = new_mark if new_mark is not None else mark
+        mark = high_water_mark(spark.read.schema(table.silver).parquet(path))
+    else:
+        batch_id = last.batch_id + 1
+        incoming = _new_rows(spark, lake, table, daily, last.mark)
+        if table.child_of_orders:
+            found = _found_children(spark, lake, table, last.orders_batch)
+            incoming = incoming.unionByName(found)
+        mark = high_water_mark(not_before(daily, last.mark)) or last.mark
+        stored = read_silver(spark, lake, table)
+        # The mark's own day may still hold keys that are not stored.
+        if mark == last.mark and not _holds_new_keys(incoming, stored, table):
+            return None
+        rows = _clean(spark, lake, table, incoming, first_load=False)
+        rows = without_existing(rows, stored, table.keys, batch_keys=incoming)
+        _write_batch(spark, root, table, rows, batch_id)
+
     orders_batch = order_batches[-1] if order_batches else None
-    publish(spark.createDataFrame([(batch_id, latest, orders_batch)], MARK).coalesce(1), marks)
+    state = spark.createDataFrame([(batch_id, mark, orders_batch)], MARK)
+    publish(state.coalesce(1), _marks(lake, table))
     return batch_id

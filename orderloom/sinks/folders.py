@@ -54,17 +54,24 @@ def drop(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a finished folder, in place of whatever the target holds."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"could not move {source} to {target}")
+    spark.catalog.refreshByPath(target)
+
+
 def replace_partitions(spark: SparkSession, staged: str, table: str) -> None:
     """Move each staged partition folder into the place of the table's one.
 
     Can be repeated after an interruption: a partition leaves the staging folder only in the
     move that completes it.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for entry in files.globStatus(path(f"{staged}/*=*")):
-        target = path(table, entry.getPath().getName())
-        files.delete(target, True)
-        if not files.rename(entry.getPath(), target):
-            raise OSError(f"could not move {entry.getPath()} to {target}")
-    spark.catalog.refreshByPath(table)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staged}/*=*")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in files.globStatus(path):
+        name = entry.getPath().getName()
+        move(spark, f"{staged}/{name}", f"{table}/{name}")
