@@ -29,14 +29,23 @@ def with_order_time(
 
 
 def reduced_to(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a large table whose key occurs in a batch."""
+    """Rows of a large table, unique by key, whose key occurs in a batch."""
     return big.join(small.select(*keys).distinct(), keys, "left_semi")
 
 
+def rows_of_keys(many: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with a wanted key, where one key may hold a large part of the rows.
+
+    Meeting each distinct key once, an inner join is a semi join.
+    """
+    found = join_one_per_key(many, wanted.select(*keys).distinct(), keys)
+    return found.select(*many.columns)
+
+
 def without_existing(
     batch: DataFrame, table: DataFrame, keys: list[str], batch_keys: DataFrame | None = None
 ) -> DataFrame:
-    """Batch rows whose key the table does not hold yet.
+    """Batch rows whose key the table does not hold yet; keys are unique on both sides.
 
     The table is first reduced to the batch's keys: Catalyst broadcasts those when they are
     small and filters the large scan in place, which an anti join alone cannot do.

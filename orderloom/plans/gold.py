@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from orderloom.functions.scalars import year_month
 from orderloom.operators.dedup import keep_first, newest_first
-from orderloom.operators.enrich import reduced_to
+from orderloom.operators.enrich import reduced_to, rows_of_keys
 from orderloom.operators.skew import join_one_per_key
 from orderloom.operators.upsert import upsert
 from orderloom.schemas import (
@@ -241,8 +241,7 @@ def of_changed_orders(
 
     Every measure depends on one order only, so recomputing these orders from the full
     tables gives what recomputing everything would. The ids are written out once: they serve
-    each table, their size is then known to the planner, and the rows of a hot order can be
-    split in the join. Changes that carry their order's year confine the scans to those years.
+    each table, and their size is then known to the planner. Changes that carry their order's year confine the scans to those years.
     """
     columns = [c for c in ("order_id", ORDER_YEAR) if c in changed.columns]
     changed.select(*columns).distinct().write.mode("overwrite").parquet(ids_path)
@@ -252,7 +251,7 @@ def of_changed_orders(
         years = [row[0] for row in ids.select(ORDER_YEAR).distinct().collect()]
         if None not in years:
             tables = [table.where(F.col(ORDER_YEAR).isin(years)) for table in tables]
-    return [table.join(ids.select("order_id"), "order_id", "left_semi") for table in tables]
+    return [rows_of_keys(table, ids, ["order_id"]) for table in tables]
 
 
 # --- dimensions ----------------------------------------------------------------------------

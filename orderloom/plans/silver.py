@@ -21,6 +21,7 @@ from orderloom.operators.align import align_union, conform
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.enrich import (
     reduced_to,
+    rows_of_keys,
     with_order_time,
     with_purchase_year,
     without_existing,
@@ -102,6 +103,10 @@ def read_silver(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame
     return rows.where(F.col("partition_year").isNotNull()) if table.dated else rows
 
 
+def _one_per_key(rows: DataFrame, table: SilverTable) -> DataFrame:
+    return keep_first(rows, table.keys, newest_first(table.daily.names))
+
+
 def _hidden(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
     return _stored(spark, lake, table).where(F.col("partition_year").isNull())
 
@@ -109,7 +114,8 @@ def _hidden(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
 def pending(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
     """Children still without an order."""
     stored = read_silver(spark, lake, table)
-    return without_existing(_hidden(spark, lake, table), stored, table.keys)
+    hidden = _one_per_key(_hidden(spark, lake, table), table)
+    return without_existing(hidden, stored, table.keys)
 
 
 @dataclass(frozen=True)
@@ -145,7 +151,7 @@ def _new_rows(
     if not table.child_of_orders or mark is None:
         return rows
     waiting = _hidden(spark, lake, table).where(F.col("ingestion_date") == F.lit(mark))
-    return without_existing(rows, waiting, table.keys)
+    return without_existing(_one_per_key(rows, table), waiting, table.keys)
 
 
 def _found_children(
@@ -155,7 +161,7 @@ def _found_children(
     orders = read_silver(spark, lake, ORDERS)
     if orders_batch is not None:
         orders = orders.where(F.col("batch_id") > orders_batch)
-    found = reduced_to(_hidden(spark, lake, table), orders, ["order_id"])
+    found = rows_of_keys(_hidden(spark, lake, table), orders, ["order_id"])
     return found.select(*table.daily.names)
 
 
@@ -163,23 +169,20 @@ def _holds_new_keys(incoming: DataFrame, stored: DataFrame, table: SilverTable)
     usable = incoming
     if table.dated and not table.child_of_orders:
         usable = incoming.where(F.year("order_purchase_timestamp").isNotNull())
-    return not without_existing(usable, stored, table.keys).isEmpty()
+    keys = usable.select(*table.keys).distinct()
+    return not without_existing(keys, stored, table.keys).isEmpty()
 
 
 def _clean(
     spark: SparkSession, lake: str, table: SilverTable, incoming: DataFrame, first_load: bool
 ) -> DataFrame:
     """Purchase time and year where the table has them, and the latest row of each key."""
-
-    def one_per_key(rows: DataFrame) -> DataFrame:
-        return keep_first(rows, table.keys, newest_first(table.daily.names))
-
     if table.child_of_orders:
         orders = read_silver(spark, lake, ORDERS)
         if not first_load:
             orders = reduced_to(orders, incoming, ["order_id"])
-        return with_order_time(incoming, orders, then=one_per_key)
-    return one_per_key(with_purchase_year(incoming) if table.dated else incoming)
+        return with_order_time(incoming, orders, then=lambda rows: _one_per_key(rows, table))
+    return _one_per_key(with_purchase_year(incoming) if table.dated else incoming, table)
 
 
 def _write_batch(
