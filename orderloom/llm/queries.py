@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm import line_quality, simhash
+from orderloom.llm import curriculum, decontaminate, line_quality, simhash
+from orderloom.llm import oracle
 from orderloom.llm.common import table
 
 
@@ -18,12 +20,31 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judged(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = curriculum.schedule(table(spark, sf_dir, "documents"))
+    return plan.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        F.get("positions", F.lit(0)).alias("first_position"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, items).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_quality": op2_line_quality,
+    "op5_curriculum": op5_curriculum,
     "op6_simhash": op6_simhash,
+    "op7_decontamination": op7_decontamination,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracle.SQL
