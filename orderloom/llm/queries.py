@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import curriculum, decontaminate, line_quality, simhash
-from orderloom.llm import oracle
+from orderloom.llm import oracle, records
 from orderloom.llm.common import table
 
 
@@ -20,6 +22,13 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judged(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = records.write_records(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return records.read_tokens(manifest)
+
+
 def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.schedule(table(spark, sf_dir, "documents"))
     return plan.select(
@@ -42,7 +51,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op2_line_quality": op2_line_quality,
+    "op3_token_records": op3_token_records,
     "op5_curriculum": op5_curriculum,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
