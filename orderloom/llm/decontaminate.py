@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.bits import below, bit_array, is_set
 from orderloom.llm.common import ascii_lower, staged
 
 WINDOW_WORDS = 10
@@ -59,33 +60,20 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int)
 
 
 class Bitmap:
-    """A Bloom filter with two bits per key, as one array literal in the plan."""
+    """A Bloom filter with two bits per key."""
 
     def __init__(self, windows: DataFrame, count: int) -> None:
-        self.bits = 1 << 12
-        while self.bits < min(64 * count, MOST_BITS):
-            self.bits *= 2
-        bit = F.explode(F.array(*self._bits(F.col("h"))))
-        mask = F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")
-        words = windows.select(bit.alias("bit"))
-        words = words.groupBy(F.shiftright("bit", 6).alias("word")).agg(mask)
-        longs = [0] * (self.bits >> 6)
-        for word, value in words.collect():  # at most MOST_BITS / 64 rows
-            longs[word] = value
-        self._longs = F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
-
-    def _bits(self, h: Column) -> tuple[Column, Column]:
-        last = F.lit(self.bits - 1).cast("long")
-        return h.bitwiseAND(last), F.shiftright(h, 32).bitwiseAND(last)
+        self.size = 1 << 12
+        while self.size < min(64 * count, MOST_BITS):
+            self.size *= 2
+        self._longs = bit_array(windows, self._bits(F.col("h")), self.size)
+
+    def _bits(self, h: Column) -> list[Column]:
+        return [below(h, self.size), below(F.shiftright(h, 32), self.size)]
 
     def may_hold(self, h: Column) -> Column:
         one, two = self._bits(h)
-
-        def is_set(bit: Column) -> Column:
-            word = F.element_at(self._longs, (F.shiftright(bit, 6) + 1).cast("int"))
-            return F.getbit(word, bit.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
-
-        return is_set(one) & is_set(two)
+        return is_set(self._longs, one) & is_set(self._longs, two)
 
 
 def _passing(words: Column, length: int, bitmap: Bitmap) -> Column:

@@ -162,7 +162,28 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+URL_RULES = f"""
+WITH parsed AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3)
+    ELSE '' END AS rest
+  FROM pages
+), pages_ AS (
+  SELECT page_id, row_number() OVER () AS no,
+    translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM parsed
+), rules(rule_host, rule_path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+)
+SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(verdict, 'allow') AS verdict
+FROM pages_ LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+  AND starts_with(path, rule_path)
+QUALIFY row_number() OVER (PARTITION BY no ORDER BY length(rule_host || rule_path) DESC) = 1
+"""
+
 SQL: dict[str, str] = {
+    "op4_url_cascade": URL_RULES,
     "op2_line_quality": LINE_QUALITY,
     "op5_curriculum": CURRICULUM,
     "op7_decontamination": DECONTAMINATION,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import curriculum, decontaminate, line_quality, simhash
-from orderloom.llm import oracle, records
+from orderloom.llm import oracle, records, url_cascade
 from orderloom.llm.common import table
 
 
@@ -29,6 +29,22 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_tokens(manifest)
 
 
+# The rules of the query.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {rows} AS rules(host, path, verdict)")
+    return url_cascade.judged(table(spark, sf_dir, "pages"), rules)
+
+
 def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.schedule(table(spark, sf_dir, "documents"))
     return plan.select(
@@ -54,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op2_line_quality": op2_line_quality,
     "op3_token_records": op3_token_records,
+    "op4_url_cascade": op4_url_cascade,
     "op5_curriculum": op5_curriculum,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
