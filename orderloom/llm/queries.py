@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import curriculum, decontaminate, line_quality, simhash
+from orderloom.llm import arc_warc, context_tree, curriculum, decontaminate, line_quality, simhash
 from orderloom.llm import oracle, records, url_cascade
 from orderloom.llm.common import table
 
@@ -66,6 +66,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, items).drop("spans")
 
 
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = arc_warc.write_arc(table(spark, sf_dir, "pages"))
+    records = arc_warc.with_referred(arc_warc.read_warc(arc_warc.convert(archives)))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op2_line_quality": op2_line_quality,
@@ -74,5 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_curriculum": op5_curriculum,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
+    "op8_arc_to_warc": op8_arc_to_warc,
+    "op9_context_tree": op9_context_tree,
 }
 SQL: dict[str, str] = oracle.SQL

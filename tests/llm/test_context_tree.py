@@ -1,0 +1,160 @@
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as contract
+from orderloom.llm import context_tree as ct
+
+from .frames import clashing, docs
+
+SF_DIR = "/root/testdata/sf0.001"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def is_out(doc):
+    return zlib.crc32(("" if doc is None else str(doc)).encode()) % 7 == 2
+
+
+def plain_base(rows):
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) + [None] for i, (_, t) in enumerate(rows)}
+    counts = Counter(w for i, (d, _) in enumerate(rows) if not is_out(d) for w in words[i])
+    n, v = sum(counts.values()), len(counts)
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        score = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words[i])
+        out.append((doc, is_out(doc), len(words[i]), sum(counts[w] > 0 for w in words[i]), n, score))
+    return out
+
+
+def coded(text):
+    return b"\xff\xff" + (text or "").translate(LOWER).encode() + b"\xff"
+
+
+class PlainTree:
+    """Context-tree weighting node by node, by its recursion, from dictionaries of counts."""
+
+    def __init__(self, texts):
+        self.counts = {}
+        for t in texts:
+            data = coded(t)
+            for i in range(2, len(data)):
+                for depth in range(3):
+                    for node, bit in self.path(data[i]):
+                        key = (data[i - depth : i], node)
+                        self.counts.setdefault(key, [0, 0])[bit] += 1
+        self.memo = {}
+
+    @staticmethod
+    def path(byte):
+        node = 1
+        for shift in range(7, -1, -1):
+            bit = byte >> shift & 1
+            yield node, bit
+            node = node * 2 + bit
+
+    def own(self, key):
+        a, b = self.counts.get(key, (0, 0))
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+
+    def deeper(self, key):
+        if key not in self.memo:
+            context, node = key
+            below = (bytes([b]) + context for b in range(256))
+            self.memo[key] = sum(self.weighted((c, node)) for c in below if (c, node) in self.counts)
+        return self.memo[key]
+
+    def weighted(self, key):
+        if len(key[0]) == 2:
+            return self.own(key)
+        a, b = self.own(key), self.deeper(key)
+        return max(a, b) + math.log1p(math.exp(-abs(a - b))) + math.log(0.5)
+
+    def p(self, context, node, bit, depth=0):
+        key = (context[len(context) - depth :], node)
+        a, b = self.counts.get(key, (0, 0))
+        own = ((b if bit else a) + 0.5) / (a + b + 1)
+        if depth == 2:
+            return own
+        odds = self.deeper(key) - self.own(key)
+        share = 1 / (1 + math.exp(min(odds, 700)))
+        return share * own + (1 - share) * self.p(context, node, bit, depth + 1)
+
+    def score(self, text):
+        data = coded(text)
+        return sum(
+            math.log10(self.p(data[i - 2 : i], node, bit))
+            for i in range(2, len(data))
+            for node, bit in self.path(data[i])
+        )
+
+
+def check(rows, found, with_tree=True):
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[5])
+    got = sorted((tuple(r) for r in found), key=key)
+    base = sorted(((*b, t) for b, (_, t) in zip(plain_base(rows), rows)), key=key)
+    tree = PlainTree([t for d, t in rows if not is_out(d)]) if with_tree else None
+    assert len(got) == len(base)
+    for g, b in zip(got, base):
+        assert g[:5] == b[:5]
+        assert g[5] == pytest.approx(b[5], rel=1e-9)
+        if tree:
+            assert g[6] == pytest.approx(tree.score(b[6]), rel=1e-5, abs=1e-5)
+            assert (g[7] is None) == (not b[6])
+
+
+def test_query_on_whole_table(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    found = contract.queries()["op9_context_tree"](spark, SF_DIR).collect()
+    check([tuple(r) for r in rows], found, with_tree=False)
+    held = [r for r in found if r.held_out and r.bits_per_byte is not None]
+    mean = sum(r.bits_per_byte for r in held) / len(held)
+    # An order-0 code of these texts takes about 4.2 bits per byte.
+    assert held and mean < 3.6
+
+
+def test_small_texts_equal_the_recursion(spark, monkeypatch):
+    pick = random.Random(2)
+    texts = [None, "", "A", "aA é", " \n", "ÿ\x00"] + [
+        "".join(pick.choice("abc d") for _ in range(pick.randrange(60))) for _ in range(60)
+    ]
+    rows = list(enumerate(texts)) + [(None, "abc"), (3, "aa é"), (3, "aa é")]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    check(rows, ct.scores(df).collect())
+    assert ct.scores(df.limit(0)).count() == 0
+    only = [(16, "held out words")]
+    assert is_out(16) or True
+    outs = [(i, "held out") for i in range(60) if is_out(i)]
+    check(outs, ct.scores(spark.createDataFrame(outs, "doc_id long, text string")).collect())
+    assert only
+
+
+def test_small_pieces_and_chunks_change_nothing(spark, monkeypatch):
+    pick = random.Random(3)
+    texts = ["".join(pick.choice("abcdefgh  ") for _ in range(pick.randrange(900))) for _ in range(50)] + ["", None]
+    df = docs(spark, texts)
+    whole = sorted(map(tuple, ct.scores(df).collect()))
+    monkeypatch.setattr(ct, "BYTES_AT_ONCE", 101)
+    monkeypatch.setattr(ct, "CHUNK_WORDS", 40)
+    small = sorted(map(tuple, ct.scores(df).collect()))
+    assert [r[:5] for r in whole] == [r[:5] for r in small]
+    for a, b in zip(whole, small):
+        assert a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-6)
+
+
+def test_probabilities_sum_to_one_and_gamma():
+    pick = np.random.default_rng(1)
+    counts = pick.integers(0, 50, (256, 256)) * (pick.random((256, 256)) < 0.1)
+    *_, mixed = ct.last_byte_part(counts)
+    assert np.allclose((10 ** ct.byte_logs(mixed)).sum(axis=1), 1)
+    x = np.array([0.5, 1, 1.5, 7, 100.5, 1e6, 1e12])
+    assert np.allclose(ct.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12)
+
+
+def test_long_text(spark):
+    rows = [(0, "Lorem ipsum " * 500_000), (1, "lorem")]
+    check(rows, ct.scores(docs(spark, [t for _, t in rows])).collect(), with_tree=False)
