@@ -22,7 +22,7 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back: lost executors cost no recomputation."""
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
-    df.write.option("compression", "zstd").parquet(folder)
+    df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
