@@ -182,9 +182,25 @@ FROM pages_ LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_
 QUALIFY row_number() OVER (PARTITION BY no ORDER BY length(rule_host || rule_path) DESC) = 1
 """
 
+ARC_TO_WARC = """
+WITH pages_ AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), ranked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM pages_
+), typed AS (
+  SELECT *, payload_bytes >= 1000 AND top IS NOT NULL AND (page_id IS NULL OR page_id < top) AS again
+  FROM ranked
+)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN top END AS refers_to
+FROM typed
+"""
+
 SQL: dict[str, str] = {
     "op4_url_cascade": URL_RULES,
     "op2_line_quality": LINE_QUALITY,
     "op5_curriculum": CURRICULUM,
     "op7_decontamination": DECONTAMINATION,
+    "op8_arc_to_warc": ARC_TO_WARC,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import arc_warc, context_tree, curriculum, decontaminate, line_quality, simhash
-from orderloom.llm import oracle, records, url_cascade
+from orderloom.llm import oracle, records, unigram_trie, url_cascade
 from orderloom.llm.common import table
 
 
@@ -76,6 +76,11 @@ def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.scores(table(spark, sf_dir, "documents"))
 
 
+def op10_unigram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = unigram_trie.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return unigram_trie.token_counts(table(spark, sf_dir, "documents"), pieces)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op2_line_quality": op2_line_quality,
@@ -86,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_context_tree": op9_context_tree,
+    "op10_unigram_trie": op10_unigram_trie,
 }
 SQL: dict[str, str] = oracle.SQL
