@@ -15,7 +15,8 @@ Files are named by shard and attempt; only the names that reach the written mani
 lost or repeated task leaves nothing that a reader sees. Width is 2 where the vocabulary fits.
 
 Words are encoded by the tokenizer once per task and looked up after that. This is sound only for
-tokenizers whose tokens never cross ASCII white space, which `splits_at_spaces` tests.
+tokenizers that split words as `splits_by_words` tests: no token crosses ASCII white space, and
+letters, digits and other marks never share one.
 
 Edge cases: NULL and empty texts are records with the end id alone. NULL ids come first. Repeated
 rows are records of their own. An empty table gives no shard. Other columns are never looked at.
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,18 +46,24 @@ from orderloom.session import new_folder
 END_ID = 1
 HEAD = "<qHH"
 HEAD_BYTES = struct.calcsize(HEAD)
-MOST_CACHED = 300_000
-TEXTS_AT_ONCE = 256
+SHARD_BYTES = 64 << 20
+MOST_CACHED = 1_000_000
+TEXTS_AT_ONCE = 1024
 READ_BYTES = 8 << 20
 MANIFEST = "shard int, folder string, name string, records long, tokens long, bytes long"
 TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def splits_at_spaces(spec: str) -> bool:
-    """Whether the tokenizer's tokens never hold white space: it drops white space altogether."""
+# Fixed value: the split pattern of the tokenizers that may be cut at words.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_by_words(spec: str) -> bool:
+    """Whether the tokenizer keeps what WORD_SPLIT matches, apart, and drops all else."""
     parts = json.loads(spec).get("pre_tokenizer") or {}
     first = (parts.get("pretokenizers") or [parts])[0]
-    return first.get("type") == "Split" and first.get("behavior") == "Removed" and first["invert"]
+    kept = first.get("behavior") == "Removed" and first.get("invert")
+    return first.get("pattern") == {"Regex": WORD_SPLIT} and bool(kept)
 
 
 class Encoder:
@@ -67,25 +75,39 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_str(spec)
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._by_word = splits_at_spaces(spec)
-        self._known: dict[bytes, bytes] = {}
+        self._by_word = splits_by_words(spec)
+        # The empty word stands where a text begins or ends in white space.
+        self._known: dict[bytes, bytes] = {b"": b""}
 
     def _packed(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.width == 2 else "I"
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(code, e.ids).tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, packed."""
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, packed; a NULL text has none."""
+        texts = texts.fill_null("")
         if not self._by_word:
-            return self._packed(texts)
+            return self._packed(texts.to_pylist())
         if len(self._known) > MOST_CACHED:
-            self._known.clear()
+            self._known = {b"": b""}
+        lists = pc.ascii_split_whitespace(texts)
+        words = pc.dictionary_encode(lists.flatten())
+        distinct = words.dictionary.cast(pa.binary()).to_pylist()
+        found = list(map(self._known.get, distinct))
+        self._learn({w for w, ids in zip(distinct, found) if ids is None})
+        found = [self._known[w] if ids is None else ids for w, ids in zip(distinct, found)]
+        each = pa.array(found, pa.binary()).take(words.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, each), b"").to_pylist()
+
+    def _learn(self, words: set[bytes]) -> None:
+        """A full stop or comma after a letter or digit is a token of its own, so it is cut off."""
         known = self._known
-        words = [t.encode().split() for t in texts]
-        new = list({w for each in words for w in each if w not in known})
+        cut = {w for w in words if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalnum()}
+        plain = (words - cut) | {w[:-1] for w in cut} | {b".", b","}
+        new = [w for w in plain if w not in known]
         known.update(zip(new, self._packed([w.decode() for w in new])))
-        return [b"".join([known[w] for w in each]) for each in words]
+        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in cut)
 
 
 def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -102,8 +124,12 @@ def write_records(
     id_col: str = "doc_id",
     text_col: str = "text",
     folder: str | None = None,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """Write the files in ascending id order; returns the manifest, a row per shard."""
+    """Write the files in ascending id order; returns the manifest, a row per shard.
+
+    A shard takes about `shard_bytes` of text; fuller shards also encode fewer words twice.
+    """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "records")
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -117,7 +143,7 @@ def write_records(
         for batch in batches:
             for low in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(low, TEXTS_AT_ONCE)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                ids = encoder.encode(part.column(1))
                 end = END_ID.to_bytes(encoder.width, "little")
                 payloads = [
                     struct.pack(HEAD, doc or 0, doc is None, encoder.width) + own + end
@@ -144,7 +170,10 @@ def write_records(
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ranged = own.withColumn("copy", F.xxhash64("text"))
-    ranged = ranged.repartitionByRange("doc_id", "copy").sortWithinPartitions("doc_id", "copy")
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shards = max(spark.sparkContext.defaultParallelism, -(-size // shard_bytes))
+    ranged = ranged.repartitionByRange(shards, "doc_id", "copy")
+    ranged = ranged.sortWithinPartitions("doc_id", "copy")
     return staged(ranged.select("doc_id", "text").mapInArrow(write, MANIFEST), "manifest")
 
 
