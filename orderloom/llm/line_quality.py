@@ -143,7 +143,8 @@ def measures(text: Column, rules: Rules = Rules(), with_cleaned: bool = True) ->
         rows = [measure(t, rules)[: len(names)] for t in texts]
         return pd.DataFrame(rows, columns=names)
 
-    return of(text)
+    # Else a filter on a part of the struct would be pushed down with a second evaluation.
+    return of.asNondeterministic()(text)
 
 
 def judged(
@@ -163,5 +164,5 @@ def kept(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> Dat
 
 def cleaned(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The passing rows, with the failing lines removed from `text_col`."""
-    clean = measures(docs[text_col], rules)["cleaned"]
-    return kept(docs, text_col, rules).withColumn(text_col, clean)
+    judged = docs.withColumn("_measures", measures(docs[text_col], rules)).where("_measures.kept")
+    return judged.withColumn(text_col, F.col("_measures.cleaned")).select(*docs.columns)
