@@ -1,6 +1,7 @@
 """Small column expressions shared by the plans."""
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -8,9 +9,14 @@ from pyspark.sql import functions as F
 from orderloom.schemas import MONEY
 
 
-def lenient_timestamp(text: Column) -> Column:
-    """Text to timestamp; anything unreadable becomes NULL."""
-    return F.try_to_timestamp(text)
+def lenient_timestamp(text: Column, layouts: Sequence[str] = ()) -> Column:
+    """Text to timestamp; anything unreadable becomes NULL.
+
+    ISO text is always read. Other layouts are declared by the data's owner, in order of trial:
+    whether 10/02/2017 is in October or February is not for a row to tell.
+    """
+    tries = [F.try_to_timestamp(text, F.lit(layout)) for layout in layouts]
+    return F.coalesce(F.try_to_timestamp(text), *tries)
 
 
 def money(value: Column) -> Column:

@@ -11,17 +11,24 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Match columns by case-insensitive name and cast to the contract.
-
-    Missing columns become typed NULLs, extra ones are dropped, values that do not fit the
-    declared type become NULL.
-    """
+def _by_lower_name(df: DataFrame) -> dict[str, T.StructField]:
     found: dict[str, T.StructField] = {}
     for field in df.schema.fields:
         if field.name.lower() in found:
             raise ValueError(f"column name {field.name!r} is ambiguous when case is ignored")
         found[field.name.lower()] = field
+    return found
+
+
+def conform(df: DataFrame, schema: T.StructType, on_bad: str = "null") -> DataFrame:
+    """Match columns by case-insensitive name and cast to the contract.
+
+    Missing columns become typed NULLs, extra ones are dropped. A value that does not fit the
+    declared type becomes NULL (`bad_values` lists them), or stops the job with `on_bad="fail"`.
+    """
+    if on_bad not in ("null", "fail"):
+        raise ValueError(f"on_bad is 'null' or 'fail', not {on_bad!r}")
+    found = _by_lower_name(df)
 
     def target(field: T.StructField) -> Column:
         source = found.get(field.name.lower())
@@ -29,12 +36,46 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             return F.lit(None).cast(field.dataType).alias(field.name)
         column = _quoted(source.name)
         if source.dataType != field.dataType:
-            column = column.try_cast(field.dataType)
+            fail = on_bad == "fail"
+            column = column.cast(field.dataType) if fail else column.try_cast(field.dataType)
         return column.alias(field.name)
 
     return df.select(*[target(field) for field in schema.fields])
 
 
+def _may_fail(source: T.DataType, target: T.DataType) -> bool:
+    return source != target and not isinstance(target, T.StringType)
+
+
+def has_casts(source: T.StructType, schema: T.StructType) -> bool:
+    """Whether any value of the source could fail to fit the contract."""
+    kinds = {f.name.lower(): f.dataType for f in source.fields}
+    return any(_may_fail(kinds.get(f.name.lower(), f.dataType), f.dataType) for f in schema.fields)
+
+
+def bad_values(df: DataFrame, schema: T.StructType, *keep: Column | str) -> DataFrame:
+    """A row per value that `conform` turns into NULL: its column, text and wanted type.
+
+    `keep` names what identifies the row, such as its key or `_metadata.file_path`.
+    """
+    found = _by_lower_name(df)
+    bad = []
+    for field in schema.fields:
+        source = found.get(field.name.lower())
+        if source is not None and _may_fail(source.dataType, field.dataType):
+            value = _quoted(source.name)
+            unfit = value.isNotNull() & value.try_cast(field.dataType).isNull()
+            entry = F.struct(
+                F.lit(field.name).alias("column"),
+                value.cast("string").alias("value"),
+                F.lit(field.dataType.simpleString()).alias("wanted"),
+            )
+            bad.append(F.when(unfit, entry))
+    kind = "array<struct<column:string,value:string,wanted:string>>"
+    entries = F.filter(F.array(*bad), lambda e: e.isNotNull()) if bad else F.array().cast(kind)
+    return df.select(*keep, F.inline(entries))
+
+
 def align_union(
     history: DataFrame,
     daily: DataFrame,

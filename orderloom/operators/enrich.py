@@ -40,16 +40,3 @@ def rows_of_keys(many: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFra
     """
     found = join_one_per_key(many, wanted.select(*keys).distinct(), keys)
     return found.select(*many.columns)
-
-
-def without_existing(
-    batch: DataFrame, table: DataFrame, keys: list[str], batch_keys: DataFrame | None = None
-) -> DataFrame:
-    """Batch rows whose key the table does not hold yet; keys are unique on both sides.
-
-    The table is first reduced to the batch's keys: Catalyst broadcasts those when they are
-    small and filters the large scan in place, which an anti join alone cannot do.
-    `batch_keys` may be any frame that covers the batch's keys and is cheaper to compute.
-    """
-    known = reduced_to(table.select(*keys), batch if batch_keys is None else batch_keys, keys)
-    return batch.join(known, keys, "left_anti")

@@ -1,37 +1,10 @@
-"""Joins of many rows per key to one row per key, safe for hot keys."""
+"""Joins of many rows per key to one row per key."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A key with fewer rows than this fits one task, sorted and spilled if need be.
-HOT_ROWS = 5_000_000
-# Below this estimate a whole input fits one task, so no key of it can be hot.
-SMALL_BYTES = 256 * 1024**2
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, from file sizes and column widths."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The size up to which Catalyst broadcasts a join side by itself."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return int(conf.autoBroadcastJoinThreshold())
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least `hot_rows` rows, so at most (rows / hot_rows) keys.
-
-    Reads the key columns only; the counts combine on the map side.
-    """
-    counted = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.where(F.col("_rows") >= hot_rows).select(*keys)
 
 
 def join_one_per_key(
@@ -40,30 +13,12 @@ def join_one_per_key(
     keys: Sequence[str],
     how: str = "inner",
     then: Callable[[DataFrame], DataFrame] = lambda joined: joined,
-    hot_rows: int = HOT_ROWS,
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """`many` joined (inner or left) to `one`, which holds each key at most once.
 
-    Rows of hot keys stay where they are and meet a broadcast of their few partner rows;
-    the others go through an ordinary shuffled join. `then` runs on each part by itself: the
-    parts share no key, and the shuffled part is still partitioned by key at that point.
+    One plan at every size. A hot key is left to AQE, which splits the `many` side of a skewed
+    partition and reads the partner's rows once per split, NULL keys of a left join included
+    (`session.RUNTIME_SETTINGS` turns that on even where the next operator then needs an exchange
+    of its own). `then` continues on the joined rows, which are still partitioned by key.
     """
-    keys = list(keys)
-    if estimated_bytes(many) < small_bytes or estimated_bytes(one) <= broadcast_limit(one):
-        return then(many.join(one, keys, how))
-
-    # Bounded by rows / HOT_ROWS entries, see hot_keys.
-    hot = F.broadcast(hot_keys(many, keys, hot_rows))
-    usual = many.dropna(subset=keys).join(hot, keys, "left_anti").join(one, keys, how)
-    partners = F.broadcast(one.join(hot, keys, "left_semi"))
-    spread_out = many.join(hot, keys, "left_semi").join(partners, keys, how)
-    parts = [then(usual), then(spread_out)]
-    if how == "left":
-        # NULL keys match nothing, and may be many: they need no join at all.
-        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        added = {
-            f.name: F.lit(None).cast(f.dataType) for f in one.schema.fields if f.name not in keys
-        }
-        parts.append(then(many.where(no_key).withColumns(added)))
-    return reduce(DataFrame.unionByName, parts)
+    return then(many.join(one, list(keys), how))

@@ -91,7 +91,6 @@ DATASETS = [
             ("product_width_cm", "double"),
         ),
     ),
-    # Review comments may hold line breaks.
     DatasetSpec(
         "reviews.csv",
         "reviews",
@@ -101,7 +100,6 @@ DATASETS = [
             ("review_creation_date", "string"),
         ),
         partition_column="review_creation_date",
-        multiline=True,
     ),
     DatasetSpec("geolocation.csv", "geolocation", excluded=True),
     DatasetSpec("sellers.csv", "sellers", excluded=True),
@@ -157,9 +155,9 @@ def pull_pages(
 ) -> list[str]:
     """One run: land the next page of every source that is not exhausted.
 
-    Returns the datasets that got a page. The cursors are saved after all pages are
-    written; a run that fails before that pulls the same pages again and replaces the same
-    day's partition.
+    Returns the datasets that got a page. Each pull has a folder of its own under its day, named
+    by the cursor's offset. The cursors are saved after all pages are written; a run that fails
+    before that pulls the same pages again and replaces those folders only.
     """
     state_root = f"{lake}/control/cursors"
     start = state_from(spark, {s.name: Cursor(s.name) for s in sources})
@@ -167,12 +165,14 @@ def pull_pages(
 
     def pull(source: PagedSource) -> Cursor | None:
         cursor = cursors.get(source.name, Cursor(source.name))
-        if cursor.offset >= source.table.count():
+        rows = page(source, cursor)
+        if rows is None:
             return None
         records = f"{lake}/bronze/pages/{source.name}"
-        write_flat(page(source, cursor), records)
+        write_flat(rows, records)
         pulled = spark.read.schema(source.table.schema).parquet(records)
-        write_load_date(source.transform(pulled), f"{lake}/bronze/daily/{source.dataset}", day)
+        target = f"{lake}/bronze/daily/{source.dataset}"
+        write_load_date(source.transform(pulled), target, day, run=cursor.offset)
         return advance(source, cursor, pulled)
 
     moved = run_together(*[partial(pull, source) for source in sources])

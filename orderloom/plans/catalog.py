@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orderloom import schemas
 from orderloom.functions.scalars import lenient_timestamp
 from orderloom.operators import marks
-from orderloom.operators.align import align_union, conform
+from orderloom.operators.align import align_union, bad_values, conform
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.groups import with_group_measures
 from orderloom.operators.skew import join_one_per_key
@@ -23,10 +23,8 @@ from orderloom.sinks.parquet import (
     write_flat,
     write_load_date,
     write_partitioned,
-    write_year_month,
 )
 from orderloom.sources.files import (
-    read_csv,
     read_json,
     read_parquet_dir,
     read_parquet_or_none,
@@ -39,7 +37,7 @@ from orderloom.sources.roles import (
     as_history,
     with_year_text,
 )
-from orderloom.sources.routing import land, route
+from orderloom.sources.routing import DatasetSpec, land, route
 from orderloom.streaming.changes import on_change
 from orderloom.streaming.fact import refresh_fact
 
@@ -70,13 +68,15 @@ def csv_roundtrip_customers(spark, roles):
 
 
 def _order_date_texts(roles: Roles) -> DataFrame:
-    """Purchase dates as text: three readable layouts and two unreadable ones."""
-    date = F.col("o_orderdate")
+    """Purchase dates as text: three ISO layouts, two declared ones and two unreadable ones."""
+    date, kind = F.col("o_orderdate"), F.col("o_orderkey") % 7
     text = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(date, "yyyy-MM-dd HH:mm:ss"))
-        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(date, "yyyy-MM-dd"))
-        .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("not specified"))
+        F.when(kind == 0, F.date_format(date, "yyyy-MM-dd HH:mm:ss"))
+        .when(kind == 1, F.date_format(date, "yyyy-MM-dd"))
+        .when(kind == 2, F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(kind == 3, F.date_format(date, "MM/dd/yyyy"))
+        .when(kind == 4, F.date_format(date, "MMM d yyyy"))
+        .when(kind == 5, F.lit("not specified"))
         .otherwise(F.date_format(date, "yyyy-'13'-dd"))
     )
     return roles.table("orders").select(
@@ -86,21 +86,27 @@ def _order_date_texts(roles: Roles) -> DataFrame:
     )
 
 
+LAYOUTS = ("MM/dd/yyyy", "MMM d yyyy")
+
+
 @query
 def lenient_timestamp_parse(spark, roles):
     texts = _order_date_texts(roles).drop("order_total")
-    return texts.withColumn("parsed", lenient_timestamp(F.col("order_purchase_timestamp")))
+    parsed = lenient_timestamp(F.col("order_purchase_timestamp"), LAYOUTS)
+    return texts.withColumn("parsed", parsed)
 
 
 @query
 def bronze_partitioned_orders(spark, roles):
     lake = new_folder(spark, "year-month")
     texts = _order_date_texts(roles)
-    texts.write.csv(f"{lake}/source", header=True)
-    landed = read_csv(spark, f"{lake}/source", texts.schema)
-    write_year_month(landed, "order_purchase_timestamp", f"{lake}/orders")
+    texts.write.csv(f"{lake}/source/orders.csv", header=True)
+    column = "order_purchase_timestamp"
+    spec = DatasetSpec(
+        "orders.csv", "orders", texts.schema, partition_column=column, timestamp_layouts=LAYOUTS
+    )
     return (
-        read_parquet_dir(spark, f"{lake}/orders")
+        read_parquet_dir(spark, land(spark, spec, f"{lake}/source", f"{lake}/bronze"))
         .groupBy("year", "month")
         .agg(
             F.count(F.lit(1)).alias("orders"),
@@ -185,34 +191,34 @@ def dataset_routing(spark, roles):
 
 @query
 def cursor_page(spark, roles):
-    """Three daily runs from an absent cursor: one page of users and of products each."""
+    """Four runs from an absent cursor, two of them on one day; the regions run out."""
     lake = new_folder(spark, "pages")
+    products = roles.product_records().withColumns(
+        {"stock": F.lit(None).cast("int"), "rating": F.lit(None).cast("double")}
+    )
     sources = [
         PagedSource(
             "users", roles.users(), "id", USERS_PER_RUN, "customers", bronze.customers_from_users
         ),
         PagedSource(
-            "products",
-            roles.product_records().withColumns(
-                {"stock": F.lit(None).cast("int"), "rating": F.lit(None).cast("double")}
-            ),
-            "id",
-            PRODUCTS_PER_RUN,
-            "products",
-            bronze.products_from_records,
+            "products", products, "id", PRODUCTS_PER_RUN, "products", bronze.products_from_records
         ),
+        PagedSource("regions", roles.regions(), "id", 2, "regions", lambda rows: rows),
     ]
-    for day in (1, 2, 3):
+    for day in (1, 1, 2, 3):
         bronze.pull_pages(spark, sources, lake, datetime.date(2024, 1, day))
-    customers = spark.read.parquet(f"{lake}/bronze/daily/customers")
-    products = spark.read.parquet(f"{lake}/bronze/daily/products")
-    return customers.select(
-        F.lit("customers").alias("dataset"), "ingestion_date", F.col("customer_id").alias("key")
-    ).unionByName(
-        products.select(
-            F.lit("products").alias("dataset"), "ingestion_date", F.col("product_id").alias("key")
+    landed = []
+    for dataset, key in (("customers", "customer_id"), ("products", "product_id"), ("regions", "id")):
+        rows = spark.read.parquet(f"{lake}/bronze/daily/{dataset}")
+        landed.append(
+            rows.select(
+                F.lit(dataset).alias("dataset"),
+                "ingestion_date",
+                F.col("run").cast("int").alias("run"),
+                F.col(key).cast("string").alias("key"),
+            )
         )
-    )
+    return reduce(DataFrame.unionByName, landed)
 
 
 @query
@@ -293,92 +299,146 @@ def dedup_composite_key(spark, roles):
     return keep_first(items, keys, newest_first(items.columns, "shipping_limit_date"))
 
 
-def _order_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, DataFrame]:
-    history = as_history(roles.orders_between(None, DAILY_START), "order_purchase_timestamp")
-    return history, roles.orders_between(DAILY_START, until)
+def _histories(roles: Roles) -> dict[str, DataFrame]:
+    return {
+        "products": roles.history_products(),
+        "customers": roles.history_customers(),
+        "orders": as_history(roles.orders_between(None, DAILY_START), "order_purchase_timestamp"),
+        "order_items": as_history(
+            roles.order_items_between(None, DAILY_START), "shipping_limit_date"
+        ),
+        "payments": roles.payments_between(None, DAILY_START).drop("ingestion_date"),
+    }
+
+
+def _deliveries(roles: Roles, name: str, start: str, end: str | None) -> DataFrame:
+    """What arrives of a table between two dates."""
+    if name == "products":
+        return bronze.products_from_records(roles.product_deliveries(start, end))
+    if name == "customers":
+        return bronze.customers_from_users(roles.user_deliveries(start, end))
+    between = {
+        "orders": roles.orders_between,
+        "order_items": roles.order_items_between,
+        "payments": roles.payments_between,
+    }
+    return between[name](start, end)
+
+
+def _daily(lake: str, name: str) -> str:
+    return f"{lake}/bronze/daily/{name}"
 
 
-def _item_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, DataFrame]:
-    history = as_history(roles.order_items_between(None, DAILY_START), "shipping_limit_date")
-    return history, roles.order_items_between(DAILY_START, until)
+def _deliver(rows: DataFrame, lake: str, name: str, number: int) -> None:
+    write_flat(rows, f"{_daily(lake, name)}/delivery={number}")
 
 
-def _payment_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, DataFrame]:
-    history = roles.payments_between(None, DAILY_START).drop("ingestion_date")
-    return history, roles.payments_between(DAILY_START, until)
+def _run_silver(spark, roles: Roles, lake: str, number: int, feeds: dict[str, DataFrame]) -> None:
+    """Deliver and load some tables, orders before what depends on them."""
+    histories = _histories(roles)
+    for name, rows in feeds.items():
+        _deliver(rows, lake, name, number)
+        silver.load(spark, lake, runs.TABLES[name], histories[name], _daily(lake, name))
 
 
-def _customer_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, DataFrame]:
-    return roles.history_customers(), bronze.customers_from_users(roles.user_deliveries(until))
+def _single_run(spark, roles: Roles, *names: str) -> DataFrame:
+    """The last of the tables after one run over the whole feeds."""
+    lake = new_folder(spark, "silver")
+    feeds = {name: _deliveries(roles, name, DAILY_START, None) for name in names}
+    _run_silver(spark, roles, lake, 1, feeds)
+    return silver.read_silver(spark, lake, runs.TABLES[names[-1]]).drop("batch_id")
 
 
-def _product_feeds(roles: Roles, until: str | None = None) -> tuple[DataFrame, DataFrame]:
-    return roles.history_products(), bronze.products_from_records(roles.product_deliveries(until))
+_TWO_RUNS = ((DAILY_START, SECOND_BATCH), (SECOND_BATCH, None))
 
 
 @query
 def silver_products(spark, roles):
-    lake = new_folder(spark, "silver")
-    silver.load(spark, lake, silver.PRODUCTS, *_product_feeds(roles))
-    return silver.read_silver(spark, lake, silver.PRODUCTS).drop("batch_id")
+    return _single_run(spark, roles, "products")
 
 
 @query
 def silver_customers(spark, roles):
-    lake = new_folder(spark, "silver")
-    silver.load(spark, lake, silver.CUSTOMERS, *_customer_feeds(roles))
-    return silver.read_silver(spark, lake, silver.CUSTOMERS).drop("batch_id")
+    return _single_run(spark, roles, "customers")
 
 
 @query
 def silver_orders(spark, roles):
+    """Of some orders the newest copy has no purchase time."""
     lake = new_folder(spark, "silver")
-    silver.load(spark, lake, silver.ORDERS, *_order_feeds(roles))
+    daily = _deliveries(roles, "orders", DAILY_START, None)
+    undated = daily.where("order_status = 'F'").withColumns(
+        {
+            "order_purchase_timestamp": F.lit(None).cast("timestamp"),
+            "ingestion_date": F.date_add("ingestion_date", 1),
+        }
+    )
+    _run_silver(spark, roles, lake, 1, {"orders": daily.unionByName(undated)})
     return silver.read_silver(spark, lake, silver.ORDERS).drop("batch_id")
 
 
 @query
 def silver_order_items(spark, roles):
-    lake = new_folder(spark, "silver")
-    silver.load(spark, lake, silver.ORDERS, *_order_feeds(roles))
-    silver.load(spark, lake, silver.ORDER_ITEMS, *_item_feeds(roles))
-    return silver.read_silver(spark, lake, silver.ORDER_ITEMS).drop("batch_id")
+    return _single_run(spark, roles, "orders", "order_items")
 
 
 @query
 def silver_payments(spark, roles):
-    lake = new_folder(spark, "silver")
-    silver.load(spark, lake, silver.ORDERS, *_order_feeds(roles))
-    silver.load(spark, lake, silver.PAYMENTS, *_payment_feeds(roles))
-    return silver.read_silver(spark, lake, silver.PAYMENTS).drop("batch_id")
+    return _single_run(spark, roles, "orders", "payments")
 
 
 @query
 def silver_orders_incremental(spark, roles):
-    """Two runs. Open orders are delivered again a year later, under the same key."""
+    """Two runs. Open orders come again a year later as shipped, finished ones unchanged."""
     lake = new_folder(spark, "silver")
-    history, daily = _order_feeds(roles)
-    again = daily.where("order_status = 'P'").withColumn(
-        "ingestion_date", F.date_add("ingestion_date", 365)
-    )
-    feed = daily.unionByName(again)
-    first = feed.where(F.col("ingestion_date") < F.lit(SECOND_BATCH).cast("date"))
-    silver.load(spark, lake, silver.ORDERS, history, first)
-    silver.load(spark, lake, silver.ORDERS, history, feed)
+    daily = _deliveries(roles, "orders", DAILY_START, None)
+    later = daily.withColumn("ingestion_date", F.date_add("ingestion_date", 365))
+    shipped = later.where("order_status = 'P'").withColumn("order_status", F.lit("S"))
+    feed = daily.unionByName(shipped).unionByName(later.where("order_status = 'F'"))
+    second = F.col("ingestion_date") >= F.lit(SECOND_BATCH).cast("date")
+    _run_silver(spark, roles, lake, 1, {"orders": feed.where(~second)})
+    _run_silver(spark, roles, lake, 2, {"orders": feed.where(second)})
     return silver.read_silver(spark, lake, silver.ORDERS).drop("partition_year")
 
 
+@query
+def silver_products_incremental(spark, roles):
+    """Two runs; a product's stock and rating change from one delivery to the next."""
+    lake = new_folder(spark, "silver")
+    for number, (start, end) in enumerate(_TWO_RUNS):
+        feed = _deliveries(roles, "products", start, end)
+        _run_silver(spark, roles, lake, number, {"products": feed})
+    return silver.read_silver(spark, lake, silver.PRODUCTS)
+
+
+@query
+def late_dates_loaded(spark, roles):
+    """The second run brings rows dated before what the first one brought, or not at all."""
+    lake = new_folder(spark, "silver")
+    daily = _deliveries(roles, "orders", DAILY_START, None)
+    late = F.col("order_id").cast("bigint") % 5 == 0
+    undated = F.col("order_id").cast("bigint") % 10 == 0
+    date = F.when(~undated, F.col("ingestion_date"))
+    _run_silver(spark, roles, lake, 1, {"orders": daily.where(~late)})
+    _run_silver(
+        spark, roles, lake, 2, {"orders": daily.where(late).withColumn("ingestion_date", date)}
+    )
+    return silver.read_silver(spark, lake, silver.ORDERS).select(
+        "order_id", "order_status", "ingestion_date", "batch_id"
+    )
+
+
 @query
 def late_items_pending(spark, roles):
     """Two runs of orders and items; an item may arrive before or after its order.
 
-    Per stored item: the run it arrived in, the run of its order, the run that stored it, and
-    whether a load that joins each batch to its own orders only would have kept it.
+    Per stored item: the run its latest version arrived in, the run of its order, the run that
+    stored it, and whether a load that joins each batch to its own orders only would have kept it.
     """
     lake = new_folder(spark, "silver")
-    for until in (SECOND_BATCH, None):
-        silver.load(spark, lake, silver.ORDERS, *_order_feeds(roles, until))
-        silver.load(spark, lake, silver.ORDER_ITEMS, *_item_feeds(roles, until))
+    for number, (start, end) in enumerate(_TWO_RUNS):
+        feeds = {n: _deliveries(roles, n, start, end) for n in ("orders", "order_items")}
+        _run_silver(spark, roles, lake, number, feeds)
     items = silver.read_silver(spark, lake, silver.ORDER_ITEMS)
     orders = silver.read_silver(spark, lake, silver.ORDERS)
     second = F.col("ingestion_date") >= F.lit(SECOND_BATCH).cast("date")
@@ -396,8 +456,7 @@ def late_items_pending(spark, roles):
     )
 
 
-@query
-def conform_by_name(spark, roles):
+def _odd_customers(spark, roles: Roles) -> DataFrame:
     """Staged files with other letter case, one column missing, one extra, text for typed."""
     path = f"{new_folder(spark, 'stage')}/customers"
     zip_code = F.lpad(F.col("c_custkey").cast("string"), 5, "0")
@@ -413,7 +472,20 @@ def conform_by_name(spark, roles):
         ),
         path,
     )
-    return conform(read_parquet_dir(spark, path), schemas.WAREHOUSE["customers"])
+    return read_parquet_dir(spark, path)
+
+
+@query
+def conform_by_name(spark, roles):
+    return conform(_odd_customers(spark, roles), schemas.WAREHOUSE["customers"])
+
+
+@query
+def conform_rejects(spark, roles):
+    """One row per value that the same load cannot fit into its type."""
+    staged = _odd_customers(spark, roles)
+    key = F.col("CUSTOMER_ID").cast("string").alias("customer_id")
+    return bad_values(staged, schemas.WAREHOUSE["customers"], key)
 
 
 # --- gold ----------------------------------------------------------------------------------
@@ -462,12 +534,12 @@ def fact_orders(spark, roles):
 
 @query
 def fact_self_dedup(spark, roles):
-    """A stored fact with a repeated grain is replaced by its repaired version."""
+    """A stored fact whose first load repeated its grain is repaired in place."""
     root = f"{new_folder(spark, 'gold')}/fact_orders"
     repeated = gold.paid_lines(roles.warehouse_orders(), roles.order_items(), roles.payments())
-    publish(repeated.select(*schemas.FACT_ORDERS.names), root)
-    publish(gold.repaired(current(spark, root)), root)
-    return current(spark, root)
+    gold.merge_fact(spark, root, repeated.select(*schemas.FACT_ORDERS.names), 0)
+    gold.repair_fact(spark, root)
+    return gold.read_fact(spark, root)
 
 
 @query
@@ -489,22 +561,24 @@ def fact_merge(spark, roles):
     tables = [roles.warehouse_orders(), roles.order_items(), roles.payments()]
     affected = gold.of_changed_orders(tables, changed, f"{root}/changed/batch_id=1")
     gold.merge_fact(spark, root, gold.fact_orders(*affected), 1)
-    return gold.read_fact(spark, root).select(*schemas.FACT_ORDERS.names)
+    return gold.read_fact(spark, root)
 
 
 @query
 def dim_customers(spark, roles):
     root = f"{new_folder(spark, 'gold')}/dim_customers"
-    history, daily = _customer_feeds(roles)
-    publish(gold.dim_customers(align_union(history, daily, silver.CUSTOMERS.daily)), root)
+    daily = _deliveries(roles, "customers", DAILY_START, None)
+    rows = align_union(roles.history_customers(), daily, silver.CUSTOMERS.daily)
+    publish(gold.dim_customers(rows), root)
     return current(spark, root)
 
 
 @query
 def dim_products(spark, roles):
     root = f"{new_folder(spark, 'gold')}/dim_products"
-    history, daily = _product_feeds(roles)
-    rows = align_union(history, daily, silver.PRODUCTS.daily, silver.PRODUCTS.renames)
+    daily = _deliveries(roles, "products", DAILY_START, None)
+    table = silver.PRODUCTS
+    rows = align_union(roles.history_products(), daily, table.daily, table.renames)
     publish(gold.dim_products(rows), root)
     return current(spark, root)
 
@@ -549,9 +623,11 @@ def top_products_k(spark, roles):
 def stream_autoload(spark, roles):
     """Silver orders loaded as they arrive: two batches, then a run without new files."""
     lake = new_folder(spark, "autoload")
-    for until in (SECOND_BATCH, None, None):
-        silver.load(spark, lake, silver.ORDERS, *_order_feeds(roles, until))
+    for number, (start, end) in enumerate(_TWO_RUNS):
+        feed = _deliveries(roles, "orders", start, end)
+        _run_silver(spark, roles, lake, number, {"orders": feed})
         runs.load_warehouse_table(spark, lake, silver.ORDERS)
+    runs.load_warehouse_table(spark, lake, silver.ORDERS)
     return runs.read_warehouse(spark, lake, "orders")
 
 
@@ -614,20 +690,81 @@ def stream_fact_merge(spark, roles):
     _land_batch(roles, lake, SECOND_BATCH, None)
     refresh_fact(spark, tables, root, work)
     refresh_fact(spark, tables, root, work)
-    return gold.read_fact(spark, root).select(*schemas.FACT_ORDERS.names)
+    return gold.read_fact(spark, root)
+
+
+def _full_runs(spark, roles: Roles, lake: str, batches: list[dict[str, DataFrame]]) -> None:
+    """Deliver and run everything, batch after batch."""
+    histories = _histories(roles)
+    for number, batch in enumerate(batches):
+        run_together(
+            *[partial(_deliver, rows, lake, name, number) for name, rows in batch.items()]
+        )
+        feeds = {name: (histories[name], _daily(lake, name)) for name in runs.TABLES}
+        runs.run(spark, lake, feeds)
+
+
+def _two_batches(roles: Roles) -> list[dict[str, DataFrame]]:
+    return [
+        {name: _deliveries(roles, name, start, end) for name in runs.TABLES}
+        for start, end in _TWO_RUNS
+    ]
 
 
 @query
 def daily_runs_fact(spark, roles):
     """Two full runs from the feeds to gold; items may arrive before or after their order."""
     lake = new_folder(spark, "runs")
-    for until in (SECOND_BATCH, None):
-        feeds = {
-            "products": _product_feeds(roles, until),
-            "customers": _customer_feeds(roles, until),
-            "orders": _order_feeds(roles, until),
-            "order_items": _item_feeds(roles, until),
-            "payments": _payment_feeds(roles, until),
+    _full_runs(spark, roles, lake, _two_batches(roles))
+    return gold.read_fact(spark, f"{lake}/gold/fact_orders")
+
+
+@query
+def daily_runs_dims(spark, roles):
+    """Both dimensions after two runs of products and customers, from silver to gold."""
+    lake = new_folder(spark, "runs")
+    for number, (start, end) in enumerate(_TWO_RUNS):
+        feeds = {n: _deliveries(roles, n, start, end) for n in ("products", "customers")}
+        _run_silver(spark, roles, lake, number, feeds)
+        for name in feeds:
+            runs.load_warehouse_table(spark, lake, runs.TABLES[name])
+    products = gold.dim_products(runs.read_warehouse(spark, lake, "products"))
+    customers = gold.dim_customers(runs.read_warehouse(spark, lake, "customers"))
+    none = F.lit(None).cast("string")
+    return products.select(
+        F.lit("product").alias("dimension"),
+        F.col("product_id").alias("key"),
+        F.col("product_category_name").alias("name"),
+        none.alias("city"),
+        "price",
+        "stock",
+        "rating",
+    ).unionByName(
+        customers.select(
+            F.lit("customer").alias("dimension"),
+            F.col("customer_id").alias("key"),
+            F.col("last_name").alias("name"),
+            F.col("customer_city").alias("city"),
+            F.lit(None).cast(schemas.MONEY).alias("price"),
+            F.lit(None).cast("int").alias("stock"),
+            F.lit(None).cast("double").alias("rating"),
+        )
+    )
+
+
+@query
+def stream_fact_order_moved(spark, roles):
+    """Two full runs; the second moves the purchase of some stored orders by 14 months."""
+    lake = new_folder(spark, "moved")
+    first, second = _two_batches(roles)
+    moved = first["orders"].where(F.col("order_id").cast("bigint") % 3 == 0)
+    moved = moved.withColumns(
+        {
+            "order_purchase_timestamp": F.col("order_purchase_timestamp")
+            + F.expr("INTERVAL 14 MONTHS"),
+            "ingestion_date": F.date_add("ingestion_date", 400),
         }
-        runs.run(spark, lake, feeds)
-    return gold.read_fact(spark, f"{lake}/gold/fact_orders").select(*schemas.FACT_ORDERS.names)
+    )
+    second["orders"] = second["orders"].unionByName(moved)
+    _full_runs(spark, roles, lake, [first, second])
+    return gold.read_fact(spark, f"{lake}/gold/fact_orders")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.functions.scalars import year_month
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.enrich import reduced_to, rows_of_keys
 from orderloom.operators.skew import join_one_per_key
@@ -21,12 +20,11 @@ from orderloom.schemas import (
     FACT_ORDERS,
     MONEY_SUM,
     ORDER_YEAR,
-    extend,
+    struct,
 )
-from orderloom.sinks.folders import drop, exists, replace_partitions
+from orderloom.sinks.folders import current, drop, numbers, publish
 from orderloom.sinks.parquet import write_partitioned
 
-FACT_STORED = extend(FACT_ORDERS, ("purchase_month", "int"))
 ORDER_COLUMNS = ["order_id", "customer_id", "order_purchase_timestamp", "order_purchase_year"]
 ITEM_COLUMNS = [
     "order_id",
@@ -37,7 +35,7 @@ ITEM_COLUMNS = [
     "price",
     "freight_value",
 ]
-FACT_SOURCE = T.StructType(FACT_STORED.fields + [T.StructField("keyed", T.BooleanType())])
+FACT_SOURCE = T.StructType(FACT_ORDERS.fields + [T.StructField("keyed", T.BooleanType())])
 
 
 def _item_choice() -> list[Column]:
@@ -158,30 +156,63 @@ def repaired(fact: DataFrame) -> DataFrame:
 
 
 # --- the stored fact -----------------------------------------------------------------------
+#
+# Rows lie in buckets by a hash of the order id, so an order stays where it is when its purchase
+# time moves, and a merge rewrites the buckets of the changed orders only. A written bucket is never
+# touched again: `generation=<g>/bucket=<b>` folders are new, and a small table of the current
+# ones, replaced last and as a whole, makes them the fact. Readers resolve it first.
 
+BUCKETS = 64
+CURRENT = struct(("generation", "int"), ("bucket", "int"), ("buckets", "int"))
 
-def read_fact(spark: SparkSession, root: str) -> DataFrame:
-    """The stored fact with its month column; empty before the first write."""
-    path = f"{root}/data"
-    if not exists(spark, path):
-        return spark.createDataFrame([], FACT_STORED)
-    return spark.read.schema(FACT_STORED).parquet(path)
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _current(spark: SparkSession, root: str) -> list[Row]:
+    """The current folder of each bucket that has rows: at most one row per bucket."""
+    found = current(spark, f"{root}/current", CURRENT)
+    return [] if found is None else found.collect()
 
 
-def _with_month(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("purchase_month", year_month(F.col("order_purchase_timestamp")))
+def _path(root: str, row: Row) -> str:
+    return f"{root}/data/generation={row['generation']}/bucket={row['bucket']}"
 
 
-def _install_staged(spark: SparkSession, root: str) -> None:
-    """Put staged months in place of the stored ones, then drop the staging folder.
+def _read(spark: SparkSession, root: str, rows: list[Row]) -> DataFrame:
+    if not rows:
+        return spark.createDataFrame([], FACT_ORDERS)
+    return spark.read.schema(FACT_ORDERS).parquet(*[_path(root, row) for row in rows])
+
+
+def read_fact(spark: SparkSession, root: str) -> DataFrame:
+    """The stored fact; empty before the first write."""
+    return _read(spark, root, _current(spark, root))
+
 
-    A complete staging folder means that this step is due or was interrupted, so it can be
-    run again until it succeeds. No data is written a second time.
+def _replace_buckets(
+    spark: SparkSession, root: str, rows: DataFrame, touched: set[int], buckets: int
+) -> None:
+    """Make `rows` the content of the touched buckets, for all readers at once.
+
+    An interrupted run leaves a generation that no one refers to; the next run writes over it.
     """
-    staged = f"{root}/staged"
-    if exists(spark, f"{staged}/_SUCCESS"):
-        replace_partitions(spark, staged, f"{root}/data")
-        drop(spark, staged)
+    before = _current(spark, root)
+    generation = max((r["generation"] for r in before), default=-1) + 1
+    path = f"{root}/data/generation={generation}"
+    sorted_by = ["order_purchase_timestamp"]
+    write_partitioned(rows.withColumn("bucket", _bucket(buckets)), path, "bucket", sort_by=sorted_by)
+    after = [r for r in before if r["bucket"] not in touched]
+    written = numbers(spark, path, "bucket")
+    after += [Row(generation=generation, bucket=b, buckets=buckets) for b in written]
+    # Readers that have just resolved the table before this one still find its folders.
+    replaced = current(spark, f"{root}/replaced", CURRENT)
+    for row in [] if replaced is None else replaced.collect():
+        drop(spark, _path(root, row))
+    publish(spark.createDataFrame(after, CURRENT).coalesce(1), f"{root}/current")
+    gone = [r for r in before if r["bucket"] in touched]
+    publish(spark.createDataFrame(gone, CURRENT).coalesce(1), f"{root}/replaced")
 
 
 def merge_fact(
@@ -189,21 +220,21 @@ def merge_fact(
     root: str,
     rows: DataFrame,
     batch_id: int,
-    month_is_stable: bool = False,
+    of_orders: DataFrame | None = None,
+    update: Sequence[str] = tuple(FACT_MEASURES),
+    buckets: int = BUCKETS,
 ) -> None:
-    """Upsert fact rows into the stored fact, rewriting only the months they touch.
+    """Upsert fact rows into the stored fact, rewriting only the buckets they touch.
 
-    A match keeps its stored month, which may differ from the source's, so the stored keys
-    are looked up over all months first. With `month_is_stable` the caller states that an
-    order never changes its purchase time, and only the source's months are read at all.
-    Rows with a NULL key can never match again; they go to a reject folder instead.
+    A match takes the `update` columns. With `of_orders` the rows are all there is of these
+    orders, and stored rows of theirs that are not among them are removed. Rows with a NULL key
+    can never match again; they go to a reject folder instead. The number of buckets is fixed by
+    the first write; choose it so that a bucket stays below some hundred MB.
     """
-    _install_staged(spark, root)
-
     keyed = F.col("order_id").isNotNull() & F.col("product_id").isNotNull()
-    staged_source = _with_month(rows).withColumn("keyed", keyed)
     (
-        staged_source.write.mode("overwrite")
+        rows.withColumn("keyed", keyed)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("keyed")
         .parquet(f"{root}/source")
@@ -214,41 +245,57 @@ def merge_fact(
         rejects.write.mode("overwrite").parquet(f"{root}/rejects/batch_id={batch_id}")
     source = source.where("keyed").drop("keyed")
 
-    if not exists(spark, f"{root}/data"):
-        write_partitioned(source, f"{root}/data", "purchase_month")
+    stored = _current(spark, root)
+    if not stored:
+        _replace_buckets(spark, root, source, set(range(buckets)), buckets)
         return
 
-    target = read_fact(spark, root)
-    touched = source.select("purchase_month")
-    if not month_is_stable:
-        matches = reduced_to(target.select(*FACT_KEYS, "purchase_month"), source, FACT_KEYS)
-        touched = touched.unionByName(matches.select("purchase_month"))
-    # At most one value per month in the table.
-    months = [row[0] for row in touched.distinct().collect()]
-    affected = F.col("purchase_month").isin([m for m in months if m is not None])
-    if None in months:
-        affected = affected | F.col("purchase_month").isNull()
-
-    merged = upsert(target.where(affected), source, FACT_KEYS, FACT_MEASURES)
-    write_partitioned(merged, f"{root}/staged", "purchase_month")
-    _install_staged(spark, root)
+    buckets = stored[0]["buckets"]
+    changed = source.select("order_id")
+    if of_orders is not None:
+        changed = changed.unionByName(of_orders.select("order_id"))
+    touched = {row[0] for row in changed.select(_bucket(buckets)).distinct().collect()}
+    target = _read(spark, root, [r for r in stored if r["bucket"] in touched])
+    if of_orders is not None:
+        gone = of_orders.select("order_id").distinct()
+        kept = target.join(gone, "order_id", "left_anti")
+        matched = reduced_to(rows_of_keys(target, gone, ["order_id"]), source, FACT_KEYS)
+        target = kept.unionByName(matched)
+    _replace_buckets(spark, root, upsert(target, source, FACT_KEYS, update), touched, buckets)
+
+
+def repair_fact(spark: SparkSession, root: str) -> None:
+    """Restore the grain of the stored fact, bucket by bucket; buckets without repeats stay."""
+    stored = _current(spark, root)
+    if not stored:
+        return
+    fact, buckets = read_fact(spark, root), stored[0]["buckets"]
+    repeats = fact.groupBy(*FACT_KEYS).count().where("count > 1").select(_bucket(buckets))
+    touched = {row[0] for row in repeats.distinct().collect()}
+    if touched:
+        rows = _read(spark, root, [r for r in stored if r["bucket"] in touched])
+        _replace_buckets(spark, root, repaired(rows), touched, buckets)
 
 
 def of_changed_orders(
     tables: Sequence[DataFrame], changed: DataFrame, ids_path: str
 ) -> list[DataFrame]:
-    """The tables' rows of the changed orders.
+    """The tables' rows of the changed orders; the first table is the orders.
 
     Every measure depends on one order only, so recomputing these orders from the full
     tables gives what recomputing everything would. The ids are written out once: they serve
-    each table, and their size is then known to the planner. Changes that carry their order's year confine the scans to those years.
+    each table, and their size is then known to the planner. Changes that carry their order's
+    year confine the scans to those years, and to the years that any stored version of these
+    orders has: an order that moved still has rows under the year it left.
     """
     columns = [c for c in ("order_id", ORDER_YEAR) if c in changed.columns]
     changed.select(*columns).distinct().write.mode("overwrite").parquet(ids_path)
     ids = changed.sparkSession.read.parquet(ids_path)
     if ORDER_YEAR in columns:
+        stored = rows_of_keys(tables[0].select(*columns), ids, ["order_id"])
         # One value per year in the tables; as literals they prune partitions.
-        years = [row[0] for row in ids.select(ORDER_YEAR).distinct().collect()]
+        found = ids.select(ORDER_YEAR).union(stored.select(ORDER_YEAR)).distinct()
+        years = [row[0] for row in found.collect()]
         if None not in years:
             tables = [table.where(F.col(ORDER_YEAR).isin(years)) for table in tables]
     return [rows_of_keys(table, ids, ["order_id"]) for table in tables]
@@ -257,11 +304,16 @@ def of_changed_orders(
 # --- dimensions ----------------------------------------------------------------------------
 
 
+def _latest(rows: DataFrame, key: str) -> DataFrame:
+    order = newest_first([c for c in rows.columns if c != "batch_id"])
+    if "batch_id" in rows.columns:
+        order.insert(1, F.col("batch_id").desc_nulls_last())
+    return keep_first(rows, [key], order)
+
+
 def dim_customers(customers: DataFrame) -> DataFrame:
-    latest = keep_first(customers, ["customer_id"], newest_first(customers.columns))
-    return latest.select(*DIM_CUSTOMERS)
+    return _latest(customers, "customer_id").select(*DIM_CUSTOMERS)
 
 
 def dim_products(products: DataFrame) -> DataFrame:
-    latest = keep_first(products, ["product_id"], newest_first(products.columns))
-    return latest.select(*DIM_PRODUCTS)
+    return _latest(products, "product_id").select(*DIM_PRODUCTS)

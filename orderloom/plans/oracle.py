@@ -102,15 +102,20 @@ ROLES = {
         UNION ALL
         SELECT * EXCLUDE (p_partkey) FROM r_product_deliveries""",
     "r_date_texts": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-               CASE o_orderpriority
-                 WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
-                 WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d')
-                 WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
-                 WHEN '4-NOT SPECIFIED' THEN 'not specified'
+        SELECT *, coalesce(TRY_CAST(order_purchase_timestamp AS TIMESTAMP),
+                           try_strptime(order_purchase_timestamp, '%m/%d/%Y'),
+                           try_strptime(order_purchase_timestamp, '%b %d %Y')) AS parsed
+        FROM (SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+               CASE o_orderkey % 7
+                 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+                 WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
+                 WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+                 WHEN 3 THEN strftime(o_orderdate, '%m/%d/%Y')
+                 WHEN 4 THEN strftime(o_orderdate, '%b %-d %Y')
+                 WHEN 5 THEN 'not specified'
                  ELSE strftime(o_orderdate, '%Y-13-%d') END AS order_purchase_timestamp,
                CAST(o_totalprice AS DECIMAL(18,2)) AS order_total
-        FROM orders""",
+        FROM orders)""",
     "r_paid": """
         SELECT order_id, CAST(SUM(payment_value) AS DECIMAL(28,2)) AS payment_value,
                MAX(payment_type) AS payment_type,
@@ -215,14 +220,13 @@ SQL["csv_roundtrip_customers"] = _with(
 )
 SQL["lenient_timestamp_parse"] = _with(
     ["r_date_texts"],
-    """SELECT order_id, order_purchase_timestamp,
-              TRY_CAST(order_purchase_timestamp AS TIMESTAMP) AS parsed FROM r_date_texts""",
+    "SELECT order_id, order_purchase_timestamp, parsed FROM r_date_texts",
 )
 SQL["bronze_partitioned_orders"] = _with(
     ["r_date_texts"],
     """SELECT CAST(year(t) AS INT) AS year, CAST(month(t) AS INT) AS month, COUNT(*) AS orders,
               CAST(SUM(order_total) AS DECIMAL(38,2)) AS order_total
-       FROM (SELECT *, TRY_CAST(order_purchase_timestamp AS TIMESTAMP) AS t FROM r_date_texts)
+       FROM (SELECT *, parsed AS t FROM r_date_texts)
        GROUP BY 1, 2""",
 )
 SQL["bronze_load_date_partition"] = f"""
@@ -260,15 +264,19 @@ SQL["dataset_routing"] = "\nUNION ALL\n".join(
     ]
 )
 SQL["cursor_page"] = """
-    SELECT 'customers' AS dataset, DATE '2024-01-01' + CAST((rn - 1) // 20 AS INT) AS ingestion_date,
-           md5('dummyjson_customer_' || CAST(c_custkey AS VARCHAR)) AS key
-    FROM (SELECT c_custkey, ROW_NUMBER() OVER (ORDER BY c_custkey) AS rn FROM customer)
-    WHERE rn <= 60
-    UNION ALL
-    SELECT 'products', DATE '2024-01-01' + CAST((rn - 1) // 30 AS INT),
-           md5('dummyjson_product_' || CAST(p_partkey AS VARCHAR))
-    FROM (SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_partkey) AS rn FROM part)
-    WHERE rn <= 90"""
+    WITH pulled AS (
+        SELECT 'customers' AS dataset, md5('dummyjson_customer_' || CAST(c_custkey AS VARCHAR)) AS key,
+               ROW_NUMBER() OVER (ORDER BY c_custkey) - 1 AS n, 20 AS page FROM customer
+        UNION ALL
+        SELECT 'products', md5('dummyjson_product_' || CAST(p_partkey AS VARCHAR)),
+               ROW_NUMBER() OVER (ORDER BY p_partkey) - 1, 30 FROM part
+        UNION ALL
+        SELECT 'regions', CAST(r_regionkey AS VARCHAR),
+               ROW_NUMBER() OVER (ORDER BY r_regionkey) - 1, 2 FROM region)
+    SELECT dataset, key, CAST(n // page * page AS INT) AS run,
+           [DATE '2024-01-01', DATE '2024-01-01', DATE '2024-01-02', DATE '2024-01-03'][n // page + 1]
+             AS ingestion_date
+    FROM pulled WHERE n // page < 4"""
 SQL["json_flatten_events"] = """
     SELECT event_id, event_type, CAST(props->>'k' AS INT) AS k FROM events"""
 SQL["customers_transform"] = _with(
@@ -323,41 +331,71 @@ SQL["silver_payments"] = _with(
               o.order_purchase_year AS partition_year
        FROM r_payments p JOIN r_orders o ON o.order_id = p.order_id""",
 )
+
+# The latest version over two runs, of rows that carry their run. A run keeps the latest row of a
+# key; the second one stores it if its content differs from what the first one stored.
+def _two_runs(rows: str, keys: str, order: str, content: str) -> str:
+    return f"""
+    , run0 AS ({_first(f"(SELECT * FROM {rows} WHERE run = 0)", keys, order)}),
+    run1 AS ({_first(f"(SELECT * FROM {rows} WHERE run = 1)", keys, order)}),
+    changed AS (SELECT run1.* FROM run1 LEFT JOIN run0 USING ({keys})
+                WHERE run0.run IS NULL OR {_differs("run0", "run1", content)}),
+    latest AS (SELECT * FROM run0 WHERE NOT EXISTS (
+                 SELECT 1 FROM changed c WHERE {_same("c", "run0", keys)})
+               UNION ALL SELECT * FROM changed)"""
+
+
+def _differs(a: str, b: str, columns: str) -> str:
+    return " OR ".join(f"{a}.{c.strip()} IS DISTINCT FROM {b}.{c.strip()}" for c in columns.split(","))
+
+
+def _same(a: str, b: str, columns: str) -> str:
+    return " AND ".join(f"{a}.{c.strip()} = {b}.{c.strip()}" for c in columns.split(","))
+
+
 SQL["silver_orders_incremental"] = _with(
     ["r_orders"],
-    f"""
-    , feed AS (
-        SELECT * FROM r_orders
-        UNION ALL
-        SELECT * REPLACE (CAST(ingestion_date + INTERVAL 365 DAY AS DATE) AS ingestion_date)
-        FROM r_orders WHERE ingestion_date IS NOT NULL AND order_status = 'P'),
-    run0 AS ({_first(
-        "(SELECT * FROM feed WHERE ingestion_date IS NULL OR ingestion_date < DATE '2001-01-01')",
-        "order_id", ORDER_ORDER)}),
-    run1 AS ({_first(
-        "(SELECT * FROM feed WHERE ingestion_date >= DATE '2001-01-01'"
-        " AND order_id NOT IN (SELECT order_id FROM run0))", "order_id", ORDER_ORDER)})
-    SELECT *, CAST(0 AS INT) AS batch_id FROM run0
-    UNION ALL SELECT *, CAST(1 AS INT) FROM run1""",
-)
-# Items stored by two runs; each run dedups what it takes up and skips stored keys.
+    """
+    , later AS (SELECT * REPLACE (CAST(ingestion_date + INTERVAL 365 DAY AS DATE) AS ingestion_date)
+                FROM r_orders WHERE ingestion_date IS NOT NULL),
+    feed AS (
+        SELECT *, CASE WHEN ingestion_date >= DATE '2001-01-01' THEN 1 ELSE 0 END AS run FROM (
+            SELECT * FROM r_orders
+            UNION ALL SELECT * REPLACE ('S' AS order_status) FROM later WHERE order_status = 'P'
+            UNION ALL SELECT * FROM later WHERE order_status = 'F'))"""
+    + _two_runs("feed", "order_id", ORDER_ORDER, "order_status")
+    + "SELECT * EXCLUDE (run), CAST(run AS INT) AS batch_id FROM latest",
+)
+SQL["silver_products_incremental"] = _with(
+    ["r_product_rows"],
+    """
+    , feed AS (SELECT *, CASE WHEN ingestion_date >= DATE '2001-01-01' THEN 1 ELSE 0 END AS run
+               FROM r_product_rows)"""
+    + _two_runs("feed", "product_id", PRODUCT_ORDER, "price, stock, rating")
+    + "SELECT * EXCLUDE (run), CAST(run AS INT) AS batch_id FROM latest",
+)
+SQL["late_dates_loaded"] = _with(
+    ["r_orders"],
+    """SELECT order_id, order_status,
+              CASE WHEN ingestion_date IS NOT NULL AND CAST(order_id AS BIGINT) % 10 = 0 THEN NULL
+                   ELSE ingestion_date END AS ingestion_date,
+              CAST(ingestion_date IS NOT NULL AND CAST(order_id AS BIGINT) % 5 = 0 AS INT) AS batch_id
+       FROM r_orders""",
+)
+# Items after two runs: an item is stored by the later one of its own run and its order's, and
+# its latest version counts.
 STORED_ITEMS = f"""
     , arrived AS (
         SELECT i.*, CASE WHEN i.shipping_limit_date < {SECOND} THEN 0 ELSE 1 END AS arrival_batch,
                CASE WHEN o.order_purchase_timestamp < {SECOND} THEN 0 ELSE 1 END AS order_batch
         FROM r_items i JOIN r_orders o ON o.order_id = i.order_id),
-    run0 AS ({_first(
-        "(SELECT * FROM arrived WHERE arrival_batch = 0)", "order_id, order_item_id", ITEM_ORDER)}),
-    stored0 AS (SELECT * FROM run0 WHERE order_batch = 0),
-    run1 AS ({_first(
-        "(SELECT * FROM run0 WHERE order_batch = 1"
-        " UNION ALL SELECT * FROM arrived WHERE arrival_batch = 1)",
-        "order_id, order_item_id", ITEM_ORDER)}),
-    stored1 AS (SELECT * FROM run1 r WHERE NOT EXISTS (
-        SELECT 1 FROM stored0 s
-        WHERE s.order_id = r.order_id AND s.order_item_id = r.order_item_id)),
-    stored AS (SELECT *, 0 AS landed_batch FROM stored0
-               UNION ALL SELECT *, 1 FROM stored1)"""
+    placed AS (SELECT *, greatest(arrival_batch, order_batch) AS run FROM arrived)""" + _two_runs(
+    "placed",
+    "order_id, order_item_id",
+    ITEM_ORDER,
+    "product_id, seller_id, shipping_limit_date, price, freight_value",
+) + """,
+    stored AS (SELECT *, run AS landed_batch FROM latest)"""
 
 SQL["late_items_pending"] = _with(
     ["r_items", "r_orders"],
@@ -381,6 +419,11 @@ SQL["conform_by_name"] = """
            DATE '2001-02-03' AS ingestion_date
     FROM customer"""
 
+SQL["conform_rejects"] = """
+    SELECT CAST(c_custkey AS VARCHAR) AS customer_id, 'customer_zip_code_prefix' AS "column",
+           lpad(CAST(c_custkey AS VARCHAR), 5, '0') || '-x' AS value, 'int' AS wanted
+    FROM customer WHERE c_mktsegment = 'BUILDING'"""
+
 # --- gold ------------------------------------------------------------------------------------
 
 SQL["order_items_join"] = _with(
@@ -501,3 +544,26 @@ SQL["daily_runs_fact"] = _with(
     stored_fact AS ({ROLES["r_fact"].replace("r_items", "stored")})
     SELECT {FACT_COLUMNS} FROM stored_fact""",
 )
+SQL["daily_runs_dims"] = _with(
+    ["r_customer_rows", "r_product_rows"],
+    f"""SELECT 'product' AS dimension, product_id AS key, product_category_name AS name,
+               CAST(NULL AS VARCHAR) AS city, price, stock, rating
+        FROM ({_first("r_product_rows", "product_id", PRODUCT_ORDER)})
+        UNION ALL
+        SELECT 'customer', customer_id, last_name, customer_city, NULL, NULL, NULL
+        FROM ({_first("r_customer_rows", "customer_id", CUSTOMER_ORDER)})""",
+)
+# The order's own run stays that of its first delivery, so the items stored are the same.
+SQL["stream_fact_order_moved"] = _with(
+    ["r_items", "r_orders", "r_paid"],
+    STORED_ITEMS
+    + f""",
+    timed AS (SELECT *, CASE WHEN ingestion_date IS NOT NULL AND order_purchase_timestamp < {SECOND}
+                            AND CAST(order_id AS BIGINT) % 3 = 0
+                          THEN order_purchase_timestamp + INTERVAL 14 MONTH
+                          ELSE order_purchase_timestamp END AS bought FROM r_orders),
+    moved AS (SELECT * EXCLUDE (bought) REPLACE (bought AS order_purchase_timestamp,
+                     CAST(year(bought) AS INT) AS order_purchase_year) FROM timed),
+    moved_fact AS ({ROLES["r_fact"].replace("r_items", "stored").replace("r_orders", "moved")})
+    SELECT {FACT_COLUMNS} FROM moved_fact""",
+)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from orderloom.operators.versions import latest_versions
 from orderloom.plans import gold, silver
-from orderloom.schemas import ORDER_YEAR, WAREHOUSE
+from orderloom.schemas import ORDER_YEAR, WAREHOUSE, extend
 from orderloom.session import run_together
 from orderloom.sinks.folders import publish
 from orderloom.streaming.autoload import autoload
@@ -16,30 +18,41 @@ from orderloom.streaming.fact import refresh_fact
 
 ENTITIES = [silver.PRODUCTS, silver.CUSTOMERS, silver.ORDERS]
 CHILDREN = [silver.ORDER_ITEMS, silver.PAYMENTS]
+TABLES = {table.name: table for table in [*ENTITIES, *CHILDREN]}
 
-# History and daily rows of each silver table, by table name.
-Feeds = dict[str, tuple[DataFrame, DataFrame]]
+# The history of each silver table, and the folder its daily deliveries arrive in, by name.
+Feeds = dict[str, tuple[DataFrame, str]]
 
 
-def load_silver(spark: SparkSession, lake: str, feeds: Feeds) -> None:
+def load_silver(
+    spark: SparkSession, lake: str, feeds: Feeds, files_per_batch: int | None = None
+) -> None:
     """All five tables; items and payments need the stored orders, so they come second."""
     for group in (ENTITIES, CHILDREN):
-        run_together(*[partial(silver.load, spark, lake, t, *feeds[t.name]) for t in group])
+        run_together(
+            *[partial(silver.load, spark, lake, t, *feeds[t.name], files_per_batch) for t in group]
+        )
+
+
+def _stored(name: str) -> T.StructType:
+    """A warehouse table keeps its versions, told apart by the batch that brought them."""
+    return extend(WAREHOUSE[name], ("batch_id", "int"))
 
 
 def load_warehouse_table(
-    spark: SparkSession, lake: str, table: silver.SilverTable
+    spark: SparkSession, lake: str, table: silver.SilverTable, files_per_batch: int | None = None
 ) -> StreamingQuery:
-    """New silver files of one table into its warehouse table."""
+    """New silver files of one table into its warehouse table; unfit values into its rejects."""
     return autoload(
         spark,
         f"{lake}/silver/{table.name}",
         table.stored,
-        WAREHOUSE[table.name],
+        _stored(table.name),
         warehouse_path(lake, table.name),
         f"{lake}/checkpoints/{table.name}",
-        where="partition_year IS NOT NULL" if table.dated else None,
         partition_by=ORDER_YEAR if table.dated else None,
+        files_per_batch=files_per_batch,
+        rejects=f"{lake}/warehouse_rejects/{table.name}",
     )
 
 
@@ -47,25 +60,35 @@ def warehouse_path(lake: str, name: str) -> str:
     return f"{lake}/warehouse/{name}"
 
 
+def _versions(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    return spark.read.schema(_stored(name)).parquet(warehouse_path(lake, name))
+
+
 def read_warehouse(spark: SparkSession, lake: str, name: str) -> DataFrame:
-    return spark.read.schema(WAREHOUSE[name]).parquet(warehouse_path(lake, name))
+    """The latest version of each key."""
+    latest = latest_versions(_versions(spark, lake, name), TABLES[name].keys)
+    return latest.select(*WAREHOUSE[name].names)
 
 
-def refresh_gold(spark: SparkSession, lake: str) -> None:
+def refresh_gold(spark: SparkSession, lake: str, files_per_batch: int | None = None) -> None:
     """Merge what changed into the fact, and replace the dimensions."""
     changing = {
-        name: (warehouse_path(lake, name), WAREHOUSE[name])
+        name: (warehouse_path(lake, name), _stored(name))
         for name in ("orders", "order_items", "payments")
     }
-    refresh_fact(spark, changing, f"{lake}/gold/fact_orders", f"{lake}/work/fact_orders")
-    customers = gold.dim_customers(read_warehouse(spark, lake, "customers"))
-    products = gold.dim_products(read_warehouse(spark, lake, "products"))
+    root, work = f"{lake}/gold/fact_orders", f"{lake}/work/fact_orders"
+    refresh_fact(spark, changing, root, work, files_per_batch)
+    customers = gold.dim_customers(_versions(spark, lake, "customers"))
+    products = gold.dim_products(_versions(spark, lake, "products"))
     publish(customers, f"{lake}/gold/dim_customers")
     publish(products, f"{lake}/gold/dim_products")
 
 
-def run(spark: SparkSession, lake: str, feeds: Feeds) -> None:
-    load_silver(spark, lake, feeds)
-    tables = [*ENTITIES, *CHILDREN]
-    run_together(*[partial(load_warehouse_table, spark, lake, table) for table in tables])
-    refresh_gold(spark, lake)
+def run(
+    spark: SparkSession, lake: str, feeds: Feeds, files_per_batch: int | None = None
+) -> None:
+    load_silver(spark, lake, feeds, files_per_batch)
+    run_together(
+        *[partial(load_warehouse_table, spark, lake, t, files_per_batch) for t in TABLES.values()]
+    )
+    refresh_gold(spark, lake, files_per_batch)

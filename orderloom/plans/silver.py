@@ -1,15 +1,17 @@
 """Bronze to silver: one incremental load for all five tables.
 
-A run writes one folder `batch_id=<n>`, which appears when it is complete, so a crash
-never leaves rows twice. Dated tables are partitioned by purchase year inside it;
-rows without a year lie in the NULL partition, out of the readers' sight. For items and
-payments those are children whose order is not known yet. They stay where they were written;
-the run that finds their order among the new ones stores them.
+The daily deliveries are a stream of files: its checkpoint knows which files were taken, so rows
+load whatever their date, late and undated ones too. A run writes one folder `batch_id=<n>` per
+batch of files, which appears when it is complete. A stored key that is delivered again with other
+content gets a further version; readers take the latest one. An unchanged delivery writes nothing.
+
+Dated tables are partitioned by purchase year inside a batch. Items and payments without a known
+order wait in a table of their own, which holds only what still waits. When an order moves to
+another purchase time, its stored items and payments get a version with the new one.
 """
 
 from __future__ import annotations
 
-import datetime
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,21 +19,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom import schemas
-from orderloom.operators.align import align_union, conform
+from orderloom.operators.align import conform
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.enrich import (
     reduced_to,
     rows_of_keys,
     with_order_time,
     with_purchase_year,
-    without_existing,
 )
-from orderloom.operators.marks import high_water_mark, not_before
-from orderloom.sinks.folders import complete, current, move, publish
+from orderloom.operators.versions import latest_versions, new_versions
+from orderloom.sinks.folders import complete, current, drop, ensure, move, publish
 from orderloom.sinks.parquet import write_flat, write_partitioned
+from orderloom.streaming.files import new_files
 
-# Per batch: the latest load date, and for children the last batch of orders they met.
-MARK = schemas.struct(("batch_id", "int"), ("mark", "date"), ("orders_batch", "int"))
+# The last batch of orders that a table's children met.
+MET = schemas.struct(("orders_batch", "int"))
 
 
 @dataclass(frozen=True)
@@ -89,148 +91,170 @@ def _root(lake: str, table: SilverTable) -> str:
     return f"{lake}/silver/{table.name}"
 
 
+def _batches(spark: SparkSession, lake: str, table: SilverTable) -> list[int]:
+    return complete(spark, _root(lake, table), "batch_id")
+
+
 def _stored(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
-    """All committed batches, hidden rows included."""
-    root = _root(lake, table)
-    done = complete(spark, root, "batch_id")
+    """All versions of all complete batches."""
+    done = _batches(spark, lake, table)
     if not done:
         return spark.createDataFrame([], table.stored)
-    return spark.read.schema(table.stored).parquet(root).where(F.col("batch_id") <= done[-1])
+    rows = spark.read.schema(table.stored).parquet(_root(lake, table))
+    return rows.where(F.col("batch_id") <= done[-1])
 
 
 def read_silver(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
+    """The latest version of each key."""
     rows = _stored(spark, lake, table)
-    return rows.where(F.col("partition_year").isNotNull()) if table.dated else rows
-
-
-def _one_per_key(rows: DataFrame, table: SilverTable) -> DataFrame:
-    return keep_first(rows, table.keys, newest_first(table.daily.names))
+    # Within one batch a key occurs once.
+    return rows if len(_batches(spark, lake, table)) < 2 else latest_versions(rows, table.keys)
 
 
-def _hidden(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
-    return _stored(spark, lake, table).where(F.col("partition_year").isNull())
+def _waiting_root(lake: str, table: SilverTable) -> str:
+    return f"{lake}/waiting/{table.name}"
 
 
 def pending(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
     """Children still without an order."""
-    stored = read_silver(spark, lake, table)
-    hidden = _one_per_key(_hidden(spark, lake, table), table)
-    return without_existing(hidden, stored, table.keys)
+    waiting = current(spark, _waiting_root(lake, table), table.daily)
+    return spark.createDataFrame([], table.daily) if waiting is None else waiting
 
 
-@dataclass(frozen=True)
-class Progress:
-    """Where the last run of a table ended. `orders_batch` is the last one children met."""
-
-    batch_id: int
-    mark: datetime.date | None
-    orders_batch: int | None
-
-
-def _marks(lake: str, table: SilverTable) -> str:
-    return f"{lake}/control/marks/{table.name}"
-
-
-def _progress(spark: SparkSession, lake: str, table: SilverTable) -> Progress | None:
-    """None before the first load. The marks may lag a batch behind the stored rows."""
-    done = complete(spark, _root(lake, table), "batch_id")
-    if not done:
-        return None
-    saved = current(spark, _marks(lake, table), MARK)
-    state = saved.first() if saved is not None else None
-    if state is None:
-        return Progress(done[-1], None, None)
-    return Progress(done[-1], state["mark"], state["orders_batch"])
+def _one_per_key(rows: DataFrame, table: SilverTable) -> DataFrame:
+    return keep_first(rows, table.keys, newest_first(table.daily.names))
 
 
-def _new_rows(
-    spark: SparkSession, lake: str, table: SilverTable, daily: DataFrame, mark: datetime.date | None
+def _moved_children(
+    spark: SparkSession, lake: str, table: SilverTable, met: int
 ) -> DataFrame:
-    """Daily rows from the mark's day on, less the children of that day already waiting."""
-    rows = conform(not_before(daily, mark), table.daily)
-    if not table.child_of_orders or mark is None:
-        return rows
-    waiting = _hidden(spark, lake, table).where(F.col("ingestion_date") == F.lit(mark))
-    return without_existing(_one_per_key(rows, table), waiting, table.keys)
-
-
-def _found_children(
-    spark: SparkSession, lake: str, table: SilverTable, orders_batch: int | None
+    """Stored children whose order has another purchase time since they met it."""
+    orders = _stored(spark, lake, ORDERS).select(
+        "order_id", "order_purchase_timestamp", "ingestion_date", "batch_id"
+    )
+    since = latest_versions(orders.where(F.col("batch_id") > met), ORDERS.keys)
+    before = rows_of_keys(orders.where(F.col("batch_id") <= met), since, ["order_id"])
+    was = F.col("order_purchase_timestamp").alias("_was")
+    times = latest_versions(before, ORDERS.keys).select("order_id", was)
+    moved = since.join(times, "order_id").where("order_purchase_timestamp <> _was")
+    return rows_of_keys(read_silver(spark, lake, table), moved, ["order_id"]).select(
+        *table.daily.names
+    )
+
+
+def _met(spark: SparkSession, lake: str, table: SilverTable) -> int | None:
+    saved = current(spark, f"{lake}/control/met/{table.name}", MET)
+    return None if saved is None else saved.first()["orders_batch"]
+
+
+def _dated_children(
+    spark: SparkSession, lake: str, table: SilverTable, incoming: DataFrame, work: str
 ) -> DataFrame:
-    """Waiting children whose order is among the batches of orders not met yet."""
+    """Children with the time of their order, those without one included; written out once."""
     orders = read_silver(spark, lake, ORDERS)
-    if orders_batch is not None:
-        orders = orders.where(F.col("batch_id") > orders_batch)
-    found = rows_of_keys(_hidden(spark, lake, table), orders, ["order_id"])
-    return found.select(*table.daily.names)
-
-
-def _holds_new_keys(incoming: DataFrame, stored: DataFrame, table: SilverTable) -> bool:
-    usable = incoming
-    if table.dated and not table.child_of_orders:
-        usable = incoming.where(F.year("order_purchase_timestamp").isNotNull())
-    keys = usable.select(*table.keys).distinct()
-    return not without_existing(keys, stored, table.keys).isEmpty()
-
-
-def _clean(
-    spark: SparkSession, lake: str, table: SilverTable, incoming: DataFrame, first_load: bool
-) -> DataFrame:
-    """Purchase time and year where the table has them, and the latest row of each key."""
-    if table.child_of_orders:
-        orders = read_silver(spark, lake, ORDERS)
-        if not first_load:
-            orders = reduced_to(orders, incoming, ["order_id"])
-        return with_order_time(incoming, orders, then=lambda rows: _one_per_key(rows, table))
-    return _one_per_key(with_purchase_year(incoming) if table.dated else incoming, table)
+    rows = incoming.unionByName(pending(spark, lake, table))
+    met, first_load = _met(spark, lake, table), not _batches(spark, lake, table)
+    if met is not None and _batches(spark, lake, ORDERS)[-1] > met:
+        rows = rows.unionByName(_moved_children(spark, lake, table, met))
+    rows = _one_per_key(rows, table)
+    if not first_load:
+        orders = reduced_to(orders, rows, ["order_id"])
+    write_flat(with_order_time(rows, orders), f"{work}/dated")
+    return spark.read.schema(table.stored).parquet(f"{work}/dated").drop("batch_id")
 
 
 def _write_batch(
     spark: SparkSession, root: str, table: SilverTable, rows: DataFrame, batch_id: int
-) -> str:
+) -> list[int]:
     """Write beside the batches, then move into place: readers and streams see whole batches."""
-    unfinished, path = f"{root}/_unfinished", f"{root}/batch_id={batch_id}"
+    unfinished = f"{root}/_unfinished"
     if table.dated:
         rows = rows.select(*table.silver.names, "partition_year")
         write_partitioned(rows, unfinished, "partition_year")
     else:
         write_flat(rows.select(*table.silver.names), unfinished)
-    move(spark, unfinished, path)
-    return path
+    if batch_id and spark.read.schema(table.silver).parquet(unfinished).isEmpty():
+        drop(spark, unfinished)
+        return []
+    move(spark, unfinished, f"{root}/batch_id={batch_id}")
+    return [batch_id]
+
+
+def _store(
+    spark: SparkSession, lake: str, table: SilverTable, incoming: DataFrame, work: str
+) -> list[int]:
+    """Store what is new in a batch of rows; the batch number, if there was anything."""
+    root, done = _root(lake, table), _batches(spark, lake, table)
+    if table.child_of_orders:
+        order_batches = _batches(spark, lake, ORDERS)
+        dated = _dated_children(spark, lake, table, incoming, work)
+        rows = dated.where(F.col("partition_year").isNotNull())
+    elif table.dated:
+        # An undated copy must not stand in for a dated one, so it goes before the choice.
+        dated = with_purchase_year(incoming).where(F.col("partition_year").isNotNull())
+        rows = _one_per_key(dated, table)
+    else:
+        rows = _one_per_key(incoming, table)
+    if done:
+        names = [*table.silver.names, *(["partition_year"] if table.dated else [])]
+        rows = new_versions(rows.select(*names), _stored(spark, lake, table), table.keys)
+    written = _write_batch(spark, root, table, rows, done[-1] + 1 if done else 0)
+    if table.child_of_orders:
+        waiting = dated.where(F.col("partition_year").isNull()).select(*table.daily.names)
+        publish(waiting, _waiting_root(lake, table))
+        met = order_batches[-1] if order_batches else None
+        state = spark.createDataFrame([(met,)], MET)
+        publish(state.coalesce(1), f"{lake}/control/met/{table.name}")
+    return written
+
+
+def _has_orders_to_meet(spark: SparkSession, lake: str, table: SilverTable) -> bool:
+    if not table.child_of_orders:
+        return False
+    batches, met = _batches(spark, lake, ORDERS), _met(spark, lake, table)
+    return bool(batches) and (met is None or batches[-1] > met)
 
 
 def load(
-    spark: SparkSession, lake: str, table: SilverTable, history: DataFrame, daily: DataFrame
-) -> int | None:
-    """Load what is new; the batch number, or None when there was nothing to do."""
-    root = _root(lake, table)
-    last = _progress(spark, lake, table)
-    # Orders stored later than this moment count as not met yet.
-    order_batches = complete(spark, _root(lake, ORDERS), "batch_id")
-
-    if last is None:
-        batch_id = 0
-        incoming = align_union(history, daily, table.daily, table.renames)
-        rows = _clean(spark, lake, table, incoming, first_load=True)
-        path = _write_batch(spark, root, table, rows, batch_id)
-        # The latest date of a key survives, so the stored rows tell the mark.
-        mark = high_water_mark(spark.read.schema(table.silver).parquet(path))
-    else:
-        batch_id = last.batch_id + 1
-        incoming = _new_rows(spark, lake, table, daily, last.mark)
-        if table.child_of_orders:
-            found = _found_children(spark, lake, table, last.orders_batch)
-            incoming = incoming.unionByName(found)
-        mark = high_water_mark(not_before(daily, last.mark)) or last.mark
-        stored = read_silver(spark, lake, table)
-        # The mark's own day may still hold keys that are not stored.
-        if mark == last.mark and not _holds_new_keys(incoming, stored, table):
-            return None
-        rows = _clean(spark, lake, table, incoming, first_load=False)
-        rows = without_existing(rows, stored, table.keys, batch_keys=incoming)
-        _write_batch(spark, root, table, rows, batch_id)
-
-    orders_batch = order_batches[-1] if order_batches else None
-    state = spark.createDataFrame([(batch_id, mark, orders_batch)], MARK)
-    publish(state.coalesce(1), _marks(lake, table))
-    return batch_id
+    spark: SparkSession,
+    lake: str,
+    table: SilverTable,
+    history: DataFrame,
+    daily: str,
+    files_per_batch: int | None = None,
+) -> list[int]:
+    """Load the history once and the files that are new in the folder `daily`.
+
+    Returns the numbers of the batches written. A crash repeats the batch of files it
+    interrupted, and rows that were stored by then are not new any more.
+    """
+    work = f"{lake}/work/silver/{table.name}"
+    written: list[int] = []
+
+    def store(incoming: DataFrame) -> None:
+        if not _batches(spark, lake, table):
+            renamed = history.withColumnsRenamed(table.renames)
+            incoming = conform(renamed, table.daily).unionByName(incoming)
+        written.extend(_store(spark, lake, table, incoming, work))
+
+    taken: list[int] = []
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        # Read once: what follows uses it several times, on the caller's session.
+        write_flat(conform(batch, table.daily), f"{work}/incoming")
+        store(spark.read.schema(table.daily).parquet(f"{work}/incoming"))
+        taken.append(epoch)
+
+    ensure(spark, daily)
+    query = (
+        new_files(spark, daily, table.daily, files_per_batch)
+        .writeStream.foreachBatch(take)
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    first_load = not _batches(spark, lake, table)
+    if not taken and (first_load or _has_orders_to_meet(spark, lake, table)):
+        store(spark.createDataFrame([], table.daily))
+    return written

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -26,12 +28,14 @@ EXPANSION = 4
 MB = 1024 * 1024
 LARGEST_PARTITION = 128 * MB
 SMALLEST_PARTITION = MB // 4
-MOST_PARTITIONS = 40_000
-SCAN_SIZE = "spark.sql.files.maxPartitionBytes"
-LARGEST_SCAN = 512 * MB
+# Limits on the number of tasks, which the driver has to keep account of. Where they take hold
+# (about 6 TB stored for shuffles, 25 TB for scans), partitions grow beyond 128 MB instead.
+MOST_PARTITIONS = 200_000
 MOST_SCAN_TASKS = 200_000
+SCAN_SIZE = "spark.sql.files.maxPartitionBytes"
 
 _fallback_roots: dict[str, str] = {}
+_sized: dict[tuple[str, str], int] = {}
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
@@ -40,31 +44,48 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_path: str) -> tuple[int, int]:
-    """Set scan and shuffle partitioning from the input's size.
+def stored_bytes(spark: SparkSession, input_path: str) -> int:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(input_path)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
+
+
+def shuffle_sizes(
+    stored: int,
+    cores: int,
+    most_partitions: int = MOST_PARTITIONS,
+    most_scan_tasks: int = MOST_SCAN_TASKS,
+) -> tuple[int, int, int]:
+    """Shuffle partition size, their starting count, and scan split, for an input's stored size.
 
     Shuffle partitions grow with the input up to 128 MB; small inputs still occupy every
     core. AQE merges what turns out smaller than the set size and splits what turns out
-    skewed. Scan splits grow beyond 128 MB only where there would be too many tasks.
+    skewed. Beyond the two limits partitions grow further; raise the limits with the driver.
     """
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(input_path)
-    files = path.getFileSystem(context._jsc.hadoopConfiguration())
-    stored = files.getContentSummary(path).getLength()
     decoded = stored * EXPANSION
-    cores = context.defaultParallelism
     size = min(LARGEST_PARTITION, max(SMALLEST_PARTITION, decoded // (4 * cores)))
-    count = min(MOST_PARTITIONS, max(cores, -(-decoded // LARGEST_PARTITION)))
+    size = max(size, -(-decoded // most_partitions))
+    count = max(cores, -(-decoded // max(size, LARGEST_PARTITION)))
+    return size, count, max(LARGEST_PARTITION, stored // most_scan_tasks)
+
+
+def prepare(
+    spark: SparkSession,
+    input_path: str,
+    most_partitions: int = MOST_PARTITIONS,
+    most_scan_tasks: int = MOST_SCAN_TASKS,
+) -> SparkSession:
+    """Settings and sizes for an input, whose files are listed once per application."""
+    apply_settings(spark)
+    key = (spark.sparkContext.applicationId, input_path)
+    if key not in _sized:
+        _sized[key] = stored_bytes(spark, input_path)
+    cores = spark.sparkContext.defaultParallelism
+    size, count, scan = shuffle_sizes(_sized[key], cores, most_partitions, most_scan_tasks)
     spark.conf.set(ADVISORY_SIZE, str(size))
     spark.conf.set(INITIAL_PARTITIONS, str(count))
-    scan = min(LARGEST_SCAN, max(LARGEST_PARTITION, stored // MOST_SCAN_TASKS))
     spark.conf.set(SCAN_SIZE, str(scan))
-    return size, count
-
-
-def prepare(spark: SparkSession, input_path: str) -> SparkSession:
-    apply_settings(spark)
-    size_shuffles(spark, input_path)
     return spark
 
 
@@ -78,7 +99,9 @@ def work_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     app = context.applicationId
     if app not in _fallback_roots:
-        _fallback_roots[app] = tempfile.mkdtemp(prefix="orderloom-")
+        root = tempfile.mkdtemp(prefix="orderloom-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        _fallback_roots[app] = root
     return _fallback_roots[app]
 
 
@@ -93,18 +116,13 @@ def run_together(*jobs: Callable[[], object]) -> list:
 
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
-    """A local-mode session for tests and the benchmark.
-
-    The local test files hold one row group each, which one task reads; a low broadcast
-    threshold makes their joins shuffle, and so use all cores.
-    """
+    """A local-mode session for tests and the benchmark, with Spark's own broadcast threshold."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("orderloom")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.autoBroadcastJoinThreshold", "512KB")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -64,14 +64,17 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     spark.catalog.refreshByPath(target)
 
 
-def replace_partitions(spark: SparkSession, staged: str, table: str) -> None:
-    """Move each staged partition folder into the place of the table's one.
+def numbers(spark: SparkSession, root: str, key: str) -> list[int]:
+    """The n of all folders `<root>/<key>=<n>`, written completely or not."""
+    context = spark.sparkContext
+    pattern = context._jvm.org.apache.hadoop.fs.Path(f"{root}/{key}=*")
+    files = pattern.getFileSystem(context._jsc.hadoopConfiguration())
+    found = files.globStatus(pattern) or []
+    return sorted(int(f.getPath().getName().split("=", 1)[1]) for f in found)
 
-    Can be repeated after an interruption: a partition leaves the staging folder only in the
-    move that completes it.
-    """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staged}/*=*")
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for entry in files.globStatus(path):
-        name = entry.getPath().getName()
-        move(spark, f"{staged}/{name}", f"{table}/{name}")
+
+def ensure(spark: SparkSession, path: str) -> None:
+    """Make the folder, so that a stream can wait for its first file."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +20,19 @@ def write_flat(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, *columns: str, sort_by: Sequence[str] = ()
+) -> None:
     """Replace the whole folder, whatever the session's partition overwrite mode.
 
-    The rebalancing exchange buys few and evenly sized files in each partition.
+    The rebalancing exchange buys few and evenly sized files in each partition. Rows sorted
+    within a file let later scans skip row groups by their minima and maxima.
     """
+    rows = spread(df, *columns)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*columns, *sort_by)
     (
-        spread(df, *columns)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("compression", "snappy")
         .partitionBy(*columns)
@@ -34,26 +40,35 @@ def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
-def with_year_month(df: DataFrame, column: str) -> DataFrame:
+def with_year_month(df: DataFrame, column: str, layouts: Sequence[str] = ()) -> DataFrame:
     """Parse the column leniently and add the two path columns; bad dates get NULL parts."""
     moment: Column = F.col(column)
     if dict(df.dtypes)[column] == "string":
-        moment = lenient_timestamp(moment)
+        moment = lenient_timestamp(moment, layouts)
     return df.withColumn(column, moment).withColumns(
         {"year": F.year(column), "month": F.month(column)}
     )
 
 
-def write_year_month(df: DataFrame, column: str, path: str) -> None:
-    write_partitioned(with_year_month(df, column), path, "year", "month")
+def write_year_month(
+    df: DataFrame, column: str, path: str, layouts: Sequence[str] = ()
+) -> None:
+    write_partitioned(with_year_month(df, column, layouts), path, "year", "month")
+
 
+def write_load_date(
+    df: DataFrame, path: str, day: datetime.date, run: int | None = None
+) -> None:
+    """One load-date partition, or one run's folder in it. An empty batch writes none.
 
-def write_load_date(df: DataFrame, path: str, day: datetime.date) -> None:
-    """One load-date partition. A rerun for the day replaces it; an empty batch writes none."""
+    Repeating a day (or a numbered run of a day) replaces what it wrote, and nothing else.
+    """
+    folders = ["ingestion_date"] if run is None else ["ingestion_date", "run"]
+    dated = df.withColumn("ingestion_date", F.lit(date_label(day)).cast("date"))
     (
-        df.withColumn("ingestion_date", F.lit(date_label(day)).cast("date"))
+        (dated if run is None else dated.withColumn("run", F.lit(run)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingestion_date")
+        .partitionBy(*folders)
         .parquet(path)
     )

@@ -34,16 +34,19 @@ class PagedSource:
     transform: Callable[[DataFrame], DataFrame]
 
 
-def page(source: PagedSource, cursor: Cursor) -> DataFrame:
-    """The next page in key order.
+def page(source: PagedSource, cursor: Cursor) -> DataFrame | None:
+    """The next page in key order, or None when no row is left.
 
     It starts after the last key seen instead of skipping `offset` rows, so each task sends
-    at most one page and the cost does not grow with the offset.
+    at most one page and the cost does not grow with the offset; nothing is counted. Rows that
+    share the page's last key all belong to it, else the next page would skip them.
     """
     rows = source.table
     if cursor.last_key is not None:
         rows = rows.where(F.col(source.key) > F.lit(cursor.last_key))
-    return rows.orderBy(source.key).limit(source.page_size)
+    keys = rows.select(source.key).dropna().orderBy(source.key).limit(source.page_size)
+    last = keys.agg(F.max(source.key)).first()[0]
+    return None if last is None else rows.where(F.col(source.key) <= F.lit(last))
 
 
 def advance(source: PagedSource, cursor: Cursor, pulled: DataFrame) -> Cursor:

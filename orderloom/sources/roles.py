@@ -153,6 +153,10 @@ class Roles:
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         )
 
+    def regions(self) -> DataFrame:
+        """A source so small that a few pulls exhaust it."""
+        return self.table("region").select(F.col("r_regionkey").cast("bigint").alias("id"))
+
     def users(self) -> DataFrame:
         """Customers as nested API records."""
         return self._people().select(
@@ -171,10 +175,10 @@ class Roles:
             ).alias("address"),
         )
 
-    def user_deliveries(self, until: str | None = None) -> DataFrame:
+    def user_deliveries(self, start: str = DAILY_START, until: str | None = None) -> DataFrame:
         """A user record is delivered again on every date the customer ordered."""
         dates = (
-            _between(self.table("orders"), "o_orderdate", DAILY_START, until)
+            _between(self.table("orders"), "o_orderdate", start, until)
             .select(
                 F.col("o_custkey").alias("id"),
                 F.col("o_orderdate").cast("date").alias("ingestion_date"),
@@ -212,10 +216,10 @@ class Roles:
             F.col("p_retailprice").cast(MONEY).alias("price"),
         )
 
-    def product_deliveries(self, until: str | None = None) -> DataFrame:
+    def product_deliveries(self, start: str = DAILY_START, until: str | None = None) -> DataFrame:
         """A product record is delivered again for each year it shipped in."""
         per_year = (
-            _between(self.table("lineitem"), "l_shipdate", DAILY_START, until)
+            _between(self.table("lineitem"), "l_shipdate", start, until)
             .groupBy(F.col("l_partkey").alias("id"), F.year("l_shipdate").alias("shipped_year"))
             .agg(
                 F.sum("l_quantity").cast("int").alias("stock"),

@@ -20,6 +20,8 @@ class DatasetSpec:
     partition_column: str | None = None
     excluded: bool = False
     multiline: bool = False
+    # Further layouts of the partition column's text, beside ISO.
+    timestamp_layouts: tuple[str, ...] = ()
 
     @property
     def action(self) -> str:
@@ -43,7 +45,7 @@ def land(spark: SparkSession, spec: DatasetSpec, source_root: str, bronze_root:
     rows = read_csv(spark, f"{source_root}/{spec.file}", spec.schema, spec.multiline)
     path = f"{bronze_root}/{spec.name}"
     if spec.partition_column:
-        write_year_month(rows, spec.partition_column, path)
+        write_year_month(rows, spec.partition_column, path, spec.timestamp_layouts)
     else:
         write_flat(rows, path)
     return path

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from orderloom.plans import bronze
 from orderloom.schemas import DAILY_CUSTOMERS, DAILY_PRODUCTS, struct
-from orderloom.session import new_folder, size_shuffles, work_root
-from orderloom.sinks.folders import complete, current, publish
+from orderloom.session import new_folder, prepare, shuffle_sizes, work_root
+from orderloom.sinks.folders import complete, current, drop, publish
 from orderloom.sinks.parquet import write_load_date, write_year_month
 from orderloom.sinks.state import load_state, save_state
 from orderloom.sources.files import read_csv, read_json, read_parquet_or_none
@@ -60,6 +60,16 @@ def test_partitioned_landing_keeps_rows_with_bad_dates(spark, lake):
     ]
 
 
+def test_landing_reads_the_layouts_its_spec_declares(spark, lake):
+    text_file(spark, f"{lake}/in/orders.csv", "id,at\n1,10/02/2017\n2,Oct 2 2017\n3,2017-10-02\n")
+    schema = struct(("id", "int"), ("at", "string"))
+    spec = DatasetSpec(
+        "orders.csv", "orders", schema, partition_column="at", timestamp_layouts=("dd/MM/yyyy", "MMM d yyyy")
+    )
+    path = land(spark, spec, f"{lake}/in", f"{lake}/out")
+    assert rows(spark.read.parquet(path), "id", "year", "month") == [(1, 2017, 2), (2, 2017, 10), (3, 2017, 10)]
+
+
 def test_year_month_write_takes_timestamps_too(spark, lake):
     df = spark.createDataFrame([(dt.datetime(2020, 2, 3),)], "at TIMESTAMP")
     write_year_month(df, "at", f"{lake}/t")
@@ -113,21 +123,41 @@ def test_products_keep_lengths_and_depth(spark):
 
 def test_pages_follow_the_cursor_until_the_source_is_exhausted(spark, lake):
     source = PagedSource("users", spark.range(1, 6), "id", 2, "customers", lambda page: page)
-    for day in range(1, 6):
+    for n, day in enumerate((1, 1, 2, 3, 4)):  # two pulls on the first day
         landed = bronze.pull_pages(spark, [source], lake, dt.date(2024, 1, day))
-        assert landed == (["customers"] if day <= 3 else [])
-    assert rows(spark.read.parquet(f"{lake}/bronze/daily/customers"), "ingestion_date", "id") == [
-        (dt.date(2024, 1, 1), 1),
-        (dt.date(2024, 1, 1), 2),
-        (dt.date(2024, 1, 2), 3),
-        (dt.date(2024, 1, 2), 4),
-        (dt.date(2024, 1, 3), 5),
+        assert landed == (["customers"] if n < 3 else [])
+    assert rows(spark.read.parquet(f"{lake}/bronze/daily/customers"), "ingestion_date", "run", "id") == [
+        (dt.date(2024, 1, 1), 0, 1),
+        (dt.date(2024, 1, 1), 0, 2),
+        (dt.date(2024, 1, 1), 2, 3),
+        (dt.date(2024, 1, 1), 2, 4),
+        (dt.date(2024, 1, 2), 4, 5),
     ]
     # The cursor moved by whole pages, past the end of a source of five.
     cursor = cursors_from(current(spark, f"{lake}/control/cursors"))["users"]
     assert (cursor.offset, cursor.last_key) == (6, 5)
 
 
+def test_an_interrupted_pull_replaces_its_own_page_only(spark, lake):
+    source = PagedSource("users", spark.range(1, 8), "id", 2, "customers", lambda page: page)
+    day = dt.date(2024, 1, 1)
+    bronze.pull_pages(spark, [source], lake, day)
+    bronze.pull_pages(spark, [source], lake, day)
+    drop(spark, f"{lake}/control/cursors/v=2")  # the second pull's cursor was never saved
+    bronze.pull_pages(spark, [source], lake, day)
+    bronze.pull_pages(spark, [source], lake, day)
+    landed = spark.read.parquet(f"{lake}/bronze/daily/customers")
+    assert rows(landed, "id") == [(n,) for n in range(1, 7)]
+
+
+def test_rows_that_share_a_key_at_a_page_border_stay_together(spark, lake):
+    table = spark.createDataFrame([(1,), (2,), (2,), (2,), (3,)], "id BIGINT")
+    source = PagedSource("users", table, "id", 2, "customers", lambda page: page)
+    for day in (1, 2, 3):
+        bronze.pull_pages(spark, [source], lake, dt.date(2024, 1, day))
+    assert rows(spark.read.parquet(f"{lake}/bronze/daily/customers"), "id") == [(1,), (2,), (2,), (2,), (3,)]
+
+
 def test_state_is_created_once_and_replaced_whole(spark, lake):
     initial = spark.createDataFrame([("users", 0)], "source STRING, offset BIGINT")
     assert rows(load_state(spark, lake, initial)) == [("users", 0)]
@@ -147,5 +177,11 @@ def test_a_table_can_be_replaced_by_a_query_on_itself(spark, lake):
 
 def test_work_folder_and_shuffle_size(spark):
     assert new_folder(spark, "x").startswith(work_root(spark))
-    size, count = size_shuffles(spark, "/root/testdata/sf0.001")
-    assert size >= 256 * 1024 and count >= 1
+    assert shuffle_sizes(10_000, 8) == (256 * 1024, 8, 128 << 20)
+    # Partitions stay at 128 MB until there would be too many, then they grow.
+    tera = 1 << 40
+    assert shuffle_sizes(tera, 1000)[:2] == (128 << 20, 4 * tera // (128 << 20))
+    size, count, _ = shuffle_sizes(100 * tera, 1000, most_partitions=100_000)
+    assert size == -(-4 * tera // 1000) and count <= 100_000
+    prepare(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 << 20)

@@ -5,8 +5,7 @@ import pytest
 
 from orderloom import schemas
 from orderloom.plans import analytics, gold
-from orderloom.sinks.folders import exists
-from orderloom.sinks.parquet import write_partitioned
+from orderloom.sinks.folders import current
 from tests.conftest import rows
 
 T0 = dt.datetime(2018, 3, 1, 12)
@@ -103,17 +102,6 @@ def test_repeated_product_keeps_the_first_item(spark, parts):
     assert rows(fact, "product_id", "price") == [("p", D("9.00"))]
 
 
-def test_hot_order_takes_the_split_join(spark, fan_out, monkeypatch):
-    from orderloom.operators import skew
-
-    plain = rows(gold.fact_orders(*fan_out))
-    plain_ref = rows(gold.fact_orders_ref(*fan_out))
-    monkeypatch.setattr(skew, "estimated_bytes", lambda df: 2**40)
-    monkeypatch.setattr(skew, "hot_keys", lambda df, keys, hot_rows: df.select(*keys).distinct())
-    assert rows(gold.fact_orders(*fan_out)) == plain
-    assert rows(gold.fact_orders_ref(*fan_out)) == plain_ref
-
-
 def test_repair_restores_the_grain(spark):
     values = [
         ("o", "c", "p", T0, "2018", D("2.00"), D("0.00"), D("5.00"), "x", 1),
@@ -149,17 +137,18 @@ def test_reports(spark, fan_out):
 
 
 def test_changed_orders_prune_by_year_only_when_known(spark, lake):
-    table = spark.createDataFrame(
-        [("a", "2017"), ("b", "2018"), ("c", None)], "order_id STRING, order_purchase_year STRING"
-    )
-    changed = spark.createDataFrame([("b", "2018"), ("b", "2018")], table.schema)
-    (found,) = gold.of_changed_orders([table], changed, f"{lake}/ids")
-    assert rows(found) == [("b", "2018")]
-    changed = spark.createDataFrame([("b", "2018"), ("c", None)], table.schema)
-    (found,) = gold.of_changed_orders([table], changed, f"{lake}/ids2")
-    assert rows(found) == [("b", "2018"), ("c", None)]
-    (found,) = gold.of_changed_orders([table], changed.select("order_id"), f"{lake}/ids3")
-    assert rows(found) == [("b", "2018"), ("c", None)]
+    kind = "order_id STRING, order_purchase_year STRING"
+    table = spark.createDataFrame([("a", "2017"), ("b", "2018"), ("c", None)], kind)
+    found = lambda changed, path: rows(gold.of_changed_orders([table], changed, f"{lake}/{path}")[0])
+    assert found(spark.createDataFrame([("b", "2018"), ("b", "2018")], kind), "1") == [("b", "2018")]
+    changed = spark.createDataFrame([("b", "2018"), ("c", None)], kind)
+    assert found(changed, "2") == [("b", "2018"), ("c", None)]
+    assert found(changed.select("order_id"), "3") == [("b", "2018"), ("c", None)]
+    # Rows under a year that the order has left are found by the order's other versions.
+    orders = spark.createDataFrame([("a", "2017"), ("a", "2019")], kind)
+    payments = spark.createDataFrame([("a", "2017"), ("z", "2017")], kind)
+    changed = spark.createDataFrame([("a", "2019")], kind)
+    assert rows(gold.of_changed_orders([orders, payments], changed, f"{lake}/4")[1]) == [("a", "2017")]
 
 
 # --- merge ---------------------------------------------------------------------------------
@@ -198,49 +187,100 @@ def test_merge_updates_inserts_and_keeps_the_rest(spark, lake):
     for batch_id in (1, 2):  # the second time changes nothing
         gold.merge_fact(spark, lake, batch, batch_id)
         stored = gold.read_fact(spark, lake)
-        assert rows(stored, "order_id", "price", "payment_value", "purchase_month") == [
-            ("a", None, D("9.00"), 201801),
-            ("b", D("2.00"), D("1.00"), 201801),
-            ("c", D("4.00"), D("1.00"), 201802),
-            ("d", D("5.00"), D("1.00"), 201802),
+        assert rows(stored, "order_id", "price", "payment_value", "order_purchase_timestamp") == [
+            ("a", None, D("9.00"), JAN),
+            ("b", D("2.00"), D("1.00"), JAN),
+            ("c", D("4.00"), D("1.00"), FEB),
+            ("d", D("5.00"), D("1.00"), FEB),
         ]
         rejects = spark.read.parquet(f"{lake}/rejects/batch_id={batch_id}")
         assert rows(rejects, "order_id", "product_id") == [("e", None)]
 
 
-def test_merge_rewrites_touched_months_only(spark, lake):
-    gold.merge_fact(
-        spark, lake, facts(spark, fact_row("a", "p", JAN, "1.00"), fact_row("b", "p", FEB, "2.00")), 0
-    )
-
-    def files(month):
-        return sorted(f for f in gold.read_fact(spark, lake).inputFiles() if f"={month}/" in f)
-
-    january, february = files(201801), files(201802)
-    batch = facts(spark, fact_row("b", "p", FEB, "7.00"))
-    gold.merge_fact(spark, lake, batch, 1, month_is_stable=True)
-    assert files(201801) == january and files(201802) != february
-    assert rows(gold.read_fact(spark, lake), "order_id", "price") == [
-        ("a", D("1.00")),
-        ("b", D("7.00")),
+def test_whole_orders_replace_what_is_stored_of_them(spark, lake):
+    first = [fact_row("a", "p", JAN, "1.00"), fact_row("a", "q", JAN, "2.00"), fact_row("b", "p", JAN, "3.00")]
+    gold.merge_fact(spark, lake, facts(spark, *first), 0)
+    changed = spark.createDataFrame([("a",), ("gone",)], "order_id STRING")
+    batch = facts(spark, fact_row("a", "p", FEB, "4.00"))
+    columns = ["order_purchase_timestamp", *schemas.FACT_MEASURES]
+    gold.merge_fact(spark, lake, batch, 1, of_orders=changed, update=columns)
+    stored = gold.read_fact(spark, lake)
+    assert rows(stored, "order_id", "product_id", "order_purchase_timestamp", "price") == [
+        ("a", "p", FEB, D("4.00")),
+        ("b", "p", JAN, D("3.00")),
     ]
-
-
-def test_an_interrupted_install_is_finished_first(spark, lake):
+    # The last row of a bucket may go, too.
+    gold.merge_fact(spark, lake, batch.where("false"), 2, of_orders=changed)
+    assert rows(gold.read_fact(spark, lake), "order_id") == [("b",)]
+
+
+def test_merge_of_one_order_rewrites_one_bucket(spark, lake):
+    many = [fact_row(f"o{i}", "p", JAN, "1.00") for i in range(40)]
+    gold.merge_fact(spark, lake, facts(spark, *many), 0, buckets=8)
+    files = set(gold.read_fact(spark, lake).inputFiles())
+    gold.merge_fact(spark, lake, facts(spark, fact_row("o7", "p", FEB, "7.00")), 1)
+    after = set(gold.read_fact(spark, lake).inputFiles())
+    assert len(files) > 4 and len(files - after) == len(after - files) == 1
+    assert rows(gold.read_fact(spark, lake).where("price > 1"), "order_id") == [("o7",)]
+    assert gold.read_fact(spark, lake).count() == 40
+
+
+def test_readers_see_the_old_fact_or_the_new_one(spark, lake, monkeypatch):
+    many = [fact_row(f"o{i}", "p", JAN, "1.00") for i in range(20)]
+    gold.merge_fact(spark, lake, facts(spark, *many), 0, buckets=4)
+    before = gold.read_fact(spark, lake)
+    counts = []
+    plain = gold.publish
+
+    def publish(df, root):
+        # All data is written; nothing is replaced yet.
+        counts.append((gold.read_fact(spark, lake).count(), before.count()))
+        return plain(df, root)
+
+    monkeypatch.setattr(gold, "publish", publish)
+    again = [fact_row(f"o{i}", "p", JAN, "2.00") for i in range(20)]
+    gold.merge_fact(spark, lake, facts(spark, *again, fact_row("new", "p", JAN, "2.00")), 1)
+    assert counts == [(20, 20), (21, 20)]
+    assert before.count() == 20 and gold.read_fact(spark, lake).count() == 21
+
+
+def test_an_interrupted_merge_is_written_again(spark, lake, monkeypatch):
     gold.merge_fact(spark, lake, facts(spark, fact_row("a", "p", JAN, "1.00")), 0)
-    # A complete staging folder whose months were not moved yet.
-    staged = gold._with_month(facts(spark, fact_row("a", "p", JAN, "8.00")))
-    write_partitioned(staged, f"{lake}/staged", "purchase_month")
-    gold.merge_fact(spark, lake, facts(spark, fact_row("b", "p", FEB, "2.00")), 1)
-    assert rows(gold.read_fact(spark, lake), "order_id", "price") == [
-        ("a", D("8.00")),
-        ("b", D("2.00")),
+    batch = facts(spark, fact_row("a", "p", JAN, "8.00"), fact_row("b", "p", FEB, "2.00"))
+    with monkeypatch.context() as patch:
+        patch.setattr(gold, "publish", lambda df, root: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            gold.merge_fact(spark, lake, batch, 1)
+    assert rows(gold.read_fact(spark, lake), "order_id", "price") == [("a", D("1.00"))]
+    gold.merge_fact(spark, lake, batch, 1)
+    assert rows(gold.read_fact(spark, lake), "order_id", "price") == [("a", D("8.00")), ("b", D("2.00"))]
+
+
+def test_replaced_buckets_go_after_one_more_merge(spark, lake):
+    for n in range(4):
+        gold.merge_fact(spark, lake, facts(spark, fact_row("a", "p", JAN, f"{n}.00")), n)
+    generations = spark.read.parquet(f"{lake}/data").select("generation").distinct()
+    assert rows(generations) == [(2,), (3,)]
+    assert current(spark, f"{lake}/current", gold.CURRENT).count() == 1
+
+
+def test_the_stored_fact_is_repaired_in_place(spark, lake):
+    repeated = [
+        fact_row("a", "p", JAN, "1.00"),
+        fact_row("a", "p", FEB, "2.00"),
+        fact_row("b", "p", JAN, "3.00"),
     ]
-    assert not exists(spark, f"{lake}/staged")
+    gold.merge_fact(spark, lake, facts(spark, *repeated), 0)
+    gold.repair_fact(spark, lake)
+    stored = rows(gold.read_fact(spark, lake), "order_id", "price")
+    assert stored == [("a", D("2.00")), ("b", D("3.00"))]
+    files = gold.read_fact(spark, lake).inputFiles()
+    gold.repair_fact(spark, lake)
+    assert gold.read_fact(spark, lake).inputFiles() == files
 
 
 def test_rows_without_a_purchase_time_are_merged_too(spark, lake):
     undated = facts(spark, ("a", "c", "p", None, None, D("1.00"), D("0.00"), D("1.00"), "x", 1))
     gold.merge_fact(spark, lake, undated, 0)
     gold.merge_fact(spark, lake, undated, 1)
-    assert rows(gold.read_fact(spark, lake), "order_id", "purchase_month") == [("a", None)]
+    assert rows(gold.read_fact(spark, lake), "order_id", "order_purchase_timestamp") == [("a", None)]

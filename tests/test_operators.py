@@ -7,13 +7,14 @@ from pyspark.sql import types as T
 
 from orderloom.functions.keys import CUSTOMER_NAMESPACE, surrogate_key, text_key
 from orderloom.functions.scalars import after_days, lenient_timestamp, list_length, money
-from orderloom.operators.align import align_union, conform
+from orderloom.operators.align import align_union, bad_values, conform
 from orderloom.operators.dedup import keep_first, newest_first
-from orderloom.operators.enrich import with_order_time, without_existing
+from orderloom.operators.enrich import with_order_time
 from orderloom.operators.groups import with_group_measures
 from orderloom.operators.marks import high_water_mark, newer_than, not_before
-from orderloom.operators.skew import hot_keys, join_one_per_key
+from orderloom.operators.skew import join_one_per_key
 from orderloom.operators.upsert import upsert
+from orderloom.operators.versions import latest_versions, new_versions
 from orderloom.schemas import WAREHOUSE, struct
 from tests.conftest import rows
 
@@ -52,6 +53,16 @@ def test_scalars(spark):
     )
 
 
+def test_declared_layouts_are_tried_in_order(spark):
+    texts = ["2017-10-02 10:56:33", "2017-10-02", "10/02/2017", "Oct 2 2017", "2017/10/02", "never", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    read = lambda *layouts: [r[0] for r in df.select(lenient_timestamp(F.col("t"), layouts)).collect()]
+    day = dt.datetime(2017, 10, 2)
+    assert read() == [dt.datetime(2017, 10, 2, 10, 56, 33), day, None, None, None, None, None]
+    assert read("MM/dd/yyyy", "MMM d yyyy", "yyyy/MM/dd")[2:] == [day, day, day, None, None]
+    assert read("dd/MM/yyyy")[2] == dt.datetime(2017, 2, 10)
+
+
 # --- conform and union ---------------------------------------------------------------------
 
 
@@ -86,6 +97,15 @@ def test_conform_reads_columns_with_dots(spark):
     assert rows(conform(df, target).toDF("ab")) == [(1,)]
 
 
+def test_bad_values_are_listed_or_stop_the_job(spark):
+    df = spark.createDataFrame([("c1", "1-2", "x"), ("c2", "7", None)], "ID STRING, n STRING, d STRING")
+    target = struct(("id", "string"), ("n", "int"), ("d", "date"), ("absent", "int"))
+    assert rows(bad_values(df, target, "ID")) == [("c1", "d", "x", "date"), ("c1", "n", "1-2", "int")]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(df, target, on_bad="fail").collect()
+    assert rows(conform(df.where("ID = 'c2'"), target, on_bad="fail")) == [("c2", 7, None, None)]
+
+
 def test_union_casts_both_sides_before_meeting(spark):
     history = spark.createDataFrame([(12, "x", 2017)], "zip INT, old_name STRING, year INT")
     daily = spark.createDataFrame([("a-1", "y", DAY)], "zip STRING, name STRING, ingestion_date DATE")
@@ -156,27 +176,21 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_keys_join_like_the_others(spark, how):
     many, one = skewed(spark)
-    assert rows(hot_keys(many, ["k"], 100)) == [("hot",)]
-    expected = many.join(one, ["k"], how)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    expected = rows(many.join(one, ["k"], how))
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {key: spark.conf.get(key) for key in forced}
     try:
-        for hot_rows in (100, 10_000):
-            split = join_one_per_key(many, one, ["k"], how, hot_rows=hot_rows, small_bytes=0)
-            assert split.columns == expected.columns
-            assert rows(split) == rows(expected)
-        calls = []
-        join_one_per_key(many, one, ["k"], how, then=lambda d: calls.append(1) or d, small_bytes=0)
-        assert len(calls) == (3 if how == "left" else 2)
+        for key, value in forced.items():
+            spark.conf.set(key, value)
+        assert rows(join_one_per_key(many.repartition(8), one, ["k"], how)) == expected
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-
-
-def test_small_inputs_take_the_plain_join(spark):
-    many, one = skewed(spark)
-    calls = []
-    join_one_per_key(many, one, ["k"], then=lambda d: calls.append(1) or d)
-    assert calls == [1]
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_children_without_an_order_keep_a_null_year(spark):
@@ -190,10 +204,25 @@ def test_children_without_an_order_keep_a_null_year(spark):
     )
 
 
-def test_only_unknown_keys_pass(spark):
-    batch = spark.createDataFrame([("a", 1), ("b", 2)], "k STRING, v INT")
-    table = spark.createDataFrame([("b", 9), ("c", 9)], "k STRING, v INT")
-    assert rows(without_existing(batch, table, ["k"])) == [("a", 1)]
+def test_only_rows_that_tell_something_new_pass(spark):
+    d = [dt.date(2024, 1, n) for n in range(1, 6)]
+    kind = "k STRING, v INT, ingestion_date DATE"
+    stored = spark.createDataFrame(
+        [("a", 1, d[0], 0), ("a", 2, d[2], 1), ("b", 1, None, 0), ("c", 1, d[1], 0)],
+        f"{kind}, batch_id INT",
+    )
+
+    def new(*values):
+        return rows(new_versions(spark.createDataFrame(list(values), kind), stored, ["k"]))
+
+    assert new(("a", 2, d[3]), ("b", 1, d[0]), ("c", 1, d[1])) == []
+    assert new(("a", 1, d[3]), ("b", 2, d[0]), ("x", 1, None)) == [
+        ("a", 1, d[3]), ("b", 2, d[0]), ("x", 1, None)
+    ]
+    # Older than the latest version: new unless that day's content is known.
+    assert new(("a", 1, d[0])) == [] and new(("a", 3, d[0])) == [("a", 3, d[0])]
+    assert new(("a", 3, d[2])) == [("a", 3, d[2])]
+    assert rows(latest_versions(stored, ["k"]), "k", "v") == [("a", 2), ("b", 1), ("c", 1)]
 
 
 def test_group_measures_equal_a_window(spark):

@@ -4,7 +4,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from orderloom.operators import skew
 from tests.test_contract import SF_DIR, TABLES
 
 NAMES = [
@@ -14,6 +13,7 @@ NAMES = [
     "payment_windows",
     "silver_order_items",
     "late_items_pending",
+    "fact_merge",
 ]
 
 
@@ -31,13 +31,15 @@ def skewed_dir(tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_hot_order(spark, skewed_dir, name, monkeypatch):
-    how, then, *_ = skew.join_one_per_key.__defaults__
-    monkeypatch.setattr(skew.join_one_per_key, "__defaults__", (how, then, 500, 0))
-    monkeypatch.setattr(skew, "broadcast_limit", lambda df: -1)
-    df = contract.queries()[name](spark, skewed_dir)
-    columns = sorted(df.columns)
-    actual = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+def test_hot_order(spark, skewed_dir, name):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = contract.queries()[name](spark, skewed_dir)
+        columns = sorted(df.columns)
+        actual = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     db = duckdb.connect()
     for table in TABLES:
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{skewed_dir}/{table}.parquet'")
