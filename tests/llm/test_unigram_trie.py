@@ -64,6 +64,7 @@ def test_random_words_share_prefixes_and_limits_change_nothing(monkeypatch):
     assert len(trie._forward) < sum(len(w) + 1 for w in words)
     monkeypatch.setattr(ut, "MOST_NODES", 50)
     monkeypatch.setattr(ut, "LONG_WORD", 12)
+    monkeypatch.setattr(ut, "MOST_TERMINALS", 30)
     small = ut.Trie(scores)
     assert [small.best(w.encode()) for w in words] == expected
     assert len(small._forward) < 100
