@@ -11,6 +11,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 # bytes.split() cuts at exactly these characters, so the two forms of "word" agree.
 WORD = r"[^\x20\x09-\x0D]+"
+ROWS_PER_FILE = 1_000_000
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -18,10 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: lost executors cost no recomputation."""
+def staged(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """Write to the shared folder and read back: lost executors cost no recomputation.
+
+    `rows` is about how many there are, where that is known: small tables then take few files.
+    """
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
+    if rows is not None:
+        files = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE))
+        df = df.coalesce(files)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

@@ -40,17 +40,19 @@ def _mark(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), sums).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, n_links: int | None = None) -> DataFrame:
     """(vertex, root): every vertex of `links` with the smallest vertex it reaches.
 
     Self links, NULL ends, repeated and reversed links change nothing; no links give no rows.
+    `n_links` is about how many there are, if that is known.
     """
     current = staged(
-        _tidy(links.toDF("u", "v").where("u IS NOT NULL AND v IS NOT NULL")), "links"
+        _tidy(links.toDF("u", "v").where("u IS NOT NULL AND v IS NOT NULL")), "links", n_links
     )
     before = _mark(current)
     while before[0]:
-        current = staged(_tidy(_small_star(_tidy(_large_star(current)))), "links")
+        step = _tidy(_small_star(_tidy(_large_star(current))))
+        current = staged(step, "links", before[0])
         after = _mark(current)
         if after == before:
             break

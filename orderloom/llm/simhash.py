@@ -186,8 +186,10 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFram
         ),
         "fingerprints",
     )
-    distinct = staged(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp")))
+    least = own.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = staged(least, "distinct", own.count())
+    # Links beyond a spanning forest are few, so there are about as many as fingerprints at most.
+    roots = components(links(distinct.select("fp")), distinct.count())
     rooted = distinct.join(roots, distinct["fp"] == roots["vertex"], "left").select(
         F.col("fp").alias("of"), "least", F.coalesce("root", "fp").alias("root")
     )
