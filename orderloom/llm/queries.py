@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import arc_warc, context_tree, curriculum, decontaminate, line_quality, simhash
-from orderloom.llm import oracle, records, unigram_trie, url_cascade
+from orderloom.llm import oracle, records, unigram_trie, url_cascade, weak_pii
 from orderloom.llm.common import table
 
 
+def op1_pii_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_pii.find(table(spark, sf_dir, "documents"))
+
+
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = (
         "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"
@@ -83,6 +87,7 @@ def op10_unigram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
+    "op1_pii_weak_labels": op1_pii_weak_labels,
     "op2_line_quality": op2_line_quality,
     "op3_token_records": op3_token_records,
     "op4_url_cascade": op4_url_cascade,
