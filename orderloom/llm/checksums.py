@@ -2,7 +2,7 @@
 
 A CRC is linear over GF(2): with a zero start value, crc(a + b) = shift(crc(a), len(b)) ^ crc(b).
 So a whole array of 2-byte words is looked up in one table and halved, level by level, with one
-4 x 256 table per level that shifts by a power of two. Leading zero bytes change nothing, which
+table per level that shifts by a power of two. Leading zero bytes change nothing, which
 lets strings of one size class share an array; the usual start value equals inverted first bytes.
 """
 
@@ -25,25 +25,19 @@ def _byte_table() -> np.ndarray:
 
 
 def _shifted(table: np.ndarray, crc: np.ndarray) -> np.ndarray:
-    low = np.uint32(255)
-    return (
-        table[0][crc & low]
-        ^ table[1][(crc >> np.uint32(8)) & low]
-        ^ table[2][(crc >> np.uint32(16)) & low]
-        ^ table[3][crc >> np.uint32(24)]
-    )
+    """`table` has a row for the low and one for the high half of a CRC."""
+    return table[0][crc & np.uint32(0xFFFF)] ^ table[1][crc >> np.uint32(16)]
 
 
 class Crc32c:
     def __init__(self) -> None:
         one = _byte_table()
-        bytes_ = np.arange(256, dtype=np.uint32)
-        starts = [bytes_ << np.uint32(8 * j) for j in range(4)]
-        self._shift = [np.stack([(s >> np.uint32(8)) ^ one[s & np.uint32(255)] for s in starts])]
+        words = np.arange(1 << 16, dtype=np.uint32)
+        halves = [words, words << np.uint32(16)]
+        self._shift = [np.stack([(h >> np.uint32(8)) ^ one[h & np.uint32(255)] for h in halves])]
         while len(self._shift) <= BLOCK.bit_length():
             last = self._shift[-1]
-            self._shift.append(np.stack([_shifted(last, _shifted(last, s)) for s in starts]))
-        words = np.arange(1 << 16, dtype=np.uint32)
+            self._shift.append(np.stack([_shifted(last, _shifted(last, h)) for h in halves]))
         self._two = _shifted(self._shift[0], one[words & 255]) ^ one[words >> 8]
 
     def _reduced(self, rows: np.ndarray) -> np.ndarray:

@@ -47,8 +47,9 @@ END_ID = 1
 HEAD = "<qHH"
 HEAD_BYTES = struct.calcsize(HEAD)
 SHARD_BYTES = 64 << 20
+SHARDS_PER_TASK = 16
 MOST_CACHED = 1_000_000
-TEXTS_AT_ONCE = 1024
+TEXTS_AT_ONCE = 4096
 READ_BYTES = 8 << 20
 MANIFEST = "shard int, folder string, name string, records long, tokens long, bytes long"
 TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -59,11 +60,13 @@ WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def splits_by_words(spec: str) -> bool:
-    """Whether the tokenizer keeps what WORD_SPLIT matches, apart, and drops all else."""
+    """Whether the tokenizer lower-cases, keeps what WORD_SPLIT matches apart, and drops all else."""
     parts = json.loads(spec).get("pre_tokenizer") or {}
     first = (parts.get("pretokenizers") or [parts])[0]
     kept = first.get("behavior") == "Removed" and first.get("invert")
-    return first.get("pattern") == {"Regex": WORD_SPLIT} and bool(kept)
+    steps = (json.loads(spec).get("normalizer") or {}).get("normalizers") or []
+    lower = any(step.get("type") == "Lowercase" for step in steps)
+    return first.get("pattern") == {"Regex": WORD_SPLIT} and bool(kept) and lower
 
 
 class Encoder:
@@ -101,13 +104,22 @@ class Encoder:
         return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, each), b"").to_pylist()
 
     def _learn(self, words: set[bytes]) -> None:
-        """A full stop or comma after a letter or digit is a token of its own, so it is cut off."""
+        """Encode the new words, those that differ in case or a closing mark only once."""
         known = self._known
-        cut = {w for w in words if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalnum()}
-        plain = (words - cut) | {w[:-1] for w in cut} | {b".", b","}
-        new = [w for w in plain if w not in known]
+        parts = {w: _parts(w) for w in words}
+        plain = {p for pair in parts.values() for p in pair if p not in known}
+        new = list(plain)
         known.update(zip(new, self._packed([w.decode() for w in new])))
-        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in cut)
+        known.update((w, known[a] + known[b]) for w, (a, b) in parts.items())
+
+
+def _parts(word: bytes) -> tuple[bytes, bytes]:
+    """A word without, and its closing full stop or comma: after a letter or digit that is a token
+    of its own. Words of ASCII are lower-cased as the tokenizer would; special tokens are not."""
+    mark = b""
+    if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
+        word, mark = word[:-1], word[-1:]
+    return (word.lower() if word.isascii() and b"<|" not in word else word), mark
 
 
 def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -230,8 +242,9 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 if start != shard["base"] + shard["tokens"]:
                     raise ValueError("damaged shard")
 
-    shards = with_starts(manifest)
-    return shards.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(read, TOKENS)
+    count, parallel = manifest.count(), manifest.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(1, count), max(4 * parallel, -(-count // SHARDS_PER_TASK)))
+    return with_starts(manifest).repartition(tasks).mapInArrow(read, TOKENS)
 
 
 def shuffled(manifest: DataFrame, seed: int = 0) -> DataFrame:
