@@ -106,11 +106,12 @@ class Encoder:
     def _learn(self, words: set[bytes]) -> None:
         """Encode the new words, those that differ in case or a closing mark only once."""
         known = self._known
-        parts = {w: _parts(w) for w in words}
-        plain = {p for pair in parts.values() for p in pair if p not in known}
+        odd = {w: _parts(w) for w in words if not (w.islower() and w[-1:].isalnum())}
+        plain = words.difference(odd)
+        plain.update(p for pair in odd.values() for p in pair if p not in known)
         new = list(plain)
         known.update(zip(new, self._packed([w.decode() for w in new])))
-        known.update((w, known[a] + known[b]) for w, (a, b) in parts.items())
+        known.update((w, known[a] + known[b]) for w, (a, b) in odd.items())
 
 
 def _parts(word: bytes) -> tuple[bytes, bytes]:
