@@ -19,7 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+def staged(
+    df: DataFrame, purpose: str, rows: int | None = None, compression: str = "snappy"
+) -> DataFrame:
     """Write to the shared folder and read back: lost executors cost no recomputation.
 
     `rows` is about how many there are, where that is known: small tables then take few files.
@@ -29,7 +31,7 @@ def staged(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
     if rows is not None:
         files = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE))
         df = df.coalesce(files)
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -330,7 +330,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                     train, chunk, seq = train[:0], chunk + 1, 0
         yield from words()
 
-    return staged(docs.mapInArrow(run, STAGED), "scored")
+    return staged(docs.mapInArrow(run, STAGED), "scored", compression="zstd")
 
 
 def _with_base(rows: DataFrame, train_tokens: int, distinct: int, ends: int) -> DataFrame:
