@@ -49,7 +49,7 @@ HEAD_BYTES = struct.calcsize(HEAD)
 SHARD_BYTES = 64 << 20
 SHARDS_PER_TASK = 16
 MOST_CACHED = 1_000_000
-TEXTS_AT_ONCE = 4096
+TEXTS_AT_ONCE = 10_000
 READ_BYTES = 8 << 20
 MANIFEST = "shard int, folder string, name string, records long, tokens long, bytes long"
 TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
