@@ -1,20 +1,24 @@
 """Language-model scores by context-tree weighting over binary-decomposed bytes.
 
 Each byte is eight binary decisions; a decision's node is the byte's prefix so far (255 nodes), its
-context the bytes before. At every context of 0, 1 and 2 bytes a node holds a Krichevsky-Trofimov
-estimate, and context-tree weighting mixes the three depths: a node's weight against its deeper
-contexts is the posterior of the training text under either. The trained tree is frozen, so the
-probability of the next byte depends on the two bytes before it alone, and the model is a table of
-at most 65,536 contexts x 256 bytes (64 MB), whatever the corpus: the proven bound of its broadcast.
-
-Training counts cover all training documents: tasks count byte triples of whole texts, Spark sums
-them, the tree is computed by the context's last byte (256 independent parts), and only the 255 root
-nodes are put together on the driver. The code length is exact over the closed text: a start mark
-before it, an end mark after it (byte 0xFF, which UTF-8 never uses).
-
-The base score needs the count of every word in the training set, a table without a bound. A task
-numbers the words of its texts chunk by chunk, so a chunk's words meet their counts in one join of
-a row per chunk and word, and its documents then look up numbers, not words.
+context the bytes before. At every context of 0 to `depth` bytes a node holds a
+Krichevsky-Trofimov estimate, and context-tree weighting mixes all depths: a node's weight against
+its deeper contexts is the posterior of the training text under either. The trained tree is frozen,
+so the probability of the next byte depends on the `depth` bytes before it alone: on its gram, the
+context and the byte.
+
+The model is a table of grams that grows with the corpus; no task and no broadcast holds it. A chunk
+of texts stages its distinct grams with their training counts, and Spark sums them. Contexts that
+agree in their last two bytes form a subtree; a task takes whole subtrees, several at a time, and
+mixes one depth after the other, upwards for the weights and downwards for the probabilities. Only
+contexts of less than two bytes (at most 257 x 255 nodes, whatever the corpus) are put together on
+the driver. Grams that only held-out texts have are in the table with a count of zero, which changes
+no weight. The scores of a chunk's grams come back in one join. The code length is exact over the
+closed text: start marks before it, an end mark after it (byte 0xFF, which UTF-8 never uses).
+
+The base score needs the count of every word in the training set, also a table without a bound. A
+task numbers the words of its texts chunk by chunk, so a chunk's words meet their counts in one join
+of a row per chunk and word, and its documents then look up numbers, not words.
 
 Edge cases: NULL and empty texts consist of their end. A NULL id is trained on. Repeated rows count
 and are scored once per row. If no document is trained on, every byte has the uniform probability.
@@ -38,14 +42,17 @@ FOLDS, HELD_OUT_FOLD = 7, 2
 MARK = 0xFF
 BYTES_AT_ONCE = 4 << 20
 CHUNK_WORDS = 200_000
+CHUNK_GRAMS = 1_000_000
+TREE_GRAMS = 500_000
+MOST_DEPTH = 7  # a gram is kept in the eight bytes of a long
 LOG10_HALF = float(np.log10(0.5))
+WORDS, GRAMS, TEXTS = 0, 1, 2
 
-COUNTS = "triple long, n long"
-ROOTS = "last long, node int, zeros long, ones long, log_weighted double"
-TABLE = "context int, log10_p binary"
+ROOTS = "last int, before int, node int, zeros long, ones long, log_weighted double"
+TABLE = "gram long, log10_p double"
 STAGED = (
-    "chunk long, kind int, number long, word binary, train long, doc_id long, held_out boolean,"
-    " score double, n_bytes long, ids binary"
+    "chunk long, kind int, number long, word binary, gram long, train long, doc_id long,"
+    " held_out boolean, text binary"
 )
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
@@ -76,25 +83,26 @@ def held_out(id_: Column) -> Column:
 # ---- training -----------------------------------------------------------------------------------
 
 
-def _closed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts between marks, one after the other, and where each begins."""
-    joined = b"".join(b"\xff\xff" + t + b"\xff" for t in texts)
-    starts = np.cumsum([0] + [len(t) + 3 for t in texts[:-1]])
-    return np.frombuffer(joined, dtype=np.uint8), starts
+def _closed(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The texts between marks, one after the other, where each begins, and where the last ends."""
+    marks = b"\xff" * depth
+    joined = b"".join(marks + t + b"\xff" for t in texts)
+    starts = np.cumsum([0] + [len(t) + depth + 1 for t in texts[:-1]])
+    return np.frombuffer(joined + bytes(8), dtype=np.uint8), starts, len(joined)
 
 
-def _triples(data: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Context and byte at each position of [low, high); positions 0 and 1 have no context."""
-    low = max(low, 2)
-    part = data[low - 2 : high].astype(np.uint32)
-    return part[:-2] << 16 | part[1:-1] << 8 | part[2:]
+def _grams(data: np.ndarray, low: int, high: int, depth: int) -> np.ndarray:
+    """Context and byte at each position of [low, high); the first positions have no context."""
+    low = max(low, depth)
+    eight = np.ndarray((max(high - low, 0),), ">u8", data, low - depth, (1,))
+    return eight.astype(np.uint64) >> np.uint64(8 * (MOST_DEPTH - depth))
 
 
 def _pieces(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """Lower-cased texts, some megabytes at a time, with the row where each piece begins."""
     piece, size, first = [], 0, 0
     for row, text in enumerate(column.to_pylist()):
-        data = (text or "").encode().translate(ASCII_LOWER)
+        data = text if isinstance(text, bytes) else (text or "").encode().translate(ASCII_LOWER)
         if piece and size + len(data) > BYTES_AT_ONCE:
             yield first, piece
             piece, size, first = [], 0, row
@@ -104,17 +112,51 @@ def _pieces(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield first, piece
 
 
-def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, texts in _pieces(batch.column(0)):
-            data, starts = _closed(texts)
-            begin = np.zeros(len(data), dtype=bool)
-            begin[starts] = begin[starts + 1] = True
-            for low in range(0, len(data), BYTES_AT_ONCE):
-                high = min(low + BYTES_AT_ONCE, len(data))
-                keys = _triples(data, low, high)[~begin[max(low, 2) : high]]
-                triples, n = np.unique(keys, return_counts=True)
-                yield _batch([triples.astype(np.int64), n.astype(np.int64)], COUNTS)
+class GramCounts:
+    """Distinct grams and their training counts, gathered from pieces of texts."""
+
+    def __init__(self, depth: int) -> None:
+        self._depth = depth
+        self.clear()
+
+    def clear(self) -> None:
+        self._parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self._pending = 0
+
+    def add(self, texts: list[bytes], trained: bool) -> None:
+        data, starts, size = _closed(texts, self._depth)
+        begin = np.zeros(size, dtype=bool)
+        for shift in range(self._depth):
+            begin[starts + shift] = True
+        for low in range(0, size, BYTES_AT_ONCE):
+            high = min(low + BYTES_AT_ONCE, size)
+            keys = _grams(data, low, high, self._depth)[~begin[max(low, self._depth) : high]]
+            keys, n = np.unique(keys, return_counts=True)
+            self._parts.append((keys, n if trained else np.zeros_like(n)))
+            self._pending += len(keys)
+            if self._pending > 2 * CHUNK_GRAMS:
+                self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self._parts) != 1:
+            keys = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in self._parts)])
+            n = np.concatenate([np.zeros(0, np.int64), *(n for _, n in self._parts)])
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(_changes(keys))
+            self._parts = [(keys[first], np.add.reduceat(n, first) if len(n) else n)]
+        self._pending = len(self._parts[0][0])
+        return self._parts[0]
+
+    def full(self) -> bool:
+        return self._pending > CHUNK_GRAMS and len(self.merged()[0]) > CHUNK_GRAMS
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """True where a sorted array begins another value."""
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -132,6 +174,24 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - half - whole
 
 
+_TABLED = 1 << 16
+_HALVES = log_gamma(np.arange(_TABLED) + 0.5)
+_WHOLES = log_gamma(np.arange(_TABLED) + 1.0)
+
+
+def _log_gammas(known: np.ndarray, counts: np.ndarray, more: float) -> np.ndarray:
+    out = known[np.minimum(counts, _TABLED - 1)]
+    big = np.flatnonzero(counts >= _TABLED)
+    out[big] = log_gamma(counts[big] + more)
+    return out
+
+
+def log_kt_counts(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """`log_kt` of whole numbers, most of them looked up."""
+    both = _log_gammas(_HALVES, zeros, 0.5) + _log_gammas(_HALVES, ones, 0.5)
+    return both - np.log(np.pi) - _log_gammas(_WHOLES, zeros + ones, 1.0)
+
+
 def node_counts(bytes_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(..., 256) byte counts to zeros and ones at the 255 nodes, in the order of `byte_logs`."""
     zeros, ones = [], []
@@ -162,6 +222,7 @@ def _share(log_own: np.ndarray, log_deeper: np.ndarray) -> np.ndarray:
 def last_byte_part(counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """For one last byte, counts (256 bytes before it, 256 bytes after it): its 255 nodes.
 
+    This is the dense form of a tree of two bytes, node by node; `Subtrees` is the one in use.
     Returns zeros, ones, the weighted log probability, and the mixture's probability of a one in
     each of the 256 contexts.
     """
@@ -176,130 +237,227 @@ def last_byte_part(counts: np.ndarray) -> tuple[np.ndarray, ...]:
     return all_zeros, all_ones, weighted, share * p_own + (1 - share) * p_leaf
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-    """Counts sorted by last byte, gathered into one 256 x 256 array per last byte."""
-    last, counts = None, None
-    for batch in batches:
-        own, before, byte, n = (c.to_numpy() for c in batch.columns)
-        for value in np.unique(own):
-            rows = own == value
-            if value != last:
-                if last is not None:
-                    yield last, counts
-                last, counts = int(value), np.zeros((256, 256), dtype=np.int64)
-            np.add.at(counts, (before[rows], byte[rows]), n[rows])
-    if last is not None:
-        yield last, counts
-
-
-class Model:
-    """The frozen tree, as rows of 256 logs: one per context seen, and defaults."""
-
-    def __init__(self, rows: list[tuple[int, bytes]], default: np.ndarray) -> None:
-        """Contexts below 65,536 are seen; 65,536 + b stands for all others that end in b."""
-        self._row = np.zeros(1 << 16, dtype=np.int32)
-        known = {context: i + 1 for i, (context, _) in enumerate(rows)}
-        for b in range(256):
-            self._row[b::256] = known.get((1 << 16) + b, 0)
-        for context, i in known.items():
-            if context < 1 << 16:
-                self._row[context] = i
-        logs = [np.asarray(default, dtype=np.float32)]
-        logs += [np.frombuffer(data, dtype=np.float32) for _, data in rows]
-        self._logs = np.concatenate(logs)
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """The log10 probability of each closed text."""
-        data, starts = _closed(texts)
-        sums = np.zeros(len(texts))
-        ends = np.append(starts[1:], len(data))
-        for low in range(0, len(data), BYTES_AT_ONCE):
-            high = min(low + BYTES_AT_ONCE, len(data))
-            logs = np.zeros(high - low)
-            skip = max(low, 2) - low
-            keys = _triples(data, low, high)
-            at = self._row[keys >> 8].astype(np.int64) << 8 | (keys & 255)
-            logs[skip:] = self._logs[at]
-            first, stop = np.searchsorted(ends, low, "right"), np.searchsorted(starts, high)
-            for shift in (0, 1):
-                marks = starts[first:stop] + shift - low
-                logs[marks[(marks >= 0) & (marks < high - low)]] = 0.0
-            cuts = np.maximum(starts[first:stop] - low, 0)
-            sums[first:stop] += np.add.reduceat(logs, cuts)
-        return sums
+def _backwards(grams: np.ndarray, depth: int) -> np.ndarray:
+    """The context's bytes from the last to the first, then the byte, so that subtrees sort."""
+    turned = grams.byteswap() << np.uint64(8)
+    turned >>= np.uint64(8 * (MOST_DEPTH - depth))
+    return turned | (grams & np.uint64(255))
 
 
-def train(texts: DataFrame) -> Model:
-    """The model of a table with one column of texts."""
-    counts = texts.mapInArrow(count_triples, COUNTS).groupBy("triple").agg(F.sum("n").alias("n"))
-    byte = F.lit(255).cast("long")
-    split = counts.select(
-        F.shiftright("triple", 8).bitwiseAND(byte).alias("last"),
-        F.shiftright("triple", 16).alias("before"),
-        F.col("triple").bitwiseAND(byte).alias("byte"),
-        "n",
-    )
-    counts = staged(split, "triples")
-    by_last = counts.repartition("last").sortWithinPartitions("last")
+class Upper:
+    """The contexts of no and of one byte: shares and probabilities of a one at their nodes."""
+
+    def __init__(self, zeros: np.ndarray, ones: np.ndarray, deeper: np.ndarray) -> None:
+        """Sums over the subtrees, (256 last bytes, 255 nodes)."""
+        own = log_kt(zeros, ones)
+        self.share, self.p = _share(own, deeper), (ones + 0.5) / (zeros + ones + 1.0)
+        below = (np.logaddexp(own, deeper) + np.log(0.5)).sum(axis=0)
+        zeros, ones = zeros.sum(axis=0), ones.sum(axis=0)
+        self.root_share = _share(log_kt(zeros, ones), below)
+        self.root_p = (ones + 0.5) / (zeros + ones + 1.0)
+
+
+class Subtrees:
+    """Whole subtrees below contexts of two bytes, from their distinct grams and counts.
+
+    A node is a context and a prefix of the byte. The nodes of the eight prefix lengths never meet,
+    so they are worked out one length after the other, over all subtrees together.
+    """
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, depth: int) -> None:
+        keys = _backwards(grams, depth)
+        self._order = np.argsort(keys)
+        keys, n = keys[self._order], n[self._order]
+        # From the deepest contexts to those of two bytes: grams, counts, each one's shorter gram.
+        self._depths: list[tuple[np.ndarray, np.ndarray, np.ndarray | None]] = []
+        eight, byte = np.uint64(8), np.uint64(255)
+        for _ in range(depth - 2):
+            shorter = keys >> np.uint64(16) << eight | keys & byte
+            shorter, up = np.unique(shorter, return_inverse=True)
+            self._depths.append((keys, n, up))
+            total = np.zeros(len(shorter), dtype=np.int64)
+            np.add.at(total, up, n)
+            keys, n = shorter, total
+        self._depths.append((keys, n, None))
+
+    def _nodes(self, length: int) -> list[tuple]:
+        """Per depth, deepest first: node of each gram, first gram, counts, weights, way up."""
+        out, up, child, weighted = [], None, None, None
+        for keys, n, next_up in self._depths:
+            new = _changes(keys >> np.uint64(8 - length))
+            first, node = np.flatnonzero(new), np.cumsum(new) - 1
+            one = (keys >> np.uint64(7 - length) & np.uint64(1)).astype(np.int64)
+            total, ones = np.add.reduceat(n, first), np.add.reduceat(n * one, first)
+            own = log_kt_counts(total - ones, ones)
+            p, share, parent = (ones + 0.5) / (total + 1.0), None, None
+            if weighted is None:
+                weighted = own
+            else:
+                parent = node[up[child]]
+                deeper = np.bincount(parent, weighted, len(first))
+                share = _share(own, deeper)
+                weighted = np.logaddexp(own, deeper) + np.log(0.5)
+            out.append((node, one, first, total, ones, weighted, p, share, parent))
+            up, child = next_up, first
+        return out
+
+    def _named(self, first: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+        """Last byte, the byte before it and the node's place among the 255, of two-byte nodes."""
+        keys = self._depths[-1][0][first].astype(np.int64)
+        return keys >> 16, keys >> 8 & 255, (1 << length) - 1 + ((keys & 255) >> (8 - length))
+
+    def roots(self) -> Iterator[list[np.ndarray]]:
+        """The columns of ROOTS for the trained nodes of two-byte contexts."""
+        for length in range(8):
+            _, _, first, total, ones, weighted, *_ = self._nodes(length)[-1]
+            columns = [*self._named(first, length), total - ones, ones, weighted]
+            yield [c[total > 0] for c in columns]
+
+    def log10_p(self, upper: Upper) -> np.ndarray:
+        """The log10 probability of each gram's byte in its context."""
+        probability = np.ones(len(self._order))
+        for length in range(8):
+            (node, one, first, *_, p, _, _), *shorter = depths = self._nodes(length)
+            at = np.arange(len(first))
+            for *_, own, share, parent in shorter:
+                at = parent[at]
+                p = share[at] * own[at] + (1 - share[at]) * p
+            last, _, place = self._named(depths[-1][2], length)
+            last, place = last[at], place[at]
+            share = upper.share[last, place]
+            p = share * upper.p[last, place] + (1 - share) * p
+            share = upper.root_share[place]
+            p = share * upper.root_p[place] + (1 - share) * p
+            p = p[node]
+            probability *= np.where(one == 1, p, 1 - p)
+        out = np.empty(len(probability))
+        out[self._order] = np.log10(probability)
+        return out
+
+
+def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams and counts sorted by their subtree, in parts that hold whole subtrees."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size, last = 0, None
+    for batch in batches:
+        tree, grams, n = (c.to_numpy() for c in batch.columns)
+        if not len(tree):
+            continue
+        grams = grams.view(np.uint64)
+        if size >= TREE_GRAMS and tree[-1] != last:
+            cut = np.searchsorted(tree != last, True)
+            held.append((grams[:cut], n[:cut]))
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held, size, tree, grams, n = [], 0, tree[cut:], grams[cut:], n[cut:]
+        held.append((grams, n))
+        size, last = size + len(tree), tree[-1]
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
+def train(grams: DataFrame, depth: int) -> DataFrame:
+    """TABLE from (gram, n), a row per distinct gram of the corpus."""
+    tree = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF).cast("long"))
+    grams = staged(grams.select(tree.alias("tree"), "gram", "n"), "grams", compression="zstd")
+    by_tree = grams.repartition("tree").sortWithinPartitions("tree")
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for last, part in _parts(batches):
-            zeros, ones, weighted, _ = last_byte_part(part)
-            nodes = np.arange(255, dtype=np.int32)
-            lasts = np.full(255, last, dtype=np.int64)
-            values = [lasts, nodes, zeros.astype(np.int64), ones.astype(np.int64), weighted]
-            yield _batch(values, ROOTS)
+        for part in _subtrees(batches):
+            for columns in Subtrees(*part, depth).roots():
+                yield _batch(columns, ROOTS)
 
+    # Summed in a fixed order, so that no digit depends on how the rows were dealt out.
     deeper = F.aggregate(
-        F.sort_array(F.collect_list(F.struct("last", "log_weighted"))),
+        F.sort_array(F.collect_list(F.struct("before", "log_weighted"))),
         F.lit(0.0),
         lambda total, part: total + part["log_weighted"],
     )
-    nodes = by_last.mapInArrow(roots, ROOTS).groupBy("node")
+    nodes = by_tree.mapInArrow(roots, ROOTS).groupBy("last", "node")
     nodes = nodes.agg(F.sum("zeros").alias("z"), F.sum("ones").alias("o"), deeper.alias("d"))
-    zeros, ones, below = np.zeros(255), np.zeros(255), np.zeros(255)
-    for node, z, o, d in nodes.collect():  # 255 rows
-        zeros[node], ones[node], below[node] = z, o, d
-    share = _share(log_kt(zeros, ones), below)
-    p_own = (ones + 0.5) / (zeros + ones + 1.0)
+    sums = np.zeros((3, 256, 255))
+    for last, node, *values in nodes.collect():  # 256 x 255 rows at most
+        sums[:, last, node] = values
+    shared = grams.sparkSession.sparkContext.broadcast(Upper(*sums))
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for last, part in _parts(batches):
-            *_, deeper = last_byte_part(part)
-            unseen = last_byte_part(np.concatenate([part, np.zeros((1, 256), part.dtype)]))[3][256:]
-            seen = np.flatnonzero(part.sum(axis=1))
-            mixed = share * p_own + (1 - share) * np.concatenate([deeper[seen], unseen])
-            logs = byte_logs(mixed).astype(np.float32)
-            contexts = [*(seen << 8 | last).tolist(), (1 << 16) + last]
-            yield _batch([contexts, [row.tobytes() for row in logs]], TABLE)
+        for part in _subtrees(batches):
+            logs = Subtrees(*part, depth).log10_p(shared.value)
+            for low in range(0, len(logs), 100_000):
+                own = part[0][low : low + 100_000].view(np.int64)
+                yield _batch([own, logs[low : low + 100_000]], TABLE)
+
+    return by_tree.mapInArrow(table, TABLE)
+
 
-    rows = [tuple(r) for r in by_last.mapInArrow(table, TABLE).collect()]  # 64 MB at most
-    rows = [(context, bytes(data)) for context, data in sorted(rows)]
-    return Model(rows, byte_logs(share * p_own + (1 - share) * 0.5))
+class Lookup:
+    """The log10 probabilities of a chunk's grams, by an open table of hashes."""
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray) -> None:
+        bits = max(4, 2 + int(len(grams)).bit_length())
+        self._shift = np.uint64(64 - bits)
+        order = np.argsort(grams)
+        self._grams, self._logs = grams[order], logs[order]
+        self._at = np.zeros(1 << bits, dtype=np.int32)
+        self._at[self._slots(self._grams)] = np.arange(len(grams), dtype=np.int32)
+
+    def _slots(self, grams: np.ndarray) -> np.ndarray:
+        return grams * np.uint64(0x9E3779B97F4A7C15) >> self._shift
+
+    def _of(self, grams: np.ndarray) -> np.ndarray:
+        at = self._at[self._slots(grams)]
+        other = np.flatnonzero(self._grams[at] != grams)  # grams that share a slot
+        at[other] = np.searchsorted(self._grams, grams[other])
+        return self._logs[at]
+
+    def score(self, texts: list[bytes], depth: int) -> np.ndarray:
+        """The log10 probability of each closed text."""
+        data, starts, size = _closed(texts, depth)
+        sums = np.zeros(len(texts))
+        ends = np.append(starts[1:], size)
+        begin = np.zeros(size, dtype=bool)
+        for shift in range(depth):
+            begin[starts + shift] = True
+        for low in range(0, size, BYTES_AT_ONCE):
+            high = min(low + BYTES_AT_ONCE, size)
+            logs = np.zeros(high - low)
+            coded = np.flatnonzero(~begin[low:high])
+            skip = max(low, depth) - low
+            logs[coded] = self._of(_grams(data, low, high, depth)[coded - skip])
+            first, stop = np.searchsorted(ends, low, "right"), np.searchsorted(starts, high)
+            cuts = np.maximum(starts[first:stop] - low, 0)
+            sums[first:stop] += np.add.reduceat(logs, cuts)
+        return sums
 
 
 # ---- scoring ------------------------------------------------------------------------------------
 
 
-def _scored(docs: DataFrame, model: Model) -> DataFrame:
-    """A row per document (kind 1) with its score and word numbers, a row per chunk's word (0)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _scored(docs: DataFrame, depth: int) -> DataFrame:
+    """A row per text, and a row per chunk's distinct word and per chunk's distinct gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, chunk = shared.value, TaskContext.get().partitionId() << 24
+        chunk = TaskContext.get().partitionId() << 24
         numbers: dict[bytes, int] = defaultdict()
         numbers.default_factory = numbers.__len__
-        train = np.zeros(0, dtype=np.int64)
+        train, grams = np.zeros(0, dtype=np.int64), GramCounts(depth)
         seq = 0
 
-        def words() -> Iterator[pa.RecordBatch]:
-            known = list(numbers)
+        def gathered() -> Iterator[pa.RecordBatch]:
+            known, nulls = list(numbers), pa.nulls
             for low in range(0, len(known), 10_000):
                 part = known[low : low + 10_000]
-                n, nulls = len(part), pa.nulls
-                values = [[chunk] * n, [0] * n, range(low, low + n), part, train[low : low + n]]
-                rest = [nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.float64(), pa.int64(), pa.binary())]
-                yield _batch([*values, *rest], STAGED)
+                n = len(part)
+                values = [[chunk] * n, [WORDS] * n, range(low, low + n), part, nulls(n, pa.int64())]
+                rest = [nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.binary())]
+                yield _batch([*values, train[low : low + n], *rest], STAGED)
+            keys, counts = grams.merged()
+            for low in range(0, len(keys), 50_000):
+                part = keys[low : low + 50_000].view(np.int64)
+                n = len(part)
+                values = [np.full(n, chunk), np.full(n, GRAMS, np.int32), np.zeros(n, np.int64)]
+                rest = [nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.binary())]
+                own = [nulls(n, pa.binary()), part, counts[low : low + n]]
+                yield _batch([*values, *own, *rest], STAGED)
 
         for batch in batches:
             ids_, outs = batch.column(0), batch.column(1).to_pylist()
@@ -307,95 +465,117 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                 n = len(texts)
                 rows = [np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)) for w in map(bytes.split, texts)]
                 train = np.concatenate([train, np.zeros(len(numbers) - len(train), np.int64)])
-                own = [r for r, out in zip(rows, outs[first : first + n]) if not out]
+                out = outs[first : first + n]
+                own = [r for r, o in zip(rows, out) if not o]
                 if own:
                     train += np.bincount(np.concatenate(own), minlength=len(train))
+                for trained in (True, False):
+                    part = [t for t, o in zip(texts, out) if o is not trained]
+                    if part:
+                        grams.add(part, trained)
                 values = [
                     [chunk] * n,
-                    [1] * n,
+                    [TEXTS] * n,
                     range(seq, seq + n),
-                    pa.nulls(n, pa.binary()),
-                    pa.nulls(n, pa.int64()),
+                    *(pa.nulls(n, k) for k in (pa.binary(), pa.int64(), pa.int64())),
                     ids_.slice(first, n),
-                    outs[first : first + n],
-                    model.score(texts),
-                    [len(t) for t in texts],
-                    [r.tobytes() for r in rows],
+                    out,
+                    texts,
                 ]
                 yield _batch(values, STAGED)
                 seq += n
-                if len(numbers) > CHUNK_WORDS:
-                    yield from words()
+                if len(numbers) > CHUNK_WORDS or grams.full():
+                    yield from gathered()
                     numbers.clear()
+                    grams.clear()
                     train, chunk, seq = train[:0], chunk + 1, 0
-        yield from words()
+        yield from gathered()
 
     return staged(docs.mapInArrow(run, STAGED), "scored", compression="zstd")
 
 
-def _with_base(rows: DataFrame, train_tokens: int, distinct: int, ends: int) -> DataFrame:
-    """Sums the base scores; a chunk's word counts come before its documents."""
+def _with_scores(
+    rows: DataFrame, depth: int, train_tokens: int, distinct: int, ends: int
+) -> DataFrame:
+    """Sums both scores; a chunk's words and grams come before its texts."""
     smooth = float(np.log10(train_tokens + distinct + 1))
     end_log, end_known = float(np.log10(ends + 1)) - smooth, int(ends > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, counts = None, []
-        logs, known = None, None
+        chunk, counts, grams = None, [], []
+        numbers: dict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
+        logs, known, model = None, None, None
         for batch in batches:
             chunks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             edges = np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1
             for low, high in zip([0, *edges], [*edges, batch.num_rows]):
                 part = batch.slice(low, high - low)
                 if chunks[low] != chunk:
-                    chunk, counts, logs = chunks[low], [], None
-                if kinds[low] == 0:
+                    chunk, counts, grams, logs, model = chunks[low], [], [], None, None
+                    numbers.clear()
+                if kinds[low] == WORDS:
                     counts.append(part.column(3).to_numpy())
                     continue
+                if kinds[low] == GRAMS:
+                    grams.append((part.column(4).to_numpy().view(np.uint64), part.column(5).to_numpy()))
+                    continue
                 if logs is None:
                     all_counts = np.concatenate([*counts, np.zeros(0, np.int64)])
                     logs, known, counts = np.log10(all_counts + 1.0), all_counts > 0, []
-                ids = [np.frombuffer(x, np.uint32) for x in part.column(8).to_pylist()]
-                score, n_bytes = part.column(6).to_numpy(), part.column(7).to_numpy()
-                bits = np.full(len(ids), np.nan)
-                np.divide(-score, n_bytes * -LOG10_HALF, out=bits, where=n_bytes > 0)
-                yield _batch(
-                    [
-                        part.column(4),
-                        part.column(5),
-                        [len(i) + 1 for i in ids],
-                        [int(known[i].sum()) + end_known for i in ids],
-                        [train_tokens] * len(ids),
-                        [float(logs[i].sum()) - len(i) * smooth + end_log for i in ids],
-                        score,
-                        pa.array(bits, pa.float64(), mask=np.isnan(bits)),
-                    ],
-                    SCORES,
-                )
+                    model, grams = Lookup(*(np.concatenate(c) for c in zip(*grams))), []
+                for first, texts in _pieces(part.column(8)):
+                    n = len(texts)
+                    ids = [np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)) for w in map(bytes.split, texts)]
+                    score, n_bytes = model.score(texts, depth), np.array([len(t) for t in texts])
+                    bits = np.full(n, np.nan)
+                    np.divide(-score, n_bytes * -LOG10_HALF, out=bits, where=n_bytes > 0)
+                    yield _batch(
+                        [
+                            part.column(6).slice(first, n),
+                            part.column(7).slice(first, n),
+                            [len(i) + 1 for i in ids],
+                            [int(known[i].sum()) + end_known for i in ids],
+                            [train_tokens] * n,
+                            [float(logs[i].sum()) - len(i) * smooth + end_log for i in ids],
+                            score,
+                            pa.array(bits, pa.float64(), mask=np.isnan(bits)),
+                        ],
+                        SCORES,
+                    )
 
     by_chunk = rows.repartition("chunk").sortWithinPartitions("chunk", "kind", "number")
     return by_chunk.mapInArrow(run, SCORES)
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scores(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 2
+) -> DataFrame:
     """The columns of SCORES per row, learned from the rows that are not held out."""
+    if not 2 <= depth <= MOST_DEPTH:
+        raise ValueError(f"depth must be 2 to {MOST_DEPTH}")
     out = held_out(F.col(id_col))
     own = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), out.alias("out"), F.col(text_col).alias("text")
     )
-    model = train(own.where(~F.col("out")).select("text"))
-    rows = _scored(own, model)
-    words, documents = rows.where("kind = 0"), rows.where("kind = 1")
+    rows = _scored(own, depth)
+    words, texts = rows.where(F.col("kind") == WORDS), rows.where(F.col("kind") == TEXTS)
+    grams = rows.where(F.col("kind") == GRAMS)
     counts = words.where("train > 0").groupBy("word").agg(F.sum("train").alias("n"))
     counts = staged(counts, "word-counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = documents.where(~F.col("held_out")).count()
-    counted = words.join(counts, "word", "left").select(
-        "chunk", "kind", "number", F.coalesce("n", F.lit(0)).alias("n"), "doc_id", "held_out",
-        "score", "n_bytes", "ids",
-    )
-    texts = documents.select(
-        "chunk", "kind", "number", F.lit(0).cast("long").alias("n"), "doc_id", "held_out",
-        "score", "n_bytes", "ids",
-    )
-    both = counted.unionByName(texts)
-    return _with_base(both, tokens + ends, distinct + (ends > 0), ends)
+    ends = texts.where(~F.col("held_out")).count()
+    model = train(grams.groupBy("gram").agg(F.sum("train").alias("n")), depth)
+    names = {"n": "long", "gram": "long", "log10_p": "double"}
+    names |= {"doc_id": "long", "held_out": "boolean", "text": "binary"}
+
+    def padded(part: DataFrame) -> DataFrame:
+        given = set(part.columns)
+        more = [F.col(c) if c in given else F.lit(None).cast(k).alias(c) for c, k in names.items()]
+        return part.select("chunk", "kind", "number", *more)
+
+    counted = words.drop("gram", "doc_id", "held_out", "text").join(counts, "word", "left")
+    counted = counted.withColumn("n", F.coalesce("n", F.lit(0)))
+    known = grams.select("chunk", "kind", "number", "gram").join(model, "gram")
+    both = padded(counted).unionByName(padded(known)).unionByName(padded(texts.drop("gram")))
+    return _with_scores(both, depth, tokens + ends, distinct + (ends > 0), ends)

@@ -76,8 +76,12 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# Fixed value: the longest context, in bytes.
+TREE_DEPTH = 6
+
+
 def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_tree.scores(table(spark, sf_dir, "documents"))
+    return context_tree.scores(table(spark, sf_dir, "documents"), depth=TREE_DEPTH)
 
 
 def op10_unigram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
