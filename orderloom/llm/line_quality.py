@@ -1,12 +1,17 @@
 """Line-first quality cleaning: judge lines, remove the failing ones, reject what loses too much.
 
-Every line of a text is judged alone, by three families of rules:
+Every line of a text is judged by three families of rules:
 
-* punctuation: the line holds no sentence mark at the end of a word, or at least a third of its
-  words end in a run of symbols;
+* punctuation: the line holds no sentence mark (of any script) at the end of a word, or at least a
+  third of its words end in a run of symbols;
 * navigation: at least a quarter of its words are separators, or it consists of menu words only;
 * boilerplate: a line of at most `boilerplate_words` words holds a stock phrase.
 
+A line of several words that only lacks a sentence mark stays if it is part of a wrapped sentence.
+Neighbouring lines hang together when the first does not end a sentence and the second goes on: it
+begins with no capital letter, or the block of lines is broken at a fixed width and its first word
+would not have fitted the first line. Lines that hang together, of which one passes alone, are prose.
+
 Failing lines are removed. A document is kept if it passes the counts of the whole text (enough
 words, not mostly repeated windows) and the removed lines hold at most `most_lost` of its
 word characters.
@@ -28,6 +33,9 @@ from pyspark.sql import functions as F
 
 # The rules. They are written so that Python's re and SQL's RE2 read them alike.
 SENTENCE_MARK = r"""[.!?…。！？]["'”’»)\]]*([\x20\x09-\x0D]|$)"""
+# What ends sentences in other scripts: Armenian, Hebrew, Arabic, Urdu, Syriac, Devanagari, Tibetan,
+# Burmese, Ethiopic, Khmer, Mongolian; Greek's question mark; doubled, half- and full-width forms.
+MORE_MARKS = "\u0589\u05c3\u061f\u06d4\u0700\u0701\u0702\u0964\u0965\u0f0d\u0f0e\u104b\u1362\u1367\u1368\u17d4\u17d5\u1803\u1809\u037e\u203c\u203d\u2047\u2048\u2049\uff0e\uff61"
 SYMBOL_RUN = r"[#*$%&|<>!?~=^]{2,}([\x20\x09-\x0D]|$)"
 SEPARATOR_WORD = r"[|»›>·•→/~-]+"
 MENU_LINE = (
@@ -56,9 +64,11 @@ class Rules:
     most_repeat_percent: int = 50
     most_lost: float = 0.5
     boilerplate_words: int = 40
+    wrapped_words: int = 4
 
 
-_sentence_mark = re.compile(SENTENCE_MARK)
+_sentence_mark = re.compile(SENTENCE_MARK.replace("[.", f"[{MORE_MARKS}.", 1))
+_sentence_end = re.compile(_sentence_mark.pattern.removesuffix(r"([\x20\x09-\x0D]|$)") + r"[\x20\x09-\x0D]*\Z")
 _symbol_run = re.compile(SYMBOL_RUN)
 _separator = re.compile(SEPARATOR_WORD)
 _menu = re.compile(MENU_LINE)
@@ -69,9 +79,12 @@ _lower = {c: c + 32 for c in range(65, 91)}
 
 
 def line_fails(line: str, words: list[str], rules: Rules = Rules()) -> bool:
+    """Whether the line fails when it is judged alone."""
+    return not _sentence_mark.search(line) or _no_prose(line, words, rules)
+
+
+def _no_prose(line: str, words: list[str], rules: Rules) -> bool:
     n = len(words)
-    if not _sentence_mark.search(line):
-        return True
     if 3 * sum(1 for _ in _symbol_run.finditer(line)) >= n:
         return True
     if 4 * sum(1 for w in words if _separator.fullmatch(w)) >= n:
@@ -82,6 +95,46 @@ def line_fails(line: str, words: list[str], rules: Rules = Rules()) -> bool:
     return False
 
 
+def _at_width(words: list[list[str]]) -> list[bool]:
+    """Per line of a block whether it is broken at a fixed width; half of the lines must be."""
+    sizes = [len(" ".join(w)) for w in words] or [0]
+    full = [n + 1 + len(w[0]) > max(sizes) for n, w in zip(sizes, words[1:])]
+    fixed = sum(full) >= max(3, len(full) / 2)
+    return [f and fixed for f in full]
+
+
+def _goes_on(line: str, after: list[str], at_width: bool) -> bool:
+    """Whether a line's sentence goes on in the next line, whose words are `after`."""
+    if _sentence_end.search(line):
+        return False
+    start = next((c for c in after[0] if c.isalnum()), "")
+    return at_width or bool(start) and not start.isupper()
+
+
+def lines_fail(lines: list[str], words: list[list[str]], rules: Rules = Rules()) -> list[bool]:
+    """For each line of a text whether it fails; lines without a word never do."""
+    marked = [bool(_sentence_mark.search(line)) for line in lines]
+    prose = [bool(w) and not _no_prose(line, w, rules) for line, w in zip(lines, words)]
+    fails = [bool(w) and not (m and p) for w, m, p in zip(words, marked, prose)]
+    wrapped = [p and (m or len(w) >= rules.wrapped_words) for w, m, p in zip(words, marked, prose)]
+    if all(m or not p for m, p in zip(marked, prose)):
+        return fails
+    at, n = 0, len(lines)
+    while at < n:
+        end = at  # a block: neighbouring lines that may be parts of prose
+        while end < n and wrapped[end]:
+            end += 1
+        at_width, low = _at_width(words[at:end]), at
+        for i in range(at, end):
+            if i + 1 < end and _goes_on(lines[i], words[i + 1], at_width[i - at]):
+                continue
+            if any(marked[low : i + 1]):
+                fails[low : i + 1] = [False] * (i + 1 - low)
+            low = i + 1
+        at = end + 1
+    return fails
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside 3-word windows that occur at least twice."""
     if len(words) < 4:
@@ -113,15 +166,16 @@ def measure(text: str | None, rules: Rules = Rules()) -> tuple:
     repeats = repeated_words(words)
     seen: set[str] = set()
     good, lines, dups, removed, lost = [], 0, 0, 0, 0
-    for line in whole.split("\n"):
-        tokens = [w for w in _spaces.split(line) if w]
+    split = whole.split("\n")
+    words_of = [[w for w in _spaces.split(line) if w] for line in split]
+    for line, tokens, fails in zip(split, words_of, lines_fail(split, words_of, rules)):
         if not tokens:
             good.append(line)
             continue
         lines += 1
         dups += line in seen
         seen.add(line)
-        if line_fails(line, tokens, rules):
+        if fails:
             removed += 1
             lost += sum(map(len, tokens))
         else:
