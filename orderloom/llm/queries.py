@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import arc_warc, context_tree, curriculum, decontaminate, line_quality, simhash
-from orderloom.llm import oracle, records, unigram_trie, url_cascade, weak_pii
+from orderloom.llm import arc_warc, context_tree, curriculum, decontaminate, drift_kmeans, line_quality
+from orderloom.llm import norm_codes, oracle, oracle_vectors, records, simhash, unigram_trie, url_cascade
+from orderloom.llm import weak_pii
 from orderloom.llm.common import table
 
 
@@ -90,6 +91,14 @@ def op10_unigram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram_trie.token_counts(table(spark, sf_dir, "documents"), pieces)
 
 
+def op11_drift_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_norm_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_pii_weak_labels": op1_pii_weak_labels,
@@ -102,5 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_context_tree": op9_context_tree,
     "op10_unigram_trie": op10_unigram_trie,
+    "op11_drift_kmeans": op11_drift_kmeans,
+    "op12_norm_codes": op12_norm_codes,
 }
-SQL: dict[str, str] = oracle.SQL
+SQL: dict[str, str] = oracle.SQL | oracle_vectors.SQL

@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from orderloom.llm.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")

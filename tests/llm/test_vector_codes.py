@@ -1,0 +1,204 @@
+"""Both vector operators against plain loops, with the rows and ties they must take."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from orderloom.llm import drift_kmeans, norm_codes, vector_blocks
+
+SCHEMA = "vec_id long, embedding array<float>, label int, cluster string, distance int, code string, block long"
+
+
+def frame(spark, vectors, ids=None, labels=None):
+    ids = range(len(vectors)) if ids is None else ids
+    labels = [0] * len(vectors) if labels is None else labels
+    rows = [(i, v, l, "x", 7, "y", 9) for i, v, l in zip(ids, vectors, labels, strict=True)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def scaled(vector, scale):
+    return [math.floor(float(np.float32(x)) * scale) for x in vector]
+
+
+def squared(a, b):
+    return sum((x - y) ** 2 for x, y in zip(a, b))
+
+
+def nearest(vector, centers):
+    distance, number = min((squared(vector, c), n) for n, c in enumerate(centers))
+    return number, distance
+
+
+def moved(members, center):
+    return [sum(column) // len(members) for column in zip(*members)] if members else center
+
+
+def plain_clusters(ids, vectors, clusters, rounds):
+    ints = [scaled(v, 1024) for v in vectors]
+    name = lambda i: hashlib.sha256(f"3:{'' if ids[i] is None else ids[i]}".encode()).hexdigest()
+    order = sorted(range(len(ids)), key=lambda i: (name(i), ints[i]))
+    centers = [ints[i] for i in order[:clusters]]
+    for _ in range(rounds):
+        own = [nearest(v, centers)[0] for v in ints]
+        centers = [moved([v for v, o in zip(ints, own) if o == n], c) for n, c in enumerate(centers)]
+    found = [nearest(v, centers) for v in ints]
+    total = sum(d for _, d in found)
+    return sorted(
+        (
+            (i, n, d, sum(e for m, e in found if m == n), total, drift_kmeans.centroid_hash(centers[n]))
+            for i, (n, d) in zip(ids, found)
+        ),
+        key=repr,
+    )
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def clumps(count, dim, seed=5):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(0, 1, (6, dim))
+    return (middle[rng.integers(0, 6, count)] + rng.normal(0, 0.15, (count, dim))).astype(np.float32).tolist()
+
+
+def test_clusters_equal_plain_rounds(spark, monkeypatch):
+    monkeypatch.setattr(vector_blocks, "BLOCK_ROWS", 32)
+    vectors = clumps(300, 8)
+    # Repeats, equal vectors under other ids, NULL and repeated ids.
+    vectors += [vectors[0]] * 40 + [vectors[1], vectors[1]]
+    ids = [*range(300), *range(1000, 1040), None, 7]
+    watched = []
+    df = drift_kmeans.cluster(frame(spark, vectors, ids).repartition(3), dim=8, watch=watched)
+    assert collected(df) == plain_clusters(ids, vectors, 8, 10)
+    # The first round compares all; later ones only what the bounds leave open.
+    assert watched[0] == len(vectors) and max(watched[2:]) < len(vectors) / 2
+
+
+def test_rows_that_are_left_out_and_empty_tables(spark):
+    good = [0.5, -0.25]
+    bad = [None, [], [1.0], [1.0, None], [1.0, float("nan")], [float("inf"), 1.0], [1.0, 2.0, 3.0]]
+    rows = drift_kmeans.cluster(frame(spark, [good, *bad]), dim=2, rounds=2).collect()
+    assert [(r["vec_id"], r["cluster"], r["distance"], r["inertia"]) for r in rows] == [(0, 0, 0, 0)]
+    empty = drift_kmeans.cluster(frame(spark, bad), dim=2)
+    assert empty.columns == rows[0].__fields__ and empty.collect() == []
+    coded = norm_codes.encode(frame(spark, [good, *bad[:-1], [2.0, 2.0, 2.0, 2.0]]), n_parts=2)
+    assert [(r["vec_id"], r["code"], r["error"]) for r in coded.collect()] == [(0, "0000", 0)]
+    empty = norm_codes.encode(frame(spark, bad), n_parts=2)
+    assert empty.columns == coded.columns and empty.collect() == []
+
+
+def test_ties_go_to_the_smaller_number_and_empty_clusters_stay(spark):
+    # All starts are equal: the first takes everything, the others never move.
+    rows = drift_kmeans.cluster(frame(spark, [[0.25, 0.5]] * 12), dim=2, clusters=4, rounds=3).collect()
+    assert {(r["cluster"], r["distance"]) for r in rows} == {(0, 0)}
+    assert len({r["centroid_sha256"] for r in rows}) == 1
+
+
+def test_components_that_cannot_be_squared_raise(spark):
+    with pytest.raises(Exception, match="would not fit"):
+        drift_kmeans.cluster(frame(spark, [[1e9, 0.0]]), dim=2).collect()
+
+
+def test_large_components_are_exact(spark):
+    vectors = [[60000.0 + i, -60000.0 + 3 * i] for i in range(20)]
+    df = drift_kmeans.cluster(frame(spark, vectors), dim=2, clusters=3, rounds=3)
+    assert collected(df) == plain_clusters(list(range(20)), vectors, 3, 3)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(2, 6), st.floats(0, 3))
+def test_no_point_of_a_sphere_comes_nearer_than_the_bound(seed, dim, reach):
+    rng = np.random.default_rng(seed)
+    old, way = rng.normal(0, 2, (3, dim)), rng.normal(0, reach, (3, dim))
+    spheres, radii = rng.normal(0, 2, (3, dim)), rng.uniform(0, 2, 3)
+    bound = drift_kmeans.approach(spheres, radii, old, old + way)
+    drift = np.sqrt((way**2).sum(1))
+    assert (bound <= drift * (1 + 1e-12)).all()
+    inside = rng.normal(0, 1, (200, dim))
+    inside *= (rng.uniform(0, 1, 200) ** 0.2 / np.sqrt((inside**2).sum(1)))[:, None]
+    for i in range(3):
+        points = spheres[i] + radii[i] * inside
+        for j in range(3):
+            nearer = np.sqrt(((points - old[j]) ** 2).sum(1)) - np.sqrt(((points - old[j] - way[j]) ** 2).sum(1))
+            assert nearer.max() <= bound[i, j] + 1e-9
+
+
+def test_the_planar_bound_is_tighter_than_the_drift():
+    old = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0]])
+    new = old + np.array([[0.0, 0.0], [0.0, 3.0], [-1.0, 2.0]])
+    loosen = drift_kmeans.loosening(old, np.full(3, 2.0), old, new)
+    # Seen from sphere 0, centroid 1 moves aside and centroid 2 away.
+    assert loosen[0] < 0.5 < 3.0
+    assert (loosen < 3.0 + 1e-6).all()
+
+
+def plain_codes(ids, vectors, labels, n_parts, n_entries, rounds):
+    ints = [scaled(v, 256) for v in vectors]
+    width = len(ints[0]) // n_parts
+    cut = [[v[p * width : (p + 1) * width] for p in range(n_parts)] for v in ints]
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i], ints[i]))[:n_entries]
+    books = [[cut[i][p] for i in order] for p in range(n_parts)]
+    for _ in range(rounds):
+        for p in range(n_parts):
+            own = [nearest(v[p], books[p])[0] for v in cut]
+            books[p] = [moved([v[p] for v, o in zip(cut, own) if o == e], b) for e, b in enumerate(books[p])]
+    found = [[nearest(v[p], books[p]) for p in range(n_parts)] for v in cut]
+    errors = [sum(d for _, d in parts) for parts in found]
+    sums = {}
+    for label, error in zip(labels, errors):
+        sums[label] = sums.get(label, 0) + error
+    digest = norm_codes.books_hash(np.array(books))
+    return sorted(
+        (
+            (i, "".join(f"{e:02x}" for e, _ in parts), error, sums[label], digest)
+            for i, parts, error, label in zip(ids, found, errors, labels)
+        ),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("rounds", [0, 2, 5])
+def test_codes_equal_plain_rounds(spark, monkeypatch, rounds):
+    monkeypatch.setattr(vector_blocks, "BLOCK_ROWS", 50)
+    vectors = clumps(240, 8, seed=3)
+    vectors += [vectors[5]] * 30
+    ids = [*range(240), *range(500, 530)]
+    labels = [None if i % 3 == 0 else i % 4 for i in range(270)]
+    watched = []
+    df = norm_codes.encode(
+        frame(spark, vectors, ids, labels).repartition(3), n_parts=4, n_entries=9, rounds=rounds, watch=watched
+    )
+    assert collected(df) == plain_codes(ids, vectors, labels, 4, 9, rounds)
+    assert watched[0] == 4 * 270 and all(n < 4 * 270 for n in watched[2:])
+
+
+def test_fewer_vectors_than_entries(spark):
+    vectors, ids = clumps(5, 4), [3, 1, None, 9, 9]
+    df = norm_codes.encode(frame(spark, vectors, ids), n_parts=2)
+    expected = plain_codes([3, 1, 99, 9, 9], vectors, [0] * 5, 2, 64, 2)
+    assert collected(df) == sorted(((None if r[0] == 99 else r[0], *r[1:]) for r in expected), key=repr)
+
+
+def test_net_displacement_leaves_the_own_entry_out():
+    old = np.zeros((1, 3, 2))
+    new = np.array([[[3.0, 4.0], [0.0, 1.0], [0.0, 0.0]]])
+    assert norm_codes.displacement(old, new).tolist() == [[1.0, 5.0, 5.0]]
+    # A move there and back is no displacement, though two drifts.
+    assert norm_codes.displacement(old, old).tolist() == [[0.0, 0.0, 0.0]]
+
+
+def test_a_renewed_bound_is_stamped_and_an_old_one_stays(spark):
+    history = [np.array([[[0, 0], [100, 0]]]), np.array([[[0, 0], [60, 0]]]), np.array([[[0, 0], [100, 0]]])]
+    vectors = np.array([[10, 0], [34, 0]], np.int32)
+    state = {}
+    for n in range(1, 4):
+        before, entries, lower, stamps, squares, scanned = norm_codes._assigned(vectors, state or None, history[:n])
+        state = {"entries": entries.tobytes(), "lower": lower.tobytes(), "stamps": stamps.tobytes()}
+        seen = (stamps[:, 0].tolist(), scanned, entries[:, 0].tolist())
+        # The other entry comes and goes: its net move from round 0 to round 2 is nothing.
+        assert seen == {1: ([0, 0], 2, [0, 0]), 2: ([0, 1], 1, [0, 1]), 3: ([0, 2], 1, [0, 0])}[n]
