@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import arc_warc, context_tree, curriculum, decontaminate, drift_kmeans, line_quality
-from orderloom.llm import norm_codes, oracle, oracle_vectors, records, simhash, unigram_trie, url_cascade
-from orderloom.llm import weak_pii
+from orderloom.llm import arc_warc, context_tree, curriculum, decontaminate, drift_kmeans, html_paths
+from orderloom.llm import line_quality, norm_codes, oracle, oracle_vectors, records, simhash, unigram_trie
+from orderloom.llm import url_cascade, weak_pii
 from orderloom.llm.common import table
 
 
@@ -99,6 +99,10 @@ def op12_norm_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return norm_codes.encode(table(spark, sf_dir, "embeddings"))
 
 
+def op13_html_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_paths.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_pii_weak_labels": op1_pii_weak_labels,
@@ -113,5 +117,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_unigram_trie": op10_unigram_trie,
     "op11_drift_kmeans": op11_drift_kmeans,
     "op12_norm_codes": op12_norm_codes,
+    "op13_html_paths": op13_html_paths,
 }
 SQL: dict[str, str] = oracle.SQL | oracle_vectors.SQL
