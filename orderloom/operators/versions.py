@@ -8,44 +8,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedup import keep_first
-from orderloom.operators.enrich import rows_of_keys
+from orderloom.sources.deliveries import DELIVERY
 
 # Undated versions are the oldest.
 _DAY = "coalesce(ingestion_date, DATE'0001-01-01')"
-
-
-def newest_version() -> list[Column]:
-    return [F.col("ingestion_date").desc_nulls_last(), F.col("batch_id").desc_nulls_last()]
+# What tells a version from others of its key, besides its content.
+VERSION = ("ingestion_date", DELIVERY, "batch_id")
 
 
 def latest_versions(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The latest version of each key: by load date, then by the batch that brought it."""
-    return keep_first(rows, keys, newest_version())
+    """The latest version of each key: by load date, then delivery, then the batch that stored it."""
+    order = [F.col(c).desc_nulls_last() for c in VERSION if c in rows.columns]
+    return keep_first(rows, keys, order)
 
 
-def _content(rows: DataFrame) -> Column:
-    """A hash of everything but the load date and the batch."""
-    return F.xxhash64(*[c for c in rows.columns if c not in ("ingestion_date", "batch_id")])
+def content_hash(columns: Sequence[str]) -> Column:
+    """A hash of the columns that make up a row's content."""
+    return F.xxhash64(*[c for c in columns if c not in VERSION])
 
 
-def new_versions(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+def new_versions(
+    rows: DataFrame, versions: DataFrame, keys: Sequence[str], content: Sequence[str]
+) -> DataFrame:
     """The rows (one per key) that tell something new about their key.
 
-    A row of the latest version's day or later is new if its content differs from that version;
-    an older one if no version of its day has its content.
+    A row that is not before the latest version, by day and delivery, is new if its content differs
+    from that version; an earlier one if no version of its day has its content. `versions` holds
+    the stored versions of the rows' keys, each with the hash of its `content` columns.
     """
     keys = list(keys)
-    versions = stored.select(*rows.columns, "batch_id")
-    versions = rows_of_keys(versions, rows, keys).select(
-        *keys, F.expr(_DAY).alias("day"), "batch_id", _content(versions).alias("content")
-    )
-    known = versions.groupBy(*keys).agg(
-        F.max(F.struct("day", "batch_id", "content")).alias("_latest"),
-        F.collect_set(F.struct("day", "content")).alias("_known"),
+    known = (
+        versions.select(*keys, F.expr(_DAY).alias("day"), DELIVERY, "batch_id", "content")
+        .groupBy(*keys)
+        .agg(
+            F.max(F.struct("day", DELIVERY, "batch_id", "content")).alias("_latest"),
+            F.collect_set(F.struct("day", "content")).alias("_known"),
+        )
     )
-    own = rows.withColumns({"_day": F.expr(_DAY), "_content": _content(rows)})
+    day = F.expr(_DAY).alias("day")
+    own = rows.withColumns({"_day": day, "_content": content_hash(content)})
     same_day = F.array_contains("_known", F.struct(F.col("_day").alias("day"), F.col("_content").alias("content")))
-    later = F.col("_day") >= F.col("_latest.day")
-    new = F.when(later, F.col("_content") != F.col("_latest.content")).otherwise(~same_day)
+    arrived = F.struct(F.col("_day").alias("day"), F.col(DELIVERY).alias(DELIVERY))
+    latest = F.struct(F.col("_latest.day").alias("day"), F.col(f"_latest.{DELIVERY}").alias(DELIVERY))
+    new = F.when(arrived >= latest, F.col("_content") != F.col("_latest.content")).otherwise(~same_day)
     joined = own.join(known, keys, "left").where(F.col("_latest").isNull() | new)
     return joined.select(*rows.columns)

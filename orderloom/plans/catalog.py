@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from decimal import Decimal
 from functools import partial, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -401,6 +402,30 @@ def silver_orders_incremental(spark, roles):
     return silver.read_silver(spark, lake, silver.ORDERS).drop("partition_year")
 
 
+@query
+def silver_same_day(spark, roles):
+    """Some orders come twice on their load date with another status; the later delivery counts,
+    whether one run takes both deliveries or each has a run of its own."""
+    daily = _deliveries(roles, "orders", DAILY_START, None)
+    number = F.col("order_id").cast("bigint")
+    # Before and after the first status in the alphabet.
+    status = F.when(number % 2 == 0, F.lit("A")).otherwise(F.lit("Z"))
+    again = daily.where(number % 3 == 0).withColumn("order_status", status)
+    results = []
+    for runs_taken in (1, 2):
+        lake = new_folder(spark, "silver")
+        if runs_taken == 1:
+            _deliver(daily, lake, "orders", 1)
+        else:
+            _run_silver(spark, roles, lake, 1, {"orders": daily})
+        _run_silver(spark, roles, lake, 2, {"orders": again})
+        stored = silver.read_silver(spark, lake, silver.ORDERS)
+        results.append(
+            stored.select(F.lit(runs_taken).alias("runs"), "order_id", "order_status", "ingestion_date")
+        )
+    return reduce(DataFrame.unionByName, results)
+
+
 @query
 def silver_products_incremental(spark, roles):
     """Two runs; a product's stock and rating change from one delivery to the next."""
@@ -428,17 +453,31 @@ def late_dates_loaded(spark, roles):
     )
 
 
+def _repriced(items: DataFrame, parts: int, remainder: int, more: str) -> DataFrame:
+    """Some orders' items once more, under their load date and with another price."""
+    some = F.col("order_id").cast("bigint") % parts == remainder
+    price = (F.col("price") + F.lit(Decimal(more))).cast(schemas.MONEY)
+    return items.where(some & F.col("ingestion_date").isNotNull()).withColumn("price", price)
+
+
 @query
 def late_items_pending(spark, roles):
     """Two runs of orders and items; an item may arrive before or after its order.
 
-    Per stored item: the run its latest version arrived in, the run of its order, the run that
-    stored it, and whether a load that joins each batch to its own orders only would have kept it.
+    Of some orders every item comes again on the same day, and of others those of the first run
+    come again in the second, with another price and the former date, stored or waiting. Per stored item: the
+    run its latest version arrived in, the run of its order, the run that stored it, and whether
+    a load that joins each batch to its own orders only would have kept it.
     """
     lake = new_folder(spark, "silver")
+    first, second = [_deliveries(roles, "order_items", start, end) for start, end in _TWO_RUNS]
+    more = [[_repriced(first, 4, 1, "1.00")], [_repriced(second, 4, 1, "1.00"), _repriced(first, 4, 3, "2.00")]]
     for number, (start, end) in enumerate(_TWO_RUNS):
-        feeds = {n: _deliveries(roles, n, start, end) for n in ("orders", "order_items")}
-        _run_silver(spark, roles, lake, number, feeds)
+        _run_silver(spark, roles, lake, number, {"orders": _deliveries(roles, "orders", start, end)})
+        _deliver((first, second)[number], lake, "order_items", 10 * number)
+        for again, rows in enumerate(more[number][:-1], 1):
+            _deliver(rows, lake, "order_items", 10 * number + again)
+        _run_silver(spark, roles, lake, 10 * number + 9, {"order_items": more[number][-1]})
     items = silver.read_silver(spark, lake, silver.ORDER_ITEMS)
     orders = silver.read_silver(spark, lake, silver.ORDERS)
     second = F.col("ingestion_date") >= F.lit(SECOND_BATCH).cast("date")
@@ -449,6 +488,7 @@ def late_items_pending(spark, roles):
         "order_item_id",
         "product_id",
         "shipping_limit_date",
+        "price",
         arrival.alias("arrival_batch"),
         "order_batch",
         F.col("batch_id").alias("landed_batch"),
@@ -693,13 +733,21 @@ def stream_fact_merge(spark, roles):
     return gold.read_fact(spark, root)
 
 
-def _full_runs(spark, roles: Roles, lake: str, batches: list[dict[str, DataFrame]]) -> None:
-    """Deliver and run everything, batch after batch."""
+def _full_runs(
+    spark,
+    roles: Roles,
+    lake: str,
+    batches: list[dict[str, DataFrame]],
+    again: dict[str, DataFrame] | None = None,
+) -> None:
+    """Deliver and run everything, batch after batch; `again` is delivered after the last batch."""
     histories = _histories(roles)
     for number, batch in enumerate(batches):
         run_together(
             *[partial(_deliver, rows, lake, name, number) for name, rows in batch.items()]
         )
+        for name, rows in ((again or {}) if number == len(batches) - 1 else {}).items():
+            _deliver(rows, lake, name, len(batches))
         feeds = {name: (histories[name], _daily(lake, name)) for name in runs.TABLES}
         runs.run(spark, lake, feeds)
 
@@ -754,7 +802,8 @@ def daily_runs_dims(spark, roles):
 
 @query
 def stream_fact_order_moved(spark, roles):
-    """Two full runs; the second moves the purchase of some stored orders by 14 months."""
+    """Two full runs; the second moves the purchase of some stored orders by 14 months, and
+    brings their items again with another price under their former date."""
     lake = new_folder(spark, "moved")
     first, second = _two_batches(roles)
     moved = first["orders"].where(F.col("order_id").cast("bigint") % 3 == 0)
@@ -766,5 +815,6 @@ def stream_fact_order_moved(spark, roles):
         }
     )
     second["orders"] = second["orders"].unionByName(moved)
-    _full_runs(spark, roles, lake, [first, second])
+    again = {"order_items": _repriced(first["order_items"], 3, 0, "2.00")}
+    _full_runs(spark, roles, lake, [first, second], again)
     return gold.read_fact(spark, f"{lake}/gold/fact_orders")

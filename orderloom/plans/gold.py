@@ -12,6 +12,7 @@ from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.enrich import reduced_to, rows_of_keys
 from orderloom.operators.skew import join_one_per_key
 from orderloom.operators.upsert import upsert
+from orderloom.operators.versions import latest_versions
 from orderloom.schemas import (
     DIM_CUSTOMERS,
     DIM_PRODUCTS,
@@ -305,10 +306,9 @@ def of_changed_orders(
 
 
 def _latest(rows: DataFrame, key: str) -> DataFrame:
-    order = newest_first([c for c in rows.columns if c != "batch_id"])
     if "batch_id" in rows.columns:
-        order.insert(1, F.col("batch_id").desc_nulls_last())
-    return keep_first(rows, [key], order)
+        return latest_versions(rows, [key])
+    return keep_first(rows, [key], newest_first(rows.columns))
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:

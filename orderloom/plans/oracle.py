@@ -333,13 +333,13 @@ SQL["silver_payments"] = _with(
 )
 
 # The latest version over two runs, of rows that carry their run. A run keeps the latest row of a
-# key; the second one stores it if its content differs from what the first one stored.
-def _two_runs(rows: str, keys: str, order: str, content: str) -> str:
+# key; the second one stores it if its content differs from what the first one stored and it is not older.
+def _two_runs(rows: str, keys: str, order: str, content: str, not_older: str = "true") -> str:
     return f"""
     , run0 AS ({_first(f"(SELECT * FROM {rows} WHERE run = 0)", keys, order)}),
     run1 AS ({_first(f"(SELECT * FROM {rows} WHERE run = 1)", keys, order)}),
     changed AS (SELECT run1.* FROM run1 LEFT JOIN run0 USING ({keys})
-                WHERE run0.run IS NULL OR {_differs("run0", "run1", content)}),
+                WHERE run0.run IS NULL OR (({not_older}) AND ({_differs("run0", "run1", content)}))),
     latest AS (SELECT * FROM run0 WHERE NOT EXISTS (
                  SELECT 1 FROM changed c WHERE {_same("c", "run0", keys)})
                UNION ALL SELECT * FROM changed)"""
@@ -366,6 +366,13 @@ SQL["silver_orders_incremental"] = _with(
     + _two_runs("feed", "order_id", ORDER_ORDER, "order_status")
     + "SELECT * EXCLUDE (run), CAST(run AS INT) AS batch_id FROM latest",
 )
+SQL["silver_same_day"] = _with(
+    ["r_orders"],
+    """SELECT CAST(runs AS INT) AS runs, order_id,
+              CASE WHEN ingestion_date IS NULL OR CAST(order_id AS BIGINT) % 3 <> 0 THEN order_status
+                   WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 'A' ELSE 'Z' END AS order_status, ingestion_date
+       FROM r_orders, (VALUES (1), (2)) AS taken(runs)""",
+)
 SQL["silver_products_incremental"] = _with(
     ["r_product_rows"],
     """
@@ -382,26 +389,47 @@ SQL["late_dates_loaded"] = _with(
               CAST(ingestion_date IS NOT NULL AND CAST(order_id AS BIGINT) % 5 = 0 AS INT) AS batch_id
        FROM r_orders""",
 )
-# Items after two runs: an item is stored by the later one of its own run and its order's, and
-# its latest version counts.
-STORED_ITEMS = f"""
-    , arrived AS (
+# Items after two runs: an item is stored by the later one of its own run and its order's, and its latest
+# version counts. `again` lists further deliveries: which rows come again, what is added to their price,
+# and the run that brings them (NULL: their own).
+def _stored_items(again: list[tuple[str, int, str]] = []) -> str:
+    deliveries = "".join(
+        f"""
+        UNION ALL SELECT * REPLACE (CAST(price + {more} AS DECIMAL(18,2)) AS price,
+            coalesce({run}, arrived_run) AS arrived_run, coalesce(10 * {run}, delivery) + {number} AS delivery)
+        FROM first_time WHERE ingestion_date IS NOT NULL AND {which}"""
+        for number, (which, more, run) in enumerate(again, 1)
+    )
+    return f"""
+    , first_time AS (
         SELECT i.*, CASE WHEN i.shipping_limit_date < {SECOND} THEN 0 ELSE 1 END AS arrival_batch,
-               CASE WHEN o.order_purchase_timestamp < {SECOND} THEN 0 ELSE 1 END AS order_batch
+               CASE WHEN o.order_purchase_timestamp < {SECOND} THEN 0 ELSE 1 END AS order_batch,
+               CASE WHEN i.shipping_limit_date < {SECOND} THEN 0 ELSE 1 END AS arrived_run,
+               CASE WHEN i.ingestion_date IS NULL THEN -1 WHEN i.shipping_limit_date < {SECOND} THEN 0
+                    ELSE 10 END AS delivery
         FROM r_items i JOIN r_orders o ON o.order_id = i.order_id),
-    placed AS (SELECT *, greatest(arrival_batch, order_batch) AS run FROM arrived)""" + _two_runs(
-    "placed",
-    "order_id, order_item_id",
-    ITEM_ORDER,
-    "product_id, seller_id, shipping_limit_date, price, freight_value",
-) + """,
+    arrived AS (SELECT * FROM first_time{deliveries}),
+    placed AS (SELECT *, greatest(arrived_run, order_batch) AS run FROM arrived)""" + _two_runs(
+        "placed",
+        "order_id, order_item_id",
+        ITEM_ORDER.replace("LAST, ", "LAST, delivery DESC, ", 1),
+        "product_id, seller_id, shipping_limit_date, price, freight_value",
+        "coalesce(run1.ingestion_date, DATE '0001-01-01') > coalesce(run0.ingestion_date, DATE '0001-01-01')"
+        " OR (run1.ingestion_date IS NOT DISTINCT FROM run0.ingestion_date AND run1.delivery >= run0.delivery)",
+    ) + """,
     stored AS (SELECT *, run AS landed_batch FROM latest)"""
 
+
 SQL["late_items_pending"] = _with(
     ["r_items", "r_orders"],
-    STORED_ITEMS
+    _stored_items(
+        [
+            ("CAST(order_id AS BIGINT) % 4 = 1", 1, "NULL"),
+            ("CAST(order_id AS BIGINT) % 4 = 3 AND arrival_batch = 0", 2, "1"),
+        ]
+    )
     + """
-    SELECT order_id, order_item_id, product_id, shipping_limit_date,
+    SELECT order_id, order_item_id, product_id, shipping_limit_date, price,
            CAST(arrival_batch AS INT) AS arrival_batch, CAST(order_batch AS INT) AS order_batch,
            CAST(landed_batch AS INT) AS landed_batch,
            CAST(arrival_batch = order_batch AS INT) AS kept_by_ref
@@ -539,7 +567,7 @@ SQL["stream_change_gate"] = _with(
 SQL["stream_fact_merge"] = SQL["fact_orders"]
 SQL["daily_runs_fact"] = _with(
     ["r_items", "r_orders", "r_paid"],
-    STORED_ITEMS
+    _stored_items()
     + f""",
     stored_fact AS ({ROLES["r_fact"].replace("r_items", "stored")})
     SELECT {FACT_COLUMNS} FROM stored_fact""",
@@ -556,7 +584,7 @@ SQL["daily_runs_dims"] = _with(
 # The order's own run stays that of its first delivery, so the items stored are the same.
 SQL["stream_fact_order_moved"] = _with(
     ["r_items", "r_orders", "r_paid"],
-    STORED_ITEMS
+    _stored_items([("CAST(order_id AS BIGINT) % 3 = 0 AND arrival_batch = 0", 2, "1")])
     + f""",
     timed AS (SELECT *, CASE WHEN ingestion_date IS NOT NULL AND order_purchase_timestamp < {SECOND}
                             AND CAST(order_id AS BIGINT) % 3 = 0

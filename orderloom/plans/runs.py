@@ -13,6 +13,7 @@ from orderloom.plans import gold, silver
 from orderloom.schemas import ORDER_YEAR, WAREHOUSE, extend
 from orderloom.session import run_together
 from orderloom.sinks.folders import publish
+from orderloom.sources.deliveries import DELIVERY
 from orderloom.streaming.autoload import autoload
 from orderloom.streaming.fact import refresh_fact
 
@@ -35,8 +36,8 @@ def load_silver(
 
 
 def _stored(name: str) -> T.StructType:
-    """A warehouse table keeps its versions, told apart by the batch that brought them."""
-    return extend(WAREHOUSE[name], ("batch_id", "int"))
+    """A warehouse table keeps its versions, told apart by delivery and batch."""
+    return extend(WAREHOUSE[name], (DELIVERY, "delivery"), ("batch_id", "int"))
 
 
 def load_warehouse_table(

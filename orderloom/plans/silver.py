@@ -3,11 +3,16 @@
 The daily deliveries are a stream of files: its checkpoint knows which files were taken, so rows
 load whatever their date, late and undated ones too. A run writes one folder `batch_id=<n>` per
 batch of files, which appears when it is complete. A stored key that is delivered again with other
-content gets a further version; readers take the latest one. An unchanged delivery writes nothing.
+content gets a further version; readers take the latest one, by load date and, of one date, by
+delivery. Which delivery came later its files tell, so one run over two deliveries keeps what two
+runs keep. An unchanged delivery writes nothing.
 
 Dated tables are partitioned by purchase year inside a batch. Items and payments without a known
-order wait in a table of their own, which holds only what still waits. When an order moves to
-another purchase time, its stored items and payments get a version with the new one.
+order wait in a log of their own, in which a load appends rows and removal marks. When an
+order moves to another purchase time, its stored items and payments get a version with the new one.
+
+A load meets stored rows by key only: it compares the rows of its own keys, before any of them are sorted. Of a
+large table these come from an index in buckets of the key (`key_index`), which a load does not shuffle.
 """
 
 from __future__ import annotations
@@ -21,15 +26,13 @@ from pyspark.sql import types as T
 from orderloom import schemas
 from orderloom.operators.align import conform
 from orderloom.operators.dedup import keep_first, newest_first
-from orderloom.operators.enrich import (
-    reduced_to,
-    rows_of_keys,
-    with_order_time,
-    with_purchase_year,
-)
+from orderloom.operators.enrich import rows_of_keys, with_order_time, with_purchase_year
 from orderloom.operators.versions import latest_versions, new_versions
+from orderloom.plans import key_index
+from orderloom.sinks import keyed_log
 from orderloom.sinks.folders import complete, current, drop, ensure, move, publish
 from orderloom.sinks.parquet import write_flat, write_partitioned
+from orderloom.sources.deliveries import DELIVERY, FILE, WRITTEN, with_delivery, with_files
 from orderloom.streaming.files import new_files
 
 # The last batch of orders that a table's children met.
@@ -46,10 +49,19 @@ class SilverTable:
     dated: bool = False
     child_of_orders: bool = False
 
+    @property
+    def arriving(self) -> T.StructType:
+        return schemas.extend(self.daily, (DELIVERY, "delivery"))
+
     @property
     def stored(self) -> T.StructType:
         paths = [("partition_year", "int")] if self.dated else []
-        return schemas.extend(self.silver, *paths, ("batch_id", "int"))
+        return schemas.extend(self.silver, (DELIVERY, "delivery"), *paths, ("batch_id", "int"))
+
+    @property
+    def bucket_key(self) -> str:
+        """The column whose values hold all versions of a key, and all children of an order."""
+        return "order_id" if self.dated else self.keys[0]
 
 
 PRODUCTS = SilverTable(
@@ -95,51 +107,74 @@ def _batches(spark: SparkSession, lake: str, table: SilverTable) -> list[int]:
     return complete(spark, _root(lake, table), "batch_id")
 
 
-def _stored(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
-    """All versions of all complete batches."""
-    done = _batches(spark, lake, table)
+def _stored(
+    spark: SparkSession, lake: str, table: SilverTable, after: int = -1
+) -> DataFrame:
+    """All versions of all complete batches after a given one."""
+    root = _root(lake, table)
+    done = [n for n in _batches(spark, lake, table) if n > after]
     if not done:
         return spark.createDataFrame([], table.stored)
-    rows = spark.read.schema(table.stored).parquet(_root(lake, table))
-    return rows.where(F.col("batch_id") <= done[-1])
+    folders = [f"{root}/batch_id={n}" for n in done]
+    return spark.read.schema(table.stored).option("basePath", root).parquet(*folders)
 
 
 def read_silver(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
     """The latest version of each key."""
     rows = _stored(spark, lake, table)
     # Within one batch a key occurs once.
-    return rows if len(_batches(spark, lake, table)) < 2 else latest_versions(rows, table.keys)
+    if len(_batches(spark, lake, table)) > 1:
+        rows = latest_versions(rows, table.keys)
+    return rows.drop(DELIVERY)
+
+
+def _versions(
+    spark: SparkSession, lake: str, table: SilverTable, of: DataFrame | None = None
+) -> DataFrame:
+    """The index of all stored versions; with `of`, those that share its column, the bucket key."""
+    index = key_index.of_table(lake, table)
+    return index.read(spark, lambda after: _stored(spark, lake, table, after), of)
 
 
 def _waiting_root(lake: str, table: SilverTable) -> str:
     return f"{lake}/waiting/{table.name}"
 
 
+def _waiting(
+    spark: SparkSession, lake: str, table: SilverTable, of: DataFrame | None = None
+) -> DataFrame:
+    return keyed_log.read(spark, _waiting_root(lake, table), table.arriving, table.keys, of)
+
+
 def pending(spark: SparkSession, lake: str, table: SilverTable) -> DataFrame:
     """Children still without an order."""
-    waiting = current(spark, _waiting_root(lake, table), table.daily)
-    return spark.createDataFrame([], table.daily) if waiting is None else waiting
+    return _waiting(spark, lake, table).drop(DELIVERY)
 
 
 def _one_per_key(rows: DataFrame, table: SilverTable) -> DataFrame:
-    return keep_first(rows, table.keys, newest_first(table.daily.names))
+    return keep_first(rows, table.keys, newest_first(table.daily.names, delivery=DELIVERY))
+
+
+def _order_ids(rows: DataFrame) -> DataFrame:
+    return rows.select("order_id").distinct()
 
 
 def _moved_children(
     spark: SparkSession, lake: str, table: SilverTable, met: int
 ) -> DataFrame:
     """Stored children whose order has another purchase time since they met it."""
-    orders = _stored(spark, lake, ORDERS).select(
-        "order_id", "order_purchase_timestamp", "ingestion_date", "batch_id"
-    )
-    since = latest_versions(orders.where(F.col("batch_id") > met), ORDERS.keys)
-    before = rows_of_keys(orders.where(F.col("batch_id") <= met), since, ["order_id"])
-    was = F.col("order_purchase_timestamp").alias("_was")
-    times = latest_versions(before, ORDERS.keys).select("order_id", was)
-    moved = since.join(times, "order_id").where("order_purchase_timestamp <> _was")
-    return rows_of_keys(read_silver(spark, lake, table), moved, ["order_id"]).select(
-        *table.daily.names
-    )
+    columns = ["order_id", "order_purchase_timestamp", "ingestion_date", DELIVERY, "batch_id"]
+    recent = _stored(spark, lake, ORDERS, after=met).select(*columns)
+    versions = _versions(spark, lake, ORDERS, of=_order_ids(recent))
+    was = latest_versions(versions.where(F.col("batch_id") <= met), ORDERS.keys)
+    now = latest_versions(versions, ORDERS.keys).select("order_id", "order_purchase_timestamp")
+    moved = was.select("order_id", F.col("order_purchase_timestamp").alias("_was")).join(now, "order_id")
+    moved = moved.where("order_purchase_timestamp <> _was").select("order_id", F.year("_was").alias("_year"))
+    # The latest version of a child lies under the year its order had; as literals the years prune.
+    years = [row[0] for row in moved.select("_year").distinct().collect()]
+    stored = _stored(spark, lake, table).where(F.col("partition_year").isin(years))
+    children = rows_of_keys(stored, moved, ["order_id"])
+    return latest_versions(children, table.keys).select(*table.arriving.names)
 
 
 def _met(spark: SparkSession, lake: str, table: SilverTable) -> int | None:
@@ -147,20 +182,33 @@ def _met(spark: SparkSession, lake: str, table: SilverTable) -> int | None:
     return None if saved is None else saved.first()["orders_batch"]
 
 
-def _dated_children(
+def _meet_orders(
     spark: SparkSession, lake: str, table: SilverTable, incoming: DataFrame, work: str
-) -> DataFrame:
-    """Children with the time of their order, those without one included; written out once."""
-    orders = read_silver(spark, lake, ORDERS)
-    rows = incoming.unionByName(pending(spark, lake, table))
+) -> tuple[DataFrame, DataFrame]:
+    """Children with the time of their order, those without one included, and those of them that
+    have waited before; written out once.
+
+    Of several copies of a child (delivered, waiting, stored under an order that moved) the one
+    of the latest date and delivery counts.
+    """
     met, first_load = _met(spark, lake, table), not _batches(spark, lake, table)
-    if met is not None and _batches(spark, lake, ORDERS)[-1] > met:
+    order_batches = _batches(spark, lake, ORDERS)
+    has_new_orders = bool(order_batches) and (met is None or order_batches[-1] > met)
+    if met is None:
+        touched = _waiting(spark, lake, table)
+    else:
+        new_orders = _order_ids(_stored(spark, lake, ORDERS, after=met))
+        touched = _waiting(spark, lake, table, of=_order_ids(incoming).union(new_orders).distinct())
+    write_flat(touched, f"{work}/waited")
+    waited = spark.read.schema(table.arriving).parquet(f"{work}/waited")
+    rows = incoming.select(*table.arriving.names).unionByName(waited)
+    if met is not None and has_new_orders and not first_load:
         rows = rows.unionByName(_moved_children(spark, lake, table, met))
     rows = _one_per_key(rows, table)
-    if not first_load:
-        orders = reduced_to(orders, rows, ["order_id"])
+    versions = _versions(spark, lake, ORDERS, of=None if first_load else _order_ids(rows))
+    orders = versions if len(order_batches) < 2 else latest_versions(versions, ORDERS.keys)
     write_flat(with_order_time(rows, orders), f"{work}/dated")
-    return spark.read.schema(table.stored).parquet(f"{work}/dated").drop("batch_id")
+    return spark.read.schema(table.stored).parquet(f"{work}/dated").drop("batch_id"), waited
 
 
 def _write_batch(
@@ -169,10 +217,10 @@ def _write_batch(
     """Write beside the batches, then move into place: readers and streams see whole batches."""
     unfinished = f"{root}/_unfinished"
     if table.dated:
-        rows = rows.select(*table.silver.names, "partition_year")
+        rows = rows.select(*table.silver.names, DELIVERY, "partition_year")
         write_partitioned(rows, unfinished, "partition_year")
     else:
-        write_flat(rows.select(*table.silver.names), unfinished)
+        write_flat(rows.select(*table.silver.names, DELIVERY), unfinished)
     if batch_id and spark.read.schema(table.silver).parquet(unfinished).isEmpty():
         drop(spark, unfinished)
         return []
@@ -187,7 +235,7 @@ def _store(
     root, done = _root(lake, table), _batches(spark, lake, table)
     if table.child_of_orders:
         order_batches = _batches(spark, lake, ORDERS)
-        dated = _dated_children(spark, lake, table, incoming, work)
+        dated, waited = _meet_orders(spark, lake, table, incoming, work)
         rows = dated.where(F.col("partition_year").isNotNull())
     elif table.dated:
         # An undated copy must not stand in for a dated one, so it goes before the choice.
@@ -196,12 +244,18 @@ def _store(
     else:
         rows = _one_per_key(incoming, table)
     if done:
-        names = [*table.silver.names, *(["partition_year"] if table.dated else [])]
-        rows = new_versions(rows.select(*names), _stored(spark, lake, table), table.keys)
+        versions = _versions(spark, lake, table, of=rows.select(table.bucket_key).distinct())
+        rows = new_versions(rows, versions, table.keys, table.silver.names)
     written = _write_batch(spark, root, table, rows, done[-1] + 1 if done else 0)
+    key_index.of_table(lake, table).fold_if_due(
+        spark, _batches(spark, lake, table), root, lambda after: _stored(spark, lake, table, after)
+    )
     if table.child_of_orders:
-        waiting = dated.where(F.col("partition_year").isNull()).select(*table.daily.names)
-        publish(waiting, _waiting_root(lake, table))
+        still = dated.where(F.col("partition_year").isNull()).select(*table.arriving.names)
+        gone = waited.subtract(still).select(*table.keys)
+        keyed_log.append(
+            spark, _waiting_root(lake, table), table.arriving, table.keys, still.subtract(waited), gone
+        )
         met = order_batches[-1] if order_batches else None
         state = spark.createDataFrame([(met,)], MET)
         publish(state.coalesce(1), f"{lake}/control/met/{table.name}")
@@ -234,20 +288,23 @@ def load(
     def store(incoming: DataFrame) -> None:
         if not _batches(spark, lake, table):
             renamed = history.withColumnsRenamed(table.renames)
-            incoming = conform(renamed, table.daily).unionByName(incoming)
+            incoming = conform(renamed, table.arriving).unionByName(incoming)
         written.extend(_store(spark, lake, table, incoming, work))
 
     taken: list[int] = []
 
     def take(batch: DataFrame, epoch: int) -> None:
         # Read once: what follows uses it several times, on the caller's session.
-        write_flat(conform(batch, table.daily), f"{work}/incoming")
-        store(spark.read.schema(table.daily).parquet(f"{work}/incoming"))
+        write_flat(batch, f"{work}/files")
+        files = with_delivery(spark.read.schema(batch.schema).parquet(f"{work}/files"))
+        store(files.select(*table.arriving.names))
         taken.append(epoch)
 
     ensure(spark, daily)
+    files = with_files(new_files(spark, daily, table.daily, files_per_batch))
     query = (
-        new_files(spark, daily, table.daily, files_per_batch)
+        # Without what the names of folders would add.
+        files.select(*table.daily.names, FILE, WRITTEN)
         .writeStream.foreachBatch(take)
         .option("checkpointLocation", f"{work}/checkpoint")
         .trigger(availableNow=True)
@@ -256,5 +313,5 @@ def load(
     query.awaitTermination()
     first_load = not _batches(spark, lake, table)
     if not taken and (first_load or _has_orders_to_meet(spark, lake, table)):
-        store(spark.createDataFrame([], table.daily))
+        store(spark.createDataFrame([], table.arriving))
     return written

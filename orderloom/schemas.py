@@ -17,6 +17,15 @@ _NAMES = {
     "timestamp": T.TimestampType(),
     "money": MONEY,
     "money_sum": MONEY_SUM,
+    "boolean": T.BooleanType(),
+    # Compares as the deliveries arrived.
+    "delivery": T.StructType(
+        [
+            T.StructField("at", T.TimestampType()),
+            T.StructField("pull", T.LongType()),
+            T.StructField("name", T.StringType()),
+        ]
+    ),
 }
 
 

@@ -1,0 +1,231 @@
+"""Arrival order, the waiting log and the key index of silver."""
+
+import datetime as dt
+import os
+import re
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+
+from orderloom import schemas
+from orderloom.plans import key_index, silver
+from orderloom.sinks import keyed_log
+from orderloom.sources.deliveries import with_delivery, with_files
+from tests.conftest import rows
+from tests.test_silver import (
+    D1,
+    D2,
+    at,
+    deliver,
+    item,
+    items,
+    load_items,
+    load_orders,
+    order,
+    orders,
+    stored_items,
+    stored_orders,
+)
+
+COUNTS = schemas.struct(("k", "string"), ("part", "int"), ("n", "int"))
+
+
+def write(spark, path, *values, seconds=None, files=1):
+    df = spark.createDataFrame(list(values), "k STRING, n INT").repartition(files)
+    before = set(Path(path).glob("**/*.parquet"))
+    df.write.mode("append").parquet(path)
+    if seconds is not None:
+        for file in set(Path(path).glob("**/*.parquet")) - before:
+            os.utime(file, (seconds, seconds))
+
+
+def arrived(spark, path):
+    return with_delivery(with_files(spark.read.parquet(path)))
+
+
+def test_deliveries_compare_by_time_then_pull_then_name(spark, lake):
+    write(spark, f"{lake}/in/ingestion_date=2024-01-01/run=20", ("late", 1), ("late", 2), seconds=900, files=2)
+    write(spark, f"{lake}/in/ingestion_date=2024-01-01/run=9", ("pull 9", 1), seconds=500)
+    write(spark, f"{lake}/in/ingestion_date=2024-01-01/run=10", ("pull 10", 1), seconds=500)
+    df = arrived(spark, f"{lake}/in")
+    seen = [tuple(r) for r in df.orderBy("delivery").select("k", "delivery.pull").collect()]
+    assert seen == [("pull 9", 9), ("pull 10", 10), ("late", 20), ("late", 20)]
+    # All files of one job are one delivery.
+    assert df.where("k = 'late'").select("delivery").distinct().count() == 1
+
+
+def test_a_delivery_is_as_late_as_its_last_file(spark, lake):
+    write(spark, lake, *[("first", n) for n in range(8)], files=4)
+    first = sorted(Path(lake).glob("*.parquet"))
+    for n, file in enumerate(first):
+        os.utime(file, (100 + n, 100 + n))
+    write(spark, lake, ("second", 1), seconds=101)
+    latest = arrived(spark, lake).orderBy("delivery").collect()
+    assert [r["k"] for r in latest] == ["second"] + ["first"] * 8
+
+
+def test_two_deliveries_of_a_day_give_the_later_one_in_one_run_or_two(spark, lake):
+    # Alphabetically after and before what came first.
+    feeds = [
+        [order("a", at(2018), D1, "m"), order("b", at(2018), D1, "m"), order("c", at(2018), D2, "m")],
+        [order("a", at(2018), D1, "z"), order("b", at(2018), D1, "a"), order("c", at(2018), D1, "a")],
+    ]
+    for name in ("one", "two"):
+        for feed in feeds:
+            if name == "one":
+                deliver(spark, f"{lake}/one", silver.ORDERS, orders(spark, *feed))
+            else:
+                load_orders(spark, f"{lake}/two", [], feed)
+        load_orders(spark, f"{lake}/{name}", [], [])
+        assert stored_orders(spark, f"{lake}/{name}", "order_id", "order_status") == [("a", "z"), ("b", "a"), ("c", "m")]
+
+
+def test_an_earlier_delivery_that_is_loaded_later_does_not_win(spark, lake):
+    load_orders(spark, lake, [], [order("a", at(2018), D1, "now")])
+    daily = deliver(spark, lake, silver.ORDERS, orders(spark, order("a", at(2018), D1, "copied late")))
+    for file in Path(daily).glob("*.parquet"):
+        if file.stat().st_mtime == max(f.stat().st_mtime for f in Path(daily).glob("*.parquet")):
+            os.utime(file, (1000, 1000))
+    assert load_orders(spark, lake, [], []) == [1]
+    assert stored_orders(spark, lake, "order_status") == [("now",)]
+
+
+def test_an_update_that_comes_with_its_orders_move_is_kept(spark, lake):
+    load_orders(spark, lake, [], [order("a", at(2017), D1)])
+    load_items(spark, lake, [], [item("a", 1, D1, "1.00"), item("a", 2, D1, "1.00")])
+    load_orders(spark, lake, [], [order("a", at(2019), D2)])
+    load_items(spark, lake, [], [item("a", 1, D1, "3.00")])
+    assert stored_items(spark, lake, "order_item_id", "price", "partition_year") == [
+        (1, Decimal("3.00"), 2019),
+        (2, Decimal("1.00"), 2019),
+    ]
+
+
+def test_an_order_that_moves_there_and_back(spark, lake):
+    load_orders(spark, lake, [], [order("a", at(2017), D1)])
+    load_items(spark, lake, [], [item("a", 1, D1)])
+    for day, year in ((D2, 2019), (dt.date(2024, 1, 3), 2017)):
+        load_orders(spark, lake, [], [order("a", at(year), day)])
+        load_items(spark, lake, [], [])
+        assert stored_items(spark, lake, "order_purchase_timestamp", "partition_year") == [(at(year), year)]
+
+
+def test_an_update_of_a_waiting_child_is_kept(spark, lake):
+    load_orders(spark, lake, [], [order("z", at(2017), D1)])
+    load_items(spark, lake, [], [item("late", 1, D1, "1.00"), item("late", 2, D1, "1.00")])
+    load_items(spark, lake, [], [item("late", 1, D1, "2.00")])
+    waiting = silver.pending(spark, lake, silver.ORDER_ITEMS)
+    assert rows(waiting, "order_item_id", "price") == [(1, Decimal("2.00")), (2, Decimal("1.00"))]
+    load_orders(spark, lake, [], [order("late", at(2018), D2)])
+    load_items(spark, lake, [], [])
+    assert stored_items(spark, lake, "order_item_id", "price") == [(1, Decimal("2.00")), (2, Decimal("1.00"))]
+    assert silver.pending(spark, lake, silver.ORDER_ITEMS).isEmpty()
+
+
+def test_a_load_appends_to_the_waiting_log_what_changes(spark, lake):
+    load_orders(spark, lake, [], [order("z", at(2017), D1)])
+    load_items(spark, lake, [], [item(f"o{n}", 1, D1) for n in range(50)])
+    load_items(spark, lake, [], [item("z", 1, D1)])
+    load_items(spark, lake, [], [item("o1", 1, D1, "5.00")])
+    root = f"{lake}/waiting/order_items"
+    assert sorted(p.name for p in Path(root).iterdir()) == ["gen=0", "gen=1"]
+    assert spark.read.parquet(f"{root}/gen=1").count() == 2
+    assert silver.pending(spark, lake, silver.ORDER_ITEMS).count() == 50
+
+
+# --- the keyed log -------------------------------------------------------------------------
+
+
+def log(spark, *values):
+    return spark.createDataFrame(list(values), COUNTS)
+
+
+def change(spark, lake, added=(), removed=(), **options):
+    keyed_log.append(spark, lake, COUNTS, ["k", "part"], log(spark, *added), log(spark, *removed), **options)
+    return rows(keyed_log.read(spark, lake, COUNTS, ["k", "part"]))
+
+
+def test_rows_count_until_their_key_is_removed_or_added_again(spark, lake):
+    assert rows(keyed_log.read(spark, lake, COUNTS, ["k", "part"])) == []
+    assert change(spark, lake, [("a", 1, 1), ("a", 2, 1), (None, 1, 1)]) == [("a", 1, 1), ("a", 2, 1), (None, 1, 1)]
+    assert change(spark, lake, [("a", 1, 9)], [("a", 1, None), (None, 1, None)]) == [("a", 1, 9), ("a", 2, 1)]
+    assert change(spark, lake, [], [("a", 1, None), ("no", 1, None)]) == [("a", 2, 1)]
+    assert change(spark, lake, [("a", 1, 3)]) == [("a", 1, 3), ("a", 2, 1)]
+    of = spark.createDataFrame([("a",), ("b",)], "k STRING")
+    assert rows(keyed_log.read(spark, lake, COUNTS, ["k", "part"], of)) == [("a", 1, 3), ("a", 2, 1)]
+    # Nothing to record, nothing written.
+    folders = set(Path(lake).iterdir())
+    change(spark, lake)
+    assert set(Path(lake).iterdir()) == folders
+
+
+def test_the_log_is_folded_and_stays_short(spark, lake):
+    for n in range(20):
+        kept = change(spark, lake, [(f"k{n}", 1, n)], [(f"k{n - 2}", 1, None)], fold_after=4)
+        assert kept == sorted((f"k{m}", 1, m) for m in (n - 1, n) if m >= 0)
+    names = [p.name for p in Path(lake).iterdir()]
+    assert sum(name.startswith("base=") for name in names) == 2
+    assert sum(name.startswith("gen=") for name in names) <= 8
+
+
+def test_an_unfinished_change_does_not_count(spark, lake):
+    change(spark, lake, [("a", 1, 1)])
+    os.makedirs(f"{lake}/gen=1")
+    assert change(spark, lake, [("b", 1, 1)]) == [("a", 1, 1), ("b", 1, 1)]
+
+
+# --- the index -----------------------------------------------------------------------------
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_load_does_not_exchange_the_indexed_versions(spark, lake, monkeypatch):
+    monkeypatch.setattr(key_index, "FOLD_BYTES", 0)
+    load_orders(spark, lake, [order(f"o{n}", at(2017)) for n in range(30)], [])
+    load_items(spark, lake, [item(f"o{n}", 1) for n in range(30)], [])
+    ids = orders(spark, order("o1", at(2018)), order("new", at(2018))).select("order_id").distinct()
+    for table in (silver.ORDERS, silver.ORDER_ITEMS):
+        versions = silver._versions(spark, lake, table, of=ids)
+        assert rows(versions, "order_id") == [("o1",)]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            text = plan(silver._versions(spark, lake, table, of=ids))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        scans = [line for line in text.splitlines() if "Bucketed: true" in line]
+        assert len(scans) == 1
+        # From the bucketed scan up to the join there is no exchange, only a sort.
+        above = text.splitlines()[: text.splitlines().index(scans[0])]
+        branch = above[-3:]
+        assert any(re.search("Sort", line) for line in branch) and not any("Exchange" in line for line in branch)
+
+
+@pytest.mark.parametrize("fold_after", [1, 2, 99])
+def test_results_do_not_depend_on_the_index(spark, lake, monkeypatch, fold_after):
+    monkeypatch.setattr(key_index, "FOLD_AFTER", fold_after)
+    load_orders(spark, lake, [order("a", at(2017)), order("b", at(2017))], [])
+    load_items(spark, lake, [item("a", 1), item("b", 1), item("w", 1)], [])
+    assert load_orders(spark, lake, [], [order("a", at(2019), D1), order("b", at(2017), D1)]) == [1]
+    assert load_orders(spark, lake, [], [order("w", at(2018), D1), order("a", at(2019), D2)]) == [2]
+    load_items(spark, lake, [], [item("b", 1, D1), item("a", 2, D1)])
+    assert stored_items(spark, lake, "order_id", "order_item_id", "partition_year", "batch_id") == [
+        ("a", 1, 2019, 1),
+        ("a", 2, 2019, 1),
+        ("b", 1, 2017, 0),
+        ("w", 1, 2018, 1),
+    ]
+    # Only the index that counts is kept.
+    folders = list(Path(f"{lake}/index/orders").glob("through=*")) if fold_after < 99 else []
+    assert len(folders) == (0 if fold_after == 99 else 1)
+
+
+def test_clashing_columns_survive_the_choice_of_one_row(spark):
+    from pyspark.sql import functions as F
+
+    from orderloom.operators.dedup import keep_first
+
+    df = spark.createDataFrame([("a", 7, 8), ("a", 9, 1)], "k STRING, _rank INT, _RANK_ INT")
+    assert rows(keep_first(df, ["k"], [F.col("_rank").desc()])) == [("a", 9, 1)]
