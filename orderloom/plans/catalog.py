@@ -17,7 +17,7 @@ from orderloom.operators.align import align_union, bad_values, conform
 from orderloom.operators.dedup import keep_first, newest_first
 from orderloom.operators.groups import with_group_measures
 from orderloom.operators.skew import join_one_per_key
-from orderloom.plans import analytics, bronze, gold, runs, silver
+from orderloom.plans import analytics, bronze, fact_store, gold, runs, silver
 from orderloom.session import new_folder, prepare, run_together
 from orderloom.sinks.folders import current, publish
 from orderloom.sinks.parquet import (
@@ -577,9 +577,9 @@ def fact_self_dedup(spark, roles):
     """A stored fact whose first load repeated its grain is repaired in place."""
     root = f"{new_folder(spark, 'gold')}/fact_orders"
     repeated = gold.paid_lines(roles.warehouse_orders(), roles.order_items(), roles.payments())
-    gold.merge_fact(spark, root, repeated.select(*schemas.FACT_ORDERS.names), 0)
-    gold.repair_fact(spark, root)
-    return gold.read_fact(spark, root)
+    fact_store.merge_fact(spark, root, repeated.select(*schemas.FACT_ORDERS.names), 0)
+    fact_store.repair_fact(spark, root)
+    return fact_store.read_fact(spark, root)
 
 
 @query
@@ -591,7 +591,7 @@ def fact_merge(spark, roles):
         roles.order_items_between(None, SECOND_BATCH),
         roles.payments_between(None, SECOND_BATCH),
     )
-    gold.merge_fact(spark, root, first, 0)
+    fact_store.merge_fact(spark, root, first, 0)
     new_rows = [
         roles.orders_between(SECOND_BATCH, None),
         roles.order_items_between(SECOND_BATCH, None),
@@ -600,8 +600,8 @@ def fact_merge(spark, roles):
     changed = reduce(DataFrame.union, [rows.select("order_id") for rows in new_rows])
     tables = [roles.warehouse_orders(), roles.order_items(), roles.payments()]
     affected = gold.of_changed_orders(tables, changed, f"{root}/changed/batch_id=1")
-    gold.merge_fact(spark, root, gold.fact_orders(*affected), 1)
-    return gold.read_fact(spark, root)
+    fact_store.merge_fact(spark, root, gold.fact_orders(*affected), 1)
+    return fact_store.read_fact(spark, root)
 
 
 @query
@@ -730,7 +730,7 @@ def stream_fact_merge(spark, roles):
     _land_batch(roles, lake, SECOND_BATCH, None)
     refresh_fact(spark, tables, root, work)
     refresh_fact(spark, tables, root, work)
-    return gold.read_fact(spark, root)
+    return fact_store.read_fact(spark, root)
 
 
 def _full_runs(
@@ -764,7 +764,7 @@ def daily_runs_fact(spark, roles):
     """Two full runs from the feeds to gold; items may arrive before or after their order."""
     lake = new_folder(spark, "runs")
     _full_runs(spark, roles, lake, _two_batches(roles))
-    return gold.read_fact(spark, f"{lake}/gold/fact_orders")
+    return fact_store.read_fact(spark, f"{lake}/gold/fact_orders")
 
 
 @query
@@ -817,4 +817,4 @@ def stream_fact_order_moved(spark, roles):
     second["orders"] = second["orders"].unionByName(moved)
     again = {"order_items": _repriced(first["order_items"], 3, 0, "2.00")}
     _full_runs(spark, roles, lake, [first, second], again)
-    return gold.read_fact(spark, f"{lake}/gold/fact_orders")
+    return fact_store.read_fact(spark, f"{lake}/gold/fact_orders")

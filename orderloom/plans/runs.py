@@ -71,14 +71,19 @@ def read_warehouse(spark: SparkSession, lake: str, name: str) -> DataFrame:
     return latest.select(*WAREHOUSE[name].names)
 
 
-def refresh_gold(spark: SparkSession, lake: str, files_per_batch: int | None = None) -> None:
+def refresh_gold(
+    spark: SparkSession,
+    lake: str,
+    files_per_batch: int | None = None,
+    fact_buckets: int | None = None,
+) -> None:
     """Merge what changed into the fact, and replace the dimensions."""
     changing = {
         name: (warehouse_path(lake, name), _stored(name))
         for name in ("orders", "order_items", "payments")
     }
     root, work = f"{lake}/gold/fact_orders", f"{lake}/work/fact_orders"
-    refresh_fact(spark, changing, root, work, files_per_batch)
+    refresh_fact(spark, changing, root, work, files_per_batch, fact_buckets)
     customers = gold.dim_customers(_versions(spark, lake, "customers"))
     products = gold.dim_products(_versions(spark, lake, "products"))
     publish(customers, f"{lake}/gold/dim_customers")
@@ -86,10 +91,14 @@ def refresh_gold(spark: SparkSession, lake: str, files_per_batch: int | None = N
 
 
 def run(
-    spark: SparkSession, lake: str, feeds: Feeds, files_per_batch: int | None = None
+    spark: SparkSession,
+    lake: str,
+    feeds: Feeds,
+    files_per_batch: int | None = None,
+    fact_buckets: int | None = None,
 ) -> None:
     load_silver(spark, lake, feeds, files_per_batch)
     run_together(
         *[partial(load_warehouse_table, spark, lake, t, files_per_batch) for t in TABLES.values()]
     )
-    refresh_gold(spark, lake, files_per_batch)
+    refresh_gold(spark, lake, files_per_batch, fact_buckets)

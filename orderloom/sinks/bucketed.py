@@ -6,41 +6,92 @@ the other side only. Buckets need a table name; it is given up at once, the file
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from orderloom.session import INITIAL_PARTITIONS
 from orderloom.sinks.folders import drop
 
-# Spark's own limit.
-MOST_BUCKETS = 100_000
+# Bytes to a bucket, at most, as long as there are no more buckets than this.
+BUCKET_BYTES = 1 << 29
+MOST_BUCKETS = 250_000
+_MOST_ALLOWED = "spark.sql.sources.bucketing.maxBuckets"
+
+# Off, a table's partitions are found by listing its folder instead of asking the catalog for them.
+_CATALOG_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
+_naming = threading.Lock()
 
 
 def _new_name() -> str:
     return f"orderloom_{uuid.uuid4().hex}"
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    """Replace the folder; one file per bucket."""
+def buckets_for(spark: SparkSession, size: int) -> int:
+    """A number of buckets for an amount of bytes.
+
+    Spark uses the buckets of one side of a join only if they are no fewer than its own shuffle
+    partitions, so they are not, with some to spare for a session that is sized for more.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    shuffled = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = max(int(shuffled), -(-size // BUCKET_BYTES))
+    return min(MOST_BUCKETS, max(cores, wanted if wanted <= cores else wanted * 5 // 4))
+
+
+def write_bucketed(
+    df: DataFrame, path: str, key: str, buckets: int, partition: str | None = None
+) -> None:
+    """Replace the folder; one file per bucket (and partition)."""
     spark, name = df.sparkSession, _new_name()
     drop(spark, path)
     writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key)
-    writer.option("path", path).saveAsTable(name)
-    spark.sql(f"DROP TABLE {name}")
+    if partition is not None:
+        writer = writer.partitionBy(partition)
+    with _named(spark, name):
+        writer.option("path", path).saveAsTable(name)
 
 
 def read_bucketed(
-    spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    key: str,
+    buckets: int,
+    partition: str | None = None,
 ) -> DataFrame:
     name = _new_name()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    partitioned = "" if partition is None else f" PARTITIONED BY (`{partition}`)"
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS"
-        f" LOCATION '{location}'"
-    )
-    rows = spark.table(name)
-    rows.schema  # resolved: it outlives the name
-    spark.sql(f"DROP TABLE {name}")
+    with _named(spark, name):
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet{partitioned}"
+            f" CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
+        )
+        rows = spark.table(name).select(*schema.names)
+        rows.schema  # resolved: it outlives the name
     return rows
+
+
+class _named:
+    """Gives a table's name up at the end; meanwhile its partitions are found by listing."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+
+    def __enter__(self) -> None:
+        _naming.acquire()
+        self.before = {key: self.spark.conf.get(key) for key in (_CATALOG_PARTITIONS, _MOST_ALLOWED)}
+        self.spark.conf.set(_CATALOG_PARTITIONS, "false")
+        self.spark.conf.set(_MOST_ALLOWED, str(max(MOST_BUCKETS, int(self.before[_MOST_ALLOWED]))))
+
+    def __exit__(self, *error: object) -> None:
+        try:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        finally:
+            for key, value in self.before.items():
+                self.spark.conf.set(key, value)
+            _naming.release()

@@ -1,11 +1,12 @@
 import datetime as dt
+import re
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 
 from orderloom import schemas
-from orderloom.plans import analytics, gold
-from orderloom.sinks.folders import current
+from orderloom.plans import analytics, fact_store, gold
 from tests.conftest import rows
 
 T0 = dt.datetime(2018, 3, 1, 12)
@@ -175,7 +176,7 @@ def test_merge_updates_inserts_and_keeps_the_rest(spark, lake):
         fact_row("b", "p", JAN, "2.00"),
         fact_row("c", "p", FEB, "3.00"),
     )
-    gold.merge_fact(spark, lake, first, 0)
+    fact_store.merge_fact(spark, lake, first, 0)
     # "a" is updated with a NULL, "c" comes with another purchase month, "d" is new.
     batch = facts(
         spark,
@@ -185,8 +186,8 @@ def test_merge_updates_inserts_and_keeps_the_rest(spark, lake):
         fact_row("e", None, FEB, "6.00"),
     )
     for batch_id in (1, 2):  # the second time changes nothing
-        gold.merge_fact(spark, lake, batch, batch_id)
-        stored = gold.read_fact(spark, lake)
+        fact_store.merge_fact(spark, lake, batch, batch_id)
+        stored = fact_store.read_fact(spark, lake)
         assert rows(stored, "order_id", "price", "payment_value", "order_purchase_timestamp") == [
             ("a", None, D("9.00"), JAN),
             ("b", D("2.00"), D("1.00"), JAN),
@@ -199,88 +200,169 @@ def test_merge_updates_inserts_and_keeps_the_rest(spark, lake):
 
 def test_whole_orders_replace_what_is_stored_of_them(spark, lake):
     first = [fact_row("a", "p", JAN, "1.00"), fact_row("a", "q", JAN, "2.00"), fact_row("b", "p", JAN, "3.00")]
-    gold.merge_fact(spark, lake, facts(spark, *first), 0)
+    fact_store.merge_fact(spark, lake, facts(spark, *first), 0)
     changed = spark.createDataFrame([("a",), ("gone",)], "order_id STRING")
     batch = facts(spark, fact_row("a", "p", FEB, "4.00"))
     columns = ["order_purchase_timestamp", *schemas.FACT_MEASURES]
-    gold.merge_fact(spark, lake, batch, 1, of_orders=changed, update=columns)
-    stored = gold.read_fact(spark, lake)
+    fact_store.merge_fact(spark, lake, batch, 1, of_orders=changed, update=columns)
+    stored = fact_store.read_fact(spark, lake)
     assert rows(stored, "order_id", "product_id", "order_purchase_timestamp", "price") == [
         ("a", "p", FEB, D("4.00")),
         ("b", "p", JAN, D("3.00")),
     ]
     # The last row of a bucket may go, too.
-    gold.merge_fact(spark, lake, batch.where("false"), 2, of_orders=changed)
-    assert rows(gold.read_fact(spark, lake), "order_id") == [("b",)]
-
-
-def test_merge_of_one_order_rewrites_one_bucket(spark, lake):
-    many = [fact_row(f"o{i}", "p", JAN, "1.00") for i in range(40)]
-    gold.merge_fact(spark, lake, facts(spark, *many), 0, buckets=8)
-    files = set(gold.read_fact(spark, lake).inputFiles())
-    gold.merge_fact(spark, lake, facts(spark, fact_row("o7", "p", FEB, "7.00")), 1)
-    after = set(gold.read_fact(spark, lake).inputFiles())
-    assert len(files) > 4 and len(files - after) == len(after - files) == 1
-    assert rows(gold.read_fact(spark, lake).where("price > 1"), "order_id") == [("o7",)]
-    assert gold.read_fact(spark, lake).count() == 40
+    fact_store.merge_fact(spark, lake, batch.where("false"), 2, of_orders=changed)
+    assert rows(fact_store.read_fact(spark, lake), "order_id") == [("b",)]
+
+
+def written(root, kind):
+    """Files and bytes of each generation of a kind, beside checksums and markers."""
+    found = {}
+    for file in Path(root).glob(f"{kind}/generation=*/**/*.parquet"):
+        generation = int(re.search(r"generation=(\d+)", str(file))[1])
+        files, size = found.get(generation, (0, 0))
+        found[generation] = (files + 1, size + file.stat().st_size)
+    return found
+
+
+def test_a_merge_writes_in_proportion_to_what_changed(spark, lake):
+    days = [JAN, dt.datetime(2019, 3, 1), dt.datetime(2020, 3, 1)]
+    many = [fact_row(f"o{i}", f"p{i % 7}", days[i % 3], f"{i}.00") for i in range(6000)]
+    fact_store.merge_fact(spark, lake, facts(spark, *many), 0, buckets=8)
+    assert set(written(lake, "base")) == {0}
+    expected = {f"o{i}": D(f"{i}.00") for i in range(6000)}
+    sizes = []
+    for batch_id, changed in ((1, range(7, 8)), (2, range(1000, 1600))):
+        batch = facts(spark, *[fact_row(f"o{i}", f"p{i % 7}", FEB, "0.50") for i in changed])
+        ids = batch.select("order_id")
+        columns = [c for c in schemas.FACT_ORDERS.names if c not in schemas.FACT_KEYS]
+        fact_store.merge_fact(spark, lake, batch, batch_id, of_orders=ids, update=columns)
+        expected |= {f"o{i}": D("0.50") for i in changed}
+        files, size = written(lake, "delta")[batch_id]
+        assert files <= 8
+        sizes.append(size)
+        assert set(written(lake, "base")) == {0}
+        assert dict(rows(fact_store.read_fact(spark, lake), "order_id", "price")) == expected
+    base = written(lake, "base")[0][1]
+    assert sizes[0] < base / 10 and sizes[1] < base / 3
+
+
+def test_a_report_opens_the_years_it_asks_for(spark, lake):
+    many = [fact_row(f"o{i}", "p", dt.datetime(2017 + i % 3, 1, 5), "1.00") for i in range(60)]
+    fact_store.merge_fact(spark, lake, facts(spark, *many), 0, buckets=2)
+    fact_store.merge_fact(spark, lake, facts(spark, fact_row("o1", "p", JAN, "5.00")), 1)
+    report = fact_store.read_fact(spark, lake).where("order_purchase_year = '2018'")
+    assert report.count() == 20
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    base = next(line for line in plan.splitlines() if "Bucketed" in line and "order_purchase_year" in line)
+    assert re.search(r"PartitionFilters: \[[^]]*order_purchase_year[^]]* = 2018", base)
+
+
+def test_reading_does_not_exchange_the_base(spark, lake):
+    many = [fact_row(f"o{i}", "p", JAN, "1.00") for i in range(60)]
+    fact_store.merge_fact(spark, lake, facts(spark, *many), 0, buckets=4)
+    fact_store.merge_fact(spark, lake, facts(spark, fact_row("o1", "p", JAN, "5.00")), 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fact_store.read_fact(spark, lake)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    base = next(n for n, line in enumerate(lines) if "Bucketed: true" in line)
+    join = max(n for n, line in enumerate(lines[:base]) if "Join" in line)
+    assert not any("Exchange" in line for line in lines[join:base])
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_many_merges_equal_one_table(spark, lake, monkeypatch, most):
+    """Deltas become one, and a base, without a change to what is read."""
+    monkeypatch.setattr(fact_store, "MOST_DELTAS", most)
+    monkeypatch.setattr(fact_store, "BASE_PART", 2)
+    expected = {}
+    for n in range(7):
+        changed = [f"o{i}" for i in range(n, 24, 7)] if n else [f"o{i}" for i in range(24)]
+        kept = changed[::2]
+        batch = facts(spark, *[fact_row(o, "p", JAN, f"{n}.00") for o in kept])
+        ids = spark.createDataFrame([(o,) for o in changed], "order_id STRING")
+        fact_store.merge_fact(spark, lake, batch, n, of_orders=ids, buckets=2)
+        expected = {o: p for o, p in expected.items() if o not in changed} | {o: D(f"{n}.00") for o in kept}
+        assert dict(rows(fact_store.read_fact(spark, lake), "order_id", "price")) == expected
+    pointer = fact_store._pointer(spark, lake)
+    assert len(fact_store._of_kind(pointer, "delta")) <= most
+    # What does not count any more has gone, but for the last merge's leavings.
+    counted = {(r["kind"] == "base" or r["buckets"] > 0, r["generation"]) for r in pointer}
+    on_disk = {(kind == "base", g) for kind in ("base", "delta") for g in written(lake, kind)}
+    assert on_disk <= counted
 
 
 def test_readers_see_the_old_fact_or_the_new_one(spark, lake, monkeypatch):
     many = [fact_row(f"o{i}", "p", JAN, "1.00") for i in range(20)]
-    gold.merge_fact(spark, lake, facts(spark, *many), 0, buckets=4)
-    before = gold.read_fact(spark, lake)
+    fact_store.merge_fact(spark, lake, facts(spark, *many), 0, buckets=4)
+    before = fact_store.read_fact(spark, lake)
     counts = []
-    plain = gold.publish
+    plain = fact_store.publish
 
     def publish(df, root):
         # All data is written; nothing is replaced yet.
-        counts.append((gold.read_fact(spark, lake).count(), before.count()))
+        counts.append((fact_store.read_fact(spark, lake).count(), before.count()))
         return plain(df, root)
 
-    monkeypatch.setattr(gold, "publish", publish)
+    monkeypatch.setattr(fact_store, "publish", publish)
     again = [fact_row(f"o{i}", "p", JAN, "2.00") for i in range(20)]
-    gold.merge_fact(spark, lake, facts(spark, *again, fact_row("new", "p", JAN, "2.00")), 1)
-    assert counts == [(20, 20), (21, 20)]
-    assert before.count() == 20 and gold.read_fact(spark, lake).count() == 21
+    fact_store.merge_fact(spark, lake, facts(spark, *again, fact_row("new", "p", JAN, "2.00")), 1)
+    assert counts == [(20, 20)]
+    assert before.count() == 20 and fact_store.read_fact(spark, lake).count() == 21
 
 
 def test_an_interrupted_merge_is_written_again(spark, lake, monkeypatch):
-    gold.merge_fact(spark, lake, facts(spark, fact_row("a", "p", JAN, "1.00")), 0)
+    fact_store.merge_fact(spark, lake, facts(spark, fact_row("a", "p", JAN, "1.00")), 0)
     batch = facts(spark, fact_row("a", "p", JAN, "8.00"), fact_row("b", "p", FEB, "2.00"))
     with monkeypatch.context() as patch:
-        patch.setattr(gold, "publish", lambda df, root: 1 / 0)
+        patch.setattr(fact_store, "publish", lambda df, root: 1 / 0)
         with pytest.raises(ZeroDivisionError):
-            gold.merge_fact(spark, lake, batch, 1)
-    assert rows(gold.read_fact(spark, lake), "order_id", "price") == [("a", D("1.00"))]
-    gold.merge_fact(spark, lake, batch, 1)
-    assert rows(gold.read_fact(spark, lake), "order_id", "price") == [("a", D("8.00")), ("b", D("2.00"))]
-
-
-def test_replaced_buckets_go_after_one_more_merge(spark, lake):
-    for n in range(4):
-        gold.merge_fact(spark, lake, facts(spark, fact_row("a", "p", JAN, f"{n}.00")), n)
-    generations = spark.read.parquet(f"{lake}/data").select("generation").distinct()
-    assert rows(generations) == [(2,), (3,)]
-    assert current(spark, f"{lake}/current", gold.CURRENT).count() == 1
+            fact_store.merge_fact(spark, lake, batch, 1)
+    assert rows(fact_store.read_fact(spark, lake), "order_id", "price") == [("a", D("1.00"))]
+    fact_store.merge_fact(spark, lake, batch, 1)
+    assert rows(fact_store.read_fact(spark, lake), "order_id", "price") == [("a", D("8.00")), ("b", D("2.00"))]
 
 
-def test_the_stored_fact_is_repaired_in_place(spark, lake):
+def test_the_stored_fact_is_repaired_in_place(spark, lake, monkeypatch):
     repeated = [
         fact_row("a", "p", JAN, "1.00"),
         fact_row("a", "p", FEB, "2.00"),
-        fact_row("b", "p", JAN, "3.00"),
+        fact_row("a", "q", FEB, "4.00"),
+        *[fact_row(f"o{i}", "p", JAN, "3.00") for i in range(20)],
     ]
-    gold.merge_fact(spark, lake, facts(spark, *repeated), 0)
-    gold.repair_fact(spark, lake)
-    stored = rows(gold.read_fact(spark, lake), "order_id", "price")
-    assert stored == [("a", D("2.00")), ("b", D("3.00"))]
-    files = gold.read_fact(spark, lake).inputFiles()
-    gold.repair_fact(spark, lake)
-    assert gold.read_fact(spark, lake).inputFiles() == files
+    fact_store.merge_fact(spark, lake, facts(spark, *repeated), 0)
+    fact_store.repair_fact(spark, lake)
+    stored = fact_store.read_fact(spark, lake).where("order_id = 'a'")
+    assert rows(stored, "product_id", "price") == [("p", D("2.00")), ("q", D("4.00"))]
+    assert fact_store.read_fact(spark, lake).count() == 22
+    files = fact_store.read_fact(spark, lake).inputFiles()
+
+    # A certified generation is not read again, and what a merge knows to be unique needs no repair.
+    checked = []
+    plain = fact_store._counting
+    monkeypatch.setattr(fact_store, "_counting", lambda *args: checked.append(args) or plain(*args))
+    fact_store.repair_fact(spark, lake)
+    assert not checked and fact_store.read_fact(spark, lake).inputFiles() == files
+    checked.clear()
+    ids = spark.createDataFrame([("o1",)], "order_id STRING")
+    row = facts(spark, fact_row("o1", "p", JAN, "5.00"))
+    columns = [c for c in schemas.FACT_ORDERS.names if c not in schemas.FACT_KEYS]
+    fact_store.merge_fact(spark, lake, row, 1, of_orders=ids, update=columns, unique=True)
+    checked.clear()
+    fact_store.repair_fact(spark, lake)
+    assert not checked
+    # One that is not known to be unique is read alone.
+    fact_store.merge_fact(spark, lake, row.union(row), 2, of_orders=ids, update=columns)
+    fact_store.repair_fact(spark, lake)
+    assert rows(fact_store.read_fact(spark, lake).where("order_id = 'o1'"), "price") == [(D("5.00"),)]
+    assert fact_store.read_fact(spark, lake).count() == 22
 
 
 def test_rows_without_a_purchase_time_are_merged_too(spark, lake):
     undated = facts(spark, ("a", "c", "p", None, None, D("1.00"), D("0.00"), D("1.00"), "x", 1))
-    gold.merge_fact(spark, lake, undated, 0)
-    gold.merge_fact(spark, lake, undated, 1)
-    assert rows(gold.read_fact(spark, lake), "order_id", "order_purchase_timestamp") == [("a", None)]
+    fact_store.merge_fact(spark, lake, undated, 0)
+    fact_store.merge_fact(spark, lake, undated, 1)
+    assert rows(fact_store.read_fact(spark, lake), "order_id", "order_purchase_timestamp") == [("a", None)]
