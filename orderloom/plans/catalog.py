@@ -776,8 +776,9 @@ def daily_runs_dims(spark, roles):
         _run_silver(spark, roles, lake, number, feeds)
         for name in feeds:
             runs.load_warehouse_table(spark, lake, runs.TABLES[name])
-    products = gold.dim_products(runs.read_warehouse(spark, lake, "products"))
-    customers = gold.dim_customers(runs.read_warehouse(spark, lake, "customers"))
+        runs.refresh_dimensions(spark, lake)
+    products = runs.dimension(spark, lake, "products")
+    customers = runs.dimension(spark, lake, "customers")
     none = F.lit(None).cast("string")
     return products.select(
         F.lit("product").alias("dimension"),

@@ -9,16 +9,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.operators.versions import latest_versions
-from orderloom.plans import gold, silver
-from orderloom.schemas import ORDER_YEAR, WAREHOUSE, extend
+from orderloom.plans import silver
+from orderloom.schemas import DIM_CUSTOMERS, DIM_PRODUCTS, ORDER_YEAR, WAREHOUSE, extend
 from orderloom.session import run_together
-from orderloom.sinks.folders import publish
 from orderloom.sources.deliveries import DELIVERY
 from orderloom.streaming.autoload import autoload
+from orderloom.streaming.dimension import read_dimension, refresh_dimension
 from orderloom.streaming.fact import refresh_fact
 
 ENTITIES = [silver.PRODUCTS, silver.CUSTOMERS, silver.ORDERS]
 CHILDREN = [silver.ORDER_ITEMS, silver.PAYMENTS]
+DIMENSIONS = {"products": DIM_PRODUCTS, "customers": DIM_CUSTOMERS}
 TABLES = {table.name: table for table in [*ENTITIES, *CHILDREN]}
 
 # The history of each silver table, and the folder its daily deliveries arrive in, by name.
@@ -77,17 +78,40 @@ def refresh_gold(
     files_per_batch: int | None = None,
     fact_buckets: int | None = None,
 ) -> None:
-    """Merge what changed into the fact, and replace the dimensions."""
+    """Merge what changed into the fact and the dimensions."""
     changing = {
         name: (warehouse_path(lake, name), _stored(name))
         for name in ("orders", "order_items", "payments")
     }
     root, work = f"{lake}/gold/fact_orders", f"{lake}/work/fact_orders"
     refresh_fact(spark, changing, root, work, files_per_batch, fact_buckets)
-    customers = gold.dim_customers(_versions(spark, lake, "customers"))
-    products = gold.dim_products(_versions(spark, lake, "products"))
-    publish(customers, f"{lake}/gold/dim_customers")
-    publish(products, f"{lake}/gold/dim_products")
+    refresh_dimensions(spark, lake, files_per_batch)
+
+
+def refresh_dimensions(
+    spark: SparkSession, lake: str, files_per_batch: int | None = None
+) -> None:
+    """Append the rows of changed products and customers to their dimensions."""
+
+    def refresh(name: str) -> None:
+        refresh_dimension(
+            spark,
+            warehouse_path(lake, name),
+            _stored(name),
+            TABLES[name].keys[0],
+            DIMENSIONS[name],
+            f"{lake}/gold/dim_{name}",
+            f"{lake}/work/dim_{name}",
+            files_per_batch,
+        )
+
+    run_together(*[partial(refresh, name) for name in DIMENSIONS])
+
+
+def dimension(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    """The stored dimension of products or customers."""
+    root = f"{lake}/gold/dim_{name}"
+    return read_dimension(spark, root, _stored(name), TABLES[name].keys[0], DIMENSIONS[name])
 
 
 def run(

@@ -184,7 +184,7 @@ def _met(spark: SparkSession, lake: str, table: SilverTable) -> int | None:
 
 def _meet_orders(
     spark: SparkSession, lake: str, table: SilverTable, incoming: DataFrame, work: str
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Children with the time of their order, those without one included, and those of them that
     have waited before; written out once.
 
@@ -194,14 +194,15 @@ def _meet_orders(
     met, first_load = _met(spark, lake, table), not _batches(spark, lake, table)
     order_batches = _batches(spark, lake, ORDERS)
     has_new_orders = bool(order_batches) and (met is None or order_batches[-1] > met)
-    if met is None:
-        touched = _waiting(spark, lake, table)
-    else:
-        new_orders = _order_ids(_stored(spark, lake, ORDERS, after=met))
-        touched = _waiting(spark, lake, table, of=_order_ids(incoming).union(new_orders).distinct())
-    write_flat(touched, f"{work}/waited")
-    waited = spark.read.schema(table.arriving).parquet(f"{work}/waited")
-    rows = incoming.select(*table.arriving.names).unionByName(waited)
+    rows, waited = incoming.select(*table.arriving.names), None
+    if not keyed_log.is_empty(spark, _waiting_root(lake, table)):
+        touched_ids = None
+        if met is not None:
+            new_orders = _order_ids(_stored(spark, lake, ORDERS, after=met))
+            touched_ids = _order_ids(incoming).union(new_orders).distinct()
+        write_flat(_waiting(spark, lake, table, of=touched_ids), f"{work}/waited")
+        waited = spark.read.schema(table.arriving).parquet(f"{work}/waited")
+        rows = rows.unionByName(waited)
     if met is not None and has_new_orders and not first_load:
         rows = rows.unionByName(_moved_children(spark, lake, table, met))
     rows = _one_per_key(rows, table)
@@ -252,10 +253,10 @@ def _store(
     )
     if table.child_of_orders:
         still = dated.where(F.col("partition_year").isNull()).select(*table.arriving.names)
-        gone = waited.subtract(still).select(*table.keys)
-        keyed_log.append(
-            spark, _waiting_root(lake, table), table.arriving, table.keys, still.subtract(waited), gone
-        )
+        added, gone = still, still.where("false").select(*table.keys)
+        if waited is not None:
+            added, gone = still.subtract(waited), waited.subtract(still).select(*table.keys)
+        keyed_log.append(spark, _waiting_root(lake, table), table.arriving, table.keys, added, gone)
         met = order_batches[-1] if order_batches else None
         state = spark.createDataFrame([(met,)], MET)
         publish(state.coalesce(1), f"{lake}/control/met/{table.name}")

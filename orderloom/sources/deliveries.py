@@ -34,10 +34,13 @@ def _name(path: Column) -> Column:
 
 def with_delivery(rows: DataFrame) -> DataFrame:
     """The file columns replaced by one that compares as the deliveries arrived."""
+    # A sum per file, not a distinct: the optimizer would take that out and name every row's file.
+    files = rows.groupBy(FILE).agg(F.max(WRITTEN).alias(WRITTEN), F.count(F.lit(1)).alias("_rows"))
     pull = F.regexp_extract(FILE, r"/run=(\d{1,18})/", 1).try_cast("bigint")
-    named = rows.withColumns({"_name": _name(F.col(FILE)), "_pull": pull})
-    # One row per delivery, and the driver has listed every file of the batch: small.
-    times = named.groupBy("_name").agg(F.max(WRITTEN).alias("_at"))
+    named = files.withColumns({"_name": _name(F.col(FILE)), "_pull": pull})
+    last = named.where("_rows > 0").groupBy("_name").agg(F.max(WRITTEN).alias("_at"))
     order = F.struct(F.col("_at").alias("at"), F.col("_pull").alias("pull"), F.col("_name").alias("name"))
+    of_file = named.join(last, "_name").select(FILE, order.alias(DELIVERY))
     kept = [c for c in rows.columns if c not in (FILE, WRITTEN, DELIVERY)]
-    return named.join(F.broadcast(times), "_name").select(*kept, order.alias(DELIVERY))
+    # One row per file, and the driver has listed every file of the batch: small.
+    return rows.select(*kept, FILE).join(F.broadcast(of_file), FILE).select(*kept, DELIVERY)

@@ -246,16 +246,33 @@ def test_a_second_load_takes_few_jobs(spark, lake):
 
 
 def test_changes_reach_the_dimensions(spark, lake):
-    def product(price, day):
-        return ("p", "c", 1, 1, 1, 1, 1.0, 1.0, 1.0, Decimal(price), 1, 1.0, day)
+    def product(price, day, weight=1):
+        return ("p", "c", 1, 1, 1, weight, 1.0, 1.0, 1.0, Decimal(price), 1, 1.0, day)
+
+    def refresh():
+        # The customers' stream has nothing to take yet.
+        spark.createDataFrame([], runs._stored("customers")).write.mode("append").parquet(
+            runs.warehouse_path(lake, "customers")
+        )
+        runs.refresh_dimensions(spark, lake)
+        shown = rows(runs.dimension(spark, lake, "products"), "product_id", "price")
+        return shown, complete(spark, f"{lake}/gold/dim_products", "gen")
 
     history = frame(spark, schemas.DAILY_PRODUCTS, product("1.00", None)).drop("ingestion_date")
-    for day, price in ((D1, "1.00"), (D2, "2.00")):
-        daily = frame(spark, schemas.DAILY_PRODUCTS, product(price, day))
+    # A change, nothing new, a later version, an older one that arrives late, a change on the same day.
+    for day, price, weight, gens in (
+        (D1, "1.00", 1, 1),
+        (D2, "2.00", 1, 2),
+        (D2, "2.00", 1, 2),
+        (D3, "2.00", 5, 3),
+        (D1, "7.00", 5, 3),
+        (D3, "3.00", 5, 4),
+    ):
+        daily = frame(spark, schemas.DAILY_PRODUCTS, product(price, day, weight))
         load_table(spark, lake, silver.PRODUCTS, history, daily)
         runs.load_warehouse_table(spark, lake, silver.PRODUCTS)
-        warehouse = runs.read_warehouse(spark, lake, "products")
-        assert rows(warehouse, "product_id", "price") == [("p", Decimal(price))]
+        shown = "2.00" if price == "7.00" else price
+        assert (day, *refresh()) == (day, [("p", Decimal(shown))], list(range(gens)))
 
 
 @pytest.mark.parametrize("table", [silver.PRODUCTS, silver.CUSTOMERS], ids=lambda t: t.name)
