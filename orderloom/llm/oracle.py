@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderloom.llm import curriculum, decontaminate, line_quality
+from orderloom.llm import decontaminate, line_quality
 from orderloom.llm.common import LOWER, UPPER, WORD
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -61,76 +61,6 @@ FROM counts
 """
 
 
-def _inverse(share: str, knots: tuple) -> str:
-    """curriculum.position_at, operation by operation, so that doubles agree to the last bit."""
-    spans = [(t, u - t, v, w) for (t, v), (u, w) in zip(knots, knots[1:])]
-    whole, used, cases = sum((v + w) / 2 * h for _, h, v, w in spans), 0.0, []
-    for t, h, v, w in spans:
-        asked = f"greatest({share} * {whole!r}::DOUBLE - {used!r}::DOUBLE, 0::DOUBLE)"
-        root = f"sqrt({v * v!r}::DOUBLE + (2 * {asked}) * {(w - v) / h!r}::DOUBLE)"
-        at = f"CASE WHEN {asked} > 0 THEN 2 * {asked} / ({v!r}::DOUBLE + {root}) ELSE 0 END"
-        used += (v + w) / 2 * h
-        cases.append(f"WHEN {share} * {whole!r}::DOUBLE < {used!r}::DOUBLE THEN {t!r}::DOUBLE + {at}")
-    return f"CASE {' '.join(cases)} ELSE {knots[-1][0]!r}::DOUBLE END"
-
-
-CURRICULUM = f"""
-WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
-    md5(coalesce(doc_id::VARCHAR, '') || ':{curriculum.SEED}') AS h
-  FROM documents
-), sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size,
-    row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank
-  FROM sizes GROUP BY source
-), weighed AS (
-  SELECT *, [5, 2, 1][rank % 3 + 1] AS weight, 3 * source_size AS most FROM sources
-), filled AS (
-  SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS all_weight,
-    coalesce(sum(most) OVER w, 0) AS most_before, coalesce(sum(weight) OVER w, 0) AS weight_before
-  FROM weighed
-  WINDOW w AS (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), stopped AS (
-  SELECT *, most * (all_weight - weight_before) <= weight * (total - most_before) AS stops
-  FROM filled
-), aimed AS (
-  SELECT source, source_size, rank, CASE WHEN stops THEN most::DOUBLE ELSE
-    weight::DOUBLE * (total - coalesce(sum(most) FILTER (stops) OVER (), 0))::DOUBLE
-    / (all_weight - coalesce(sum(weight) FILTER (stops) OVER (), 0))::DOUBLE END AS target
-  FROM stopped
-), placed AS (
-  SELECT doc_id, size, source_size, target, rank, floor(target / nullif(source_size, 0))::INT AS whole,
-    coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id, size
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM sizes s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source
-), parts AS (
-  SELECT *, target - whole * source_size AS part FROM placed
-), fits AS (
-  SELECT *, coalesce((start + size)::DOUBLE <= part AND whole < 3, false) AS fits FROM parts
-), filling AS (
-  SELECT *, coalesce(max(CASE WHEN fits AND size > 0 THEN start + size END)
-    OVER (PARTITION BY rank), 0) AS fitting
-  FROM fits
-), nearest AS (
-  SELECT *, row_number() OVER (PARTITION BY rank, NOT fits AND size > 0 AND whole < 3
-      ORDER BY abs(size - (part - fitting)), start) = 1
-    AND NOT fits AND size > 0 AND whole < 3 AND abs(size - (part - fitting)) < part - fitting AS last
-  FROM filling
-), copied AS (
-  SELECT *, CASE WHEN size > 0 THEN whole + (fits OR last)::INT ELSE 0 END AS copies FROM nearest
-), shared AS (
-  SELECT *, least(((CASE WHEN whole > 0 THEN start WHEN last THEN fitting ELSE start END)
-    + size / 2::DOUBLE) / nullif(target, 0), 1) AS share
-  FROM copied
-)
-SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken,
-  CASE WHEN copies > 0 THEN CASE rank % 3
-    WHEN 0 THEN {_inverse("share", curriculum.SCHEDULES[0])}
-    WHEN 1 THEN {_inverse("share", curriculum.SCHEDULES[1])}
-    ELSE {_inverse("share", curriculum.SCHEDULES[2])} END END AS first_position
-FROM shared
-"""
-
 DECONTAMINATION = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
@@ -200,7 +130,6 @@ FROM typed
 SQL: dict[str, str] = {
     "op4_url_cascade": URL_RULES,
     "op2_line_quality": LINE_QUALITY,
-    "op5_curriculum": CURRICULUM,
     "op7_decontamination": DECONTAMINATION,
     "op8_arc_to_warc": ARC_TO_WARC,
 }

@@ -51,9 +51,7 @@ def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The query's SQL ends the last epoch at the first document that does not fit.
-    plan = curriculum.schedule(table(spark, sf_dir, "documents"), fill=False)
-    return plan.select(
+    return curriculum.schedule(table(spark, sf_dir, "documents")).select(
         "doc_id",
         "size",
         "source_size",
