@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.dedup import unused
+
 # The rules. They are written so that Python's re and SQL's RE2 read them alike.
 SENTENCE_MARK = r"""[.!?…。！？]["'”’»)\]]*([\x20\x09-\x0D]|$)"""
 # What ends sentences in other scripts: Armenian, Hebrew, Arabic, Urdu, Syriac, Devanagari, Tibetan,
@@ -218,5 +220,6 @@ def kept(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> Dat
 
 def cleaned(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The passing rows, with the failing lines removed from `text_col`."""
-    judged = docs.withColumn("_measures", measures(docs[text_col], rules)).where("_measures.kept")
-    return judged.withColumn(text_col, F.col("_measures.cleaned")).select(*docs.columns)
+    name = unused("_measures", docs.columns)
+    judged = docs.withColumn(name, measures(docs[text_col], rules)).where(F.col(name)["kept"])
+    return judged.withColumn(text_col, F.col(name)["cleaned"]).select(*docs.columns)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import ASCII_LOWER, staged
 from orderloom.llm.components import components
+from orderloom.operators.dedup import unused
 
 SHINGLE_WORDS = 3
 MOST_BITS = 2
@@ -224,5 +225,6 @@ def one_per_group(
     chosen = docs.join(first, same, "left_semi")
     # Only equal rows are left to choose from; the group limit runs before the exchange.
     order = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(text_col)
-    ranked = chosen.withColumn("_row", F.row_number().over(order)).where("_row = 1")
+    row = unused("_row", docs.columns)
+    ranked = chosen.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1)
     return ranked.select(*docs.columns)

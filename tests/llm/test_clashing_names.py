@@ -1,0 +1,42 @@
+"""Callers' columns that are called like helpers keep their values."""
+
+from pyspark.sql import functions as F
+
+from orderloom.llm import curriculum, line_quality, simhash
+
+from .frames import docs
+
+HELPERS = ("_id", "_copy", "_src", "_start", "_positions", "_number", "_at", "_row", "_MEASURES", "_rank")
+PROSE = "The river rose in the night and by the morning the lower fields were all under water. "
+
+
+def named(spark, texts):
+    df = docs(spark, texts, ["a" if i % 2 else "b" for i in range(len(texts))])
+    for i, name in enumerate(HELPERS):
+        df = df.withColumn(name, F.concat(F.lit(f"{i}-"), F.col("doc_id").cast("string")))
+    return df
+
+
+def untouched(before, after):
+    assert after.columns == before.columns
+    rows = after.collect()
+    for r in rows:
+        assert [r[name] for name in HELPERS] == [f"{i}-{r.doc_id}" for i in range(len(HELPERS))]
+    return sorted(r.doc_id for r in rows)
+
+
+def test_mixing(spark):
+    df = named(spark, [f"one two {i}" for i in range(8)])
+    # The first source is asked for more than it has; every document of it comes at least once.
+    assert set(untouched(df, curriculum.mixed(df))) >= set(range(1, 8, 2))
+
+
+def test_one_of_each_group(spark):
+    df = named(spark, ["a b c d e f"] * 3 + ["quite another text here now"])
+    assert untouched(df, simhash.one_per_group(df)) == [0, 3]
+
+
+def test_cleaning(spark):
+    text = " ".join(f"{word}{i}" for i, word in enumerate(PROSE.split() * 4)) + " and it ended."
+    df = named(spark, [text, "too short"])
+    assert untouched(df, line_quality.cleaned(df)) == [0]
