@@ -14,8 +14,8 @@ from orderloom.operators.groups import with_group_measures
 from orderloom.operators.marks import high_water_mark, newer_than, not_before
 from orderloom.operators.skew import join_one_per_key
 from orderloom.operators.upsert import upsert
-from orderloom.operators.versions import latest_versions, new_versions
-from orderloom.schemas import WAREHOUSE, struct
+from orderloom.operators.versions import content_hash, latest_versions, new_versions
+from orderloom.schemas import WAREHOUSE, extend, struct
 from tests.conftest import rows
 
 DAY = dt.date(2024, 1, 5)
@@ -206,23 +206,30 @@ def test_children_without_an_order_keep_a_null_year(spark):
 
 def test_only_rows_that_tell_something_new_pass(spark):
     d = [dt.date(2024, 1, n) for n in range(1, 6)]
-    kind = "k STRING, v INT, ingestion_date DATE"
+    kind = struct(("k", "string"), ("v", "int"), ("ingestion_date", "date"), ("delivery", "delivery"))
+    early, late = ((dt.datetime(2024, 2, n), None, "x") for n in (1, 2))
     stored = spark.createDataFrame(
-        [("a", 1, d[0], 0), ("a", 2, d[2], 1), ("b", 1, None, 0), ("c", 1, d[1], 0)],
-        f"{kind}, batch_id INT",
+        [("a", 1, d[0], None, 0), ("a", 2, d[2], None, 1), ("b", 1, None, None, 0), ("c", 1, d[1], late, 0)],
+        extend(kind, ("batch_id", "int")),
     )
+    versions = stored.withColumn("content", content_hash(["k", "v"]))
 
     def new(*values):
-        return rows(new_versions(spark.createDataFrame(list(values), kind), stored, ["k"]))
+        df = spark.createDataFrame([(*v, None) if len(v) == 3 else v for v in values], kind)
+        return rows(new_versions(df, versions, ["k"], ["k", "v"]).drop("delivery"))
 
-    assert new(("a", 2, d[3]), ("b", 1, d[0]), ("c", 1, d[1])) == []
+    assert new(("a", 2, d[3]), ("b", 1, d[0]), ("c", 1, d[1], late)) == []
     assert new(("a", 1, d[3]), ("b", 2, d[0]), ("x", 1, None)) == [
         ("a", 1, d[3]), ("b", 2, d[0]), ("x", 1, None)
     ]
     # Older than the latest version: new unless that day's content is known.
     assert new(("a", 1, d[0])) == [] and new(("a", 3, d[0])) == [("a", 3, d[0])]
     assert new(("a", 3, d[2])) == [("a", 3, d[2])]
+    # Of one day, an earlier delivery is older, too.
+    assert new(("c", 1, d[1], early)) == [] and new(("c", 2, d[1], early)) == [("c", 2, d[1])]
     assert rows(latest_versions(stored, ["k"]), "k", "v") == [("a", 2), ("b", 1), ("c", 1)]
+    redelivered = stored.unionByName(spark.createDataFrame([("c", 2, d[1], early, 5)], stored.schema))
+    assert rows(latest_versions(redelivered, ["k"]).where("k = 'c'"), "v") == [(1,)]
 
 
 def test_group_measures_equal_a_window(spark):
