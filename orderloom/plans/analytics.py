@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.scalars import after_days
+from orderloom.plans import fact_store, fact_totals
 from orderloom.schemas import MONEY_TOTAL
 
 
@@ -23,10 +24,26 @@ def total_revenue(fact: DataFrame) -> DataFrame:
 def top_products(fact: DataFrame, k: int | None = None) -> DataFrame:
     """Revenue by product, highest first; with `k`, only that many."""
     revenue = fact.groupBy("product_id").agg(F.sum("price").cast(MONEY_TOTAL).alias("revenue"))
+    return _ranked(revenue, k)
+
+
+def _ranked(revenue: DataFrame, k: int | None) -> DataFrame:
     ranked = revenue.orderBy(F.col("revenue").desc(), F.col("product_id").asc())
     return ranked if k is None else ranked.limit(k)
 
 
+def kept_revenue(spark: SparkSession, root: str) -> DataFrame:
+    """`total_revenue` of a stored fact that keeps its totals; the fact is not read."""
+    paid = fact_store.read_totals(spark, root, fact_totals.PAID)
+    return paid.agg(F.sum("amount").cast(MONEY_TOTAL).alias("total_revenue"))
+
+
+def kept_top_products(spark: SparkSession, root: str, k: int | None = None) -> DataFrame:
+    """`top_products` of a stored fact that keeps its totals; the fact is not read."""
+    products = fact_store.read_totals(spark, root, fact_totals.PRODUCT)
+    return _ranked(products.select("product_id", F.col("amount").alias("revenue")), k)
+
+
 def order_payment_total(items: DataFrame) -> DataFrame:
     """What an order's items cost with freight."""
     return items.groupBy("order_id").agg(

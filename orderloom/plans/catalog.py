@@ -656,6 +656,33 @@ def top_products_k(spark, roles):
     return analytics.top_products(_fact(roles), k=10)
 
 
+@query
+def kept_totals(spark, roles):
+    """Totals that two merges keep: orders of the second batch change or come, every fifth order goes."""
+    root = f"{new_folder(spark, 'totals')}/fact_orders"
+    first = [
+        roles.orders_between(None, SECOND_BATCH),
+        roles.order_items_between(None, SECOND_BATCH),
+        roles.payments_between(None, SECOND_BATCH),
+    ]
+    first[0] = with_year_text(first[0])
+    fact_store.merge_fact(spark, root, gold.fact_orders(*first), 0)
+    fact_store.keep_totals(spark, root)
+    new_rows = [
+        roles.orders_between(SECOND_BATCH, None),
+        roles.order_items_between(SECOND_BATCH, None),
+        roles.payments_between(SECOND_BATCH, None),
+    ]
+    changed = reduce(DataFrame.union, [rows.select("order_id") for rows in new_rows])
+    tables = [roles.warehouse_orders(), roles.order_items(), roles.payments()]
+    affected = gold.of_changed_orders(tables, changed, f"{root}/changed/batch_id=1")
+    fact_store.merge_fact(spark, root, gold.fact_orders(*affected), 1, of_orders=changed)
+    gone = roles.orders().where(F.col("order_id").cast("bigint") % 5 == 0)
+    nothing = spark.createDataFrame([], schemas.FACT_ORDERS)
+    fact_store.merge_fact(spark, root, nothing, 2, of_orders=gone)
+    return fact_store.read_totals(spark, root)
+
+
 # --- streams -------------------------------------------------------------------------------
 
 

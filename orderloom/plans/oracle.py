@@ -538,6 +538,19 @@ SQL["top_products"] = _with(
 )
 SQL["top_products_k"] = SQL["top_products"] + " LIMIT 10"
 
+SQL["kept_totals"] = _with(
+    ["r_fact"],
+    """SELECT measure, product_id, CAST(amount AS DECIMAL(38,2)) AS amount FROM (
+         SELECT 'product' AS measure, product_id, SUM(price) AS amount
+         FROM r_fact WHERE CAST(order_id AS BIGINT) % 5 != 0 GROUP BY product_id
+         UNION ALL
+         SELECT 'paid', NULL, SUM(payment_value) FROM (
+           SELECT DISTINCT order_id, payment_value FROM r_fact WHERE CAST(order_id AS BIGINT) % 5 != 0)
+         UNION ALL
+         SELECT 'paid_ref', NULL, SUM(payment_value)
+         FROM r_fact WHERE CAST(order_id AS BIGINT) % 5 != 0)""",
+)
+
 # --- streams ---------------------------------------------------------------------------------
 
 SQL["stream_autoload"] = _with(

@@ -1,0 +1,89 @@
+"""Totals that the stored fact keeps, against the fact itself."""
+
+import pytest
+
+from orderloom import schemas
+from orderloom.plans import analytics, fact_store, fact_totals
+from tests.conftest import rows
+from tests.test_gold import FEB, JAN, fact_row, facts
+
+WHOLE = [c for c in schemas.FACT_ORDERS.names if c not in schemas.FACT_KEYS]
+
+
+def assert_kept(spark, lake):
+    fact = fact_store.read_fact(spark, lake)
+    kinds = (fact_totals.PRODUCT, fact_totals.PAID, fact_totals.PAID_REF)
+    expected = fact_totals.amounts(fact_totals.totals(fact), kinds)
+    found = fact_store.read_totals(spark, lake)
+    assert rows(found) == rows(expected, "measure", "product_id", "amount")
+    # The reports on the totals are those on the fact.
+    assert rows(analytics.kept_revenue(spark, lake)) == rows(analytics.total_revenue(fact))
+    kept = analytics.kept_top_products(spark, lake).collect()
+    priced = [r for r in analytics.top_products(fact).collect()]
+    assert kept == priced
+
+
+@pytest.mark.parametrize("most,part", [(16, 1), (2, 1), (16, 10**9)])
+def test_totals_follow_moved_changed_and_removed_orders(spark, lake, monkeypatch, most, part):
+    """Whether deltas stay, become one or become a base."""
+    monkeypatch.setattr(fact_store, "MOST_DELTAS", most)
+    monkeypatch.setattr(fact_store, "BASE_PART", part)
+    first = [fact_row(f"o{i}", f"p{i % 5}", JAN, f"{i}.50", f"{i}.00") for i in range(30)]
+    second = [fact_row(f"o{i}", "p9", JAN, "1.00", f"{i}.00") for i in range(0, 30, 2)]
+    fact_store.merge_fact(spark, lake, facts(spark, *first, *second), 0, buckets=2)
+    fact_store.keep_totals(spark, lake)
+    assert_kept(spark, lake)
+    changes = [
+        # Another price and payment, another month, another product; a NULL price.
+        (["o1", "o2"], [fact_row("o1", "p1", FEB, "7.00", "70.00"), fact_row("o2", "p7", JAN, None, "2.00")]),
+        # Orders that go, among them the only ones with product p7.
+        (["o2", "o5", "o10"], []),
+        # A new order, and one that says what is stored.
+        (["new", "o3"], [fact_row("new", "p2", FEB, "3.00"), fact_row("o3", "p3", JAN, "3.50", "3.00")]),
+        (["o1"], [fact_row("o1", "p1", JAN, None, "1.00")]),
+    ]
+    for number, (ids, batch) in enumerate(changes, 1):
+        wanted = spark.createDataFrame([(o,) for o in ids], "order_id STRING")
+        fact_store.merge_fact(spark, lake, facts(spark, *batch), number, of_orders=wanted, update=WHOLE)
+        assert_kept(spark, lake)
+    products = {r["product_id"] for r in fact_store.read_totals(spark, lake, "product").collect()}
+    assert "p7" not in products and "p9" in products
+
+
+def test_totals_follow_plain_upserts_and_repairs(spark, lake):
+    first = [fact_row("a", "p", JAN, "1.00"), fact_row("a", "p", FEB, "2.00", "4.00"), fact_row("b", "q", JAN, "5.00")]
+    more = [fact_row(f"o{i}", "p", JAN, "3.00") for i in range(20)]
+    fact_store.merge_fact(spark, lake, facts(spark, *first, *more), 0)
+    fact_store.keep_totals(spark, lake)
+    assert_kept(spark, lake)
+    fact_store.repair_fact(spark, lake)
+    assert_kept(spark, lake)
+    fact_store.merge_fact(spark, lake, facts(spark, fact_row("b", "q", JAN, "6.00", "9.00"), fact_row("b", "r", JAN, "1.00", "9.00")), 1)
+    assert_kept(spark, lake)
+
+
+def test_totals_of_an_emptied_fact_and_of_one_without(spark, lake):
+    with pytest.raises(ValueError, match="no fact"):
+        fact_store.keep_totals(spark, lake)
+    fact_store.merge_fact(spark, lake, facts(spark, fact_row("a", "p", JAN, "1.00")), 0)
+    with pytest.raises(ValueError, match="keeps no totals"):
+        fact_store.read_totals(spark, lake)
+    fact_store.keep_totals(spark, lake)
+    ids = spark.createDataFrame([("a",)], "order_id STRING")
+    fact_store.merge_fact(spark, lake, facts(spark), 1, of_orders=ids, update=WHOLE)
+    assert rows(fact_store.read_totals(spark, lake)) == []
+    assert_kept(spark, lake)
+
+
+def test_totals_and_fact_change_together(spark, lake, monkeypatch):
+    fact_store.merge_fact(spark, lake, facts(spark, *[fact_row(f"o{i}", "p", JAN, "1.00") for i in range(9)]), 0)
+    fact_store.keep_totals(spark, lake)
+    batch = facts(spark, fact_row("o1", "p", JAN, "8.00"))
+    with monkeypatch.context() as patch:
+        patch.setattr(fact_store, "publish", lambda df, root: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            fact_store.merge_fact(spark, lake, batch, 1)
+    assert_kept(spark, lake)
+    fact_store.merge_fact(spark, lake, batch, 1)
+    assert_kept(spark, lake)
+    assert all("/totals/" in f for f in fact_store.read_totals(spark, lake).inputFiles())
