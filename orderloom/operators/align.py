@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+UNFIT = "struct<column:string,value:string,wanted:string>"
+
 
 def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
@@ -20,11 +24,14 @@ def _by_lower_name(df: DataFrame) -> dict[str, T.StructField]:
     return found
 
 
-def conform(df: DataFrame, schema: T.StructType, on_bad: str = "null") -> DataFrame:
+def conform(
+    df: DataFrame, schema: T.StructType, on_bad: str = "null", also: Sequence[Column] = ()
+) -> DataFrame:
     """Match columns by case-insensitive name and cast to the contract.
 
     Missing columns become typed NULLs, extra ones are dropped. A value that does not fit the
     declared type becomes NULL (`bad_values` lists them), or stops the job with `on_bad="fail"`.
+    `also` adds columns made of the frame as it was.
     """
     if on_bad not in ("null", "fail"):
         raise ValueError(f"on_bad is 'null' or 'fail', not {on_bad!r}")
@@ -40,7 +47,7 @@ def conform(df: DataFrame, schema: T.StructType, on_bad: str = "null") -> DataFr
             column = column.cast(field.dataType) if fail else column.try_cast(field.dataType)
         return column.alias(field.name)
 
-    return df.select(*[target(field) for field in schema.fields])
+    return df.select(*[target(field) for field in schema.fields], *also)
 
 
 def _may_fail(source: T.DataType, target: T.DataType) -> bool:
@@ -53,11 +60,8 @@ def has_casts(source: T.StructType, schema: T.StructType) -> bool:
     return any(_may_fail(kinds.get(f.name.lower(), f.dataType), f.dataType) for f in schema.fields)
 
 
-def bad_values(df: DataFrame, schema: T.StructType, *keep: Column | str) -> DataFrame:
-    """A row per value that `conform` turns into NULL: its column, text and wanted type.
-
-    `keep` names what identifies the row, such as its key or `_metadata.file_path`.
-    """
+def unfit_values(df: DataFrame, schema: T.StructType) -> Column:
+    """Of each row, the values that `conform` turns into NULL: column, text and wanted type."""
     found = _by_lower_name(df)
     bad = []
     for field in schema.fields:
@@ -71,9 +75,17 @@ def bad_values(df: DataFrame, schema: T.StructType, *keep: Column | str) -> Data
                 F.lit(field.dataType.simpleString()).alias("wanted"),
             )
             bad.append(F.when(unfit, entry))
-    kind = "array<struct<column:string,value:string,wanted:string>>"
-    entries = F.filter(F.array(*bad), lambda e: e.isNotNull()) if bad else F.array().cast(kind)
-    return df.select(*keep, F.inline(entries))
+    if not bad:
+        return F.array().cast(f"array<{UNFIT}>")
+    return F.filter(F.array(*bad), lambda e: e.isNotNull())
+
+
+def bad_values(df: DataFrame, schema: T.StructType, *keep: Column | str) -> DataFrame:
+    """A row per value that `conform` turns into NULL: its column, text and wanted type.
+
+    `keep` names what identifies the row, such as its key or `_metadata.file_path`.
+    """
+    return df.select(*keep, F.inline(unfit_values(df, schema)))
 
 
 def align_union(

@@ -38,7 +38,7 @@ from orderloom.sources.roles import (
     as_history,
     with_year_text,
 )
-from orderloom.sources.routing import DatasetSpec, land, route
+from orderloom.sources.routing import DatasetSpec, land, malformed_path, route
 from orderloom.streaming.changes import on_change
 from orderloom.streaming.fact import refresh_fact
 
@@ -68,6 +68,26 @@ def csv_roundtrip_customers(spark, roles):
     return spark.read.parquet(land(spark, spec, f"{lake}/source", f"{lake}/bronze"))
 
 
+@query
+def csv_malformed_rows(spark, roles):
+    """Orders as CSV, of which some rows lack their last field or have one too many."""
+    lake = new_folder(spark, "malformed")
+    kind = F.col("o_orderkey") % 11
+    fields = [F.col(c).cast("string") for c in ("o_orderkey", "o_custkey")]
+    status = F.when(kind == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    extra = F.when(kind == 1, F.lit("extra"))
+    lines = roles.table("orders").select(F.concat_ws(",", *fields, status, extra).alias("order_id,customer_id,status"))
+    # The lines as they are, below their header: nothing is quoted or split.
+    lines.write.csv(f"{lake}/source/orders.csv", header=True, sep="\u0001", quote="\u0000", escape="\u0000")
+    schema = schemas.struct(("order_id", "bigint"), ("customer_id", "bigint"), ("status", "string"))
+    land(spark, DatasetSpec("orders.csv", "orders", schema), f"{lake}/source", f"{lake}/bronze")
+    listed = spark.read.parquet(malformed_path(f"{lake}/bronze", "orders"))
+    landed = spark.read.parquet(f"{lake}/bronze/orders").groupBy("status").count()
+    return listed.select(F.lit("malformed").alias("kind"), "record", F.lit(1).cast("bigint").alias("rows")).unionByName(
+        landed.select(F.lit("landed").alias("kind"), F.col("status").alias("record"), F.col("count").alias("rows"))
+    )
+
+
 def _order_date_texts(roles: Roles) -> DataFrame:
     """Purchase dates as text: three ISO layouts, two declared ones and two unreadable ones."""
     date, kind = F.col("o_orderdate"), F.col("o_orderkey") % 7

@@ -218,6 +218,14 @@ SQL["csv_roundtrip_customers"] = _with(
     """SELECT customer_id, customer_unique_id, customer_zip_code_prefix, customer_city,
               customer_state FROM r_customers""",
 )
+SQL["csv_malformed_rows"] = """
+SELECT 'malformed' AS kind, 1::BIGINT AS rows,
+       concat_ws(',', o_orderkey, o_custkey, CASE WHEN o_orderkey % 11 != 0 THEN o_orderstatus END,
+                 CASE WHEN o_orderkey % 11 = 1 THEN 'extra' END) AS record
+FROM orders WHERE o_orderkey % 11 IN (0, 1)
+UNION ALL
+SELECT 'landed', COUNT(*), CASE WHEN o_orderkey % 11 != 0 THEN o_orderstatus END AS status
+FROM orders GROUP BY status"""
 SQL["lenient_timestamp_parse"] = _with(
     ["r_date_texts"],
     "SELECT order_id, order_purchase_timestamp, parsed FROM r_date_texts",

@@ -13,7 +13,7 @@ from orderloom.plans import silver
 from orderloom.schemas import DIM_CUSTOMERS, DIM_PRODUCTS, ORDER_YEAR, WAREHOUSE, extend
 from orderloom.session import run_together
 from orderloom.sources.deliveries import DELIVERY
-from orderloom.streaming.autoload import autoload
+from orderloom.streaming.autoload import autoload, read_rejects
 from orderloom.streaming.dimension import read_dimension, refresh_dimension
 from orderloom.streaming.fact import refresh_fact
 
@@ -44,7 +44,7 @@ def _stored(name: str) -> T.StructType:
 def load_warehouse_table(
     spark: SparkSession, lake: str, table: silver.SilverTable, files_per_batch: int | None = None
 ) -> StreamingQuery:
-    """New silver files of one table into its warehouse table; unfit values into its rejects."""
+    """New silver files of one table into its warehouse table, unfit values beside their rows."""
     return autoload(
         spark,
         f"{lake}/silver/{table.name}",
@@ -54,10 +54,15 @@ def load_warehouse_table(
         f"{lake}/checkpoints/{table.name}",
         partition_by=ORDER_YEAR if table.dated else None,
         files_per_batch=files_per_batch,
-        rejects=f"{lake}/warehouse_rejects/{table.name}",
+        rejects=True,
     )
 
 
+def warehouse_rejects(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    """The values that did not fit a warehouse table, with their silver files."""
+    return read_rejects(spark, warehouse_path(lake, name))
+
+
 def warehouse_path(lake: str, name: str) -> str:
     return f"{lake}/warehouse/{name}"
 

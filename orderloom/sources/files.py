@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MALFORMED = "_malformed"
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False
@@ -19,6 +21,37 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_csv_marked(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False
+) -> DataFrame:
+    """`read_csv`, and the text of each row that is malformed in the column MALFORMED, else NULL there.
+
+    A row is malformed if it has too many or too few fields, or a value that its column's type cannot hold.
+    """
+    if schema is None:
+        schema = read_csv(spark, path, None, multiline).schema
+    marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        # Fields are counted whichever columns a query takes.
+        .option("columnPruning", False)
+        .schema(marked)
+        .csv(path)
+    )
+
+
+def malformed_rows(marked: DataFrame) -> DataFrame:
+    """The malformed rows of `read_csv_marked`: file, text, and what was read of them as JSON."""
+    read = F.to_json(F.struct(*[F.col(f"`{c}`") for c in marked.columns if c != MALFORMED]))
+    rows = marked.select(
+        F.col("_metadata.file_path").alias("file"), F.col(MALFORMED).alias("record"), read.alias("read_as")
+    )
+    return rows.where("record IS NOT NULL")
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines, nested fields kept nested."""
     return spark.read.schema(schema).json(path)

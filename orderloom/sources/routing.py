@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.sinks.folders import drop
 from orderloom.sinks.parquet import write_flat, write_year_month
-from orderloom.sources.files import read_csv
+from orderloom.sources.files import MALFORMED, malformed_rows, read_csv_marked
 
 
 @dataclass(frozen=True)
@@ -38,14 +40,28 @@ def route(file: str, specs: Iterable[DatasetSpec]) -> DatasetSpec:
     return by_file[file]
 
 
+def malformed_path(bronze_root: str, name: str) -> str:
+    return f"{bronze_root}/malformed/{name}"
+
+
 def land(spark: SparkSession, spec: DatasetSpec, source_root: str, bronze_root: str) -> str | None:
-    """Land one CSV dataset as Parquet; the bronze path, or None for an excluded file."""
+    """Land one CSV dataset as Parquet; the bronze path, or None for an excluded file.
+
+    Malformed rows land with what can be read of them, and are listed with their file and text under
+    `malformed_path`. They are counted while the rows are written; the file is read again
+    only if there are any.
+    """
     if spec.excluded:
         return None
-    rows = read_csv(spark, f"{source_root}/{spec.file}", spec.schema, spec.multiline)
-    path = f"{bronze_root}/{spec.name}"
+    marked = read_csv_marked(spark, f"{source_root}/{spec.file}", spec.schema, spec.multiline)
+    found = Observation()
+    rows = marked.observe(found, F.count(MALFORMED).alias("malformed")).drop(MALFORMED)
+    path, listed = f"{bronze_root}/{spec.name}", malformed_path(bronze_root, spec.name)
     if spec.partition_column:
         write_year_month(rows, spec.partition_column, path, spec.timestamp_layouts)
     else:
         write_flat(rows, path)
+    drop(spark, listed)
+    if found.get["malformed"]:
+        write_flat(malformed_rows(marked), listed)
     return path

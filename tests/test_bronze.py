@@ -1,17 +1,19 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.plans import bronze
 from orderloom.schemas import DAILY_CUSTOMERS, DAILY_PRODUCTS, struct
 from orderloom.session import new_folder, prepare, shuffle_sizes, work_root
-from orderloom.sinks.folders import complete, current, drop, publish
+from orderloom.sinks.folders import complete, current, drop, exists, publish
 from orderloom.sinks.parquet import write_load_date, write_year_month
 from orderloom.sinks.state import load_state, save_state
 from orderloom.sources.files import read_csv, read_json, read_parquet_or_none
 from orderloom.sources.paging import PagedSource, cursors_from
-from orderloom.sources.routing import DatasetSpec, land, route
+from orderloom.sources.routing import DatasetSpec, land, malformed_path, route
 from tests.conftest import rows
 
 DAY1, DAY2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -46,6 +48,27 @@ def test_routing_is_exact(spark, lake):
     assert land(spark, specs[2], f"{lake}/absent", lake) is None
 
 
+@pytest.mark.parametrize("declared", [True, False])
+def test_malformed_rows_land_and_are_listed_with_their_file(spark, lake, declared):
+    Path(f"{lake}/src").mkdir(parents=True)
+    lines = ["k,when,note", "1,2018-01-02,a", "2,2018-01-03", "3,2018-02-02,b,extra", '4,2018-02-03,"c,d"', ""]
+    Path(f"{lake}/src/x.csv").write_text("\n".join(lines))
+    schema = T.StructType.fromDDL("k INT, when STRING, note STRING") if declared else None
+    for column in ("when", None):
+        spec = DatasetSpec("x.csv", f"x_{column}", schema, partition_column=column)
+        path = land(spark, spec, f"{lake}/src", f"{lake}/bronze")
+        assert rows(spark.read.parquet(path), "k", "note") == [(1, "a"), (2, None), (3, "b"), (4, "c,d")]
+        listed = spark.read.parquet(malformed_path(f"{lake}/bronze", spec.name))
+        assert rows(listed, "record") == [("2,2018-01-03",), ("3,2018-02-02,b,extra",)]
+        assert all(r["file"].endswith("/src/x.csv") for r in listed.collect())
+        assert '"k":2' in rows(listed, "read_as")[0][0]
+        # Landed again without them, nothing is listed.
+        Path(f"{lake}/src/y.csv").write_text("\n".join([*lines[:2], *lines[4:]]))
+        clean = DatasetSpec("y.csv", spec.name, schema, partition_column=column)
+        land(spark, clean, f"{lake}/src", f"{lake}/bronze")
+        assert not exists(spark, malformed_path(f"{lake}/bronze", spec.name))
+
+
 def test_partitioned_landing_keeps_rows_with_bad_dates(spark, lake):
     text_file(spark, f"{lake}/in/orders.csv", "id,at\n1,2017-10-02 10:56:33\n2,never\n3,\n4,2018-01-01\n")
     spec = DatasetSpec(
