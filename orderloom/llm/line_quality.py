@@ -69,8 +69,12 @@ class Rules:
     wrapped_words: int = 4
 
 
-_sentence_mark = re.compile(SENTENCE_MARK.replace("[.", f"[{MORE_MARKS}.", 1))
-_sentence_end = re.compile(_sentence_mark.pattern.removesuffix(r"([\x20\x09-\x0D]|$)") + r"[\x20\x09-\x0D]*\Z")
+# The marks of every script at the end of a word, and at the end of a line.
+ANY_MARK = SENTENCE_MARK.replace("[.", f"[{MORE_MARKS}.", 1)
+MARK_AT_END = ANY_MARK.replace(r"([\x20\x09-\x0D]|$)", r"[\x20\x09-\x0D]*$")
+
+_sentence_mark = re.compile(ANY_MARK)
+_sentence_end = re.compile(MARK_AT_END)
 _symbol_run = re.compile(SYMBOL_RUN)
 _separator = re.compile(SEPARATOR_WORD)
 _menu = re.compile(MENU_LINE)

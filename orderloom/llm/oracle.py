@@ -32,16 +32,48 @@ WITH texts AS (
 ), full_lines AS (
   SELECT doc_id, no, line, regexp_extract_all(line, '{WORD}') AS w,
     translate(line, '{UPPER}', '{LOWER}') AS low
-  FROM lines WHERE regexp_matches(line, '{WORD}')
+  FROM lines
+), ruled AS (
+  SELECT doc_id, no, line, w, len(w) AS n,
+    regexp_matches(line, {_text(line_quality.ANY_MARK)}) AS marked,
+    len(w) > 0 AND NOT (
+      3 * len(regexp_extract_all(line, {_text(line_quality.SYMBOL_RUN)})) >= len(w)
+      OR 4 * len([x for x in w if regexp_full_match(x, {_text(line_quality.SEPARATOR_WORD)})]) >= len(w)
+      OR (len(w) <= 40 AND (regexp_full_match(low, {_text(line_quality.MENU_LINE)})
+        OR regexp_matches(low, {_text(line_quality.BOILERPLATE)})))) AS prose
+  FROM full_lines
+), blocks AS (
+  SELECT *, prose AND (marked OR n >= 4) AS in_block,
+    sum(CASE WHEN prose AND (marked OR n >= 4) THEN 0 ELSE 1 END)
+      OVER (PARTITION BY doc_id ORDER BY no) AS block,
+    length(array_to_string(w, ' ')) AS size,
+    regexp_matches(line, {_text(line_quality.MARK_AT_END)}) AS ended
+  FROM ruled
+), nexts AS (
+  SELECT doc_id, no, block, marked, ended, size, lead(w[1]) OVER (PARTITION BY doc_id, block ORDER BY no) AS after,
+    max(size) OVER (PARTITION BY doc_id, block) AS width,
+    count(*) OVER (PARTITION BY doc_id, block) - 1 AS breaks
+  FROM blocks WHERE in_block
+), widths AS (
+  SELECT *, count(*) FILTER (size + 1 + length(after) > width) OVER (PARTITION BY doc_id, block) AS n_full,
+    regexp_extract(after, '[\p{{L}}\p{{N}}]') AS start
+  FROM nexts
+), links AS (
+  SELECT doc_id, no, block, marked, after IS NOT NULL AND NOT ended AND (
+      (size + 1 + length(after) > width AND n_full >= greatest(3, breaks / 2))
+      OR (start != '' AND NOT regexp_matches(start, '[\p{{Lu}}\x{{2160}}-\x{{216F}}]'))) AS goes_on
+  FROM widths
+), begins AS (
+  SELECT *, NOT lag(goes_on, 1, false) OVER (PARTITION BY doc_id, block ORDER BY no) AS new FROM links
+), chains AS (
+  SELECT *, count(*) FILTER (new) OVER (PARTITION BY doc_id, block ORDER BY no) AS chain FROM begins
+), saved AS (
+  SELECT doc_id, no, bool_or(marked) OVER (PARTITION BY doc_id, block, chain) AS stays FROM chains
 ), judged AS (
   SELECT doc_id, line, list_sum([length(x) for x in w]) AS chars,
     row_number() OVER (PARTITION BY doc_id, line ORDER BY no) > 1 AS dup,
-    NOT regexp_matches(line, {_text(line_quality.SENTENCE_MARK)})
-    OR 3 * len(regexp_extract_all(line, {_text(line_quality.SYMBOL_RUN)})) >= len(w)
-    OR 4 * len([x for x in w if regexp_full_match(x, {_text(line_quality.SEPARATOR_WORD)})]) >= len(w)
-    OR (len(w) <= 40 AND (regexp_full_match(low, {_text(line_quality.MENU_LINE)})
-      OR regexp_matches(low, {_text(line_quality.BOILERPLATE)}))) AS fails
-  FROM full_lines
+    NOT coalesce(stays, marked AND prose) AS fails
+  FROM ruled LEFT JOIN saved USING (doc_id, no) WHERE n > 0
 ), per_doc AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (fails) AS n_lines_removed,
     count(*) FILTER (dup) AS n_dup_lines, coalesce(sum(chars) FILTER (fails), 0) AS lost_chars
