@@ -16,7 +16,8 @@ files of one member per record.
 
 Edge cases: a NULL or empty page is a record with an empty payload; a NULL URL is written as `-`,
 and characters a header line cannot hold are percent-encoded. A NULL id ranks below all others and
-is left out of the record. Rows of one group that share the largest id are all responses (no ids:
+is left out of the record. A header line whose address and date (12 or 14 digits) are not where its
+version has them raises; parameters of a content type and spaces in a URL are read as part of them. Rows of one group that share the largest id are all responses (no ids:
 all are). Empty tables give no files. A record that is cut short, or whose payload does not match
 its digest, raises. Other columns are never looked at.
 """
@@ -31,6 +32,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import datetime
 from typing import BinaryIO
 from urllib.parse import quote
 
@@ -40,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import open_store, staged
+from orderloom.operators.dedup import unused
 from orderloom.session import new_folder
 
 LEAST_BYTES = 1000
@@ -50,7 +53,19 @@ FIELDS = {
     "2": "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename"
     " Archive-length",
 }
+# What a field may hold; in any other (URL, type, location) old writers left spaces. The address and the
+# digits of the date tell where the URL ends.
+SHAPES = {
+    "ip-address": r"\d{1,3}(?:\.\d{1,3}){3}|[0-9A-Fa-f.:]*:[0-9A-Fa-f.:]*",
+    "archive-date": r"\d{12}(?:\d\d)?",
+    "result-code": r"\d{3}|-",
+    "checksum": r"\S+",
+    "offset": r"\d+|-",
+    "filename": r"\S+",
+    "archive-length": r"\d+",
+}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+EPOCH = "1970-01-01T00:00:00Z"
 URL_SAFE = "".join(chr(c) for c in range(33, 127))
 
 ARCHIVES = "folder string, name string"
@@ -148,17 +163,17 @@ def arc_records(f: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     version = block[0].split(" ")[0]
     named = block[1].strip() if len(block) > 1 and block[1].startswith("URL ") else FIELDS[version]
     names = [n.lower() for n in named.split(" ")]
+    header = re.compile(" ".join(f"({SHAPES.get(n, '.*?')})" for n in names))
     while True:
         line = f.readline()
         if not line:
             return
         text = line.decode("utf-8", "replace").rstrip("\r\n")
         if text:
-            # Old writers left spaces in URLs, so the line is read from its end.
-            values = text.rsplit(" ", len(names) - 1)
-            if len(values) != len(names):
+            values = header.fullmatch(text)
+            if values is None:
                 raise ValueError(f"bad header line: {text[:200]}")
-            fields = dict(zip(names, values))
+            fields = dict(zip(names, values.groups()))
             yield fields, _exactly(f, int(fields["archive-length"]))
 
 
@@ -174,11 +189,15 @@ def http_parts(body: bytes) -> tuple[bytes, bytes, dict[str, str]]:
 
 
 def warc_date(digits: str) -> str:
-    """14 digits, or fewer from the left, as a WARC date; anything else is the epoch."""
-    if not re.fullmatch(r"\d{4,14}", digits) or len(digits) % 2:
-        return "1970-01-01T00:00:00Z"
+    """14 digits, or fewer from the left, as a WARC date; no date of the calendar: the epoch."""
+    if not re.fullmatch(r"[0-9]{4,14}", digits) or len(digits) % 2:
+        return EPOCH
     d = digits + "00000101000000"[len(digits) :]
-    return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+    try:
+        moment = datetime.strptime(d, "%Y%m%d%H%M%S")
+    except ValueError:
+        return EPOCH
+    return f"{moment.isoformat()}Z"
 
 
 def record_id(name: str, number: int) -> str:
@@ -287,7 +306,7 @@ def convert(archives: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
                 ):
                     info = f"software: orderloom\r\nisPartOf: {name}\r\n".encode()
                     about = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(name, -1))]
-                    about += [("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Filename", target)]
+                    about += [("WARC-Date", EPOCH), ("WARC-Filename", target)]
                     out.write(_warc([*about, ("Content-Type", "application/warc-fields")], info))
                     for number, (fields, body) in enumerate(arc_records(f)):
                         to = refers.get(number)
@@ -316,13 +335,16 @@ def warc_records(f: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_warc(archives: DataFrame) -> DataFrame:
-    """The columns of READ for every record but warcinfo, digests checked."""
+    """The columns of READ for every record but warcinfo, digests checked.
+
+    A revisit does not hold its payload: `payload_bytes` is NULL (`with_referred` finds it).
+    """
 
     def row(headers: dict[str, str], block: bytes) -> tuple:
         kind = headers["warc-type"]
         digest = headers["warc-payload-digest"].removeprefix("sha1:")
         _, payload, http = http_parts(block)
-        size = int(http["content-length"]) if kind == "revisit" else len(payload)
+        size = None if kind == "revisit" else len(payload)
         if kind != "revisit" and _sha1(payload) != f"sha1:{digest}":
             raise ValueError("payload does not match its digest")
         return (
@@ -353,14 +375,21 @@ def read_warc(archives: DataFrame) -> DataFrame:
 
 
 def with_referred(records: DataFrame) -> DataFrame:
-    """Adds `refers_to`, the page id of the response that a revisit names."""
+    """Adds `refers_to`, the page id of the response that a revisit names, and takes its payload's length.
+
+    Both are NULL if the archives do not hold that response.
+    """
     records = staged(records, "warc-records")
+    size = unused("_size", records.columns)
     revisits = records.where("refers_id IS NOT NULL")
     ids = records.where("record_type = 'response'").select(
-        F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to")
+        F.col("record_id").alias("refers_id"),
+        F.col("page_id").alias("refers_to"),
+        F.col("payload_bytes").alias(size),
     )
     # Few responses are referred to by many: only those take part in the join.
     named = ids.join(revisits.select("refers_id").distinct(), "refers_id")
-    found = revisits.join(named, "refers_id", "left").select(*records.columns, "refers_to")
+    found = revisits.drop("payload_bytes").join(named, "refers_id", "left")
+    found = found.withColumnRenamed(size, "payload_bytes").select(*records.columns, "refers_to")
     rest = records.where("refers_id IS NULL").withColumn("refers_to", F.lit(None).cast("long"))
     return found.unionByName(rest)

@@ -90,3 +90,76 @@ def test_records_carry_urls_dates_and_ids(spark):
     text = gzip.decompress(store.open_input_file(f"{root}/{file.name}").read()).decode()
     assert text.count("WARC/1.1") == 3 and "WARC-Type: warcinfo" in text
     assert aw.REVISIT_PROFILE in text and text.count("x" * 2000) == 1
+
+
+def foreign(version, *records, fields=None):
+    """An archive as other writers leave it: fields of one line and the body of each record."""
+    block = f"{version} 0 Elsewhere\n{fields or aw.FIELDS[version]}\n\n".encode()
+    out = b"filedesc://x.arc 0.0.0.0 20010203040506 text/plain %d\n" % len(block) + block
+    for line, body in records:
+        out += f"{line} {len(body)}\n".encode() + body + b"\n"
+    return out
+
+
+@pytest.mark.parametrize("version", "12")
+@pytest.mark.parametrize("url", ["http://x.org/", "http://x.org/a b/c  d?e=1.2.3.4 5", "dns:x.org"])
+@pytest.mark.parametrize("kind", ["text/html", "text/html; charset=utf-8", "no-type", 'a/b; c="d e"; f=200'])
+@pytest.mark.parametrize("address", ["1.2.3.4", "2001:db8::1"])
+def test_header_lines_of_other_writers(version, url, kind, address):
+    more = "" if version == "1" else " 302 a1b2 http://y.org/new place 77 x.arc"
+    body = b"HTTP/1.0 200 OK\r\n\r\n<p>"
+    line = f"{url} {address} 20010203040506 {kind}{more}"
+    got = list(aw.arc_records(io.BytesIO(foreign(version, (line, body), (line, b"")))))
+    assert [b for _, b in got] == [body, b""]
+    for fields, data in got:
+        assert (fields["url"], fields["ip-address"], fields["content-type"]) == (url, address, kind)
+        assert fields["archive-date"] == "20010203040506" and int(fields["archive-length"]) == len(data)
+        if version == "2":
+            assert (fields["result-code"], fields["location"], fields["offset"]) == ("302", "http://y.org/new place", "77")
+
+
+def test_header_lines_that_fit_no_version_raise():
+    good = "http://x.org/ 1.2.3.4 20010203040506 text/html"
+    assert len(list(aw.arc_records(io.BytesIO(foreign("1", (good, b"x")))))) == 1
+    for bad in (
+        "http://x.org/ 20010203040506 text/html",
+        "http://x.org/ 1.2.3.4 text/html",
+        "http://x.org/ 1.2.3.4 2001020304050 text/html",
+        "http://x.org/",
+    ):
+        with pytest.raises(ValueError, match="bad header line"):
+            list(aw.arc_records(io.BytesIO(foreign("1", (bad, b"x")))))
+    with pytest.raises(ValueError, match="bad header line"):
+        list(aw.arc_records(io.BytesIO(foreign("2", (good, b"x")))))
+    # The archive's own list of fields counts, whatever their order.
+    own = "URL Archive-date IP-address Archive-length"
+    data = foreign("1", ("http://x.org/ 200102030405 1.2.3.4", b"xyz"), fields=own)
+    ((fields, body),) = aw.arc_records(io.BytesIO(data))
+    assert fields["archive-date"] == "200102030405" and body == b"xyz"
+
+
+def test_dates_of_no_calendar_are_the_epoch():
+    for digits in ("20011399000000", "20010230000000", "20010101250000", "20010101006000", "00000101000000", "200113"):
+        assert aw.warc_date(digits) == aw.EPOCH, digits
+    assert aw.warc_date("20000229235959") == "2000-02-29T23:59:59Z"
+
+
+@pytest.mark.parametrize("length", ["", "Content-Length: 7\r\n"])
+def test_a_revisits_length_is_that_of_its_response(spark, length):
+    """Whatever the page's own HTTP header says, or if it has none."""
+    page = b"<p>" + b"y" * 2000
+    bodies = [
+        f"HTTP/1.0 200 OK\r\n{length}{aw.ID_HEADER}: {i}\r\n\r\n".encode() + page for i in (1, 2)
+    ]
+    data = foreign("1", *[("http://x.org/ 1.2.3.4 20010203040506 text/html; charset=utf-8", b) for b in bodies])
+    folder = aw.new_folder(spark, "foreign")
+    store, root = open_store(folder)
+    store.create_dir(root, recursive=True)
+    with store.open_output_stream(f"{root}/x.arc.gz", compression=None) as out:
+        out.write(gzip.compress(data))
+    archives = spark.createDataFrame([(folder, "x.arc.gz")], aw.ARCHIVES)
+    found = aw.with_referred(aw.read_warc(aw.convert(archives))).orderBy("page_id").collect()
+    assert [(r.page_id, r.payload_bytes, r.record_type, r.refers_to, r.url) for r in found] == [
+        (1, len(page), "revisit", 2, "http://x.org/"),
+        (2, len(page), "response", None, "http://x.org/"),
+    ]
