@@ -114,3 +114,51 @@ def test_components_of_long_chains_and_stars(spark):
     expected = {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, *range(1000, 1200)]}
     assert got == expected
     assert cc.components(df.limit(0)).count() == 0
+
+
+def clustered(pick, members):
+    """Fingerprints around a few centers, up to nine bits from theirs, and some far from all."""
+    prints = {pick.getrandbits(64) for _ in range(200)}
+    for _ in range(6):
+        center, loose = pick.getrandbits(64), pick.sample(range(64), 9)
+        prints |= {center ^ sum(1 << b for b in loose if pick.random() < 0.5) for _ in range(members)}
+    return sorted(prints)
+
+
+def test_the_count_filter_drops_pairs_and_no_near_one(spark):
+    pick = random.Random(8)
+    prints = np.array(clustered(pick, 40), dtype=np.uint64)
+    shared = np.array([[sum((int(a ^ b) >> 8 * i) & 255 == 0 for i in range(8)) for b in prints] for a in prints])
+    near = {(a, b) for a in range(len(prints)) for b in range(a) if int(prints[a] ^ prints[b]).bit_count() <= 2}
+    met, met_near, reached = set(), set(), 0
+    for number in range(len(sh.LISTED)):
+        keys = [tuple(int(p) >> 8 * (7 - i) & 255 for i in sh.LISTED[number]) for p in prints]
+        order = sorted(range(len(prints)), key=lambda i: keys[i])
+        lists = np.unique([keys[i] for i in order], axis=0, return_inverse=True)[1].astype(np.int64).ravel()
+        members = prints[order].view(np.int64)
+        found, counts = sh.tallied(lists, members)
+        pairs = {(max(order[x], order[y]), min(order[x], order[y])) for xs, ys in sh._pairs(lists) for x, y in zip(xs, ys)}
+        assert counts[0] == len(pairs) and counts[1] == sum(shared[p] >= 6 for p in pairs)
+        met |= pairs
+        reached += counts[1]
+        met_near |= {(max(order[x], order[y]), min(order[x], order[y])) for xs, ys in found for x, y in zip(xs, ys)}
+    assert met_near == near
+    assert sum(shared[p] < 6 for p in met) > 100
+    signed = prints.view(np.int64).tolist()
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    got = {r.crowded: r for r in sh.filter_counts(df).collect()}
+    assert got[False].met > got[False].reached >= got[False].near > 0
+
+
+def test_long_lists_are_cut_and_lose_no_link(spark):
+    pick = random.Random(9)
+    prints = clustered(pick, 300)
+    signed = np.array(prints, dtype=np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(5)
+    sizes = sh.postings(df, sh.LISTED).groupBy("list").count().agg({"count": "max"}).first()[0]
+    assert sizes > sh.LONG
+    assert {r.crowded: r.near for r in sh.filter_counts(df).collect()}[True] > 0
+    roots = {r.vertex: r.root for r in cc.components(sh.links(df)).collect()}
+    parts = plain_components(range(len(prints)), prints)
+    joined = set(zip((roots.get(s, s) for s in signed), parts))
+    assert len(joined) == len(set(parts)) == len({a for a, _ in joined})
