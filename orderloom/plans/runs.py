@@ -16,6 +16,7 @@ from orderloom.sources.deliveries import DELIVERY
 from orderloom.streaming.autoload import autoload, read_rejects
 from orderloom.streaming.dimension import read_dimension, refresh_dimension
 from orderloom.streaming.fact import refresh_fact
+from orderloom.streaming.retention import Archive
 
 ENTITIES = [silver.PRODUCTS, silver.CUSTOMERS, silver.ORDERS]
 CHILDREN = [silver.ORDER_ITEMS, silver.PAYMENTS]
@@ -27,13 +28,20 @@ Feeds = dict[str, tuple[DataFrame, str]]
 
 
 def load_silver(
-    spark: SparkSession, lake: str, feeds: Feeds, files_per_batch: int | None = None
+    spark: SparkSession,
+    lake: str,
+    feeds: Feeds,
+    files_per_batch: int | None = None,
+    archive: Archive | None = None,
 ) -> None:
     """All five tables; items and payments need the stored orders, so they come second."""
+
+    def load(table: silver.SilverTable) -> None:
+        kept = None if archive is None else archive.below(table.name)
+        silver.load(spark, lake, table, *feeds[table.name], files_per_batch, kept)
+
     for group in (ENTITIES, CHILDREN):
-        run_together(
-            *[partial(silver.load, spark, lake, t, *feeds[t.name], files_per_batch) for t in group]
-        )
+        run_together(*[partial(load, table) for table in group])
 
 
 def _stored(name: str) -> T.StructType:
@@ -125,8 +133,9 @@ def run(
     feeds: Feeds,
     files_per_batch: int | None = None,
     fact_buckets: int | None = None,
+    archive: Archive | None = None,
 ) -> None:
-    load_silver(spark, lake, feeds, files_per_batch)
+    load_silver(spark, lake, feeds, files_per_batch, archive)
     run_together(
         *[partial(load_warehouse_table, spark, lake, t, files_per_batch) for t in TABLES.values()]
     )

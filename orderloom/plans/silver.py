@@ -33,6 +33,7 @@ from orderloom.sinks import keyed_log
 from orderloom.sinks.folders import complete, current, drop, ensure, move, publish
 from orderloom.sinks.parquet import write_flat, write_partitioned
 from orderloom.sources.deliveries import DELIVERY, FILE, WRITTEN, with_delivery, with_files
+from orderloom.streaming import retention
 from orderloom.streaming.files import new_files
 
 # The last batch of orders that a table's children met.
@@ -277,13 +278,17 @@ def load(
     history: DataFrame,
     daily: str,
     files_per_batch: int | None = None,
+    archive: retention.Archive | None = None,
 ) -> list[int]:
     """Load the history once and the files that are new in the folder `daily`.
 
     Returns the numbers of the batches written. A crash repeats the batch of files it
-    interrupted, and rows that were stored by then are not new any more.
+    interrupted, and rows that were stored by then are not new any more. With an archive, the files
+    of committed batches move there, and the checkpoint is replaced from time to time.
     """
     work = f"{lake}/work/silver/{table.name}"
+    checkpoints = f"{work}/checkpoint"
+    rolled = retention.roll_of(spark, checkpoints)
     written: list[int] = []
 
     def store(incoming: DataFrame) -> None:
@@ -293,12 +298,16 @@ def load(
         written.extend(_store(spark, lake, table, incoming, work))
 
     taken: list[int] = []
+    names: list[str] = []
 
     def take(batch: DataFrame, epoch: int) -> None:
         # Read once: what follows uses it several times, on the caller's session.
         write_flat(batch, f"{work}/files")
-        files = with_delivery(spark.read.schema(batch.schema).parquet(f"{work}/files"))
-        store(files.select(*table.arriving.names))
+        rows = spark.read.schema(batch.schema).parquet(f"{work}/files")
+        store(with_delivery(rows).select(*table.arriving.names))
+        if archive is not None:
+            # One name per file of the batch, which the stream has listed.
+            names.extend(r[FILE] for r in rows.select(FILE).distinct().toLocalIterator())
         taken.append(epoch)
 
     ensure(spark, daily)
@@ -307,7 +316,7 @@ def load(
         # Without what the names of folders would add.
         files.select(*table.daily.names, FILE, WRITTEN)
         .writeStream.foreachBatch(take)
-        .option("checkpointLocation", f"{work}/checkpoint")
+        .option("checkpointLocation", retention.checkpoint(checkpoints, rolled))
         .trigger(availableNow=True)
         .start()
     )
@@ -315,4 +324,8 @@ def load(
     first_load = not _batches(spark, lake, table)
     if not taken and (first_load or _has_orders_to_meet(spark, lake, table)):
         store(spark.createDataFrame([], table.arriving))
+    if archive is not None and taken:
+        retention.put_away(spark, daily, names, f"{archive.root}/{rolled}-{taken[-1]}")
+        if taken[-1] + 1 >= archive.roll_after:
+            retention.roll(spark, checkpoints, rolled)
     return written
