@@ -41,6 +41,7 @@ from orderloom.sources.roles import (
 from orderloom.sources.routing import DatasetSpec, land, malformed_path, route
 from orderloom.streaming.changes import on_change
 from orderloom.streaming.fact import refresh_fact
+from orderloom.streaming.retention import Archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -354,12 +355,15 @@ def _deliver(rows: DataFrame, lake: str, name: str, number: int) -> None:
     write_flat(rows, f"{_daily(lake, name)}/delivery={number}")
 
 
-def _run_silver(spark, roles: Roles, lake: str, number: int, feeds: dict[str, DataFrame]) -> None:
+def _run_silver(
+    spark, roles: Roles, lake: str, number: int, feeds: dict[str, DataFrame], archive: Archive | None = None
+) -> None:
     """Deliver and load some tables, orders before what depends on them."""
     histories = _histories(roles)
     for name, rows in feeds.items():
         _deliver(rows, lake, name, number)
-        silver.load(spark, lake, runs.TABLES[name], histories[name], _daily(lake, name))
+        table = runs.TABLES[name]
+        silver.load(spark, lake, table, histories[name], _daily(lake, name), archive=archive)
 
 
 def _single_run(spark, roles: Roles, *names: str) -> DataFrame:
@@ -473,6 +477,20 @@ def late_dates_loaded(spark, roles):
     )
 
 
+@query
+def silver_archived_deliveries(spark, roles):
+    """Each run archives its deliveries and leaves an empty checkpoint; the second run's rows are dated
+    before what the first one brought, and the third run brings the first one's again."""
+    lake = new_folder(spark, "silver")
+    daily = _deliveries(roles, "orders", DAILY_START, None)
+    late = F.col("order_id").cast("bigint") % 7 == 0
+    for number, rows in enumerate([daily.where(~late), daily.where(late), daily.where(~late)]):
+        _run_silver(spark, roles, lake, number, {"orders": rows}, Archive(f"{lake}/archive", roll_after=1))
+    return silver.read_silver(spark, lake, silver.ORDERS).select(
+        "order_id", "order_status", "ingestion_date", "batch_id"
+    )
+
+
 def _repriced(items: DataFrame, parts: int, remainder: int, more: str) -> DataFrame:
     """Some orders' items once more, under their load date and with another price."""
     some = F.col("order_id").cast("bigint") % parts == remainder

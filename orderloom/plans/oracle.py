@@ -397,6 +397,12 @@ SQL["late_dates_loaded"] = _with(
               CAST(ingestion_date IS NOT NULL AND CAST(order_id AS BIGINT) % 5 = 0 AS INT) AS batch_id
        FROM r_orders""",
 )
+SQL["silver_archived_deliveries"] = _with(
+    ["r_orders"],
+    """SELECT order_id, order_status, ingestion_date,
+              CAST(ingestion_date IS NOT NULL AND CAST(order_id AS BIGINT) % 7 = 0 AS INT) AS batch_id
+       FROM r_orders""",
+)
 # Items after two runs: an item is stored by the later one of its own run and its order's, and its latest
 # version counts. `again` lists further deliveries: which rows come again, what is added to their price,
 # and the run that brings them (NULL: their own).
