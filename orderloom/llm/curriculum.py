@@ -178,6 +178,7 @@ def schedule(
             order.alias("order"),
         ),
         "sizes",
+        compression="zstd",
     )
     # As many buckets as rows in one of them, so neither level of the sums outgrows the other.
     n_rows = sizes.count()
@@ -201,7 +202,7 @@ def schedule(
     whole = F.floor(F.col("target") / F.nullif("source_size", F.lit(0)))
     rows = rows.withColumn("whole", whole.cast("int"))
     rows = rows.withColumn("part", F.col("target") - F.col("whole") * F.col("source_size"))
-    rows = staged(rows.drop("order", "offset"), "placed", n_rows)
+    rows = staged(rows.drop("order", "offset"), "placed", n_rows, "zstd")
     stop = F.col("start") + F.col("size")
     fits = (stop.cast("double") <= F.col("part")) & (F.col("whole") < repeats)
     more = rows.where((F.col("size") > 0) & (F.col("whole") < repeats))
@@ -273,39 +274,104 @@ def schedule(
     )
 
 
-def mixed(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    **parameters,
-) -> DataFrame:
-    """The documents in training order, each as often as the mix takes it, with their columns."""
+def _in_order(
+    docs: DataFrame, plan: DataFrame, id_col: str, text_col: str, source_col: str
+) -> tuple[DataFrame, list[str]]:
+    """The documents of a plan in training order, each as often as it is taken, beside the columns that
+    say which row of the plan a copy is of (source key and start) and its position; and their names.
+
+    Documents and plan meet in one exchange of the texts: rows that agree in id, text and source
+    are told apart by number on both sides, and a number's two rows then lie side by side.
+    """
     names = docs.columns
     # Helper columns stand beside the caller's, whatever those are called.
-    own_id, copy, src, start, positions, number, at = [
-        unused(name, names) for name in ("_id", "_copy", "_src", "_start", "_positions", "_number", "_at")
+    own_id, copy, src, start, positions, rank, number, at = [
+        unused(name, names)
+        for name in ("_id", "_copy", "_src", "_start", "_positions", "_rank", "_number", "_at")
     ]
-    plan = schedule(docs, id_col, text_col, source_col, **parameters).where("size > 0")
-    plan = plan.select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(own_id),
-        F.col("copy").alias(copy),
-        F.col("src").alias(src),
-        F.col("start").alias(start),
-        F.col("positions").alias(positions),
-    )
     keys = [own_id, copy, src]
     rows = docs.withColumns(
         {
             own_id: F.coalesce(F.col(id_col).cast("string"), F.lit("")),
             copy: F.xxhash64(text_col),
             src: _source_key(F.col(source_col)),
+            start: F.lit(None).cast("long"),
+            positions: F.lit(None).cast("array<double>"),
+            rank: F.xxhash64(*names),
         }
     )
-    # Rows that agree in id, text and source are told apart by number, on both sides.
-    by_start = Window.partitionBy(*keys).orderBy(start)
-    by_rest = Window.partitionBy(*keys).orderBy(F.xxhash64(*names))
-    plan = plan.withColumn(number, F.row_number().over(by_start)).drop(start)
-    rows = rows.withColumn(number, F.row_number().over(by_rest))
-    placed = rows.join(plan, [*keys, number]).withColumn(at, F.explode(positions))
-    return placed.orderBy(at, *keys, number).select(*names)
+    wanted = plan.where("size > 0").select(
+        *[F.lit(None).cast(docs.schema[name].dataType).alias(name) for name in names],
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(own_id),
+        F.col("copy").alias(copy),
+        F.col("src").alias(src),
+        F.col("start").alias(start),
+        F.col("positions").alias(positions),
+        F.col("start").alias(rank),
+    )
+    is_doc = F.col(start).isNull()
+    side_by_side = rows.unionByName(wanted).repartition(*keys)
+    of_side = Window.partitionBy(*keys, is_doc).orderBy(rank)
+    same_number = Window.partitionBy(*keys, number)
+    met = side_by_side.withColumn(number, F.row_number().over(of_side)).select(
+        *names,
+        *keys,
+        number,
+        is_doc.alias(rank),
+        F.max(start).over(same_number).alias(start),
+        F.max(positions).over(same_number).alias(positions),
+    )
+    placed = met.where(F.col(rank)).withColumn(at, F.explode(positions))
+    # The id and the text's hash are computed again, so that the sort does not carry them twice.
+    order = [at, F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col), src, number]
+    return placed.select(*names, src, start, at, number).orderBy(*order).drop(number), [src, start, at]
+
+
+def mixed(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **parameters,
+) -> DataFrame:
+    """The documents in training order, each as often as the mix takes it, with their columns."""
+    plan = schedule(docs, id_col, text_col, source_col, **parameters)
+    placed, _ = _in_order(docs, plan, id_col, text_col, source_col)
+    return placed.select(*docs.columns)
+
+
+def read_mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **parameters,
+) -> DataFrame:
+    """Write the mix out in training order, and say from its files what it holds of each document.
+
+    One row per document row, as `schedule` has them; `taken` are the words of all its copies in the
+    files, `n_copies` their number and `first_position` the place of the first.
+    """
+    plan = schedule(docs, id_col, text_col, source_col, **parameters)
+    plan = staged(plan, "plan", compression="zstd")
+    placed, (src, start, at) = _in_order(docs, plan, id_col, text_col, source_col)
+    mix = staged(placed, "mix", compression="zstd", **{"parquet.compression.codec.zstd.level": "9"})
+    held = mix.groupBy(F.col(src).alias("src"), F.col(start).alias("start")).agg(
+        F.sum(word_count(F.col(text_col))).alias("words"),
+        F.count(F.lit(1)).alias("copies"),
+        F.min(at).alias("first"),
+    )
+    # A document without words shares the start of the one behind it.
+    worded = F.col("size") > 0
+    return plan.join(held, ["src", "start"], "left").select(
+        "doc_id",
+        "copy",
+        "src",
+        "start",
+        "size",
+        "source_size",
+        "target",
+        F.when(worded, F.coalesce("words", F.lit(0))).otherwise(0).cast("long").alias("taken"),
+        F.when(worded, F.coalesce("copies", F.lit(0))).otherwise(0).cast("long").alias("n_copies"),
+        F.when(worded, F.col("first")).alias("first_position"),
+    )

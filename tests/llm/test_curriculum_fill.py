@@ -96,6 +96,31 @@ def test_query_equals_a_plain_mix_of_the_whole_table(spark, sf):
         same(row, plain[row.doc_id])
 
 
+def test_query_mixes_the_documents_and_counts_the_words_of_the_mix(spark, tmp_path, monkeypatch):
+    texts = [" ".join(["w"] * (i % 9)) or None for i in range(120)]
+    table = docs(spark, texts, ["ab"[i % 5 == 0] for i in range(120)])
+    table = table.unionByName(table.where("doc_id % 6 = 1"))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    written, stage = [], cu.staged
+
+    def staged(df, purpose, *args, **kwargs):
+        out = stage(df, purpose, *args, **kwargs)
+        written.extend([out] if purpose == "mix" else [])
+        return out
+
+    monkeypatch.setattr(cu, "staged", staged)
+    got = QUERIES["op5_curriculum"](spark, str(tmp_path)).collect()
+    (mix,) = [df.collect() for df in written]
+    assert len(got) == 140 and sorted(r.taken for r in got if not r.size) == [0] * sum(not r.size for r in got)
+    words = {}
+    for r in mix:
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
+    assert words == {i: n for i in {r.doc_id for r in got} if (n := sum(r.taken for r in got if r.doc_id == i))}
+    assert {r.taken // r.size for r in got if r.size} - {0, 1, 2, 3} == set()
+    positions = sorted(r._at for r in mix)
+    assert positions[0] == min(r.first_position for r in got if r.taken)
+
+
 def test_a_long_document_does_not_block_those_behind_it(spark):
     # Two sources; the second gets 2 of 7 parts, less than its long document.
     texts = ["w " * 40_000] + ["w " * 20] * 200 + ["w " * 10] * 600
