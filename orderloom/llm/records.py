@@ -96,31 +96,32 @@ class Encoder:
             self._known = {b"": b""}
         lists = pc.ascii_split_whitespace(texts)
         words = pc.dictionary_encode(lists.flatten())
-        distinct = words.dictionary.cast(pa.binary()).to_pylist()
-        found = list(map(self._known.get, distinct))
-        self._learn({w for w, ids in zip(distinct, found) if ids is None})
-        found = [self._known[w] if ids is None else ids for w, ids in zip(distinct, found)]
+        distinct = _lowered(words.dictionary).cast(pa.binary()).to_pylist()
+        known = self._known
+        found = list(map(known.get, distinct))
+        if None in found:
+            self._learn({w for w, ids in zip(distinct, found) if ids is None})
+            found = list(map(known.__getitem__, distinct))
         each = pa.array(found, pa.binary()).take(words.indices)
         return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, each), b"").to_pylist()
 
     def _learn(self, words: set[bytes]) -> None:
-        """Encode the new words, those that differ in case or a closing mark only once."""
+        """Encode the new words, those that differ in a closing mark only once. After a letter or digit a full
+        stop or comma is a token of its own."""
         known = self._known
-        odd = {w: _parts(w) for w in words if not (w.islower() and w[-1:].isalnum())}
-        plain = words.difference(odd)
-        plain.update(p for pair in odd.values() for p in pair if p not in known)
-        new = list(plain)
+        marked = [w for w in words if w[-1] in b".," and w[-2:-1].isalnum()]
+        plain = words.difference(marked)
+        plain.update([w[:-1] for w in marked], (b".", b",") if marked else ())
+        new = [w for w in plain if w not in known]
         known.update(zip(new, self._packed([w.decode() for w in new])))
-        known.update((w, known[a] + known[b]) for w, (a, b) in odd.items())
+        mark = {code: known[bytes([code])] for code in b".,"} if marked else {}
+        known.update([(w, known[w[:-1]] + mark[w[-1]]) for w in marked])
 
 
-def _parts(word: bytes) -> tuple[bytes, bytes]:
-    """A word without, and its closing full stop or comma: after a letter or digit that is a token
-    of its own. Words of ASCII are lower-cased as the tokenizer would; special tokens are not."""
-    mark = b""
-    if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
-        word, mark = word[:-1], word[-1:]
-    return (word.lower() if word.isascii() and b"<|" not in word else word), mark
+def _lowered(words: pa.Array) -> pa.Array:
+    """Words of ASCII lower-cased, as the tokenizer would; what may be a special token is not."""
+    lower = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, "<|"))
+    return pc.if_else(lower, pc.ascii_lower(words), words)
 
 
 def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:

@@ -111,3 +111,15 @@ def test_damage_is_found(spark):
             f.write(bytes(bad))
         with pytest.raises(Exception, match="damaged"):
             rec.read_tokens(manifest).collect()
+
+
+def test_forms_of_a_word_are_kept_once():
+    with open(PATH, encoding="utf-8") as f:
+        spec = f.read()
+    encoder, tokenizer = rec.Encoder(spec), Tokenizer.from_str(spec)
+    texts = ["Word word WORD, word. (Word) ÄB äb", "WORD <|endoftext|> <|ENDOFTEXT|>, Äb. .. , a.b.", "", None]
+    ids = encoder.encode(pa.array(texts))
+    plain = [tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(own, "<u2").tolist() for own in ids] == plain
+    assert b"word" in encoder._known
+    assert not any(w.isascii() and b"<|" not in w and w != w.lower() for w in encoder._known)
