@@ -1,5 +1,6 @@
 """Children meet their orders and are chosen from in one exchange, and lie as a batch does once they are staged."""
 
+import datetime as dt
 import re
 from decimal import Decimal
 from pathlib import Path
@@ -8,6 +9,7 @@ import pytest
 
 from orderloom.plans import runs, silver
 from orderloom.sinks import parquet
+from orderloom.sources.roles import Roles
 from tests.conftest import rows
 from tests.test_silver import D1, D2, at, deliver, item, items, load_items, load_orders, order
 
@@ -91,3 +93,19 @@ def test_keys_of_any_form_come_back_from_versions(spark, lake):
     runs.load_warehouse_table(spark, lake, silver.ORDER_ITEMS)
     loaded = runs.read_warehouse(spark, lake, "order_items")
     assert {r.order_item_id: r.product_id for r in loaded.collect()} == dict(enumerate(texts))
+
+
+def test_payments_of_several_ranges_are_summed_once(spark, tmp_path):
+    lines = [("1", "A", 1999, "1.10"), ("1", "N", 2000, "2.20"), ("1", "N", 2001, "3.30"), ("2", "R", 2001, "4.40")]
+    made = [(int(k), flag, dt.datetime(year, 1, 1), Decimal(price)) for k, flag, year, price in lines]
+    schema = "l_orderkey long, l_returnflag string, l_shipdate timestamp_ntz, l_extendedprice decimal(12,2)"
+    spark.createDataFrame(made, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    roles = Roles(spark, str(tmp_path))
+    history, daily = roles.payments_between(None, "2000-01-01"), roles.payments_between("2000-01-01", None)
+    columns = ["order_id", "payment_sequential", "payment_value", "ingestion_date"]
+    assert rows(history, *columns) == [("1", 1, Decimal("1.10"), None)]
+    assert rows(daily, *columns) == [
+        ("1", 2, Decimal("5.50"), dt.date(2000, 1, 1)), ("2", 1, Decimal("4.40"), dt.date(2001, 1, 1))
+    ]
+    for part in (history, daily):
+        assert "Exchange" not in part._jdf.queryExecution().executedPlan().toString()
