@@ -16,7 +16,8 @@ lost or repeated task leaves nothing that a reader sees. Width is 2 where the vo
 
 Words are encoded by the tokenizer once per task and looked up after that. This is sound only for
 tokenizers that split words as `splits_by_words` tests: no token crosses ASCII white space, and
-letters, digits and other marks never share one.
+letters, digits and other marks never share one. Words of lower-case Latin letters alone, which normalizing and
+splitting would leave as they are, go to the tokenizer's model directly.
 
 Edge cases: NULL and empty texts are records with the end id alone. NULL ids come first. Repeated
 rows are records of their own. An empty table gives no shard. Other columns are never looked at.
@@ -69,6 +70,31 @@ def splits_by_words(spec: str) -> bool:
     return first.get("pattern") == {"Regex": WORD_SPLIT} and bool(kept) and lower
 
 
+# Letters that composing and lower-casing leave alone, and marks at the end of a word.
+PLAIN_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+CLOSING_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
+def byte_letters(spec: str) -> dict[int, str] | None:
+    """PLAIN_LETTERS as the model takes them; None where words of them must go through the whole tokenizer."""
+    from tokenizers import pre_tokenizers
+
+    parts = json.loads(spec)
+    steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    last = {k: v for k, v in steps[-1].items() if k != "trim_offsets"} if len(steps) == 2 else None
+    kinds = {s.get("type") for s in (parts.get("normalizer") or {}).get("normalizers") or []}
+    added = any("<|" not in t["content"] for t in parts.get("added_tokens") or [])
+    cut = parts.get("truncation") or parts.get("padding") or parts.get("post_processor")
+    if last != {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False} or added or cut:
+        return None
+    # What is replaced must be white space, of which words have none.
+    replaced = [s.get("pattern") for s in parts["normalizer"]["normalizers"] if s.get("type") == "Replace"]
+    if not kinds <= {"NFC", "Replace", "Lowercase"} or any(p != {"Regex": r"\s+"} for p in replaced):
+        return None
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return {ord(c): split.pre_tokenize_str(c)[0][0] for c in PLAIN_LETTERS}
+
+
 class Encoder:
     """Encodes texts; a word that was met before is not encoded again."""
 
@@ -79,6 +105,8 @@ class Encoder:
         self._tokenizer = Tokenizer.from_str(spec)
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._by_word = splits_by_words(spec)
+        self._letters = byte_letters(spec) if self._by_word else None
+        self._model = self._tokenizer.model
         # The empty word stands where a text begins or ends in white space.
         self._known: dict[bytes, bytes] = {b"": b""}
 
@@ -106,16 +134,37 @@ class Encoder:
         return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, each), b"").to_pylist()
 
     def _learn(self, words: set[bytes]) -> None:
-        """Encode the new words, those that differ in a closing mark only once. After a letter or digit a full
-        stop or comma is a token of its own."""
+        """Encode the new words, those that differ in closing marks only once: after a letter or digit of Latin
+        script marks are a token run of their own."""
         known = self._known
-        marked = [w for w in words if w[-1] in b".," and w[-2:-1].isalnum()]
-        plain = words.difference(marked)
-        plain.update([w[:-1] for w in marked], (b".", b",") if marked else ())
-        new = [w for w in plain if w not in known]
-        known.update(zip(new, self._packed([w.decode() for w in new])))
-        mark = {code: known[bytes([code])] for code in b".,"} if marked else {}
-        known.update([(w, known[w[:-1]] + mark[w[-1]]) for w in marked])
+        plain, marked = {}, []
+        for word in words:
+            text = word.decode()
+            core = text.rstrip(CLOSING_MARKS)
+            if len(core) == len(text) or not core or not _closed(core) or "<|" in text:
+                plain[word] = text
+                continue
+            head, marks = core.encode(), text[len(core) :].encode()
+            marked.append((word, head, marks))
+            plain[head], plain[marks] = core, text[len(core) :]
+        new = [(w, t) for w, t in plain.items() if w not in known]
+        if self._letters is not None:
+            letters, code = self._letters, "H" if self.width == 2 else "I"
+            rest, tokenize = [], self._model.tokenize
+            for word, text in new:
+                if text.strip(PLAIN_LETTERS):
+                    rest.append((word, text))
+                else:
+                    text = text if text.isascii() else text.translate(letters)
+                    known[word] = array(code, [t.id for t in tokenize(text)]).tobytes()
+            new = rest
+        known.update(zip([w for w, _ in new], self._packed([t for _, t in new])))
+        known.update([(w, known[head] + known[marks]) for w, head, marks in marked])
+
+
+def _closed(core: str) -> bool:
+    """Whether it ends, lower-cased too, in a letter or digit that all Unicode versions know, up to U+024F."""
+    return core[-1] < "\u0250" and core[-1].lower().isalnum()
 
 
 def _lowered(words: pa.Array) -> pa.Array:

@@ -123,3 +123,29 @@ def test_forms_of_a_word_are_kept_once():
     assert [np.frombuffer(own, "<u2").tolist() for own in ids] == plain
     assert b"word" in encoder._known
     assert not any(w.isascii() and b"<|" not in w and w != w.lower() for w in encoder._known)
+
+
+def test_plain_words_go_to_the_model_and_closing_marks_are_cut(monkeypatch):
+    with open(PATH, encoding="utf-8") as f:
+        spec = f.read()
+    encoder, tokenizer = rec.Encoder(spec), Tokenizer.from_str(spec)
+    whole, packed = [], encoder._packed
+    monkeypatch.setattr(encoder, "_packed", lambda texts: whole.extend(texts) or packed(texts))
+    pick = random.Random(7)
+    ends = ["", ".", ",", "$$$", "'", "'.", '")', "|>", "<|", "...", "'s", "9!", "²!"]
+    words = ["".join(pick.choices(rec.PLAIN_LETTERS, k=pick.randrange(1, 15))) for _ in range(4000)]
+    words += [w + pick.choice(ends) for w in words]
+    words += ["x<|endoftext|>", "é<|startoftext|>..", "o̸=", "a≠", "ǅ.", "İ!", "º.", "ª", "µ,"]
+    texts = [" ".join(pick.sample(words, 50)) for _ in range(400)] + words[-9:]
+    got = [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(pa.array(texts))]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    # No word of letters alone, with closing marks or without, was encoded as a text of its own.
+    assert not [t for t in whole if t.rstrip(rec.CLOSING_MARKS) and not t.rstrip(rec.CLOSING_MARKS).strip(rec.PLAIN_LETTERS) and "<|" not in t]
+
+
+def test_other_normalizers_keep_words_whole():
+    with open(PATH, encoding="utf-8") as f:
+        spec = f.read()
+    assert rec.byte_letters(spec)[ord("a")] == "a"
+    assert rec.byte_letters(spec.replace('"NFC"', '"NFKD"')) is None
+    assert rec.byte_letters(spec.replace("<|endoftext|>", "end")) is None
