@@ -7,18 +7,23 @@ its deeper contexts is the posterior of the training text under either. The trai
 so the probability of the next byte depends on the `depth` bytes before it alone: on its gram, the
 context and the byte.
 
-The model is a table of grams that grows with the corpus; no task and no broadcast holds it. A chunk
-of texts stages its distinct grams with their training counts, and Spark sums them. Contexts that
-agree in their last two bytes form a subtree; a task takes whole subtrees, several at a time, and
-mixes one depth after the other, upwards for the weights and downwards for the probabilities. Only
-contexts of less than two bytes (at most 257 x 255 nodes, whatever the corpus) are put together on
-the driver. Grams that only held-out texts have are in the table with a count of zero, which changes
-no weight. The scores of a chunk's grams come back in one join. The code length is exact over the
+The model is a table of grams that grows with the corpus; no task and no broadcast holds it. Contexts
+that agree in their last two bytes form a subtree, and a row holds the grams of one subtree, sorted
+and packed. A chunk of texts stages a row per subtree with its distinct grams and their training
+counts; the rows of a subtree meet in one task, which sums them. A task takes whole subtrees, several
+at a time, and mixes one depth after the other, upwards for the weights and downwards for the
+probabilities. Only contexts of less than two bytes (at most 257 x 255 nodes, whatever the corpus)
+are put together on the driver. Grams that only held-out texts have are in the table with a count of
+zero, which changes no weight. Then a subtree's row meets those of the chunks, and each chunk's comes
+back with the scores of its grams. The code length is exact over the
 closed text: start marks before it, an end mark after it (byte 0xFF, which UTF-8 never uses).
 
 The base score needs the count of every word in the training set, also a table without a bound. A
-task numbers the words of its texts chunk by chunk, so a chunk's words meet their counts in one join
-of a row per chunk and word, and its documents then look up numbers, not words.
+task numbers the words of its texts chunk by chunk, so the rows of a word, one per chunk, are summed
+where they meet, and a chunk's documents then look up numbers, not words.
+
+A chunk's texts are written to a file once and read by the task that scores them. Files are named by
+chunk and attempt; only names that reach the staged rows count.
 
 Edge cases: NULL and empty texts consist of their end. A NULL id is trained on. Repeated rows count
 and are scored once per row. If no document is trained on, every byte has the uniform probability.
@@ -27,33 +32,38 @@ An empty table gives no rows. Other columns are never looked at.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import ASCII_LOWER, staged
+from orderloom.llm.common import ASCII_LOWER, open_store, staged
+from orderloom.session import new_folder
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 MARK = 0xFF
-BYTES_AT_ONCE = 4 << 20
-CHUNK_WORDS = 200_000
-CHUNK_GRAMS = 1_000_000
+BYTES_AT_ONCE = 2 << 20
+LOOKED_UP_AT_ONCE = 1 << 19
+TEXTS_AT_ONCE = 512
+CHUNK_BYTES = 24 << 20
+CHUNK_WORDS = 400_000
+CHUNK_GRAMS = 2_000_000
 TREE_GRAMS = 500_000
 MOST_DEPTH = 7  # a gram is kept in the eight bytes of a long
 LOG10_HALF = float(np.log10(0.5))
 WORDS, GRAMS, TEXTS = 0, 1, 2
 
 ROOTS = "last int, before int, node int, zeros long, ones long, log_weighted double"
-TABLE = "gram long, log10_p double"
-STAGED = (
-    "chunk long, kind int, number long, word binary, gram long, train long, doc_id long,"
-    " held_out boolean, text binary"
-)
+SUMS = "tree long, grams binary, counts binary"
+TABLE = "tree long, grams binary, logs binary"
+ANSWERS = "chunk long, number long, grams binary, logs binary"
+STAGED = "chunk long, kind int, number long, word binary, train long, grams binary, counts binary, name string"
+FILED = "doc_id long, held_out boolean, text binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
     " base_score double, score double, bits_per_byte double"
@@ -64,6 +74,7 @@ _KINDS = {
     "double": pa.float64(),
     "boolean": pa.bool_(),
     "binary": pa.binary(),
+    "string": pa.string(),
 }
 
 
@@ -101,8 +112,9 @@ def _grams(data: np.ndarray, low: int, high: int, depth: int) -> np.ndarray:
 def _pieces(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """Lower-cased texts, some megabytes at a time, with the row where each piece begins."""
     piece, size, first = [], 0, 0
-    for row, text in enumerate(column.to_pylist()):
-        data = text if isinstance(text, bytes) else (text or "").encode().translate(ASCII_LOWER)
+    parts = (column.slice(low, TEXTS_AT_ONCE) for low in range(0, len(column), TEXTS_AT_ONCE))
+    for row, text in enumerate(text for part in parts for text in part.to_pylist()):
+        data = (text or "").encode().translate(ASCII_LOWER)
         if piece and size + len(data) > BYTES_AT_ONCE:
             yield first, piece
             piece, size, first = [], 0, row
@@ -134,17 +146,12 @@ class GramCounts:
             keys, n = np.unique(keys, return_counts=True)
             self._parts.append((keys, n if trained else np.zeros_like(n)))
             self._pending += len(keys)
-            if self._pending > 2 * CHUNK_GRAMS:
+            if self._pending > CHUNK_GRAMS + CHUNK_GRAMS // 2:
                 self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         if len(self._parts) != 1:
-            keys = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in self._parts)])
-            n = np.concatenate([np.zeros(0, np.int64), *(n for _, n in self._parts)])
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], n[order]
-            first = np.flatnonzero(_changes(keys))
-            self._parts = [(keys[first], np.add.reduceat(n, first) if len(n) else n)]
+            self._parts = [_summed(self._parts)]
         self._pending = len(self._parts[0][0])
         return self._parts[0]
 
@@ -152,6 +159,37 @@ class GramCounts:
         return self._pending > CHUNK_GRAMS and len(self.merged()[0]) > CHUNK_GRAMS
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in ascending order and the sums of their counts."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in parts)])
+    n = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(_changes(keys))
+    return keys[first], np.add.reduceat(n, first) if len(n) else n
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Values of eight bytes, the first bytes of all of them before the second ones, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(kind)[:, 0]
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys, by their differences."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
+
+
 def _changes(values: np.ndarray) -> np.ndarray:
     """True where a sorted array begins another value."""
     new = np.ones(len(values), dtype=bool)
@@ -238,7 +276,7 @@ def last_byte_part(counts: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _backwards(grams: np.ndarray, depth: int) -> np.ndarray:
-    """The context's bytes from the last to the first, then the byte, so that subtrees sort."""
+    """The context's bytes from the last to the first, then the byte, so that subtrees sort; and back."""
     turned = grams.byteswap() << np.uint64(8)
     turned >>= np.uint64(8 * (MOST_DEPTH - depth))
     return turned | (grams & np.uint64(255))
@@ -258,15 +296,14 @@ class Upper:
 
 
 class Subtrees:
-    """Whole subtrees below contexts of two bytes, from their distinct grams and counts.
+    """Whole subtrees below contexts of two bytes, from their distinct grams (backwards) and counts.
 
     A node is a context and a prefix of the byte. The nodes of the eight prefix lengths never meet,
     so they are worked out one length after the other, over all subtrees together.
     """
 
-    def __init__(self, grams: np.ndarray, n: np.ndarray, depth: int) -> None:
-        keys = _backwards(grams, depth)
-        self._order = np.argsort(keys)
+    def __init__(self, keys: np.ndarray, n: np.ndarray, depth: int) -> None:
+        self._order = np.argsort(keys, kind="stable")
         keys, n = keys[self._order], n[self._order]
         # From the deepest contexts to those of two bytes: grams, counts, each one's shorter gram.
         self._depths: list[tuple[np.ndarray, np.ndarray, np.ndarray | None]] = []
@@ -335,34 +372,76 @@ class Subtrees:
         return out
 
 
-def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Grams and counts sorted by their subtree, in parts that hold whole subtrees."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size, last = 0, None
+def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, np.ndarray, np.ndarray]]:
+    """Rows of SUMS, some at a time: their trees and packed grams, and all their grams and counts."""
+    trees, packed, parts, size = [], [], [], 0
     for batch in batches:
-        tree, grams, n = (c.to_numpy() for c in batch.columns)
-        if not len(tree):
-            continue
-        grams = grams.view(np.uint64)
-        if size >= TREE_GRAMS and tree[-1] != last:
-            cut = np.searchsorted(tree != last, True)
-            held.append((grams[:cut], n[:cut]))
-            yield tuple(np.concatenate(c) for c in zip(*held))
-            held, size, tree, grams, n = [], 0, tree[cut:], grams[cut:], n[cut:]
-        held.append((grams, n))
-        size, last = size + len(tree), tree[-1]
+        for tree, grams, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            trees.append(tree)
+            packed.append(grams)
+            parts.append((_unpacked_keys(grams), _unpacked(counts, np.int64)))
+            size += len(parts[-1][0])
+            if size >= TREE_GRAMS:
+                yield trees, packed, *(np.concatenate(c) for c in zip(*parts))
+                trees, packed, parts, size = [], [], [], 0
+    if parts:
+        yield trees, packed, *(np.concatenate(c) for c in zip(*parts))
+
+
+def _in_batches(rows: Iterator[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    """Rows of packed values, as many in a batch as take some megabytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes))
+        if size > BYTES_AT_ONCE or len(held) == 10_000:
+            yield _batch(list(map(list, zip(*held))), schema)
+            held, size = [], 0
     if held:
-        yield tuple(np.concatenate(c) for c in zip(*held))
+        yield _batch(list(map(list, zip(*held))), schema)
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """A row of SUMS per subtree, from the rows of its chunks, which follow one another."""
+    tree, parts, size, least = None, [], 0, 0
+
+    def row() -> tuple:
+        keys, n = _summed(parts)
+        return tree, _packed_keys(keys), _packed(n)
+
+    for batch in batches:
+        for next_tree, grams, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            if next_tree != tree:
+                if parts:
+                    yield row()
+                tree, parts, size, least = next_tree, [], 0, 0
+            parts.append((_unpacked_keys(grams), _unpacked(counts, np.int64)))
+            size += len(parts[-1][0])
+            if size > 2 * least + TREE_GRAMS:
+                parts = [_summed(parts)]
+                size = least = len(parts[0][0])
+    if parts:
+        yield row()
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of the chunks with their logs; a subtree's row of TABLE comes before them."""
+    for batch in batches:
+        for tree, chunk, grams, logs in zip(*(c.to_pylist() for c in batch.columns)):
+            if logs is not None:
+                known, known_logs = _unpacked_keys(grams), _unpacked(logs, np.float64)
+                continue
+            found = known_logs[np.searchsorted(known, _unpacked_keys(grams))]
+            yield chunk, tree, grams, _packed(found)
 
 
 def train(grams: DataFrame, depth: int) -> DataFrame:
-    """TABLE from (gram, n), a row per distinct gram of the corpus."""
-    tree = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF).cast("long"))
-    grams = staged(grams.select(tree.alias("tree"), "gram", "n"), "grams", compression="zstd")
-    by_tree = grams.repartition("tree").sortWithinPartitions("tree")
+    """TABLE from the chunks' (tree, grams, counts), a row per subtree of the corpus."""
+    own = grams.select("tree", "grams", "counts").repartition("tree").sortWithinPartitions("tree")
+    trees = staged(own.mapInArrow(lambda batches: _in_batches(_sums(batches), SUMS), SUMS), "grams")
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _subtrees(batches):
+        for _, _, *part in _subtrees(batches):
             for columns in Subtrees(*part, depth).roots():
                 yield _batch(columns, ROOTS)
 
@@ -372,21 +451,30 @@ def train(grams: DataFrame, depth: int) -> DataFrame:
         F.lit(0.0),
         lambda total, part: total + part["log_weighted"],
     )
-    nodes = by_tree.mapInArrow(roots, ROOTS).groupBy("last", "node")
+    nodes = trees.mapInArrow(roots, ROOTS).groupBy("last", "node")
     nodes = nodes.agg(F.sum("zeros").alias("z"), F.sum("ones").alias("o"), deeper.alias("d"))
     sums = np.zeros((3, 256, 255))
     for last, node, *values in nodes.collect():  # 256 x 255 rows at most
         sums[:, last, node] = values
     shared = grams.sparkSession.sparkContext.broadcast(Upper(*sums))
 
-    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _subtrees(batches):
-            logs = Subtrees(*part, depth).log10_p(shared.value)
-            for low in range(0, len(logs), 100_000):
-                own = part[0][low : low + 100_000].view(np.int64)
-                yield _batch([own, logs[low : low + 100_000]], TABLE)
+    def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for names, packed, keys, n in _subtrees(batches):
+            found, at = Subtrees(keys, n, depth).log10_p(shared.value), 0
+            for tree, own in zip(names, packed):
+                size = int.from_bytes(own[:8], "little")
+                yield tree, own, _packed(found[at : at + size])
+                at += size
 
-    return by_tree.mapInArrow(table, TABLE)
+    return trees.mapInArrow(lambda batches: _in_batches(logs(batches), TABLE), TABLE)
+
+
+def answered(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """ANSWERS: the chunks' (tree, chunk, grams) with the log10 probabilities of their grams."""
+    asked = grams.select("tree", "chunk", "grams", F.lit(None).cast("binary").alias("logs"))
+    known = model.select("tree", F.lit(-1).cast("long").alias("chunk"), "grams", "logs")
+    by_tree = known.union(asked).repartition("tree").sortWithinPartitions("tree", "chunk")
+    return by_tree.mapInArrow(lambda batches: _in_batches(_answers(batches), ANSWERS), ANSWERS)
 
 
 class Lookup:
@@ -417,8 +505,9 @@ class Lookup:
         begin = np.zeros(size, dtype=bool)
         for shift in range(depth):
             begin[starts + shift] = True
-        for low in range(0, size, BYTES_AT_ONCE):
-            high = min(low + BYTES_AT_ONCE, size)
+        step = min(BYTES_AT_ONCE, LOOKED_UP_AT_ONCE)
+        for low in range(0, size, step):
+            high = min(low + step, size)
             logs = np.zeros(high - low)
             coded = np.flatnonzero(~begin[low:high])
             skip = max(low, depth) - low
@@ -433,31 +522,41 @@ class Lookup:
 
 
 def _scored(docs: DataFrame, depth: int) -> DataFrame:
-    """A row per text, and a row per chunk's distinct word and per chunk's distinct gram."""
+    """A row per chunk's file of texts, per chunk's distinct word and per chunk's subtree with its grams."""
+    folder = new_folder(docs.sparkSession, "texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
         numbers: dict[bytes, int] = defaultdict()
         numbers.default_factory = numbers.__len__
         train, grams = np.zeros(0, dtype=np.int64), GramCounts(depth)
-        seq = 0
+        store, root = open_store(folder)
+        store.create_dir(root, recursive=True)
+        name, out, trained_texts, size = None, None, 0, 0
+
+        def by_tree() -> Iterator[tuple]:
+            forward, counts = grams.merged()
+            keys = _backwards(forward, depth)
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            trees = keys >> np.uint64(8 * (depth - 1))
+            cuts = np.append(np.flatnonzero(_changes(trees)), len(keys)).tolist()
+            for low, high in zip(cuts, cuts[1:]):
+                packed = _packed_keys(keys[low:high]), _packed(counts[low:high])
+                yield chunk, GRAMS, int(trees[low]), None, None, *packed, None
 
         def gathered() -> Iterator[pa.RecordBatch]:
-            known, nulls = list(numbers), pa.nulls
+            out[0].close()
+            out[1].close()
+            yield _batch([[v] for v in (chunk, TEXTS, 0, None, trained_texts, None, None, name)], STAGED)
+            known = list(numbers)
             for low in range(0, len(known), 10_000):
                 part = known[low : low + 10_000]
                 n = len(part)
-                values = [[chunk] * n, [WORDS] * n, range(low, low + n), part, nulls(n, pa.int64())]
-                rest = [nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.binary())]
-                yield _batch([*values, train[low : low + n], *rest], STAGED)
-            keys, counts = grams.merged()
-            for low in range(0, len(keys), 50_000):
-                part = keys[low : low + 50_000].view(np.int64)
-                n = len(part)
-                values = [np.full(n, chunk), np.full(n, GRAMS, np.int32), np.zeros(n, np.int64)]
-                rest = [nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.binary())]
-                own = [nulls(n, pa.binary()), part, counts[low : low + n]]
-                yield _batch([*values, *own, *rest], STAGED)
+                values = [[chunk] * n, [WORDS] * n, range(low, low + n), part, train[low : low + n]]
+                rest = (pa.binary(), pa.binary(), pa.string())
+                yield _batch([*values, *(pa.nulls(n, k) for k in rest)], STAGED)
+            yield from _in_batches(by_tree(), STAGED)
 
         for batch in batches:
             ids_, outs = batch.column(0), batch.column(1).to_pylist()
@@ -465,33 +564,33 @@ def _scored(docs: DataFrame, depth: int) -> DataFrame:
                 n = len(texts)
                 rows = [np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)) for w in map(bytes.split, texts)]
                 train = np.concatenate([train, np.zeros(len(numbers) - len(train), np.int64)])
-                out = outs[first : first + n]
-                own = [r for r, o in zip(rows, out) if not o]
+                held = outs[first : first + n]
+                own = [r for r, o in zip(rows, held) if not o]
                 if own:
                     train += np.bincount(np.concatenate(own), minlength=len(train))
                 for trained in (True, False):
-                    part = [t for t, o in zip(texts, out) if o is not trained]
+                    part = [t for t, o in zip(texts, held) if o is not trained]
                     if part:
                         grams.add(part, trained)
-                values = [
-                    [chunk] * n,
-                    [TEXTS] * n,
-                    range(seq, seq + n),
-                    *(pa.nulls(n, k) for k in (pa.binary(), pa.int64(), pa.int64())),
-                    ids_.slice(first, n),
-                    out,
-                    texts,
-                ]
-                yield _batch(values, STAGED)
-                seq += n
-                if len(numbers) > CHUNK_WORDS or grams.full():
+                filed = _batch([ids_.slice(first, n), held, texts], FILED)
+                if out is None:
+                    name = f"{chunk:016x}-{uuid.uuid4().hex}.arrow"
+                    file = store.open_output_stream(f"{root}/{name}")
+                    packing = pa.ipc.IpcWriteOptions(compression="zstd")
+                    out = pa.ipc.new_stream(file, filed.schema, options=packing), file
+                out[0].write_batch(filed)
+                trained_texts += len(own)
+                size += sum(map(len, texts))
+                if size > CHUNK_BYTES or len(numbers) > CHUNK_WORDS or grams.full():
                     yield from gathered()
                     numbers.clear()
                     grams.clear()
-                    train, chunk, seq = train[:0], chunk + 1, 0
-        yield from gathered()
+                    train, chunk, out, trained_texts, size = train[:0], chunk + 1, None, 0, 0
+        if out is not None:
+            yield from gathered()
 
-    return staged(docs.mapInArrow(run, STAGED), "scored", compression="zstd")
+    rows = staged(docs.mapInArrow(run, STAGED), "scored", compression="zstd")
+    return rows.withColumn("folder", F.lit(folder))
 
 
 def _with_scores(
@@ -506,43 +605,48 @@ def _with_scores(
         numbers: dict[bytes, int] = defaultdict()
         numbers.default_factory = numbers.__len__
         logs, known, model = None, None, None
+
+        def scored(filed: pa.RecordBatch) -> pa.RecordBatch:
+            texts = filed.column(2).to_pylist()
+            ids = [np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)) for w in map(bytes.split, texts)]
+            score, n_bytes = model.score(texts, depth), np.array([len(t) for t in texts])
+            bits = np.full(len(texts), np.nan)
+            np.divide(-score, n_bytes * -LOG10_HALF, out=bits, where=n_bytes > 0)
+            values = [
+                filed.column(0),
+                filed.column(1),
+                [len(i) + 1 for i in ids],
+                [int(known[i].sum()) + end_known for i in ids],
+                [train_tokens] * len(texts),
+                [float(logs[i].sum()) - len(i) * smooth + end_log for i in ids],
+                score,
+                pa.array(bits, pa.float64(), mask=np.isnan(bits)),
+            ]
+            return _batch(values, SCORES)
+
         for batch in batches:
             chunks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             edges = np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1
             for low, high in zip([0, *edges], [*edges, batch.num_rows]):
                 part = batch.slice(low, high - low)
                 if chunks[low] != chunk:
-                    chunk, counts, grams, logs, model = chunks[low], [], [], None, None
+                    chunk, counts, grams, logs, known, model = chunks[low], [], [], None, None, None
                     numbers.clear()
                 if kinds[low] == WORDS:
                     counts.append(part.column(3).to_numpy())
                     continue
                 if kinds[low] == GRAMS:
-                    grams.append((part.column(4).to_numpy().view(np.uint64), part.column(5).to_numpy()))
+                    for own, found in zip(part.column(4).to_pylist(), part.column(5).to_pylist()):
+                        keys = _backwards(_unpacked_keys(own), depth)
+                        grams.append((keys, _unpacked(found, np.float64)))
                     continue
-                if logs is None:
-                    all_counts = np.concatenate([*counts, np.zeros(0, np.int64)])
-                    logs, known, counts = np.log10(all_counts + 1.0), all_counts > 0, []
-                    model, grams = Lookup(*(np.concatenate(c) for c in zip(*grams))), []
-                for first, texts in _pieces(part.column(8)):
-                    n = len(texts)
-                    ids = [np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)) for w in map(bytes.split, texts)]
-                    score, n_bytes = model.score(texts, depth), np.array([len(t) for t in texts])
-                    bits = np.full(n, np.nan)
-                    np.divide(-score, n_bytes * -LOG10_HALF, out=bits, where=n_bytes > 0)
-                    yield _batch(
-                        [
-                            part.column(6).slice(first, n),
-                            part.column(7).slice(first, n),
-                            [len(i) + 1 for i in ids],
-                            [int(known[i].sum()) + end_known for i in ids],
-                            [train_tokens] * n,
-                            [float(logs[i].sum()) - len(i) * smooth + end_log for i in ids],
-                            score,
-                            pa.array(bits, pa.float64(), mask=np.isnan(bits)),
-                        ],
-                        SCORES,
-                    )
+                all_counts = np.concatenate([*counts, np.zeros(0, np.int64)])
+                logs, known, counts = np.log10(all_counts + 1.0), all_counts > 0, []
+                model, grams = Lookup(*(np.concatenate(c) for c in zip(*grams))), []
+                store, root = open_store(part.column(6)[0].as_py())
+                with store.open_input_stream(f"{root}/{part.column(7)[0].as_py()}") as file:
+                    for filed in pa.ipc.open_stream(file):
+                        yield scored(filed)
 
     by_chunk = rows.repartition("chunk").sortWithinPartitions("chunk", "kind", "number")
     return by_chunk.mapInArrow(run, SCORES)
@@ -558,24 +662,32 @@ def scores(
     own = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), out.alias("out"), F.col(text_col).alias("text")
     )
-    rows = _scored(own, depth)
+    # The more text a chunk has, the fewer grams it has for each byte.
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // CHUNK_BYTES))
+    rows = _scored(own.coalesce(tasks), depth)
     words, texts = rows.where(F.col("kind") == WORDS), rows.where(F.col("kind") == TEXTS)
     grams = rows.where(F.col("kind") == GRAMS)
-    counts = words.where("train > 0").groupBy("word").agg(F.sum("train").alias("n"))
-    counts = staged(counts, "word-counts")
-    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = texts.where(~F.col("held_out")).count()
-    model = train(grams.groupBy("gram").agg(F.sum("train").alias("n")), depth)
-    names = {"n": "long", "gram": "long", "log10_p": "double"}
-    names |= {"doc_id": "long", "held_out": "boolean", "text": "binary"}
-
-    def padded(part: DataFrame) -> DataFrame:
+    grams = grams.select(F.col("number").alias("tree"), "chunk", "grams", "counts")
+    # A word has a row per chunk; one of them stands for it in the totals.
+    same = Window.partitionBy("word")
+    counted = words.select(
+        "chunk",
+        "number",
+        F.sum("train").over(same).alias("n"),
+        (F.row_number().over(same.orderBy("chunk")) == 1).alias("stands"),
+    )
+    counted = staged(counted, "word-counts", compression="zstd")
+    total = counted.where("stands").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0))
+    tokens, distinct = total.first()
+    ends = texts.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
+    names = {"n": "long", "grams": "binary", "logs": "binary", "folder": "string", "name": "string"}
+
+    def padded(part: DataFrame, kind: int) -> DataFrame:
         given = set(part.columns)
         more = [F.col(c) if c in given else F.lit(None).cast(k).alias(c) for c, k in names.items()]
-        return part.select("chunk", "kind", "number", *more)
+        return part.select("chunk", F.lit(kind).alias("kind"), "number", *more)
 
-    counted = words.drop("gram", "doc_id", "held_out", "text").join(counts, "word", "left")
-    counted = counted.withColumn("n", F.coalesce("n", F.lit(0)))
-    known = grams.select("chunk", "kind", "number", "gram").join(model, "gram")
-    both = padded(counted).unionByName(padded(known)).unionByName(padded(texts.drop("gram")))
+    known = padded(answered(grams, train(grams, depth)), GRAMS)
+    both = padded(counted, WORDS).unionByName(known).unionByName(padded(texts.drop("grams"), TEXTS))
     return _with_scores(both, depth, tokens + ends, distinct + (ends > 0), ends)

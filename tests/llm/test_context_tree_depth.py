@@ -81,3 +81,32 @@ def test_contexts_beyond_two_bytes_are_learned(spark):
 def test_large_counts_are_not_looked_up():
     counts = np.array([0, 1, 65_535, 65_536, 10**9])
     assert np.allclose(ct.log_kt_counts(counts, counts[::-1]), ct.log_kt(counts, counts[::-1]))
+
+
+def test_a_chunk_stages_a_packed_row_per_subtree(spark):
+    pick = random.Random(11)
+    texts = ["".join(pick.choice("abcdefg ") for _ in range(3000)) for _ in range(40)]
+    own = docs(spark, texts).coalesce(1).selectExpr("cast(doc_id as long)", "doc_id % 7 = 2 AS out", "text")
+    rows = ct._scored(own, 6).where(f"kind = {ct.GRAMS}").collect()
+    closed = [b"\xff" * 6 + t.encode() + b"\xff" for t in texts]
+    expected = {}
+    for i, data in enumerate(closed):
+        for at in range(6, len(data)):
+            tree = data[at - 1] << 8 | data[at - 2]
+            key = int.from_bytes(data[at - 6 : at][::-1] + data[at : at + 1])
+            grams = expected.setdefault(tree, {})
+            grams[key] = grams.get(key, 0) + (i % 7 != 2)
+    found = {
+        r.number: dict(zip(ct._unpacked_keys(r.grams).tolist(), ct._unpacked(r.counts, np.int64).tolist())) for r in rows
+    }
+    assert len(rows) == len(expected) and found == expected
+    # A gram takes a few bytes, not a row.
+    assert sum(len(r.grams) + len(r.counts) for r in rows) < 5 * sum(map(len, expected.values()))
+
+
+def test_packed_values_come_back():
+    keys = np.array([0, 3, 2**40, 2**64 - 1], np.uint64)
+    for some in (keys, keys[:0]):
+        assert ct._unpacked_keys(ct._packed_keys(some)).tolist() == some.tolist()
+    logs = np.array([-0.25, -1e-300, -np.inf, 0.0])
+    assert ct._unpacked(ct._packed(logs), np.float64).tolist() == logs.tolist()
