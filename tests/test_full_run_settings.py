@@ -1,0 +1,57 @@
+"""A full run keeps neither the shuffle files of its finished steps nor what it staged."""
+
+import time
+from pathlib import Path
+
+from orderloom.plans import fact_store, runs
+from tests.test_gold import FEB, JAN, fact_row, facts
+from tests.test_silver import D1, D2, at, item, load_items, load_orders, order
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(n).getName() for n in range(files.size()) if files.apply(n).getName().startswith("shuffle_")}
+
+
+def as_run(spark, lake, monkeypatch, step):
+    """`step` in place of what a full run does."""
+    monkeypatch.setattr(runs, "load_silver", lambda *args: step())
+    for name in ("load_warehouse_table", "refresh_gold"):
+        monkeypatch.setattr(runs, name, lambda *args: None)
+    runs.run(spark, lake, {})
+
+
+def test_shuffle_files_go_with_their_step(spark, lake, monkeypatch):
+    before = shuffle_files(spark)
+    left, held = [], []
+
+    def step():
+        made = spark.range(50_000).groupBy("id").count()
+        made.write.parquet(f"{lake}/made")
+        held.append(made)
+        until = time.monotonic() + 20
+        while shuffle_files(spark) - before and time.monotonic() < until:
+            time.sleep(0.2)
+        left.extend(shuffle_files(spark) - before)
+        # A frame that is used again makes its rows anew.
+        assert made.count() == made.count() == 50_000 and len(made.collect()) == len(made.collect()) == 50_000
+
+    as_run(spark, lake, monkeypatch, step)
+    assert held and not left
+
+
+def test_nothing_staged_stays_after_a_load_and_a_merge(spark, lake):
+    load_orders(spark, lake, [order("a", at(2017)), order("b", at(2018))], [])
+    load_items(spark, lake, [item("a", 1), item("x", 1)], [item("b", 1, D1)])
+    load_orders(spark, lake, [], [order("x", at(2019), D2)])
+    load_items(spark, lake, [], [item("b", 1, D2, "5.00")])
+    staged = {p.name for p in Path(f"{lake}/work/silver/order_items").iterdir()}
+    assert staged == {"checkpoint"}
+    root = f"{lake}/fact"
+    fact_store.merge_fact(spark, root, facts(spark, *[fact_row(f"o{i}", "p", JAN, "1.00") for i in range(9)]), 0)
+    # A delta, then a base.
+    for number, count in enumerate((1, 9), 1):
+        changed = facts(spark, *[fact_row(f"o{i}", "p", FEB, "2.00") for i in range(count)])
+        fact_store.merge_fact(spark, root, changed, number)
+        assert not Path(root, "source").exists()
+    assert fact_store.read_fact(spark, root).count() == 9
