@@ -1,9 +1,10 @@
-"""A full run keeps neither the shuffle files of its finished steps nor what it staged."""
+"""A full run keeps neither the shuffle files of its finished steps nor what it staged, and sorts less."""
 
 import time
 from pathlib import Path
 
 from orderloom.plans import fact_store, runs
+from orderloom.session import ADVISORY_SIZE
 from tests.test_gold import FEB, JAN, fact_row, facts
 from tests.test_silver import D1, D2, at, item, load_items, load_orders, order
 
@@ -40,6 +41,32 @@ def test_shuffle_files_go_with_their_step(spark, lake, monkeypatch):
     assert held and not left
 
 
+def test_rows_are_hashed_and_not_sorted_and_settings_come_back(spark, lake, monkeypatch):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", ADVISORY_SIZE]
+    before = {key: spark.conf.get(key) for key in keys}
+    for key, value in zip(keys, ("-1", "1000000")):
+        spark.conf.set(key, value)
+    settings = dict(row for row in spark.sql("SET").collect())
+    plans = []
+
+    def step():
+        rows, names = spark.range(1000), spark.range(100).selectExpr("id", "cast(id as string) name")
+        joined = rows.join(names, "id", "left")
+        joined.collect()
+        plans.append(joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        joined.selectExpr("*", "id % 3 year").write.partitionBy("year").parquet(f"{lake}/years")
+
+    try:
+        as_run(spark, lake, monkeypatch, step)
+        assert "ShuffledHashJoin" in plans[0] and "Sort" not in plans[0].replace("SortMergeJoin", "")
+        assert dict(row for row in spark.sql("SET").collect()) == settings
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    parts = {int(p.name.split("=")[1]): spark.read.parquet(str(p)).count() for p in Path(f"{lake}/years").glob("year=*")}
+    assert parts == {0: 334, 1: 333, 2: 333}
+
+
 def test_nothing_staged_stays_after_a_load_and_a_merge(spark, lake):
     load_orders(spark, lake, [order("a", at(2017)), order("b", at(2018))], [])
     load_items(spark, lake, [item("a", 1), item("x", 1)], [item("b", 1, D1)])
